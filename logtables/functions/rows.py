@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,21 +21,30 @@ def csv_line(values: Sequence[Column]) -> Column:
     return F.concat_ws(",", *[csv_quote(v.cast("string")) for v in values])
 
 
-def value_text(value: Column, dtype: T.DataType) -> Column:
+# The functions below return SQL text over column names: a row's size is one wide expression, and
+# parsing it once is cheaper than building it call by call.
+
+def literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def value_text(value: str, dtype: T.DataType, depth: int = 0) -> str:
     """Text of a value inside a row: lists as `[a, b]`, records as `{k=v, k=v}`, null as `null`."""
     if isinstance(dtype, T.ArrayType):
-        items = F.transform(value, lambda v: value_text(v, dtype.elementType))
-        text = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+        item = f"v{depth}"
+        items = value_text(item, dtype.elementType, depth + 1)
+        text = f"concat('[', array_join(transform({value}, {item} -> {items}), ', '), ']')"
     elif isinstance(dtype, T.StructType):
-        parts = [F.concat(F.lit(f.name + "="), value_text(value[f.name], f.dataType))
+        parts = [f"{literal(f.name + '=')}, {value_text(f'{value}.`{f.name}`', f.dataType, depth)}"
                  for f in dtype.fields]
-        text = F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+        text = f"if({value} IS NULL, NULL, concat('{{', {(", ', ', ").join(parts)}, '}}'))"
     else:
-        text = value.cast("string")
-    return F.coalesce(text, F.lit("null"))
+        text = f"cast({value} AS string)"
+    return f"coalesce({text}, 'null')"
 
 
-def row_bytes(columns: Sequence[tuple[str, Column, T.DataType]]) -> Column:
+def row_bytes(columns: Sequence[tuple[str, str, T.DataType]]) -> str:
     """UTF-8 bytes of a row printed as `{k=v, k=v}`, plus one for the separator after it.
 
     Added up field by field, so the row text itself is never built; names, braces and separators
@@ -44,11 +52,10 @@ def row_bytes(columns: Sequence[tuple[str, Column, T.DataType]]) -> Column:
     """
     names = sum(len(name.encode()) + 1 for name, _, _ in columns)
     fixed = 2 + names + 2 * max(len(columns) - 1, 0) + 1
-    sizes = [F.octet_length(value_text(value, dtype)) for _, value, dtype in columns]
-    return reduce(lambda a, b: a + b, sizes, F.lit(fixed).cast("bigint"))
+    sizes = [f"octet_length({value_text(value, dtype)})" for _, value, dtype in columns]
+    return " + ".join([f"{fixed}L", *sizes])
 
 
-def text_length(value: Column, dtype: T.DataType) -> Column:
+def text_length(value: str, dtype: T.DataType) -> str:
     """Characters of a value's text, null counting as 0."""
-    return F.when(value.isNull(), F.lit(0)).otherwise(
-        F.length(value_text(value, dtype))).cast("bigint")
+    return f"cast(if({value} IS NULL, 0, length({value_text(value, dtype)})) AS bigint)"

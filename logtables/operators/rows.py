@@ -1,4 +1,8 @@
-"""Row assembly: extract every field of a set, format it by type, check the required ones."""
+"""Row assembly: extract every field of a set, format it by type, check the required ones.
+
+The field expressions are evaluated under positional names first; formatting, checks and sizes are
+SQL text over those names, which Spark folds into the same projection.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtables.functions import rows as row_text
-from logtables.functions import times
+from logtables.functions.rows import literal, row_bytes, text_length
 from logtables.spec import FieldSet, FieldSpec
 
 TIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -21,127 +24,127 @@ def with_shared(logs: DataFrame, field_set: FieldSet) -> DataFrame:
     return logs.withColumns(shared) if shared else logs
 
 
-def source_types(logs: DataFrame, specs: Sequence[FieldSpec]) -> list[T.DataType]:
-    """Types of the field expressions before formatting; analysis only, no job."""
-    probe = logs.select(*[s.column().alias(f"c{i}") for i, s in enumerate(specs)])
-    return [f.dataType for f in probe.schema.fields]
+def _evaluated(logs: DataFrame, field_set: FieldSet, keep: Sequence[Column | str]
+               ) -> tuple[DataFrame, list[str], list[tuple[FieldSpec, str, T.DataType]]]:
+    """The field expressions as `_field0`, `_field1`, …, with the kept columns ahead of them."""
+    specs = field_set.fields
+    names = [f"_field{i}" for i in range(len(specs))]
+    wide = with_shared(logs, field_set).select(
+        *keep, *[s.column().alias(n) for s, n in zip(specs, names)])
+    kept = [f"`{c}`" for c in wide.columns[:len(wide.columns) - len(names)]]
+    schema = wide.schema
+    return wide, kept, [(s, n, schema[n].dataType) for s, n in zip(specs, names)]
 
 
-def _time_as_millis(value: Column, spec: FieldSpec, dtype: T.DataType) -> Column:
+def _time_as_millis(value: str, spec: FieldSpec, dtype: T.DataType) -> str:
     """Dates in an integer field count as epoch milliseconds."""
     if spec.kind != "integer":
         return value
     if isinstance(dtype, TIME_TYPES):
-        return times.millis(value)
+        return f"unix_millis(cast({value} AS timestamp))"
     if spec.repeated and isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, TIME_TYPES):
-        return F.transform(value, times.millis)
+        return f"transform({value}, v -> unix_millis(cast(v AS timestamp)))"
     return value
 
 
-def format_value(value: Column, spec: FieldSpec, dtype: T.DataType, lenient: bool = False) -> Column:
+def format_value(value: str, spec: FieldSpec, dtype: T.DataType, lenient: bool = False) -> str:
     """Bring a value to its declared type. Lenient turns unparsable values into null."""
     value = _time_as_millis(value, spec, dtype)
     target = spec.data_type(null_items=True)
-    return value.try_cast(target) if lenient else value.cast(target)
+    if dtype == target:
+        return value
+    return f"{'try_cast' if lenient else 'cast'}({value} AS {target.simpleString()})"
 
 
-def required(value: Column, spec: FieldSpec) -> Column:
+def required(value: str, spec: FieldSpec) -> str:
     """Abort the job on a null in a required field.
 
     The check sits inside the column: as a column of its own, Catalyst would prune it.
     """
     if spec.nullable:
         return value
-    return F.coalesce(value, F.raise_error(F.lit(f"no value for required field {spec.name}")))
+    return f"coalesce({value}, raise_error({literal(f'no value for required field {spec.name}')}))"
 
 
 def export_rows(logs: DataFrame, field_set: FieldSet, keep: Sequence[Column | str] = (),
                 check_required: bool = True) -> DataFrame:
     """One projection with every field of the set, after the columns in `keep`."""
-    logs = with_shared(logs, field_set)
+    wide, kept, fields = _evaluated(logs, field_set, keep)
     columns = []
-    for spec, dtype in zip(field_set.fields, source_types(logs, field_set.fields)):
-        value = format_value(spec.column(), spec, dtype)
-        columns.append((required(value, spec) if check_required else value).alias(spec.name))
-    return logs.select(*keep, *columns)
+    for spec, name, dtype in fields:
+        value = format_value(name, spec, dtype)
+        columns.append(f"{required(value, spec) if check_required else value} AS `{spec.name}`")
+    return wide.selectExpr(*kept, *columns)
 
 
 def row_size(rows: DataFrame, field_set: FieldSet) -> Column:
     """Byte size of assembled rows."""
-    types = {f.name: f.dataType for f in rows.schema.fields}
-    return row_text.row_bytes([(n, F.col(n), types[n]) for n in field_set.names])
+    schema = rows.schema
+    return F.expr(row_bytes([(n, f"`{n}`", schema[n].dataType) for n in field_set.names]))
 
 
-ERROR = "struct<reason:string,message:string>"
 BAD_TYPE = "bad_type"
 OVERSIZE = "oversize"
 OVERSIZE_MESSAGE = "Maximum allowed row size exceeded"
 
 
+def _error(condition: str, reason: str, message: str) -> str:
+    return (f"if({condition}, array(named_struct('reason', {literal(reason)}, "
+            f"'message', {literal(message)})), array())")
+
+
+def _checked_fields(checked: DataFrame, field_set: FieldSet):
+    schema = checked.schema
+    return [(s, f"_field{i}", schema[f"_field{i}"].dataType)
+            for i, s in enumerate(field_set.fields)]
+
+
 def checked_rows(logs: DataFrame, field_set: FieldSet, max_row_bytes: int | None,
                  keep: Sequence[Column | str] = ()) -> DataFrame:
-    """Assemble rows without aborting on bad values.
+    """Field values before formatting, with `row_bytes` and one row per failed rule.
+
+    A good row appears once, its `reason` and `message` null; `valid_rows` and `reject_rows` take
+    the two kinds apart. A null in a required field still aborts: that is a contract of the
+    exporter, not a property of the row.
 
-    Adds `row_bytes`, `errors` (one entry per failed rule, empty for a good row) and
-    `field_lengths` (characters per field, only for rows over the size limit). A null in a
-    required field still aborts: that is a contract of the exporter, not a property of the row.
+    The errors are expanded before the split because a filter on the expanded columns stays above
+    the projection. A filter on the list would be pushed below it as a predicate over every field,
+    and Spark's constraint inference grows exponentially in the renamed columns of such a predicate.
     """
-    logs = with_shared(logs, field_set)
-    specs = field_set.fields
-    types = source_types(logs, specs)
-    raw = [f"_raw{i}" for i in range(len(specs))]
-    wide = logs.select(*keep, *[
-        required(_time_as_millis(s.column(), s, t), s).alias(r) for r, s, t in zip(raw, specs, types)])
-    raw_types = [wide.schema[r].dataType for r in raw]
-    kept = wide.columns[:len(wide.columns) - len(raw)]
-
-    typed = [F.col(r).try_cast(s.data_type(null_items=True)) for r, s in zip(raw, specs)]
+    wide, kept, fields = _evaluated(logs, field_set, keep)
+    wide = wide.selectExpr(*kept, *[
+        f"{required(_time_as_millis(n, s, t), s)} AS {n}" for s, n, t in fields])
+    fields = _checked_fields(wide, field_set)
+    sized = wide.selectExpr("*", row_bytes([(s.name, n, t) for s, n, t in fields]) + " AS row_bytes")
     errors = []
-    for r, s, value, dtype in zip(raw, specs, typed, raw_types):
-        if s.kind != "string" and dtype != s.data_type(null_items=True):
-            message = f"Value of {s.name} is not of type {s.kind}"
-            errors.append(F.when(F.col(r).isNotNull() & value.isNull(), _error(BAD_TYPE, message)))
-    size = row_text.row_bytes(
-        [(s.name, F.col(r), t) for r, s, t in zip(raw, specs, raw_types)])
-    lengths = F.lit(None)
+    for spec, name, dtype in fields:
+        value = format_value(name, spec, dtype, lenient=True)
+        if value != name and spec.kind != "string":
+            errors.append(_error(f"{name} IS NOT NULL AND {value} IS NULL", BAD_TYPE,
+                                 f"Value of {spec.name} is not of type {spec.kind}"))
     if max_row_bytes is not None:
-        errors.append(F.when(F.col("row_bytes") > max_row_bytes, _error(OVERSIZE, OVERSIZE_MESSAGE)))
-        pairs = [x for r, s, t in zip(raw, specs, raw_types)
-                 for x in (F.lit(s.name), row_text.text_length(F.col(r), t))]
-        if pairs:
-            lengths = F.when(F.col("row_bytes") > max_row_bytes, F.create_map(*pairs))
-    found = F.array_compact(F.array(*errors)) if errors else F.array()
-    return wide.withColumn("row_bytes", size).select(
-        *kept,
-        *[v.alias(s.name) for v, s in zip(typed, specs)],
-        "row_bytes",
-        found.cast(f"array<{ERROR}>").alias("errors"),
-        lengths.cast("map<string,bigint>").alias("field_lengths"))
-
-
-def _error(reason: str, message: str) -> Column:
-    return F.struct(F.lit(reason).alias("reason"), F.lit(message).alias("message"))
-
-
-def _with_error(checked: DataFrame) -> DataFrame:
-    """One row per error; a good row appears once, without one.
-
-    Filtering on the error's own columns keeps the filter above the projection. A filter on the
-    size of the list would be pushed below it as a predicate over every field, and Spark's
-    constraint inference grows exponentially in the renamed columns of such a predicate.
-    """
-    return checked.select("*", F.inline_outer("errors")).drop("errors")
+        errors.append(_error(f"row_bytes > {max_row_bytes}", OVERSIZE, OVERSIZE_MESSAGE))
+    # Joined lists stay in generated code; a higher-order filter over one list would not.
+    found = f"concat({', '.join(errors)})" if errors else "array()"
+    listed = sized.selectExpr(
+        "*", f"cast({found} AS array<struct<reason:string,message:string>>) AS _errors")
+    return listed.selectExpr("*", "inline_outer(_errors)").drop("_errors")
 
 
-def valid_rows(checked: DataFrame) -> DataFrame:
-    good = _with_error(checked).where(F.col("reason").isNull())
-    return good.drop("reason", "message", "field_lengths", "row_bytes")
+def valid_rows(checked: DataFrame, field_set: FieldSet, keep: Sequence[str] = ()) -> DataFrame:
+    """The rows without errors, every field in its declared type."""
+    return checked.where(F.col("reason").isNull()).selectExpr(*keep, *[
+        f"{format_value(n, s, t, lenient=True)} AS `{s.name}`"
+        for s, n, t in _checked_fields(checked, field_set)])
 
 
-def reject_rows(checked: DataFrame, request_id: str = "requestId",
+def reject_rows(checked: DataFrame, field_set: FieldSet, request_id: str = "requestId",
                 keep: Sequence[str] = ()) -> DataFrame:
-    """One row per error of a rejected row."""
-    bad = _with_error(checked).where(F.col("reason").isNotNull())
-    path = F.col("path") if "path" in checked.columns else F.lit(None).cast("string")
-    return bad.select(*keep, F.col(request_id).alias("request_id"), path.alias("path"), "row_bytes",
-                      "field_lengths", "reason", "message")
+    """One row per error. Rows over the size limit carry the character length of every field."""
+    fields = _checked_fields(checked, field_set)
+    columns = {s.name: n for s, n, _ in fields}
+    lengths = ", ".join(f"{literal(s.name)}, {text_length(n, t)}" for s, n, t in fields)
+    return checked.where(F.col("reason").isNotNull()).selectExpr(
+        *keep, f"{columns[request_id]} AS request_id",
+        f"{columns.get('path', 'cast(NULL AS string)')} AS path", "row_bytes", "reason", "message",
+        f"if(reason = {literal(OVERSIZE)}, map({lengths}), NULL) AS field_lengths")

@@ -285,23 +285,26 @@ def _checked(spark, sf):
 
 @query
 def valid_rows(spark, sf):
-    return rows.valid_rows(_checked(spark, sf))
+    return rows.valid_rows(_checked(spark, sf), CHECKED.field_set, keep=["window_start"])
+
+
+def _rejects(spark, sf):
+    return rows.reject_rows(_checked(spark, sf), CHECKED.field_set, keep=["window_start"])
 
 
 @query
 def reject_rows(spark, sf):
-    found = rows.reject_rows(_checked(spark, sf), keep=["window_start"])
-    return found.drop("field_lengths")
+    return _rejects(spark, sf).drop("field_lengths")
 
 
 @query
 def reject_reason_counts(spark, sf):
-    return reports.reject_reason_counts(rows.reject_rows(_checked(spark, sf)))
+    return reports.reject_reason_counts(_rejects(spark, sf))
 
 
 @query
 def oversize_field_lengths(spark, sf):
-    return reports.oversize_field_lengths(rows.reject_rows(_checked(spark, sf)))
+    return reports.oversize_field_lengths(_rejects(spark, sf))
 
 
 @query

@@ -21,34 +21,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _log_columns(events: DataFrame) -> DataFrame:
     """Columns of a request that come from its event alone. `event_time` stays the stored column."""
-    start = times.usec(F.col("ts"))
-    return events.select(
+    start = "unix_micros(cast(ts AS timestamp))"
+    return events.selectExpr(
         "event_id",
-        F.col("event_id").cast("string").alias("request_id"),
-        F.col("ts").alias("event_time"),
-        start.alias("start_time_usec"),
-        (start + (F.col("event_id") * 7) % 180 * 1_000_000).alias("arrival_usec"),
-        F.expr("CASE event_type WHEN 'error' THEN 500 WHEN 'signup' THEN 201 ELSE 200 END")
-        .alias("http_status"),
-        F.expr("CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END")
-        .alias("method"),
-        F.lit("HTTP/1.1").alias("http_version"),
-        F.expr("concat('i', user_id % 7)").alias("instance_key"),
-        F.col("value").alias("cost"),
-        F.expr("event_id % 1000").alias("mcycles"),
-        F.expr("event_id % 100 = 0").alias("loading_request"),
-        F.expr("event_id % 13 * 1000").alias("pending_time_usec"),
-        F.expr("cast(round(value * 1000) AS bigint)").alias("latency_usec"),
-        F.expr("CASE WHEN user_id % 5 = 0 THEN '' ELSE concat('user', user_id) END")
-        .alias("nickname"),
-        F.expr("concat('10.0.', user_id % 256, '.', event_id % 256)").alias("ip"),
-        F.expr("concat('ua', user_id % 11)").alias("user_agent"),
-        F.expr("concat('v', user_id % 3)").alias("version_id"),
-        F.expr("CASE WHEN event_id % 2 = 0 THEN 'default' ELSE 'worker' END").alias("module_id"),
-        F.expr("""slice(array(
+        "cast(event_id AS string) AS request_id",
+        "ts AS event_time",
+        f"{start} AS start_time_usec",
+        f"{start} + event_id * 7 % 180 * 1000000 AS arrival_usec",
+        "CASE event_type WHEN 'error' THEN 500 WHEN 'signup' THEN 201 ELSE 200 END AS http_status",
+        "CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS method",
+        "'HTTP/1.1' AS http_version",
+        "concat('i', user_id % 7) AS instance_key",
+        "value AS cost",
+        "event_id % 1000 AS mcycles",
+        "event_id % 100 = 0 AS loading_request",
+        "event_id % 13 * 1000 AS pending_time_usec",
+        "cast(round(value * 1000) AS bigint) AS latency_usec",
+        "CASE WHEN user_id % 5 = 0 THEN '' ELSE concat('user', user_id) END AS nickname",
+        "concat('10.0.', user_id % 256, '.', event_id % 256) AS ip",
+        "concat('ua', user_id % 11) AS user_agent",
+        "concat('v', user_id % 3) AS version_id",
+        "CASE WHEN event_id % 2 = 0 THEN 'default' ELSE 'worker' END AS module_id",
+        """slice(array(
             named_struct('level', cast(event_id % 5 AS int), 'message', event_type),
             named_struct('level', cast(event_id * 3 % 5 AS int), 'message', props)),
-            1, cast(event_id % 3 AS int))""").alias("app_logs"))
+            1, cast(event_id % 3 AS int)) AS app_logs""")
 
 
 def core_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,11 +60,11 @@ def request_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     pages = table(spark, sf_dir, "pages")
     page_count = pages.agg(F.count("*")).scalar()
-    page = pages.select(
+    page = pages.selectExpr(
         "page_id",
-        F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"),
-        F.regexp_extract("url", "^https?://[^/]+(.*)$", 1).alias("resource"),
-        F.length("html").cast("bigint").alias("response_size"))
+        "regexp_extract(url, '^https?://([^/]+)', 1) AS host",
+        "regexp_extract(url, '^https?://[^/]+(.*)$', 1) AS resource",
+        "cast(length(html) AS bigint) AS response_size")
     logs = core_logs(spark, sf_dir).withColumn("page_id", F.col("event_id") % page_count)
     return logs.join(page, "page_id").drop("page_id")
 

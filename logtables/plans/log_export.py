@@ -57,8 +57,8 @@ def export_windows(logs: DataFrame, config: LogExportConfig, wanted: DataFrame,
         good = window_rows(scanned, config)
     else:
         checked = checked_window_rows(scanned, config)
-        good = rows.valid_rows(checked)
-        bad = rows.reject_rows(checked, keep=["window_start"])
+        good = rows.valid_rows(checked, config.field_set, keep=["window_start"])
+        bad = rows.reject_rows(checked, config.field_set, keep=["window_start"])
         if insert_id:
             bad = dedup.dedup(bad, ["request_id", "message"])
         tables.write_partitions(bad, f"{target}/rejects", ["window_start"])

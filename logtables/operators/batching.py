@@ -59,10 +59,11 @@ def byte_batches(rows: DataFrame, group: Sequence[str], order: Sequence[str], si
         .select("*", F.to_json(F.struct(*group)).alias("_group"),
                 F.col(size).cast("bigint").alias("_size"),
                 F.spark_partition_id().alias("_slice")))
-    # At most one summary row per slice, whatever the number of rows or groups.
+    # One summary row per slice, whatever the number of rows or groups. They are shuffled, not
+    # coalesced, to the walk: a coalesce would pull the summaries' own work into its single task.
     entries = (placed.select("_group", "_size", "_slice")
                .mapInArrow(greedy.summarize_slice(limit), SUMMARY)
-               .coalesce(1).sortWithinPartitions("slice")
+               .repartition(1).sortWithinPartitions("slice")
                .mapInPandas(greedy.walk_slices(limit), ENTRY))
     out = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
     return (placed.join(F.broadcast(entries.withColumnRenamed("slice", "_slice")), "_slice", "left")

@@ -202,8 +202,7 @@ def min_level(spark, sf):
 
 @query
 def version_filter(spark, sf):
-    wanted = spark.createDataFrame([("v0", "default"), ("v2", "worker")],
-                                   "version_id string, module_id string")
+    wanted = spark.sql("VALUES ('v0', 'default'), ('v2', 'worker') AS v(version_id, module_id)")
     kept = filters.versions(inputs.core_logs(spark, sf), wanted)
     return kept.select("request_id", "version_id", "module_id")
 

@@ -9,6 +9,7 @@ from datetime import UTC, datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logtables.functions import keys
 from logtables.sinks.tables import _same_columns
@@ -47,8 +48,9 @@ def back_up(spark: SparkSession, entities: Mapping[str, DataFrame], config: Snap
         entities[kind].write.mode("overwrite").parquet(keys.kind_uri_text(handle, kind))
 
     _each_kind(spark, write, config.kinds)
-    row = [(name, int(datetime.now(UTC).timestamp() * 1000), handle)]
-    (spark.createDataFrame(row, BACKUP_INFO_SCHEMA).coalesce(1)
+    (spark.range(0, 1, 1, 1).select(
+        F.lit(name).alias("name"), F.unix_millis(F.current_timestamp()).alias("complete_time"),
+        F.lit(handle).alias("gs_handle"))
      .write.mode("append").parquet(catalogue_path(config)))
     return handle
 

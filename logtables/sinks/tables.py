@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtables.sources.runs import RUNS_SCHEMA
+from logtables.sources.runs import RUNS_COLUMNS
 from logtables.spec import LogExportConfig
 
+# Writers of one partition where adaptive execution cannot choose their number.
+TASKS_PER_PARTITION = 8
+
 LAYOUT = T.StructType([T.StructField("table_id", T.StringType()),
                        T.StructField("window_start", T.LongType())])
 
@@ -20,13 +23,22 @@ def route(rows: DataFrame, config: LogExportConfig) -> DataFrame:
     return rows.withColumn("table_id", config.table_id(F.col("window_start")))
 
 
-def write_partitions(rows: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Replace exactly the partitions present in `rows`, so a re-run leaves one copy.
+def _spread(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition together without sending a large one to a single task.
 
-    Rebalancing on the partition columns lets adaptive execution split a large window over several
-    tasks and join small ones, which keeps files few and of even size.
+    Adaptive execution splits large and joins small partitions by their measured size. Where it is
+    off, as in stateful streams, every partition is dealt over a fixed number of tasks.
     """
-    (rows.hint("rebalance", *by).write.mode("overwrite")
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return rows.hint("rebalance", *by)
+    # Dealt by content, so a task that runs again sends every row to the same place.
+    content = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return rows.repartition(*by, F.pmod(F.xxhash64(*content), F.lit(TASKS_PER_PARTITION)))
+
+
+def write_partitions(rows: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Replace exactly the partitions present in `rows`, so a re-run leaves one copy."""
+    (_spread(rows, by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
 
 
@@ -87,6 +99,4 @@ def run_rows(counts: DataFrame, config: str, window_ms: int, status: str = "done
 
 def append_runs(runs: DataFrame, path: str) -> None:
     """Add to the ledger, after the data it speaks of is written."""
-    spark = runs.sparkSession
-    columns = spark.createDataFrame([], RUNS_SCHEMA).columns
-    runs.select(*columns).coalesce(1).write.mode("append").parquet(path)
+    runs.select(*RUNS_COLUMNS).repartition(1).write.mode("append").parquet(path)

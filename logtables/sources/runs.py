@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+RUNS_COLUMNS = ["run_id", "config", "window_start", "window_end", "row_count", "status"]
 RUNS_SCHEMA = ("run_id string, config string, window_start bigint, window_end bigint, "
                "row_count bigint, status string")
 
@@ -17,7 +18,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], RUNS_SCHEMA)
+        return spark.range(0).select(F.from_json(F.lit("{}"), RUNS_SCHEMA).alias("run")).select("run.*")
 
 
 def list_runs(runs: DataFrame) -> DataFrame:

@@ -1,0 +1,25 @@
+"""What runs inside the tasks of `export.drop_replays`."""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
+
+# Ship this module with its functions, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def first_copies(key: str, time: str):
+    """Keep the first of the rows of an Arrow batch that agree in key and time."""
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for data in batches:
+            pairs = pd.DataFrame({
+                "key": data.column(key).to_pandas(),
+                "time": data.column(time).cast(pa.int64()).to_pandas()})
+            copies = pairs.duplicated().to_numpy()
+            yield data.filter(pa.array(~copies)) if copies.any() else data
+    return combine

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logtables.plans.log_export import window_rows
 from logtables.sinks.tables import write_partitions
 from logtables.spec import LogExportConfig
+from logtables.streaming import combine
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 
@@ -31,8 +32,14 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
 
 def drop_replays(logs: DataFrame, key: str = "request_id", time: str = "event_time",
                  delay: str = "60 seconds") -> DataFrame:
-    """One row per key within the watermark. State holds the ids of that span only."""
-    return logs.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    """One row per key within the watermark. State holds the ids of that span only.
+
+    Copies of one request agree in time as well, so those that meet in a task are merged there. A
+    key sent over and over then reaches the stateful task a few times per input task, not once per
+    copy; a stateful operator does not do this by itself.
+    """
+    merged = logs.mapInArrow(combine.first_copies(key, time), logs.schema)
+    return merged.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
 def write_batch(config: LogExportConfig, path: str):

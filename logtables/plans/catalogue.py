@@ -421,18 +421,17 @@ def _database(spark, label: str) -> tuple[str, str]:
 
 @query
 def create_tables(spark, sf):
-    """Create this month's and the next month's table, fill them, and show every row."""
+    """Create this month's and the next month's table and fill them, twice; every row is there once."""
     database, root = _database(spark, "create_tables")
     monthly = LogExportConfig("monthly", NO_PAGE, window_ms=DAY)
-    names = tables.create_window_tables(spark, monthly, database, root, JAN_1 + 2 * DAY)
-    tables.create_window_tables(spark, monthly, database, root, JAN_1 + 2 * DAY)
-    found = tables.route(log_export.window_rows(inputs.core_logs(spark, sf), monthly), monthly)
-    filled = []
-    for name in names:
-        mine = found.where(F.col("table_id") == name[-6:])
-        mine.select(*NO_PAGE.names).write.insertInto(name, overwrite=True)
-        filled.append(spark.table(name).select(F.lit(name[-6:]).alias("table_id"), "*"))
-    return filled[0].unionByName(filled[1])
+    for _ in range(2):
+        ids = tables.create_window_tables(spark, monthly, database, root, JAN_1 + 2 * DAY)
+        tables.insert_windows(log_export.window_rows(inputs.core_logs(spark, sf), monthly),
+                              monthly, database, ids)
+    current, following = (
+        spark.table(tables.table_name(monthly, database, i)).select(F.lit(i).alias("table_id"), "*")
+        for i in ids)
+    return current.unionByName(following)
 
 
 def _snapshot_config(spark, label: str, append_timestamp: bool) -> SnapshotConfig:

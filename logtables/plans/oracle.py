@@ -347,7 +347,8 @@ GROUP BY w""")
 ORACLE["route_tables"] = core(f"""
 SELECT strftime(make_timestamp(start_time_usec), '%Y%m%d') AS table_id,
        {window(DAY)} AS window_start, request_id AS "requestId" FROM core""")
-ORACLE["create_tables"] = core(f"SELECT {MONTH} AS table_id, {NO_PAGE} FROM core")
+ORACLE["create_tables"] = core(
+    f"SELECT {MONTH} AS table_id, {NO_PAGE}, {window(DAY)} AS window_start FROM core")
 
 ORACLE["snapshot_backup"] = """
 SELECT 'customer' AS kind, count(*) AS row_count FROM customer

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logtables.session import conf
 from logtables.sources.runs import RUNS_COLUMNS
 from logtables.spec import LogExportConfig
 
@@ -68,24 +69,43 @@ def _same_columns(a: T.StructType, b: T.StructType) -> bool:
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str) -> None:
-    """Create a Parquet table unless it exists; an existing one must have the same columns."""
+    """Create a Parquet table of windows unless it exists; an existing one must have the same
+    columns."""
+    schema = T.StructType([*schema.fields, LAYOUT["window_start"]])
     if spark.catalog.tableExists(name):
         if not _same_columns(spark.table(name).schema, schema):
             raise ValueError(f"table {name} exists with other columns")
         return
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+              f"PARTITIONED BY (window_start) LOCATION '{path}'")
+
+
+def table_name(config: LogExportConfig, database: str, table_id: str) -> str:
+    return f"{database}.{config.name}_{table_id}"
 
 
 def create_window_tables(spark: SparkSession, config: LogExportConfig, database: str, root: str,
-                         now_ms: int) -> list[str]:
-    """Create the table of the last complete window and the one after it."""
+                         now_ms: int) -> tuple[str, str]:
+    """Create the table of the last complete window and the one after it; returns their ids."""
     start = now_ms // config.window_ms * config.window_ms - config.window_ms
-    names = []
-    for table_id in table_ids(spark, config, start):
-        names.append(f"{database}.{config.name}_{table_id}")
-        create_table(spark, names[-1], config.field_set.schema(), f"{root}/{config.name}_{table_id}")
-    return names
+    ids = table_ids(spark, config, start)
+    for table_id in ids:
+        create_table(spark, table_name(config, database, table_id), config.field_set.schema(),
+                     f"{root}/{config.name}_{table_id}")
+    return ids
+
+
+def insert_windows(rows: DataFrame, config: LogExportConfig, database: str,
+                   ids: Sequence[str]) -> None:
+    """Put rows into the catalog tables of their windows, replacing exactly those windows."""
+    spark = rows.sparkSession
+    routed = route(rows, config)
+    with conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        for table_id in ids:
+            mine = routed.where(F.col("table_id") == table_id)
+            (_spread(mine.select(*config.field_set.names, "window_start"), ["window_start"])
+             .write.insertInto(table_name(config, database, table_id), overwrite=True))
 
 
 def run_rows(counts: DataFrame, config: str, window_ms: int, status: str = "done") -> DataFrame:

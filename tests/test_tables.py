@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from logtables.operators import fields, windows
 from logtables.plans import inputs, log_export, snapshot_export
 from logtables.sinks import snapshots, tables
+from logtables.sources.backups import read_kind
 from logtables.sources.runs import read_runs, run_by_id
 from logtables.spec import Exporter, FieldSet, FieldSpec, LogExportConfig, SnapshotConfig
 
@@ -87,7 +88,15 @@ def test_created_tables_keep_their_columns(spark, tmp_path):
     tables.create_table(spark, name, SET.schema(), str(tmp_path / "t"))
     with pytest.raises(ValueError, match="other columns"):
         tables.create_table(spark, name, fields.BASIC.schema(), str(tmp_path / "t"))
-    assert spark.table(name).columns == SET.names
+    assert spark.table(name).columns == [*SET.names, "window_start"]
+
+
+def test_csv_snapshots_may_hold_newlines(spark, tmp_path):
+    folder = tmp_path / "K.backup_info"
+    folder.mkdir()
+    (folder / "a.csv").write_text('id,text\n1,"two\nlines"\n2,one\n')
+    found = read_kind(spark, f"{tmp_path}/backup_info", "K", "csv", header="true", multiLine="true")
+    assert [tuple(r) for r in found.collect()] == [("1", "two\nlines"), ("2", "one")]
 
 
 def test_table_ids(spark):

@@ -361,15 +361,12 @@ def schema_hash(spark, sf):
 
 @query
 def duplicate_fields(spark, sf):
-    return (inputs.field_table(spark, sf).groupBy("set_name", "name")
-            .agg(F.count("*").alias("uses")).where(F.col("uses") > 1))
+    return schemas.duplicate_fields(inputs.field_sets(spark, sf))
 
 
 @query
 def schema_fields(spark, sf):
-    return inputs.field_table(spark, sf).select(
-        "set_name", "ord", "name", F.lower("type").alias("type"),
-        schemas.mode(F.col("repeated")).alias("mode"))
+    return schemas.table_fields(inputs.field_sets(spark, sf))
 
 
 # Tables. Each call writes below a folder of its own and returns what it reads back.

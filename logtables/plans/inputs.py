@@ -56,7 +56,9 @@ def core_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def request_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request logs with URL and response size from the page of each request.
 
-    Pages shrink to three short columns before the join, so their HTML is never shuffled.
+    Pages shrink to three short columns before the join, so their HTML is never shuffled. The
+    outer join keeps every request and leaves only the pages as a side Spark may broadcast, if they
+    are small.
     """
     pages = table(spark, sf_dir, "pages")
     page_count = pages.agg(F.count("*")).scalar()
@@ -66,7 +68,7 @@ def request_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "regexp_extract(url, '^https?://[^/]+(.*)$', 1) AS resource",
         "cast(length(html) AS bigint) AS response_size")
     logs = core_logs(spark, sf_dir).withColumn("page_id", F.col("event_id") % page_count)
-    return logs.join(page, "page_id").drop("page_id")
+    return logs.join(page, "page_id", "left").drop("page_id")
 
 
 def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,18 +143,12 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def field_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A field set per customer: the default fields, some in upper-case types, and one of its own
     that clashes with `path` in one market segment."""
-    spec = [F.struct(F.lit(i).cast("bigint").alias("ord"), F.lit(f.name).alias("name"),
-                     F.when(F.col("c_nationkey") % 3 == 0, f.type.upper()).otherwise(f.type)
-                     .alias("type"),
-                     F.lit(False).alias("repeated")) for i, f in enumerate(BASIC.fields)]
-    own = F.struct(F.lit(len(spec)).cast("bigint").alias("ord"),
-                   F.when(F.col("c_mktsegment") == "HOUSEHOLD", "path")
-                   .otherwise(F.lower("c_mktsegment")).alias("name"),
-                   F.lit("string").alias("type"),
-                   (F.col("c_nationkey") % 2 == 0).alias("repeated"))
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_name").alias("set_name"), F.array(*spec, own).alias("fields"))
-
-
-def field_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return field_sets(spark, sf_dir).select("set_name", F.inline("fields"))
+    own_name = "CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'path' ELSE lower(c_mktsegment) END"
+    fields = [(f"'{f.name}'", f"if(c_nationkey % 3 = 0, '{f.type.upper()}', '{f.type}')", "false")
+              for f in BASIC.fields] + [(own_name, "'string'", "c_nationkey % 2 = 0")]
+    listed = ", ".join(
+        f"named_struct('ord', {i}L, 'name', {name}, 'type', {type_}, 'repeated', {repeated})"
+        for i, (name, type_, repeated) in enumerate(fields))
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_name AS set_name", f"array({listed}) AS fields")
+

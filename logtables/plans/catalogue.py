@@ -475,7 +475,8 @@ def snapshot_replace(spark, sf):
     """Two snapshots into the same tables; the second one stays."""
     config = _snapshot_config(spark, "snapshot_replace", append_timestamp=False)
     found = inputs.entities(spark, sf)
-    snapshot_export.start(spark, {**found, "part": found["part"].limit(0)}, config, JAN_1)
+    renamed = found["part"].withColumn("p_name", F.upper("p_name"))
+    snapshot_export.start(spark, {**found, "part": renamed}, config, JAN_1)
     snapshot_export.start(spark, found, config, JAN_5)
     return _entity_rows(spark, {k: f"{config.database}.{k}" for k in config.kinds})
 

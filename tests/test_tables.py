@@ -73,6 +73,21 @@ def test_rejects_are_set_aside(spark, tmp_path):
     assert bad.count() == inputs.core_logs(spark, SF).where("nickname = ''").count()
 
 
+def test_versions_default_to_the_running_one(spark):
+    logs = inputs.core_logs(spark, SF)
+    running = LogExportConfig("web", SET, running_version=("v1", "worker"))
+    listed = LogExportConfig("web", FieldSet(SET.exporters, versions=(("v0", "default"),)),
+                             running_version=("v1", "worker"))
+
+    def pairs(config):
+        found = log_export.select_logs(logs, config).select("version_id", "module_id").distinct()
+        return sorted(tuple(r) for r in found.collect())
+
+    assert pairs(running) == [("v1", "worker")]
+    assert pairs(listed) == [("v0", "default")]
+    assert len(pairs(LogExportConfig("web", SET))) == 6
+
+
 def test_rewriting_a_window_replaces_only_it(spark, tmp_path):
     config = LogExportConfig("web", SET, window_ms=DAY)
     path = str(tmp_path / "rows")

@@ -424,7 +424,7 @@ def create_tables(spark, sf):
     for _ in range(2):
         ids = tables.create_window_tables(spark, monthly, database, root, JAN_1 + 2 * DAY)
         tables.insert_windows(log_export.window_rows(inputs.core_logs(spark, sf), monthly),
-                              monthly, database, ids)
+                              monthly, database, root, ids)
     current, following = (
         spark.table(tables.table_name(monthly, database, i)).select(F.lit(i).alias("table_id"), "*")
         for i in ids)

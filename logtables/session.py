@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -31,18 +31,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextmanager
-def conf(spark: SparkSession, key: str, value: str):
-    """Set one SQL option for the length of a block."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def path_exists(spark: SparkSession, path: str) -> bool:
     try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        spark.read.schema("value string").text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def shared_root(spark: SparkSession) -> str:

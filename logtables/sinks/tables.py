@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtables.session import conf
+from logtables.session import path_exists
 from logtables.sources.runs import RUNS_COLUMNS
 from logtables.spec import LogExportConfig
 
@@ -87,25 +87,27 @@ def table_name(config: LogExportConfig, database: str, table_id: str) -> str:
 
 def create_window_tables(spark: SparkSession, config: LogExportConfig, database: str, root: str,
                          now_ms: int) -> tuple[str, str]:
-    """Create the table of the last complete window and the one after it; returns their ids."""
+    """Create the table of the last complete window and the one after it; returns their ids.
+
+    Each lies where `write_windows` puts its rows, so one write feeds all tables.
+    """
     start = now_ms // config.window_ms * config.window_ms - config.window_ms
     ids = table_ids(spark, config, start)
     for table_id in ids:
         create_table(spark, table_name(config, database, table_id), config.field_set.schema(),
-                     f"{root}/{config.name}_{table_id}")
+                     f"{root}/table_id={table_id}")
     return ids
 
 
-def insert_windows(rows: DataFrame, config: LogExportConfig, database: str,
+def insert_windows(rows: DataFrame, config: LogExportConfig, database: str, root: str,
                    ids: Sequence[str]) -> None:
-    """Put rows into the catalog tables of their windows, replacing exactly those windows."""
+    """Write rows below the tables' folders in one pass, then register the new windows."""
     spark = rows.sparkSession
-    routed = route(rows, config)
-    with conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        for table_id in ids:
-            mine = routed.where(F.col("table_id") == table_id)
-            (_spread(mine.select(*config.field_set.names, "window_start"), ["window_start"])
-             .write.insertInto(table_name(config, database, table_id), overwrite=True))
+    write_windows(rows, config, root)
+    for table_id in ids:
+        if path_exists(spark, f"{root}/table_id={table_id}"):
+            spark.catalog.recoverPartitions(table_name(config, database, table_id))
+            spark.catalog.refreshTable(table_name(config, database, table_id))
 
 
 def run_rows(counts: DataFrame, config: str, window_ms: int, status: str = "done") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logtables.session import path_exists
+
 RUNS_COLUMNS = ["run_id", "config", "window_start", "window_end", "row_count", "status"]
 RUNS_SCHEMA = ("run_id string, config string, window_start bigint, window_end bigint, "
                "row_count bigint, status string")
@@ -13,12 +14,9 @@ RUNS_SCHEMA = ("run_id string, config string, window_start bigint, window_end bi
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """The ledger; a ledger not written yet is empty."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(RUNS_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.range(0).select(F.from_json(F.lit("{}"), RUNS_SCHEMA).alias("run")).select("run.*")
+    return spark.range(0).select(F.from_json(F.lit("{}"), RUNS_SCHEMA).alias("run")).select("run.*")
 
 
 def list_runs(runs: DataFrame) -> DataFrame:

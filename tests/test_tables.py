@@ -114,6 +114,23 @@ def test_csv_snapshots_may_hold_newlines(spark, tmp_path):
     assert [tuple(r) for r in found.collect()] == [("1", "two\nlines"), ("2", "one")]
 
 
+def test_windows_reach_their_catalog_tables_once(spark, tmp_path):
+    database = f"w_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    root = str(tmp_path / "tables")
+    config = LogExportConfig("web", SET, window_ms=DAY)
+    ids = tables.create_window_tables(spark, config, database, root, T0 + 2 * DAY)
+    assert ids == ("202401", "202402")
+    rows = log_export.window_rows(inputs.core_logs(spark, SF), config)
+    early = rows.where(F.col("window_start") < T0 + 3 * DAY)
+    for part in (early, rows, early):
+        tables.insert_windows(part, config, database, root, ids)
+    assert spark.table(f"{database}.web_202401").count() == rows.count()
+    assert spark.table(f"{database}.web_202402").count() == 0
+    plan = spark.table(f"{database}.web_202401").where(F.col("window_start") == T0)
+    assert "PartitionFilters: [isnotnull(window_start" in plan._jdf.queryExecution().toString()
+
+
 def test_table_ids(spark):
     config = LogExportConfig("web", SET)
     assert tables.table_ids(spark, config, T0 + 30 * DAY) == ("202401", "202402")

@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 from logtables.llm.shared import folder, kept
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State is kept by RocksDB and its local copy is dropped at each commit: an open store reserves
+#: megabytes of disk for every partition, however little it holds.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 #: The id that stands for a null one.
 LEAST = -(1 << 63)
 
@@ -41,14 +46,16 @@ def consume(arrivals: DataFrame, state: str, checkpoint: str) -> None:
          .parquet(f"{state}/batch={number}"))
 
     conf = arrivals.sparkSession.conf
-    before = conf.get(PROVIDER, None)
-    conf.set(PROVIDER, ROCKSDB)
+    before = {key: conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        conf.set(key, value)
     try:
         query = (groups.writeStream.outputMode("update").foreachBatch(write)
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
-        conf.unset(PROVIDER) if before is None else conf.set(PROVIDER, before)
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtables.llm import bpe, langid, packing, sharding, streamdedup, topk, urlrules
+from logtables.llm import (bpe, langid, orderhash, packing, sharding, streamdedup, topk, toxicity,
+                           urlrules)
 
 #: The rules that `op9_url_filters` judges by: action, host, path. Fixed values.
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
@@ -25,6 +26,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score_toxicity(documents(spark, sf_dir), labels)
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20, scale=64.0)
@@ -47,9 +53,13 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(pages, urlrules.rule_table(spark, URL_RULES))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderhash.near_copies(documents(spark, sf_dir))
+
+
 QUERIES = {q.__name__: q for q in (
-    op1_best_fit_packing, op2_language_id, op4_exact_top_k, op6_bpe_round_trip, op7_exact_dedup,
-    op8_sharding, op9_url_filters)}
+    op1_best_fit_packing, op2_language_id, op3_toxicity, op4_exact_top_k, op6_bpe_round_trip,
+    op7_exact_dedup, op8_sharding, op9_url_filters, op10_minhash_near_dedup)}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtables.llm.components import connected
@@ -27,7 +27,7 @@ HUB_ROUNDS = 3
 #: The id that stands for a null one.
 LEAST = -(1 << 63)
 BASE = np.uint64(0x9E3779B97F4A7C15)
-SKETCHES = "id bigint, same binary, size int, sketches array<bigint>"
+SKETCHES = "id bigint, tag bigint, same binary, size int, sketches array<bigint>"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -160,18 +160,19 @@ def portions(texts: list[str], size: int = 6 * STRETCH) -> Iterator[tuple[int, l
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(id, same, size, sketches) of (id, text); `same` is a digest of the words, `size` the number
-    of shingles."""
+    """(id, tag, same, size, sketches) of (id, tag, text); `same` is a digest of the words, `size`
+    the number of shingles."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, ids = batch["text"].tolist(), batch["id"].to_numpy()
+            texts, own = batch["text"].tolist(), batch[["id", "tag"]]
             for begin, part in portions(texts):
                 words, places = word_hashes(part)
                 found, at = shingles(words, places)
                 out = order_sketches(with_occurrence(found, at), at).view(np.int64)
                 yield pd.DataFrame({
-                    "id": ids[begin:begin + len(part)],
+                    "id": own["id"].to_numpy()[begin:begin + len(part)],
+                    "tag": own["tag"].to_numpy()[begin:begin + len(part)],
                     "same": [hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest()
                              for a, b in zip(places[:-1], places[1:], strict=True)],
                     "size": np.diff(at).astype(np.int32), "sketches": list(out)})
@@ -312,52 +313,52 @@ def links(members: DataFrame, tokens: DataFrame, similarity: float = SIMILARITY,
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 similarity: float = SIMILARITY) -> DataFrame:
-    """The class of near copies of each document: (key, class_id, kept).
+    """The class of near copies of each document: (key, class_id, kept, text_hash).
 
     Classes are the components of documents whose five-word shingles align to `similarity` or more;
-    `class_id` is the smallest key in the class, whose row is kept. Null text is empty; texts
-    without words are one class, and a text of under five words is near only to texts of the same
-    words. A null key counts as the smallest. One row per row: repeated rows share a class, and all
-    rows with the class's key are kept. An empty table gives no rows. Other columns are not read.
+    `class_id` is the smallest key in the class, and the document that has it is kept, of several
+    texts with it the one with the smallest `text_hash` (xxhash64 of the text). Null text is empty;
+    texts without words are one class, and a text of under five words is near only to texts of the
+    same words. A null key counts as the smallest. One row per row: repeated rows have equal
+    results. An empty table gives no rows. Other columns are not read.
     """
+    text = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(LEAST)).alias("id"),
-                       F.coalesce(F.col(text), F.lit("")).alias("text"))
+                       F.xxhash64(text).alias("tag"), text.alias("text"))
     found = kept(sketched(rows))
     # One document stands for all with the same words.
-    texts = found.groupBy("same").agg(F.min("id").alias("id"), F.max("size").alias("size"),
-                                      F.first("sketches").alias("sketches"))
-    stand_ins = kept(texts)
-    # Two texts of one key could otherwise not be told apart: such a text is known by its digest.
+    stand_ins = kept(found.groupBy("same").agg(
+        F.min(F.struct("id", "tag")).alias("first"), F.max("size").alias("size"),
+        F.first("sketches").alias("sketches")))
+    named = stand_ins.select("same", "first", F.xxhash64("same").alias("id"))
     members = kept(candidates(stand_ins.where("size > 0").select(
         F.xxhash64("same").alias("id"), "size", "sketches")))
-    ids = members.select("id").distinct()
-    named = stand_ins.select("same", F.col("id").alias("key"), F.xxhash64("same").alias("id"))
-    chosen = named.join(ids, "id")
-    tokens = kept(_tokens(rows.join(chosen.select(F.col("key").alias("id"), F.col("id").alias(
-        "text_id"), "same"), "id")))
+    chosen = named.join(members.select("id").distinct(), "id").select(
+        F.col("id").alias("text_id"), F.col("first.id").alias("id"), F.col("first.tag").alias("tag"))
+    tokens = kept(_tokens(rows.join(chosen, ["id", "tag"])))
     labels = links(members, tokens, similarity)
-    classes = named.join(labels, "id", "left").withColumn(
-        "label", F.coalesce("label", "id"))
-    least = classes.groupBy("label").agg(F.min("key").alias("class_id"))
-    by_text = classes.join(least, "label").select("same", "class_id")
-    real = [F.when(F.col(c) != LEAST, F.col(c)) for c in ("id", "class_id")]
-    return found.select("id", "same").join(by_text, "same").select(
-        real[0].alias(key), real[1].alias("class_id"),
-        (F.col("id") == F.col("class_id")).alias("kept"))
+    classes = named.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    least = classes.groupBy("label").agg(F.min("first").alias("class"))
+    by_text = classes.join(least, "label").select("same", "class")
+    return found.select("id", "tag", "same").join(by_text, "same").select(
+        F.when(F.col("id") != LEAST, F.col("id")).alias(key),
+        F.when(F.col("class.id") != LEAST, F.col("class.id")).alias("class_id"),
+        ((F.col("id") == F.col("class.id")) & (F.col("tag") == F.col("class.tag"))).alias("kept"),
+        F.col("tag").alias("text_hash"))
 
 
 def _tokens(rows: DataFrame) -> DataFrame:
-    """(id, words): the word hashes of the texts whose digest is the one asked for."""
+    """(id, words): the word hashes of the texts, by the id of the text."""
 
     def tokenize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            ids = batch["text_id"].to_numpy()
             for begin, part in portions(batch["text"].tolist()):
                 words, places = word_hashes(part)
-                own = batch.iloc[begin:begin + len(part)]
-                found = [words[a:b].tobytes() for a, b in zip(places[:-1], places[1:], strict=True)]
-                good = [hashlib.blake2b(w, digest_size=16).digest() == bytes(s)
-                        for w, s in zip(found, own["same"], strict=True)]
-                yield pd.DataFrame({"id": own["text_id"], "words": found})[good]
+                yield pd.DataFrame({
+                    "id": ids[begin:begin + len(part)],
+                    "words": [words[a:b].tobytes()
+                              for a, b in zip(places[:-1], places[1:], strict=True)]})
 
-    return rows.select("text_id", "same", "text").mapInPandas(
+    return rows.select("text_id", "text").mapInPandas(
         tokenize, "id bigint, words binary").dropDuplicates(["id"])

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtables.llm import (bpe, langid, orderhash, packing, sharding, streamdedup, topk, toxicity,
-                           urlrules)
+from logtables.llm import (bpe, langid, orderhash, packing, sharding, streamdedup, suffixes, topk,
+                           toxicity, urlrules)
 
 #: The rules that `op9_url_filters` judges by: action, host, path. Fixed values.
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
@@ -36,6 +36,10 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
@@ -58,8 +62,9 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_best_fit_packing, op2_language_id, op3_toxicity, op4_exact_top_k, op6_bpe_round_trip,
-    op7_exact_dedup, op8_sharding, op9_url_filters, op10_minhash_near_dedup)}
+    op1_best_fit_packing, op2_language_id, op3_toxicity, op4_exact_top_k,
+    op5_suffix_array_dedup, op6_bpe_round_trip, op7_exact_dedup, op8_sharding,
+    op9_url_filters, op10_minhash_near_dedup)}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

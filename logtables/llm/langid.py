@@ -195,8 +195,10 @@ class Model:
 
 #: Letters from which on a text's cross-entropy is held against the full limit.
 FULL = 200
-#: The limit of rejection, in times of what labelled texts outside the counts reach.
-SLACK = 1.5
+#: The limit of rejection above the mean cross-entropy: in times of what labelled texts outside the
+#: counts reach, and at least this share of the way to characters drawn at random. Texts that mix
+#: languages or carry codes and numbers stay below it.
+SLACK, WAY = 1.5, 0.75
 
 
 def fit(counts: pd.DataFrame) -> Model:
@@ -276,11 +278,12 @@ def calibrate(model: Model, texts: list[str], langs: list[str]) -> Model:
 
     model.temperature = min([1.0, 1.5, 2, 3, 5, 8, 12, 20, 40], key=loss)
     entropy = bits[np.arange(len(true)), true] / size
+    random = np.log2(len(model.keys[0]) + 1)
     for i in range(shape):
         if (mine := entropy[true == i]).size:
             model.mean[i] = np.average(mine, weights=size[true == i])
             far = (mine - model.mean[i]) * np.minimum(1, np.sqrt(letter[true == i] / FULL))
-            model.limit[i] = SLACK * max(far.max(), 0.25)
+            model.limit[i] = max(SLACK * far.max(), WAY * (random - model.mean[i]))
     return model
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def align(value: Column, multiple: int) -> Column:
@@ -20,6 +21,13 @@ def usec(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def any_usec(rows: DataFrame, name: str) -> Column:
+    """Epoch microseconds of a column that holds them or a timestamp."""
+    kind = rows.schema[name].dataType
+    return usec(F.col(name)) if isinstance(kind, T.TimestampType | T.TimestampNTZType) else F.col(
+        name)
+
+
 def millis(ts: Column) -> Column:
     return F.unix_millis(ts.cast("timestamp"))
 

@@ -8,8 +8,10 @@ sequential. It is cut up here without changing the result:
    size asks for; every slice is a contiguous run in order.
 2. Each slice that lies wholly inside one group is reduced to a *transfer*: a small table that maps
    the bytes already in the open batch on entry to (batches closed, bytes in the open batch on
-   exit). Only the rows within one limit of the slice's start can be the first cut, which bounds it.
-3. One pass over these summaries, a row per slice, gives every slice its state on entry.
+   exit). Only the rows within one limit of the slice's start can be the first cut, which bounds it;
+   rows are taken in batch by batch, the transfers of the batches composed.
+3. The slices of a group form a chain. Chains are walked in parallel, each in the order of its
+   slices, a few summaries in memory at a time; that gives every slice its state on entry.
 4. Every slice then numbers its own rows in parallel.
 """
 
@@ -27,8 +29,8 @@ from logtables.spec import MAX_BATCH_BYTES
 
 SUMMARY = T.StructType([
     T.StructField("slice", T.IntegerType()),
-    T.StructField("first_group", T.StringType()),
-    T.StructField("last_group", T.StringType()),
+    T.StructField("group", T.StringType()),
+    T.StructField("starts", T.BooleanType()),
     T.StructField("total", T.LongType()),
     T.StructField("upto", T.ArrayType(T.LongType())),
     T.StructField("closed", T.ArrayType(T.LongType())),
@@ -42,28 +44,37 @@ ENTRY = T.StructType([
 ])
 
 
+#: Rows to a slice when their number is not given.
+ROWS_PER_SLICE = 500_000
+#: Group values as text that keeps every bit of a time.
+LOSSLESS = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def byte_batches(rows: DataFrame, group: Sequence[str], order: Sequence[str], size: str,
                  limit: int = MAX_BATCH_BYTES, slices: int | None = None) -> DataFrame:
     """Add `batch`, the number of the batch a row falls into within its group, counted from 0.
 
     `order` must be total within a group (end it with a unique id): ties cannot be split. Give only
-    the columns the batches are needed for; the rows are written once to the shared folder. A first
-    row above the limit leaves batch 0 empty, so a batch number is not always used.
+    the columns the batches are needed for; the rows are written once to the shared folder, where
+    `spark.cleaner.referenceTracking.cleanCheckpoints` removes them after use. A first row above
+    the limit leaves batch 0 empty, so a batch number is not always used. The number of slices
+    follows the number of rows unless given.
     """
-    spark = rows.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if slices is None:
+        slices = max(rows.sparkSession.sparkContext.defaultParallelism,
+                     -(-rows.count() // ROWS_PER_SLICE))
     columns = rows.columns
     placed = durable(
         rows.repartitionByRange(slices, *group, *order)
         .sortWithinPartitions(*group, *order)
-        .select("*", F.to_json(F.struct(*group)).alias("_group"),
+        .select("*", F.to_json(F.struct(*group), LOSSLESS).alias("_group"),
                 F.col(size).cast("bigint").alias("_size"),
                 F.spark_partition_id().alias("_slice")))
-    # One summary row per slice, whatever the number of rows or groups. They are shuffled, not
-    # coalesced, to the walk: a coalesce would pull the summaries' own work into its single task.
+    # A row or two per slice: for the group it begins in and for the one it ends in.
     entries = (placed.select("_group", "_size", "_slice")
                .mapInArrow(greedy.summarize_slice(limit), SUMMARY)
-               .repartition(1).sortWithinPartitions("slice")
+               .repartition("group").sortWithinPartitions("group", "slice")
                .mapInPandas(greedy.walk_slices(limit), ENTRY))
     out = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
     return (placed.join(F.broadcast(entries.withColumnRenamed("slice", "_slice")), "_slice", "left")

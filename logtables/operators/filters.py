@@ -9,23 +9,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: The longest list of versions that is written out as a predicate.
+PUSHED_PAIRS = 20
+
+
 def min_level(logs: DataFrame, level: int | None) -> DataFrame:
-    """Keep requests with at least one log line at `level` or above; None keeps all."""
+    """Keep requests with at least one log line at `level` or above; None keeps all.
+
+    Reads the lines' levels only, not their messages, and stays in generated code.
+    """
     if level is None:
         return logs
-    return logs.where(F.exists("app_logs", lambda line: line["level"] >= level))
+    return logs.where(F.array_max(F.col("app_logs")["level"]) >= level)
 
 
 def versions(logs: DataFrame, wanted: DataFrame | Sequence[tuple[str, str]] | None) -> DataFrame:
     """Keep requests served by the given (version, module) pairs; none given keeps all.
 
-    A list becomes a pushed-down predicate. A table becomes a semi join whose strategy is left to
-    Spark, as its size is not known here.
+    A list of up to PUSHED_PAIRS becomes a pushed-down predicate. A longer one or a table becomes a
+    semi join whose strategy is left to Spark.
     """
+    if not isinstance(wanted, DataFrame):
+        if not wanted:
+            return logs
+        if len(wanted) > PUSHED_PAIRS:
+            wanted = logs.sparkSession.createDataFrame(
+                list(wanted), "version_id string, module_id string")
     if isinstance(wanted, DataFrame):
         return logs.join(wanted, ["version_id", "module_id"], "left_semi")
-    if not wanted:
-        return logs
     pairs = [(F.col("version_id") == v) & (F.col("module_id") == m) for v, m in wanted]
     return logs.where(reduce(lambda a, b: a | b, pairs))
 

@@ -85,9 +85,47 @@ def _runs(group: pa.Array) -> list[tuple[int, int]]:
     return list(zip(starts.tolist(), [*starts[1:].tolist(), len(codes)]))
 
 
+def compose(first: Transfer, then: Transfer, limit: int) -> Transfer:
+    """What two runs do, one after the other.
+
+    An entry that closes nothing in the first run may close its first batch in the second, at the
+    rows `then` lists; one that does close leaves a known number of bytes open.
+    """
+    fits = first.open_bytes + then.total <= limit
+    at = np.searchsorted(then.upto, limit - first.open_bytes, side="right")
+    at = np.minimum(at, max(0, len(then.upto) - 1))
+    more = np.where(fits, 0, then.closed[at]) if len(then.upto) else np.zeros(len(fits), np.int64)
+    left = np.where(fits, first.open_bytes + then.total, then.open_bytes[at] if len(then.upto)
+                    else 0)
+    # The tables hold for entries above the limit too; later rows matter up to one limit only.
+    later = first.total + then.upto
+    return _thin(Transfer(first.total + then.total,
+                          np.concatenate([first.upto, later]),
+                          np.concatenate([first.closed + more, then.closed]),
+                          np.concatenate([left, then.open_bytes])), limit)
+
+
+def _thin(t: Transfer, limit: int) -> Transfer:
+    """Without entries that no open batch can reach, and with one for each run of equal outcomes."""
+    n = int(np.searchsorted(t.upto, limit, side="right")) + 1
+    upto, closed, left = t.upto[:n], t.closed[:n], t.open_bytes[:n]
+    last = np.ones(len(upto), dtype=bool)
+    last[:-1] = (closed[1:] != closed[:-1]) | (left[1:] != left[:-1])
+    return Transfer(t.total, upto[last], closed[last], left[last])
+
+
+NOTHING = Transfer(0, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 def summarize_slice(limit: int):
+    def rows_of(part, group, starts, transfer) -> dict:
+        return {"slice": part, "group": group, "starts": starts, "total": transfer.total,
+                "upto": transfer.upto, "closed": transfer.closed,
+                "open_bytes": transfer.open_bytes}
+
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, first, last, sizes = None, None, None, []
+        """The transfer of the group a slice begins in and, if another, of the one it ends in."""
+        part, first, last, so_far, found = None, None, None, NOTHING, []
         for data in batches:
             if not data.num_rows:
                 continue
@@ -97,23 +135,17 @@ def summarize_slice(limit: int):
             for start, end in _runs(group):
                 name = group[start].as_py()
                 if first is None:
-                    first = name
+                    first = last = name
                 if name != last:
-                    last, sizes = name, []
-                sizes.append(values[start:end])
+                    if last == first:
+                        found.append(rows_of(part, first, False, so_far))
+                    last, so_far = name, NOTHING
+                so_far = compose(so_far, summarize(values[start:end], limit), limit)
         if part is None:
             return
-        transfer = summarize(np.concatenate(sizes), limit)
-        if first != last:
-            # The last group starts in this slice, so its state on exit is already known.
-            closed, open_bytes = transfer.apply(FIRST_BATCH_BYTES, limit)
-            transfer = Transfer(limit + 1, np.array([np.iinfo(np.int64).max]),
-                                np.array([closed]), np.array([open_bytes]))
-        yield pa.RecordBatch.from_pylist([{
-            "slice": part, "first_group": first, "last_group": last, "total": transfer.total,
-            "upto": transfer.upto, "closed": transfer.closed, "open_bytes": transfer.open_bytes,
-        }], schema=pa.schema([
-            ("slice", pa.int32()), ("first_group", pa.string()), ("last_group", pa.string()),
+        found.append(rows_of(part, last, last != first, so_far))
+        yield pa.RecordBatch.from_pylist(found, schema=pa.schema([
+            ("slice", pa.int32()), ("group", pa.string()), ("starts", pa.bool_()),
             ("total", pa.int64()), ("upto", pa.list_(pa.int64())),
             ("closed", pa.list_(pa.int64())), ("open_bytes", pa.list_(pa.int64())),
         ]))
@@ -121,22 +153,20 @@ def summarize_slice(limit: int):
 
 
 def walk_slices(limit: int):
-    """Carry the open batch from slice to slice; one row per slice."""
+    """Carry the open batch along each group's slices. A slice in which the group starts has no
+    entry: the group's first row opens its first batch."""
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, open_bytes, batch = None, 0, 0
         for frame in frames:
             entries = []
             for row in frame.itertuples(index=False):
-                if row.first_group == group:
+                if row.group != group:
+                    group, open_bytes, batch = row.group, FIRST_BATCH_BYTES, 0
+                if not row.starts:
                     entries.append((row.slice, open_bytes, batch))
-                else:
-                    open_bytes, batch = FIRST_BATCH_BYTES, 0
-                if row.first_group != row.last_group:
-                    open_bytes, batch = FIRST_BATCH_BYTES, 0
                 closed, open_bytes = Transfer(
                     row.total, row.upto, row.closed, row.open_bytes).apply(open_bytes, limit)
                 batch += closed
-                group = row.last_group
             yield pd.DataFrame(entries, columns=["slice", "entry_bytes", "entry_batch"])
     return walk
 

@@ -42,7 +42,8 @@ def due_windows(windows: DataFrame, at_ms: int) -> DataFrame:
 
 
 def assign_window(logs: DataFrame, window_ms: int, time: str = "start_time_usec") -> DataFrame:
-    start = times.window_start_ms(F.col(time), window_ms)
+    """Add the window of `time`, a column in epoch microseconds or a timestamp."""
+    start = times.window_start_ms(times.any_usec(logs, time), window_ms)
     return logs.withColumns({"window_start": start, "window_end": start + window_ms})
 
 

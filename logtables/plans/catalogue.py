@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,12 +27,12 @@ MINUTE, HOUR, DAY = 60_000, 3_600_000, 86_400_000
 JAN_1 = 1_704_067_200_000
 JAN_5 = JAN_1 + 4 * DAY
 JAN_12 = JAN_1 + 11 * DAY
-FEB_1 = JAN_1 + 31 * DAY
 UNFINISHED_BACKUP = 788_918_400_000 + DAY
 FINISHED_BACKUP = 788_918_400_000 + 2 * DAY
-RUN_ID = "web_1704067560000_1704067620000"
+RUN_ID = f"load_part_{JAN_5}"
 DOCUMENT_BATCH_BYTES = 50_000
 LOG_BATCH_BYTES = 20_000
+EVENT_BATCH_BYTES = 300
 MAX_ROW_BYTES = 385
 
 QUERIES: dict[str, Query] = {}
@@ -57,6 +59,25 @@ PAGE_NUMBER = Exporter("page", (FieldSpec(
 CHECKED = LogExportConfig("checked", FieldSet((*fields.BASIC.exporters, PAGE_NUMBER)),
                           window_ms=DAY, max_row_bytes=MAX_ROW_BYTES)
 
+DAILY = LogExportConfig("daily", NO_PAGE, window_ms=DAY)
+
+# A record by name, its items and parts to be checked, and numbers that must not lose anything.
+NESTED = FieldSet((fields.HTTP, Exporter("nested", (
+    FieldSpec("client", "record",
+              "named_struct('userAgent', user_agent, 'number', substring(nickname, 5), 'ip', ip)",
+              fields=(FieldSpec("ip", "string"), FieldSpec("userAgent", "string"),
+                      FieldSpec("number", "integer"))),
+    FieldSpec("octets", "integer", "if(event_id % 7 = 0, array('1', 'x'), split(ip, '[.]'))",
+              repeated=True),
+    FieldSpec("half", "integer", "event_id / 2.0D"),
+))))
+
+# Some rows with a value that is no number, some far above the limit.
+STREAMED = LogExportConfig("stream", FieldSet((*NO_PAGE.exporters, Exporter("odd", (
+    FieldSpec("userNumber", "integer", "substring(nickname, 5)"),
+    FieldSpec("padding", "string", "if(event_id % 11 = 0, repeat('x', 1000), '')"),
+)))), window_ms=DAY, max_row_bytes=900)
+
 CLIENT = Exporter("client", (
     FieldSpec("client", "record", "named_struct('ip', ip, 'userAgent', user_agent)",
               fields=(FieldSpec("ip", "string"), FieldSpec("userAgent", "string"))),
@@ -65,6 +86,9 @@ CLIENT = Exporter("client", (
     FieldSpec("firstMessage", "string", "get(app_logs, 0).message", nullable=True),
     FieldSpec("agentNumber", "integer", "agent.number"),
 ), shared={"agent": "named_struct('number', substring(user_agent, 3))"})
+# Names a shared column like another exporter's, and one like an input column.
+SIGN = Exporter("sign", (FieldSpec("sign", "string", "concat(agent, '@', ip)"),),
+                shared={"agent": "upper(user_agent)", "ip": "left(ip, 4)"})
 
 
 # Scans.
@@ -109,14 +133,24 @@ def kind_uris(spark, sf):
     return backups.kind_uris(inputs.backup_info(spark, sf), list(inputs.KINDS), FINISHED_BACKUP)
 
 
+def _recorded(spark, sf) -> DataFrame:
+    """The ledger after a log export and a snapshot load below one root."""
+    database, root = _database(spark, "runs")
+    found = inputs.core_logs(spark, sf)
+    log_export.export_windows(found, DAILY, _windows_of(found, DAY), root)
+    config = SnapshotConfig(inputs.KINDS, root, database)
+    snapshot_export.start(spark, inputs.entities(spark, sf), config, JAN_5)
+    return run_source.read_runs(spark, f"{root}/runs")
+
+
 @query
 def run_list(spark, sf):
-    return run_source.list_runs(inputs.runs(spark, sf))
+    return run_source.list_runs(_recorded(spark, sf))
 
 
 @query
 def run_lookup(spark, sf):
-    return run_source.run_by_id(inputs.runs(spark, sf), RUN_ID)
+    return run_source.run_by_id(_recorded(spark, sf), RUN_ID)
 
 
 # Field extraction.
@@ -184,14 +218,30 @@ def format_values(spark, sf):
 
 @query
 def custom_fields(spark, sf):
-    found = rows.export_rows(inputs.core_logs(spark, sf), _group(CLIENT), ["request_id"])
+    found = rows.export_rows(inputs.core_logs(spark, sf), FieldSet((SIGN, CLIENT)),
+                             ["request_id"])
     return found.select(
-        "request_id", F.col("client.ip").alias("clientIp"),
+        "request_id", "sign", F.col("client.ip").alias("clientIp"),
         F.col("client.userAgent").alias("clientAgent"),
         F.array_join(F.transform("levels", lambda v: v.cast("string")), ",").alias("levels"),
         "slow", "firstMessage", "agentNumber")
 
 
+@query
+def nested_fields(spark, sf):
+    checked = rows.checked_rows(inputs.core_logs(spark, sf), NESTED, None)
+    return rows.valid_rows(checked, NESTED).select(
+        "requestId", F.col("client.ip").alias("ip"), F.col("client.userAgent").alias("userAgent"),
+        F.col("client.number").alias("number"),
+        F.array_join(F.transform("octets", lambda v: v.cast("string")), ",").alias("octets"), "half")
+
+
+@query
+def nested_rejects(spark, sf):
+    checked = rows.checked_rows(inputs.core_logs(spark, sf), NESTED, None)
+    return rows.reject_rows(checked, NESTED).select("request_id", "reason", "message")
+
+
 # Filters.
 
 @query
@@ -328,6 +378,16 @@ def export_batches(spark, sf):
                                  LOG_BATCH_BYTES)
 
 
+@query
+def byte_batches_by_time(spark, sf):
+    """Groups one microsecond apart."""
+    events = inputs.table(spark, sf, "events").select(
+        F.timestamp_micros(F.expr("event_id div 50")).alias("at"), "event_id",
+        (F.octet_length("props") + 1).cast("bigint").alias("row_bytes"))
+    found = batching.byte_batches(events, ["at"], ["event_id"], "row_bytes", EVENT_BATCH_BYTES)
+    return found.select(F.unix_micros("at").alias("at_usec"), "event_id", "row_bytes", "batch")
+
+
 # Keys, text, schemas.
 
 @query
@@ -371,32 +431,71 @@ def schema_fields(spark, sf):
 
 # Tables. Each call writes below a folder of its own and returns what it reads back.
 
-def _windows_of(spark, first_ms: int, last_ms: int, window_ms: int) -> DataFrame:
-    """The planner's windows for a span, as one trigger at its start plans them."""
-    return windows.plan_windows(windows.trigger_at(spark, first_ms + window_ms), window_ms,
-                                count=(last_ms - first_ms) // window_ms)
+def _windows_of(found: DataFrame, window_ms: int, time: str = "start_time_usec") -> DataFrame:
+    """The planner's windows from the first to the last that has logs."""
+    first, last = windows.assign_window(found, window_ms, time).agg(
+        F.min("window_start"), F.max("window_start")).first()
+    return windows.plan_windows(windows.trigger_at(found.sparkSession, first + window_ms),
+                                window_ms, count=(last - first) // window_ms + 1)
 
 
 @query
 def export_table(spark, sf):
     """The whole log export over replayed logs: select, extract, dedup, write, ledger; run twice."""
     root = session.fresh_dir(spark, "export_table")
-    sent = inputs.replays(inputs.request_logs(spark, sf))
+    found = inputs.request_logs(spark, sf)
     for _ in range(2):
-        log_export.export_windows(sent, WEB, _windows_of(spark, JAN_1, FEB_1, DAY), root,
-                                  time="event_time")
-    return tables.read_windows(spark, f"{root}/web/rows", WEB.field_set.schema())
+        log_export.export_windows(inputs.replays(found), WEB, _windows_of(
+            inputs.core_logs(spark, sf), DAY), root, time="event_time")
+    return tables.read_rows(spark, root, WEB)
 
 
 @query
 def export_ledger(spark, sf):
     """Ledger of an export that sets rows aside."""
     root = session.fresh_dir(spark, "export_ledger")
-    log_export.export_windows(inputs.request_logs(spark, sf), CHECKED,
-                              _windows_of(spark, JAN_1, FEB_1, DAY), root, time="event_time")
+    log_export.export_windows(inputs.request_logs(spark, sf), CHECKED, _windows_of(
+        inputs.core_logs(spark, sf), DAY), root, time="event_time")
     return run_source.list_runs(run_source.read_runs(spark, f"{root}/runs"))
 
 
+def _exported(spark, root: str, config: LogExportConfig) -> DataFrame:
+    return tables.read_rows(spark, root, config).select("window_start", "requestId")
+
+
+@query
+def export_gaps(spark, sf):
+    """Every other window, each asked for twice, and no other is exported."""
+    root = session.fresh_dir(spark, "export_gaps")
+    found = inputs.core_logs(spark, sf)
+    some = _windows_of(found, DAY).where(F.col("window_start") / DAY % 2 == 0)
+    log_export.export_windows(found, DAILY, some.unionAll(some), root)
+    return _exported(spark, root, DAILY)
+
+
+@query
+def export_other_time(spark, sf):
+    """Windows by arrival, in two runs: the second leaves the windows of the first alone."""
+    root = session.fresh_dir(spark, "export_other_time")
+    found = inputs.core_logs(spark, sf)
+    planned = _windows_of(found, DAY, "arrival_usec")
+    for part in (planned.where(F.col("window_start") / DAY % 3 == 0), planned):
+        log_export.export_windows(found, DAILY, part, root, time="arrival_usec")
+    return _exported(spark, root, DAILY)
+
+
+@query
+def export_rerun(spark, sf):
+    """An attempt that wrote more rows but was not finished leaves none behind."""
+    root = session.fresh_dir(spark, "export_rerun")
+    found = inputs.core_logs(spark, sf)
+    tables.write_attempt(log_export.outcomes(found, DAILY), DAILY, root, "interrupted",
+                         "requestId", 1)
+    fewer = LogExportConfig("daily", FieldSet(NO_PAGE.exporters, skip=SKIP), window_ms=DAY)
+    log_export.export_windows(found, fewer, _windows_of(found, DAY), root)
+    return _exported(spark, root, DAILY)
+
+
 @query
 def route_tables(spark, sf):
     """Rows routed to a table per day."""
@@ -418,17 +517,25 @@ def _database(spark, label: str) -> tuple[str, str]:
 
 @query
 def create_tables(spark, sf):
-    """Create this month's and the next month's table and fill them, twice; every row is there once."""
+    """Create a table for every month of logs that go on for some months, and fill them, twice;
+    every row is there once."""
     database, root = _database(spark, "create_tables")
     monthly = LogExportConfig("monthly", NO_PAGE, window_ms=DAY)
+    found = inputs.core_logs(spark, sf).withColumn(
+        "start_time_usec", F.expr(f"{JAN_1 * 1000} + (start_time_usec - {JAN_1 * 1000}) * 4"))
+    exported = log_export.window_rows(found, monthly)
+    months = exported.select(F.trunc(F.timestamp_millis("window_start").cast("date"), "month")
+                             .alias("month")).distinct().collect()
     for _ in range(2):
-        ids = tables.create_window_tables(spark, monthly, database, root, JAN_1 + 2 * DAY)
-        tables.insert_windows(log_export.window_rows(inputs.core_logs(spark, sf), monthly),
-                              monthly, database, root, ids)
-    current, following = (
+        ids = set()
+        for row in months:
+            at = int(datetime(row["month"].year, row["month"].month, 1, tzinfo=UTC).timestamp())
+            ids |= set(tables.create_window_tables(spark, monthly, database, root,
+                                                   at * 1000 + DAY))
+        tables.insert_windows(exported, monthly, database, root, sorted(ids))
+    return reduce(DataFrame.unionByName, [
         spark.table(tables.table_name(monthly, database, i)).select(F.lit(i).alias("table_id"), "*")
-        for i in ids)
-    return current.unionByName(following)
+        for i in sorted(ids)])
 
 
 def _snapshot_config(spark, label: str, append_timestamp: bool) -> SnapshotConfig:
@@ -507,10 +614,23 @@ def stream_dedup(spark, sf):
     return spark.read.schema(kept.schema).parquet(f"{root}/rows")
 
 
+def _streamed(spark, sf, root: str) -> None:
+    sent = stream.drop_replays(inputs.replays(inputs.log_stream(spark, sf)))
+    stream.start_export(sent, STREAMED, root, f"{root}/checkpoint", ONCE).awaitTermination()
+
+
 @query
 def stream_export(spark, sf):
+    """Replayed logs with bad and over-size values, as a stream; the good rows."""
     root = session.fresh_dir(spark, "stream_export")
-    config = LogExportConfig("stream", NO_PAGE, window_ms=DAY)
-    stream.start_export(inputs.log_stream(spark, sf), config, f"{root}/rows",
-                        f"{root}/checkpoint", ONCE).awaitTermination()
-    return stream.read_export(spark, f"{root}/rows", config).drop("batch_id")
+    _streamed(spark, sf, root)
+    return tables.read_rows(spark, root, STREAMED).drop("padding")
+
+
+@query
+def stream_rejects(spark, sf):
+    """What the same stream sets aside."""
+    root = session.fresh_dir(spark, "stream_rejects")
+    _streamed(spark, sf, root)
+    return tables.read_rejects(spark, root, STREAMED).select(
+        "window_start", "request_id", "reason", "message")

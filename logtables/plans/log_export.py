@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtables.operators import dedup, filters, reports, rows, windows
+from logtables.operators import filters, rows, windows
+from logtables.session import delete_dir
 from logtables.sinks import tables
 from logtables.sources import logs as log_source
 from logtables.sources import runs as run_source
@@ -19,53 +22,65 @@ def select_logs(logs: DataFrame, config: LogExportConfig) -> DataFrame:
     return filters.skip(kept, config.field_set.skip)
 
 
-def window_rows(logs: DataFrame, config: LogExportConfig) -> DataFrame:
+def window_rows(logs: DataFrame, config: LogExportConfig, time: str = "start_time_usec"
+                ) -> DataFrame:
     """Typed rows of the selected logs with their window, from one projection."""
-    kept = windows.assign_window(select_logs(logs, config), config.window_ms)
+    kept = windows.assign_window(select_logs(logs, config), config.window_ms, time)
     return rows.export_rows(kept, config.field_set, keep=["window_start"])
 
 
-def checked_window_rows(logs: DataFrame, config: LogExportConfig) -> DataFrame:
-    kept = windows.assign_window(select_logs(logs, config), config.window_ms)
+def checked_window_rows(logs: DataFrame, config: LogExportConfig, time: str = "start_time_usec"
+                        ) -> DataFrame:
+    kept = windows.assign_window(select_logs(logs, config), config.window_ms, time)
     return rows.checked_rows(kept, config.field_set, config.max_row_bytes, keep=["window_start"])
 
 
+def outcomes(logs: DataFrame, config: LogExportConfig, insert_id: str | None = "requestId",
+             time: str = "start_time_usec") -> DataFrame:
+    """Good rows and, where the configuration sets rows aside, rejects: one pass over the logs."""
+    if config.max_row_bytes is None:
+        return window_rows(logs, config, time).withColumn("outcome", F.lit(rows.ROWS))
+    return rows.outcome_rows(checked_window_rows(logs, config, time), config.field_set,
+                             insert_id or "requestId", keep=["window_start"])
+
+
 def export_windows(logs: DataFrame, config: LogExportConfig, wanted: DataFrame, root: str,
                    time: str = "start_time_usec", insert_id: str | None = "requestId",
-                   day: str | None = None) -> None:
+                   day: str | None = None, spread: int | None = None) -> None:
     """Export the `wanted` windows (`window_start`, `window_end`) that have not been run yet.
 
-    Writes `<root>/<config>/rows`, for rows set aside `<root>/<config>/rejects`, and last the
-    ledger `<root>/runs`. Running it again does nothing; running it after a failure writes the same
-    partitions again.
+    Rows and rejects go below a folder of this attempt, `<root>/<config>/data/attempt=…`; the ledger
+    `<root>/runs`, written last, publishes both. A failed attempt is recorded as such and its
+    folder removed. Only wanted windows are read, each once however often it is given; `time`, a
+    column of epoch microseconds or a timestamp, decides on both the scan and the window. Copies
+    of an insert id are removed within a window. `spread` is the number of tasks a window may be
+    dealt over; by default four times the window's share of all shuffle partitions.
     """
     spark = logs.sparkSession
-    ledger, target = f"{root}/runs", f"{root}/{config.name}"
-    todo = windows.pending_windows(wanted, run_source.read_runs(spark, ledger), config.name)
-    # One row: the bounds become literals that reach the scan.
+    ledger = f"{root}/runs"
+    asked = wanted.select("window_start", "window_end").distinct()
+    # One row: the bounds become literals that reach the scan and prune the ledger.
+    first, last = asked.agg(F.min("window_start"), F.max("window_start")).first()
+    if first is None:
+        return
+    runs = run_source.read_runs(spark, ledger, config.name, (first, last))
+    todo = windows.pending_windows(asked, runs, config.name).select("window_start")
     first, last, count = todo.agg(
         F.min("window_start"), F.max("window_start"), F.count("*")).first()
     if not count:
         return
-    scanned = log_source.scan_range(logs, first, last + config.window_ms, time, day)
-    if last - first != config.window_ms * (count - 1):
-        # Some windows in between are done already.
-        scanned = (windows.assign_window(scanned, config.window_ms)
-                   .join(todo.select("window_start"), "window_start", "left_semi"))
-
-    if config.max_row_bytes is None:
-        good = window_rows(scanned, config)
-    else:
-        checked = checked_window_rows(scanned, config)
-        good = rows.valid_rows(checked, config.field_set, keep=["window_start"])
-        bad = rows.reject_rows(checked, config.field_set, keep=["window_start"])
-        if insert_id:
-            bad = dedup.dedup(bad, ["request_id", "message"])
-        tables.write_partitions(bad, f"{target}/rejects", ["window_start"])
-    tables.write_windows(dedup.dedup(good, insert_id), config, f"{target}/rows")
-
-    written = tables.read_windows(spark, f"{target}/rows", config.field_set.schema())
-    counts = reports.rows_per_window(
-        written.where(F.col("window_start").between(first, last)))
-    done = todo.select("window_start").join(counts, "window_start", "left").fillna(0, ["row_count"])
-    tables.append_runs(tables.run_rows(done, config.name, config.window_ms), ledger)
+    attempt = uuid.uuid4().hex
+    try:
+        scanned = log_source.scan_range(logs, first, last + config.window_ms, time, day)
+        found = outcomes(scanned, config, insert_id, time).join(todo, "window_start", "left_semi")
+        counts = tables.write_attempt(found, config, root, attempt, insert_id,
+                                      spread or tables.spread_of(spark, count))
+        done = todo.join(counts, "window_start", "left").fillna(0, ["row_count"])
+        done = tables.run_rows(done, config.name, config.window_ms)
+        tables.append_runs(done, ledger, attempt)
+    except Exception:
+        delete_dir(spark, f"{root}/{config.name}/data/attempt={attempt}")
+        failed = todo.withColumn("row_count", F.lit(0).cast("bigint"))
+        tables.append_runs(tables.run_rows(failed, config.name, config.window_ms,
+                                           run_source.FAILED), ledger)
+        raise

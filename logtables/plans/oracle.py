@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from logtables.plans.catalogue import (
-    DAY, DOCUMENT_BATCH_BYTES, FEB_1, FINISHED_BACKUP, HOUR, JAN_1, JAN_5, JAN_12,
+    DAY, DOCUMENT_BATCH_BYTES, EVENT_BATCH_BYTES, FINISHED_BACKUP, HOUR, JAN_1, JAN_5, JAN_12,
     LOG_BATCH_BYTES, MAX_ROW_BYTES, MINUTE, RUN_ID, UNFINISHED_BACKUP)
 from logtables.plans.inputs import BUCKET, OTHER_HASH
 
@@ -95,7 +95,7 @@ SELECT cast(event_id AS varchar) AS "idText", cast(cost AS varchar) AS "costText
        latency_usec > 100000 AS "isSlow" FROM core""")
 
 ORACLE["custom_fields"] = core("""
-SELECT request_id, ip AS "clientIp", user_agent AS "clientAgent",
+SELECT request_id, upper(user_agent) || '@' || left(ip, 4) AS sign, ip AS "clientIp", user_agent AS "clientAgent",
        array_to_string([cast(x.level AS varchar) FOR x IN app_logs], ',') AS levels,
        latency_usec > 100000 AS slow, app_logs[1].message AS "firstMessage",
        cast(substring(user_agent, 3) AS bigint) AS "agentNumber" FROM core""")
@@ -148,8 +148,20 @@ ORACLE["plan_windows"] = f"WITH {PLANNED} SELECT {WINDOW_COLUMNS} FROM planned"
 ORACLE["pending_windows"] = f"""WITH {PLANNED}, {RUNS} SELECT {WINDOW_COLUMNS} FROM planned
 WHERE NOT EXISTS (SELECT 1 FROM runs WHERE runs.window_start = planned.window_start
                   AND config = 'web' AND status = 'done')"""
-ORACLE["run_list"] = f"WITH {RUNS} SELECT * FROM runs"
-ORACLE["run_lookup"] = f"WITH {RUNS} SELECT * FROM runs WHERE run_id = '{RUN_ID}'"
+RECORDED = f"""
+recorded AS (
+  SELECT concat('daily_', w, '_', w + {DAY}) AS run_id, 'daily' AS config, w AS window_start,
+         w + {DAY} AS window_end, count(at) AS row_count, 'done' AS status
+  FROM (SELECT unnest(range(min(at), max(at) + {DAY}, {DAY})) AS w
+        FROM (SELECT {window(DAY)} AS at FROM core))
+       LEFT JOIN (SELECT {window(DAY)} AS at FROM core) ON at = w GROUP BY w
+  UNION ALL
+  SELECT concat('load_', kind, '_{JAN_5}'), kind, {JAN_5}, {JAN_5}, n, 'done'
+  FROM (SELECT 'customer' AS kind, count(*) AS n FROM customer
+        UNION ALL SELECT 'supplier', count(*) FROM supplier
+        UNION ALL SELECT 'part', count(*) FROM part))"""
+ORACLE["run_list"] = f"WITH {CORE}, {RECORDED} SELECT * FROM recorded"
+ORACLE["run_lookup"] = f"WITH {CORE}, {RECORDED} SELECT * FROM recorded WHERE run_id = '{RUN_ID}'"
 
 ORACLE["rows_per_window"] = core(f"""
 SELECT {window(HOUR)} AS window_start, count(*) AS row_count FROM core GROUP BY 1""")
@@ -241,6 +253,10 @@ ORACLE["byte_batch_sizes"] = batches(
     DOCUMENTS, "lang", "doc_id, lang", DOCUMENT_BATCH_BYTES, """
 SELECT lang, batch, count(*) AS row_count, cast(sum(row_bytes) AS bigint) AS total_bytes
 FROM batched GROUP BY lang, batch""")
+ORACLE["byte_batches_by_time"] = batches("""numbered AS (
+  SELECT event_id // 50 AS at_usec, event_id, cast(strlen(props) + 1 AS bigint) AS row_bytes,
+         row_number() OVER (PARTITION BY event_id // 50 ORDER BY event_id) AS rn FROM events)""",
+    "at_usec", "at_usec, event_id", EVENT_BATCH_BYTES, "SELECT * FROM batched")
 ORACLE["export_batches"] = batches(LOGS + f""",
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY "timestamp", "requestId") AS rn
@@ -341,14 +357,25 @@ SELECT {BASIC}, {MONTH} AS table_id, {window(DAY)} AS window_start FROM logs WHE
 ORACLE["export_ledger"] = checked(f"""
 SELECT concat('checked_', w, '_', w + {DAY}) AS run_id, 'checked' AS config, w AS window_start,
        w + {DAY} AS window_end, count(window_start) AS row_count, 'done' AS status
-FROM range({JAN_1}, {FEB_1}, {DAY}) t(w) LEFT JOIN checked ON window_start = w
+FROM (SELECT unnest(range(min(at), max(at) + {DAY}, {DAY})) AS w
+      FROM (SELECT {window(DAY)} AS at FROM core)) LEFT JOIN checked ON window_start = w
      AND regexp_full_match(page_text, '[0-9]+') AND row_bytes <= {MAX_ROW_BYTES}
 GROUP BY w""")
 ORACLE["route_tables"] = core(f"""
 SELECT strftime(make_timestamp(start_time_usec), '%Y%m%d') AS table_id,
        {window(DAY)} AS window_start, request_id AS "requestId" FROM core""")
-ORACLE["create_tables"] = core(
-    f"SELECT {MONTH} AS table_id, {NO_PAGE}, {window(DAY)} AS window_start FROM core")
+LONG = f"core AS (SELECT * REPLACE ({JAN_1 * 1000} + (start_time_usec - {JAN_1 * 1000}) * 4 AS start_time_usec) FROM short)"
+ORACLE["create_tables"] = f"""WITH {CORE.replace("core AS", "short AS", 1)}, {LONG}
+SELECT {MONTH} AS table_id, {NO_PAGE}, {window(DAY)} AS window_start FROM core"""
+ORACLE["export_gaps"] = core(f"""
+SELECT {window(DAY)} AS window_start, request_id AS "requestId" FROM core
+WHERE {window(DAY)} // {DAY} % 2 = 0""")
+ARRIVED = window(DAY).replace("start_time_usec", "arrival_usec")
+ORACLE["export_other_time"] = core(
+    f'SELECT {ARRIVED} AS window_start, request_id AS "requestId" FROM core')
+ORACLE["export_rerun"] = core(f"""
+SELECT {window(DAY)} AS window_start, request_id AS "requestId" FROM core
+WHERE http_status <> 500 AND nickname <> 'user3'""")
 
 ORACLE["snapshot_backup"] = """
 SELECT 'customer' AS kind, count(*) AS row_count FROM customer
@@ -371,4 +398,26 @@ ORACLE["snapshot_history"] = f"{entity_rows(str(JAN_1))} UNION ALL {entity_rows(
 # Streams.
 
 ORACLE["stream_dedup"] = core("SELECT request_id, start_time_usec, http_status, ip FROM core")
-ORACLE["stream_export"] = core(f"SELECT {NO_PAGE}, {window(DAY)} AS window_start FROM core")
+ORACLE["stream_export"] = core(f"""
+SELECT {NO_PAGE}, cast(nickname[5:] AS bigint) AS "userNumber", {MONTH} AS table_id,
+       {window(DAY)} AS window_start FROM core WHERE nickname <> '' AND event_id % 11 <> 0""")
+ORACLE["stream_rejects"] = core(f"""
+SELECT {window(DAY)} AS window_start, request_id, 'bad_type' AS reason,
+       'Value of userNumber is not of type integer' AS message FROM core WHERE nickname = ''
+UNION ALL
+SELECT {window(DAY)}, request_id, 'oversize', 'Maximum allowed row size exceeded'
+FROM core WHERE event_id % 11 = 0""")
+
+# Nested values.
+
+ORACLE["nested_fields"] = core("""
+SELECT request_id AS "requestId", ip, user_agent AS "userAgent",
+       cast(nickname[5:] AS bigint) AS number, replace(ip, '.', ',') AS octets,
+       event_id // 2 AS half
+FROM core WHERE nickname <> '' AND event_id % 7 <> 0 AND event_id % 2 = 0""")
+ORACLE["nested_rejects"] = core("""
+SELECT request_id, 'bad_type' AS reason, 'Value of ' || what AS message FROM (
+  SELECT request_id, 'client is not of type record' AS what FROM core WHERE nickname = ''
+  UNION ALL SELECT request_id, 'octets is not of type integer' FROM core WHERE event_id % 7 = 0
+  UNION ALL SELECT request_id, 'half is not of type integer' FROM core WHERE event_id % 2 = 1)""")
+

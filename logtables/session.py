@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -19,6 +17,8 @@ RUNTIME_CONF = {
     # The JVM never compiles a method above this size. Wide projections exceed it as one fused
     # stage; below the limit Spark splits them into methods that do get compiled.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Arrow functions get batches by size too: a row of slice summaries may be large.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -32,29 +32,27 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("value string").text(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    """Whether a folder or file is there; nothing is listed."""
+    return _fs(spark, path).exists(_hadoop_path(spark, path))
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir`.
+def delete_dir(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_hadoop_path(spark, path), True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
 
-    Only a local session may go without it; it then gets a folder of its own, since driver and
-    executors are one process there.
-    """
+def _fs(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsparkSession.sessionState()
+                                                   .newHadoopConf())
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder every executor can reach: `spark.checkpoint.dir`, else one in the warehouse."""
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="logtables-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -65,7 +63,6 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and continue from there, keeping its partitions and order."""
     spark = df.sparkSession
-    root = shared_root(spark)
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
     return df.checkpoint(eager=True)

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtables.functions import keys
-from logtables.sinks.tables import _same_columns
+from logtables.session import delete_dir
+from logtables.sinks.tables import append_runs, quoted
 from logtables.sources.backups import read_kind
+from logtables.sources.runs import DONE, FAILED, read_runs
 from logtables.spec import SnapshotConfig
 
 BACKUP_INFO_SCHEMA = "name string, complete_time bigint, gs_handle string"
@@ -26,7 +28,8 @@ def catalogue_path(config: SnapshotConfig) -> str:
 
 
 def read_catalogue(spark: SparkSession, config: SnapshotConfig) -> DataFrame:
-    return spark.read.schema(BACKUP_INFO_SCHEMA).parquet(catalogue_path(config))
+    found = spark.read.schema(f"{BACKUP_INFO_SCHEMA}, record string")
+    return found.parquet(catalogue_path(config)).drop("record")
 
 
 def _each_kind(spark: SparkSession, work, kinds) -> None:
@@ -37,48 +40,78 @@ def _each_kind(spark: SparkSession, work, kinds) -> None:
 
 def back_up(spark: SparkSession, entities: Mapping[str, DataFrame], config: SnapshotConfig,
             timestamp_ms: int) -> str:
-    """Write every kind, then one catalogue row with the handle: a handle means complete."""
+    """Write every kind, then one catalogue row with the handle: a handle means complete.
+
+    Each attempt writes to a folder of its own, so a finished backup stays as it is whatever
+    happens to a later one of the same name. Of several finished ones the first counts.
+    """
     day = datetime.fromtimestamp(timestamp_ms / 1000, UTC).strftime("%Y_%m_%d")
     name = keys.backup_name(timestamp_ms, config.name_prefix) + day
-    handle = f"{config.root}/{name}/backup_info"
+    handle = f"{config.root}/{name}/{uuid.uuid4().hex}/backup_info"
     if "/gs/" in handle or handle.count("backup_info") != 1:
         raise ValueError(f"cannot tell the kinds apart below {handle}")
 
     def write(kind: str) -> None:
-        entities[kind].write.mode("overwrite").parquet(keys.kind_uri_text(handle, kind))
+        entities[kind].write.parquet(keys.kind_uri_text(handle, kind))
 
     _each_kind(spark, write, config.kinds)
     (spark.range(0, 1, 1, 1).select(
         F.lit(name).alias("name"), F.unix_millis(F.current_timestamp()).alias("complete_time"),
-        F.lit(handle).alias("gs_handle"))
-     .write.mode("append").parquet(catalogue_path(config)))
+        F.lit(handle).alias("gs_handle"), F.lit(uuid.uuid4().hex).alias("record"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("record").parquet(catalogue_path(config)))
     return handle
 
 
-def load(spark: SparkSession, config: SnapshotConfig, handle: str, timestamp_ms: int) -> list[str]:
+def ledger_path(config: SnapshotConfig) -> str:
+    return f"{config.root}/runs"
+
+
+def load(spark: SparkSession, config: SnapshotConfig, handle: str, timestamp_ms: int,
+         fmt: str = "parquet", **options: str) -> list[str]:
     """Load every kind into its table and return the tables.
 
-    A kind is first written whole to a new folder, then the table is pointed at it. A failed load
-    leaves the table on its old data.
+    A kind is first written whole to a new folder, then the table, a view of that folder, is
+    replaced in one step, with other columns if need be. A failed load leaves the table on its old
+    data. Each load is recorded in the ledger, failed ones too; the folder that the load before
+    has written is removed after the switch.
     """
     stamp = timestamp_ms if config.append_timestamp else None
-    names = {kind: f"{config.database}.{keys.kind_table(kind, stamp)}" for kind in config.kinds}
+    tables = {kind: keys.kind_table(kind, stamp) for kind in config.kinds}
 
     def load_kind(kind: str) -> None:
-        folder = f"{config.root}/tables/{keys.kind_table(kind, stamp)}/{uuid.uuid4().hex}"
-        read_kind(spark, handle, kind).write.parquet(folder)
-        point_table(spark, names[kind], folder)
+        table = tables[kind]
+        folder = f"{config.root}/tables/{table}/{uuid.uuid4().hex}"
+        before = [r["location"] for r in read_runs(spark, ledger_path(config), table).where(
+            F.col("status") == DONE).select("location").distinct().collect()]
+        try:
+            read_kind(spark, handle, kind, fmt, **options).write.parquet(folder)
+            loaded = spark.read.parquet(folder)
+            count = loaded.count()
+            point_table(spark, quoted(config.database, table), folder)
+        except Exception:
+            delete_dir(spark, folder)
+            _record(spark, config, table, timestamp_ms, 0, FAILED, None)
+            raise
+        _record(spark, config, table, timestamp_ms, count, DONE, folder)
+        for old in before:
+            delete_dir(spark, old)
 
     _each_kind(spark, load_kind, config.kinds)
-    return list(names.values())
+    return [f"{config.database}.{table}" for table in tables.values()]
+
+
+def _record(spark: SparkSession, config: SnapshotConfig, table: str, timestamp_ms: int,
+            count: int, status: str, location: str | None) -> None:
+    at = F.lit(timestamp_ms).cast("bigint")
+    append_runs(spark.range(0, 1, 1, 1).select(
+        F.lit(f"load_{table}_{timestamp_ms}").alias("run_id"), F.lit(table).alias("config"),
+        at.alias("window_start"), at.alias("window_end"),
+        F.lit(count).cast("bigint").alias("row_count"), F.lit(status).alias("status")),
+        ledger_path(config), location)
 
 
 def point_table(spark: SparkSession, name: str, folder: str) -> None:
-    """Let a table read from `folder`, creating it or replacing other columns as needed."""
-    schema = spark.read.parquet(folder).schema
-    if spark.catalog.tableExists(name) and _same_columns(spark.table(name).schema, schema):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
-        spark.catalog.refreshTable(name)
-        return
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=folder, source="parquet", schema=schema)
+    """Let a table show what is in `folder`. The name, quoted, is that of a view, so the switch is
+    one change in the catalogue and there is no moment without the table."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.{quoted(folder)}")

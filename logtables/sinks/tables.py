@@ -1,20 +1,20 @@
-"""Window tables: writing, creating and routing them, and the run ledger."""
+"""Window tables: writing, creating and routing them, attempts of exports, and the run ledger."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logtables.functions.rows import literal
+from logtables.operators.rows import REJECTS, ROWS
 from logtables.session import path_exists
-from logtables.sources.runs import RUNS_COLUMNS
+from logtables.sources.runs import DONE, RUNS_COLUMNS, published, read_runs
 from logtables.spec import LogExportConfig
 
-# Writers of one partition where adaptive execution cannot choose their number.
-TASKS_PER_PARTITION = 8
-
 LAYOUT = T.StructType([T.StructField("table_id", T.StringType()),
                        T.StructField("window_start", T.LongType())])
 
@@ -24,22 +24,31 @@ def route(rows: DataFrame, config: LogExportConfig) -> DataFrame:
     return rows.withColumn("table_id", config.table_id(F.col("window_start")))
 
 
-def _spread(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+def spread_of(spark: SparkSession, partitions: int | None = None) -> int:
+    """Tasks to deal a partition over: by default four times its share of all shuffle partitions,
+    so that one which is several times the average still spreads."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-4 * tasks // partitions)) if partitions else tasks
+
+
+def _spread(rows: DataFrame, by: Sequence[str], spread: int | None) -> DataFrame:
     """Bring the rows of a partition together without sending a large one to a single task.
 
     Adaptive execution splits large and joins small partitions by their measured size. Where it is
-    off, as in stateful streams, every partition is dealt over a fixed number of tasks.
+    off, as in stateful streams, every partition is dealt over `spread` tasks.
     """
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return rows.hint("rebalance", *by)
     # Dealt by content, so a task that runs again sends every row to the same place.
     content = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return rows.repartition(*by, F.pmod(F.xxhash64(*content), F.lit(TASKS_PER_PARTITION)))
+    tasks = spread or spread_of(rows.sparkSession)
+    return rows.repartition(*by, F.pmod(F.xxhash64(*content), F.lit(tasks)))
 
 
-def write_partitions(rows: DataFrame, path: str, by: Sequence[str]) -> None:
+def write_partitions(rows: DataFrame, path: str, by: Sequence[str], spread: int | None = None
+                     ) -> None:
     """Replace exactly the partitions present in `rows`, so a re-run leaves one copy."""
-    (_spread(rows, by).write.mode("overwrite")
+    (_spread(rows, by, spread).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
 
 
@@ -78,19 +87,21 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str
         return
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-              f"PARTITIONED BY (window_start) LOCATION '{path}'")
+              f"PARTITIONED BY (window_start) LOCATION {literal(path)}")
+
+
+def quoted(*names: str) -> str:
+    """A name for SQL, each part between backticks."""
+    return ".".join("`" + n.replace("`", "``") + "`" for n in names)
 
 
 def table_name(config: LogExportConfig, database: str, table_id: str) -> str:
-    return f"{database}.{config.name}_{table_id}"
+    return quoted(database, f"{config.name}_{table_id}")
 
 
 def create_window_tables(spark: SparkSession, config: LogExportConfig, database: str, root: str,
                          now_ms: int) -> tuple[str, str]:
-    """Create the table of the last complete window and the one after it; returns their ids.
-
-    Each lies where `write_windows` puts its rows, so one write feeds all tables.
-    """
+    """Create the table of the last complete window and the one after it; returns their ids."""
     start = now_ms // config.window_ms * config.window_ms - config.window_ms
     ids = table_ids(spark, config, start)
     for table_id in ids:
@@ -101,17 +112,104 @@ def create_window_tables(spark: SparkSession, config: LogExportConfig, database:
 
 def insert_windows(rows: DataFrame, config: LogExportConfig, database: str, root: str,
                    ids: Sequence[str]) -> None:
-    """Write rows below the tables' folders in one pass, then register the new windows."""
+    """Write rows to a folder of this insert, in one pass for all tables, then point their windows
+    there. A row that belongs to none of the tables `ids` fails the insert, and nothing of a
+    failed insert is registered."""
     spark = rows.sparkSession
-    write_windows(rows, config, root)
+    listed = ", ".join(literal(i) for i in ids)
+    checked = route(rows, config).withColumn("table_id", F.expr(
+        f"if(table_id IN ({listed}), table_id, "
+        "raise_error(concat('no table was created for ', coalesce(table_id, 'null'))))"))
+    path = f"{root}/inserts/{uuid.uuid4().hex}"
+    write_partitions(checked, path, LAYOUT.names)
+    # This insert's folder only; its windows are few beside the rows.
+    written = spark.read.schema(LAYOUT).parquet(path).select(*LAYOUT.names).distinct().collect()
     for table_id in ids:
-        if path_exists(spark, f"{root}/table_id={table_id}"):
-            spark.catalog.recoverPartitions(table_name(config, database, table_id))
-            spark.catalog.refreshTable(table_name(config, database, table_id))
-
-
-def run_rows(counts: DataFrame, config: str, window_ms: int, status: str = "done") -> DataFrame:
-    """Ledger rows for written windows."""
+        mine = [r["window_start"] for r in written if r["table_id"] == table_id]
+        name = table_name(config, database, table_id)
+        for start in mine:
+            where = f"{path}/table_id={table_id}/window_start={start}"
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (window_start={start}) "
+                      f"LOCATION {literal(where)}")
+            spark.sql(f"ALTER TABLE {name} PARTITION (window_start={start}) "
+                      f"SET LOCATION {literal(where)}")
+        if mine:
+            spark.catalog.refreshTable(name)
+
+
+OUTCOMES = T.StructType([T.StructField("attempt", T.StringType()),
+                         T.StructField("outcome", T.StringType()), *LAYOUT.fields])
+REJECT_FIELDS = T.StructType([
+    T.StructField("_request_id", T.StringType()), T.StructField("_path", T.StringType()),
+    T.StructField("_row_bytes", T.LongType()), T.StructField("_reason", T.StringType()),
+    T.StructField("_message", T.StringType()),
+    T.StructField("_field_lengths", T.MapType(T.StringType(), T.LongType()))])
+
+
+def write_attempt(found: DataFrame, config: LogExportConfig, root: str, attempt: str,
+                  insert_id: str | None, spread: int) -> DataFrame:
+    """Write good rows and rejects of one attempt in one pass, one per insert id and window (a reject
+    also per message), and return the good rows' number by window.
+
+    One exchange, by window and a bucket of the id, serves both the removal of copies and the
+    files. Of copies, the one with the smallest hash of its columns stays, whatever the tasks.
+    """
+    content = [f.name for f in found.schema.fields if not isinstance(f.dataType, T.MapType)]
+    rejects = "_reason" in found.columns
+    if insert_id is None:
+        key = [F.xxhash64(*content)]
+    else:
+        own = F.col(f"`{insert_id}`").cast("string")
+        key = [F.coalesce(own, F.col("_request_id")) if rejects else own]
+    placed = (route(found, config).withColumn("_id", key[0])
+              .withColumn("_bucket", F.pmod(F.xxhash64("_id"), F.lit(spread)))
+              .repartition("window_start", "_bucket"))
+    if insert_id is not None:
+        copies = Window.partitionBy("window_start", "_bucket", "_id",
+                                    *["outcome", "_message"] * rejects)
+        placed = placed.withColumn("_copy", F.row_number().over(
+            copies.orderBy(F.xxhash64(*content)))).where("_copy = 1").drop("_copy")
+    path = f"{root}/{config.name}/data/attempt={attempt}"
+    (placed.drop("_id", "_bucket").write.mode("overwrite")
+     .option("partitionOverwriteMode", "static")
+     .partitionBy("outcome", *LAYOUT.names).parquet(path))
+    good = f"{path}/outcome={ROWS}"
+    spark = found.sparkSession
+    if not path_exists(spark, good):
+        return spark.createDataFrame([], "window_start bigint, row_count bigint")
+    return spark.read.schema(LAYOUT).parquet(good).groupBy("window_start").agg(
+        F.count("*").alias("row_count"))
+
+
+def read_outcome(spark: SparkSession, root: str, config: LogExportConfig, outcome: str,
+                 columns: T.StructType, span: tuple[int, int] | None = None) -> DataFrame:
+    """What finished runs have written, with `table_id` and `window_start`. Readers follow the ledger:
+    data of other attempts is not there for them."""
+    path = f"{root}/{config.name}/data"
+    schema = T.StructType([*columns.fields, *OUTCOMES.fields])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema).drop("attempt", "outcome")
+    data = spark.read.schema(schema).parquet(path).where(F.col("outcome") == outcome)
+    if span:
+        data = data.where(F.col("window_start").between(*span))
+    done = published(read_runs(spark, f"{root}/runs", config.name, span))
+    return data.join(done, ["attempt", "window_start"], "left_semi").select(
+        *columns.names, *LAYOUT.names)
+
+
+def read_rows(spark: SparkSession, root: str, config: LogExportConfig,
+              span: tuple[int, int] | None = None) -> DataFrame:
+    return read_outcome(spark, root, config, ROWS, config.field_set.schema(), span)
+
+
+def read_rejects(spark: SparkSession, root: str, config: LogExportConfig,
+                 span: tuple[int, int] | None = None) -> DataFrame:
+    found = read_outcome(spark, root, config, REJECTS, REJECT_FIELDS, span)
+    return found.select("window_start", *[F.col(n).alias(n[1:]) for n in REJECT_FIELDS.names])
+
+
+def run_rows(counts: DataFrame, config: str, window_ms: int, status: str = DONE) -> DataFrame:
+    """Ledger rows for windows."""
     end = F.col("window_start") + window_ms
     return counts.select(
         F.concat_ws("_", F.lit(config), "window_start", end).alias("run_id"),
@@ -119,6 +217,16 @@ def run_rows(counts: DataFrame, config: str, window_ms: int, status: str = "done
         F.col("row_count").cast("bigint").alias("row_count"), F.lit(status).alias("status"))
 
 
-def append_runs(runs: DataFrame, path: str) -> None:
-    """Add to the ledger, after the data it speaks of is written."""
-    runs.select(*RUNS_COLUMNS).repartition(1).write.mode("append").parquet(path)
+def append_runs(runs: DataFrame, path: str, location: str | None = None) -> None:
+    """Add records to the ledger, after the data they speak of is written.
+
+    Every call has partitions of its own, which are moved into place from a folder of its own: runs
+    that end at the same time do not disturb each other.
+    """
+    day = F.date_format(F.timestamp_millis("window_start"), "yyyy-MM-dd")
+    (runs.select(*RUNS_COLUMNS, F.lit(location).cast("string").alias("location"),
+                 F.unix_millis(F.current_timestamp()).alias("recorded_ms"), day.alias("day"),
+                 F.lit(uuid.uuid4().hex).alias("record"))
+     .repartition("config", "day").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("config", "day", "record").parquet(path))

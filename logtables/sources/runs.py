@@ -1,28 +1,58 @@
-"""The run ledger: which window of which configuration was written, and how many rows it holds."""
+"""The run ledger: what was run, how it ended, how many rows it wrote and where they are.
+
+A run is recorded after its data is written, which publishes the data. Records are only added; the
+last one of a run counts. The ledger is partitioned by configuration and day, so the runs of a
+span are read without listing any others.
+"""
 
 from __future__ import annotations
 
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtables.session import path_exists
 
 RUNS_COLUMNS = ["run_id", "config", "window_start", "window_end", "row_count", "status"]
-RUNS_SCHEMA = ("run_id string, config string, window_start bigint, window_end bigint, "
-               "row_count bigint, status string")
+RUNS_SCHEMA = ("run_id string, window_start bigint, window_end bigint, row_count bigint, "
+               "status string, location string, recorded_ms bigint, config string, day string, record string")
+DONE, FAILED = "done", "failed"
+
 
+def _days(first_ms: int, last_ms: int) -> list[str]:
+    first, last = (datetime.fromtimestamp(ms / 1000, UTC).date() for ms in (first_ms, last_ms))
+    return [str(first + timedelta(days=i)) for i in range((last - first).days + 1)]
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger; a ledger not written yet is empty."""
-    if path_exists(spark, path):
-        return spark.read.schema(RUNS_SCHEMA).parquet(path)
-    return spark.range(0).select(F.from_json(F.lit("{}"), RUNS_SCHEMA).alias("run")).select("run.*")
+
+def read_runs(spark: SparkSession, path: str, config: str | None = None,
+              span: tuple[int, int] | None = None) -> DataFrame:
+    """All records, or those of one configuration, within the days of a span of windows if given."""
+    if config is None:
+        paths = [path]
+    elif span is None:
+        paths = [f"{path}/config={config}"]
+    else:
+        paths = [f"{path}/config={config}/day={day}" for day in _days(*span)]
+    found = [p for p in paths if path_exists(spark, p)]
+    if not found:
+        return spark.createDataFrame([], RUNS_SCHEMA)
+    return spark.read.schema(RUNS_SCHEMA).option("basePath", path).parquet(*found)
 
 
 def list_runs(runs: DataFrame) -> DataFrame:
-    return runs
+    """The last record of each run."""
+    last = F.max(F.struct("recorded_ms", *RUNS_COLUMNS[1:])).alias("last")
+    return runs.groupBy("run_id").agg(last).select(
+        "run_id", *[F.col(f"last.{c}") for c in RUNS_COLUMNS[1:]])
 
 
 def run_by_id(runs: DataFrame, run_id: str) -> DataFrame:
     """The run with this id; no rows if there is none."""
-    return runs.where(F.col("run_id") == run_id)
+    return list_runs(runs.where(F.col("run_id") == run_id))
+
+
+def published(runs: DataFrame) -> DataFrame:
+    """Where the rows of finished runs are: (attempt, window_start)."""
+    return runs.where(F.col("status") == DONE).select(
+        F.col("location").alias("attempt"), "window_start").distinct()

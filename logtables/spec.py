@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -20,6 +21,7 @@ SCALAR_TYPES = {
     "boolean": T.BooleanType(),
 }
 
+# Limits and cadences of an export. Fixed values.
 MAX_BATCH_BYTES = 1_000_000
 WINDOWS_PER_TRIGGER = 60
 RUN_DELAY_MS = 60_000
@@ -69,8 +71,8 @@ class FieldSpec:
 class Exporter:
     """A named group of fields.
 
-    `shared` holds columns computed once per record that the fields of this exporter may refer to,
-    for instance a struct from a vectorised UDF that several fields read.
+    `shared` holds columns computed once per record that the fields of this exporter, and no others,
+    may refer to, for instance a struct from a vectorised UDF that several fields read.
     """
 
     name: str
@@ -103,10 +105,6 @@ class FieldSet:
     def names(self) -> list[str]:
         return [spec.name for spec in self.fields]
 
-    @property
-    def shared(self) -> dict[str, Column | str]:
-        return {k: v for exporter in self.exporters for k, v in exporter.shared.items()}
-
     def schema(self) -> T.StructType:
         """Table schema. Required fields stay nullable here: they are checked per row at export."""
         return T.StructType([T.StructField(f.name, f.data_type(), True) for f in self.fields])
@@ -133,8 +131,9 @@ class LogExportConfig:
     max_row_bytes: int | None = None
 
     def __post_init__(self):
-        if not self.name or self.window_ms <= 0:
-            raise ValueError("a log export needs a name and a positive window length")
+        # The name is part of folder and table names.
+        if not re.fullmatch(r"[A-Za-z0-9_-]+", self.name) or self.window_ms <= 0:
+            raise ValueError("a log export needs a plain name and a positive window length")
 
     def versions(self) -> Sequence[tuple[str, str]]:
         if self.field_set.versions:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from logtables.plans.log_export import window_rows
-from logtables.sinks.tables import write_partitions
+from logtables.plans.log_export import outcomes
+from logtables.sinks import tables
 from logtables.spec import LogExportConfig
 from logtables.streaming import combine
 
@@ -31,28 +31,42 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
 
 
 def drop_replays(logs: DataFrame, key: str = "request_id", time: str = "event_time",
-                 delay: str = "60 seconds") -> DataFrame:
+                 delay: str = "60 seconds", merge_copies: bool = False) -> DataFrame:
     """One row per key within the watermark. State holds the ids of that span only.
 
-    Copies of one request agree in time as well, so those that meet in a task are merged there. A
-    key sent over and over then reaches the stateful task a few times per input task, not once per
-    copy; a stateful operator does not do this by itself.
+    `merge_copies` is for streams in which one key is sent over and over: copies of a request agree
+    in time as well, and those that meet in a task are merged there, at the price of passing all
+    columns through Python. A stateful operator does not do this by itself.
     """
-    merged = logs.mapInArrow(combine.first_copies(key, time), logs.schema)
-    return merged.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    if merge_copies:
+        logs = logs.mapInArrow(combine.first_copies(key, time), logs.schema)
+    return logs.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def write_batch(config: LogExportConfig, path: str):
-    """Export of one micro-batch. A batch that is run again replaces exactly its own files."""
+def write_batch(config: LogExportConfig, root: str, insert_id: str | None = "requestId",
+                time: str = "start_time_usec", spread: int | None = None):
+    """Export of one micro-batch on the row path of the batch export.
+
+    A batch is an attempt named by its number: run again, it replaces its own files, and its ledger
+    rows, one per window, have the same run ids. Bad values and over-size rows are set aside if the
+    configuration says so.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = window_rows(batch, config).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        write_partitions(rows, path, ["window_start", "batch_id"])
+        attempt = f"batch-{batch_id}"
+        found = outcomes(batch, config, insert_id, time)
+        counts = tables.write_attempt(found, config, root, attempt, insert_id,
+                                      spread or tables.spread_of(batch.sparkSession))
+        runs = tables.run_rows(counts, config.name, config.window_ms)
+        tables.append_runs(runs.withColumn("run_id", F.concat("run_id", F.lit(f"_{attempt}"))),
+                           f"{root}/runs", attempt)
     return write
 
 
-def start_export(logs: DataFrame, config: LogExportConfig, path: str, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
-    return (logs.writeStream.foreachBatch(write_batch(config, path))
+def start_export(logs: DataFrame, config: LogExportConfig, root: str, checkpoint: str,
+                 trigger: dict | None = None, **options) -> StreamingQuery:
+    """Start the export; `options` go to `write_batch`. `tables.read_rows` and `read_rejects` show
+    what whole batches have written."""
+    return (logs.writeStream.foreachBatch(write_batch(config, root, **options))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or EVERY_MINUTE)).start())
 
@@ -61,9 +75,3 @@ def start_append(rows: DataFrame, path: str, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
     return (rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
             .trigger(**(trigger or EVERY_MINUTE)).start(path))
-
-
-def read_export(spark: SparkSession, path: str, config: LogExportConfig) -> DataFrame:
-    layout = [T.StructField("window_start", T.LongType()), T.StructField("batch_id", T.LongType())]
-    schema = T.StructType([*config.field_set.schema().fields, *layout])
-    return spark.read.schema(schema).parquet(path)

@@ -3,18 +3,20 @@
 import re
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
-import __spark_entry__ as driver
-from logtables.operators import dedup, fields, rows
+from logtables.operators import dedup, fields, filters, rows
 from logtables.operators.batching import byte_batches
 from logtables.plans import inputs, log_export
-from logtables.plans.catalogue import CHECKED
-from logtables.sinks.tables import route
+from logtables.plans.catalogue import CHECKED, QUERIES
+from logtables.sinks.tables import route, write_attempt
+from logtables.spec import FieldSet
 
 SF = "/root/testdata/sf0.001"
 # These write while they are built; what they return is a read.
-WRITING = ("export_table export_ledger route_tables create_tables snapshot_backup snapshot_read "
-           "snapshot_replace snapshot_history stream_dedup stream_export").split()
+WRITING = ("export_table export_ledger export_gaps export_other_time export_rerun run_list "
+           "run_lookup route_tables create_tables snapshot_backup snapshot_read "
+           "snapshot_replace snapshot_history stream_dedup stream_export stream_rejects").split()
 NARROW = ("scan_log_range app_log_lines fields_http fields_instance fields_timestamp fields_user "
           "fields_version format_values custom_fields min_level skip_predicate required_ok "
           "align_time assign_window on_time_rows late_rows csv_lines schema_hash schema_fields "
@@ -25,19 +27,19 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(WRITING)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(WRITING)))
 def test_no_query_pairs_everything_with_everything(spark, name):
-    plan = plan_of(driver.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 @pytest.mark.parametrize("name", NARROW)
 def test_row_by_row_queries_do_not_shuffle(spark, name):
-    assert "Exchange" not in plan_of(driver.queries()[name](spark, SF))
+    assert "Exchange" not in plan_of(QUERIES[name](spark, SF))
 
 
 def test_only_needed_columns_are_read(spark):
-    plan = driver.queries()["fields_timestamp"](spark, SF)._jdf.queryExecution().toString()
+    plan = QUERIES["fields_timestamp"](spark, SF)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
 
 
@@ -68,10 +70,37 @@ def test_splitting_rejects_stays_linear_in_the_fields(spark):
 def test_batches_broadcast_one_row_per_slice(spark):
     sized = inputs.row_sizes(spark, SF)
     plan = plan_of(byte_batches(sized, ["lang"], ["doc_id"], "row_bytes", slices=4))
-    assert plan.count("BroadcastHashJoin") == 1 and "hashpartitioning" not in plan
-    # The walk sits above the exchange, the summaries below it, in parallel.
+    assert plan.count("BroadcastHashJoin") == 1
+    # Chains are walked above an exchange by group, the summaries are made below it.
     walk, summaries = plan.index("MapInPandas"), plan.rindex("MapInArrow")
-    assert walk < plan.index("Exchange SinglePartition") < summaries
+    assert walk < plan.index("Exchange hashpartitioning(group") < summaries
+
+
+def test_the_level_filter_reads_levels_only(spark, tmp_path):
+    inputs.core_logs(spark, SF).write.parquet(f"{tmp_path}/logs")
+    found = filters.min_level(spark.read.parquet(f"{tmp_path}/logs"), 3).select("request_id")
+    plan = found._jdf.queryExecution().toString()
+    assert "app_logs:array<struct<level:int>>" in plan and "message" not in plan.split("Physical")[1]
+
+
+def test_an_export_scans_once_and_shuffles_once(spark, tmp_path, monkeypatch):
+    """Rows, rejects, the removal of copies and the files: one pass and one exchange of the rows."""
+    inputs.core_logs(spark, SF).drop("event_time").write.parquet(f"{tmp_path}/logs")
+    logs = spark.read.parquet(f"{tmp_path}/logs")
+    config = CHECKED.__class__("w", FieldSet((fields.HTTP, fields.TIMESTAMP)),
+                               max_row_bytes=1000, window_ms=86_400_000)
+    plans = []
+    real = DataFrame.write.fget
+
+    def seen(df):
+        plans.append(plan_of(df))
+        return real(df)
+
+    monkeypatch.setattr(DataFrame, "write", property(seen))
+    write_attempt(log_export.outcomes(logs, config), config, str(tmp_path / "out"), "a",
+                  "requestId", 4)
+    assert len(plans) == 1
+    assert plans[0].count("Exchange") == 1 and plans[0].count("FileScan") == 1
 
 
 def test_window_writes_are_rebalanced(spark):

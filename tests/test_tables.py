@@ -8,7 +8,7 @@ from logtables.operators import fields, windows
 from logtables.plans import inputs, log_export, snapshot_export
 from logtables.sinks import snapshots, tables
 from logtables.sources.backups import read_kind
-from logtables.sources.runs import read_runs, run_by_id
+from logtables.sources.runs import list_runs, read_runs, run_by_id
 from logtables.spec import Exporter, FieldSet, FieldSpec, LogExportConfig, SnapshotConfig
 
 SF = "/root/testdata/sf0.001"
@@ -29,7 +29,7 @@ def test_an_export_runs_once_per_window(spark, tmp_path):
     log_export.export_windows(logs, config, planned(spark, middle, 1), root)
     log_export.export_windows(logs, config, planned(spark, T0, 5), root)
     log_export.export_windows(logs, config, planned(spark, T0, 5), root)
-    found = tables.read_windows(spark, f"{root}/web/rows", SET.schema())
+    found = tables.read_rows(spark, root, config)
     expected = logs.where(F.col("start_time_usec") < (T0 + 5 * DAY) * 1000)
     assert sorted(r.requestId for r in found.collect()) == sorted(
         r.request_id for r in expected.collect())
@@ -54,21 +54,86 @@ def test_a_failed_export_publishes_nothing(spark, tmp_path):
     broken = logs.withColumn("nickname", F.when(F.col("event_id") != 3, F.col("nickname")))
     with pytest.raises(PySparkException, match="nickname"):
         log_export.export_windows(broken, config, planned(spark, T0, 31), str(tmp_path))
-    assert read_runs(spark, f"{tmp_path}/runs").count() == 0
-    assert not list(tmp_path.rglob("*.parquet"))
+    failed = read_runs(spark, f"{tmp_path}/runs")
+    assert {r.status for r in failed.collect()} == {"failed"} and failed.count() == 31
+    assert tables.read_rows(spark, str(tmp_path), config).count() == 0
+    assert not list((tmp_path / "web" / "data").glob("attempt=*"))
     log_export.export_windows(logs, config, planned(spark, T0, 31), str(tmp_path))
-    assert tables.read_windows(spark, f"{tmp_path}/web/rows",
-                               config.field_set.schema()).count() == logs.count()
+    assert tables.read_rows(spark, str(tmp_path), config).count() == logs.count()
+    assert {r.status for r in list_runs(read_runs(spark, f"{tmp_path}/runs")).collect()} == {"done"}
+
+
+def test_a_failure_before_the_ledger_publishes_neither_rows_nor_rejects(
+        spark, tmp_path, monkeypatch):
+    logs = inputs.core_logs(spark, SF)
+    append, calls = tables.append_runs, []
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            raise OSError("no ledger")
+        append(*args)
+
+    monkeypatch.setattr(tables, "append_runs", broken)
+    with pytest.raises(OSError):
+        log_export.export_windows(logs, CHECKED, planned(spark, T0, 31), str(tmp_path))
+    for read in (tables.read_rows, tables.read_rejects):
+        assert read(spark, str(tmp_path), CHECKED).count() == 0
+    log_export.export_windows(logs, CHECKED, planned(spark, T0, 31), str(tmp_path))
+    assert tables.read_rows(spark, str(tmp_path), CHECKED).count() > 0
+
+
+def test_only_wanted_windows_are_exported_and_once(spark, tmp_path):
+    """Windows asked for twice, and a gap that a contiguity check would miss."""
+    config = LogExportConfig("web", SET, window_ms=DAY)
+    logs = inputs.core_logs(spark, SF)
+    some = planned(spark, T0, 3).where(F.col("window_start") != T0 + DAY)
+    log_export.export_windows(logs, config, some.unionAll(some), str(tmp_path))
+    found = tables.read_rows(spark, str(tmp_path), config)
+    assert {r.window_start for r in found.collect()} == {T0, T0 + 2 * DAY}
+    runs = read_runs(spark, f"{tmp_path}/runs")
+    assert sorted(r.window_start for r in runs.collect()) == [T0, T0 + 2 * DAY]
+
+
+def test_another_time_column_leaves_finished_windows_alone(spark, tmp_path):
+    config = LogExportConfig("web", SET, window_ms=DAY)
+    logs = inputs.core_logs(spark, SF).withColumn("seen_usec", F.expr(
+        "start_time_usec + if(event_id % 5 = 0, 86400000000L, 0)"))
+    for i in (0, 1):
+        log_export.export_windows(logs, config, planned(spark, T0 + i * DAY, 1), str(tmp_path),
+                                  time="seen_usec")
+    found = tables.read_rows(spark, str(tmp_path), config)
+    expected = logs.where(F.col("seen_usec").between(T0 * 1000, (T0 + 2 * DAY) * 1000 - 1))
+    assert sorted(r.requestId for r in found.collect()) == sorted(
+        r.request_id for r in expected.collect())
+
+
+def test_copies_are_removed_within_a_window(spark, tmp_path):
+    """However the windows are grouped into runs, the same copies stay."""
+    logs = inputs.core_logs(spark, SF).withColumn("request_id", F.expr(
+        "cast(event_id div 2 AS string)")).drop("event_id")
+    config = LogExportConfig("web", SET, window_ms=DAY)
+    found = []
+    for name, groups in (("one", [(0, 31)]), ("many", [(0, 7), (7, 24)])):
+        for first, count in groups:
+            log_export.export_windows(logs, config, planned(spark, T0 + first * DAY, count),
+                                      str(tmp_path / name))
+        found.append(sorted(map(tuple, tables.read_rows(
+            spark, str(tmp_path / name), config).collect())))
+    assert found[0] == found[1]
+    assert len({(r[-1], r[SET.names.index("requestId")]) for r in found[0]}) == len(found[0])
+
+
+CHECKED = LogExportConfig("web", FieldSet((fields.HTTP, Exporter("n", (
+    FieldSpec("number", "integer", "substring(nickname, 5)"),)))), window_ms=DAY,
+    max_row_bytes=10_000)
 
 
 def test_rejects_are_set_aside(spark, tmp_path):
-    checked = LogExportConfig("web", FieldSet((fields.HTTP, Exporter("n", (
-        FieldSpec("number", "integer", "substring(nickname, 5)"),)))), window_ms=DAY,
-        max_row_bytes=10_000)
     logs = inputs.replays(inputs.core_logs(spark, SF))
-    log_export.export_windows(logs, checked, planned(spark, T0, 31), str(tmp_path))
-    good = tables.read_windows(spark, f"{tmp_path}/web/rows", checked.field_set.schema())
-    bad = spark.read.parquet(f"{tmp_path}/web/rejects")
+    log_export.export_windows(logs, CHECKED, planned(spark, T0, 31), str(tmp_path))
+    good = tables.read_rows(spark, str(tmp_path), CHECKED)
+    bad = tables.read_rejects(spark, str(tmp_path), CHECKED)
     assert good.count() + bad.count() == inputs.core_logs(spark, SF).count()
     assert bad.count() == inputs.core_logs(spark, SF).where("nickname = ''").count()
 
@@ -127,6 +192,8 @@ def test_windows_reach_their_catalog_tables_once(spark, tmp_path):
         tables.insert_windows(part, config, database, root, ids)
     assert spark.table(f"{database}.web_202401").count() == rows.count()
     assert spark.table(f"{database}.web_202402").count() == 0
+    with pytest.raises(PySparkException, match="no table was created"):
+        tables.insert_windows(rows, config, database, root, ["202402"])
     plan = spark.table(f"{database}.web_202401").where(F.col("window_start") == T0)
     assert "PartitionFilters: [isnotnull(window_start" in plan._jdf.queryExecution().toString()
 
@@ -161,12 +228,42 @@ def test_a_failed_load_leaves_the_old_data(spark, tmp_path):
     snapshot_export.start(spark, entities, config, T0)
     customers = entities["customer"].count()
     handle = snapshots.back_up(spark, entities, config, T0 + DAY)
-    for file in tmp_path.glob("*/customer.backup_info/part-*"):
+    for file in tmp_path.glob("*/*/customer.backup_info/part-*"):
         if "2024_01_02" in str(file):
             file.write_bytes(b"not parquet")
     with pytest.raises(Exception, match="not a Parquet file"):
         snapshots.load(spark, config, handle, T0 + DAY)
     assert spark.table(f"{config.database}.customer").count() == customers
+    runs = {r.run_id: r.status for r in list_runs(read_runs(spark, f"{tmp_path}/runs")).collect()}
+    assert runs[f"load_customer_{T0}"] == "done"
+    assert runs[f"load_customer_{T0 + DAY}"] == "failed"
+
+
+def test_a_failing_backup_leaves_the_finished_one_whole(spark, tmp_path):
+    config = snapshot_config(spark, tmp_path, skip_load=True)
+    entities = inputs.entities(spark, SF)
+    handle = snapshots.back_up(spark, entities, config, T0)
+    entities["part"] = entities["part"].withColumn("bad", F.raise_error(F.lit("broken")))
+    with pytest.raises(PySparkException, match="broken"):
+        snapshots.back_up(spark, entities, config, T0)
+    assert snapshots.read_catalogue(spark, config).count() == 1
+    assert read_kind(spark, handle, "part").count() > 0
+
+
+def test_a_replaced_folder_goes(spark, tmp_path):
+    config = snapshot_config(spark, tmp_path)
+    for at in (T0, T0 + DAY):
+        snapshot_export.start(spark, inputs.entities(spark, SF), config, at)
+    assert len(list((tmp_path / "tables" / "part").iterdir())) == 1
+    assert spark.table(f"{config.database}.part").count() > 0
+
+
+def test_snapshots_load_other_formats(spark, tmp_path):
+    config = snapshot_config(spark, tmp_path)
+    for kind in config.kinds:
+        inputs.entities(spark, SF)[kind].write.json(f"{tmp_path}/given/{kind}.backup_info")
+    snapshots.load(spark, config, f"{tmp_path}/given/backup_info", T0, "json")
+    assert "p_name" in spark.table(f"{config.database}.part").columns
 
 
 def test_a_load_with_other_columns_replaces_the_table(spark, tmp_path):

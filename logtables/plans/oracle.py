@@ -151,10 +151,10 @@ WHERE NOT EXISTS (SELECT 1 FROM runs WHERE runs.window_start = planned.window_st
 RECORDED = f"""
 recorded AS (
   SELECT concat('daily_', w, '_', w + {DAY}) AS run_id, 'daily' AS config, w AS window_start,
-         w + {DAY} AS window_end, count(at) AS row_count, 'done' AS status
-  FROM (SELECT unnest(range(min(at), max(at) + {DAY}, {DAY})) AS w
-        FROM (SELECT {window(DAY)} AS at FROM core))
-       LEFT JOIN (SELECT {window(DAY)} AS at FROM core) ON at = w GROUP BY w
+         w + {DAY} AS window_end, count(began) AS row_count, 'done' AS status
+  FROM (SELECT unnest(range(min(began), max(began) + {DAY}, {DAY})) AS w
+        FROM (SELECT {window(DAY)} AS began FROM core))
+       LEFT JOIN (SELECT {window(DAY)} AS began FROM core) ON began = w GROUP BY w
   UNION ALL
   SELECT concat('load_', kind, '_{JAN_5}'), kind, {JAN_5}, {JAN_5}, n, 'done'
   FROM (SELECT 'customer' AS kind, count(*) AS n FROM customer
@@ -357,8 +357,8 @@ SELECT {BASIC}, {MONTH} AS table_id, {window(DAY)} AS window_start FROM logs WHE
 ORACLE["export_ledger"] = checked(f"""
 SELECT concat('checked_', w, '_', w + {DAY}) AS run_id, 'checked' AS config, w AS window_start,
        w + {DAY} AS window_end, count(window_start) AS row_count, 'done' AS status
-FROM (SELECT unnest(range(min(at), max(at) + {DAY}, {DAY})) AS w
-      FROM (SELECT {window(DAY)} AS at FROM core)) LEFT JOIN checked ON window_start = w
+FROM (SELECT unnest(range(min(began), max(began) + {DAY}, {DAY})) AS w
+      FROM (SELECT {window(DAY)} AS began FROM core)) LEFT JOIN checked ON window_start = w
      AND regexp_full_match(page_text, '[0-9]+') AND row_bytes <= {MAX_ROW_BYTES}
 GROUP BY w""")
 ORACLE["route_tables"] = core(f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,6 +31,16 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished passes.
+
+    It does so once the driver has collected the frames that made them, which may otherwise happen
+    long after; until then they take up the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_bytes(text: str | Column = "text") -> Column:
     """UTF-8 bytes of a text; none for null."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")

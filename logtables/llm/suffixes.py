@@ -6,7 +6,8 @@ id. So what counts of a suffix are its first SPAN bytes, here called a window. F
 1. Windows that share an anchor, the k-gram with the smallest hash in them, form a chunk. Equal windows
    have equal anchors, wherever they are. Chunks meet by the hash of their anchor's k-gram.
 2. Equal chunks: all but those of the smallest document go. A chunk whose k-gram other documents
-   have with other surroundings is contested. The windows of all other chunks occur nowhere else.
+   have too is contested if, besides, its surroundings agree on one side: a window holds half the
+   rest of SPAN before or after its anchor. The windows of all other chunks occur nowhere else.
 3. The suffixes at contested windows are sorted into runs where their texts are, and the runs are
    exchanged front-coded: what a suffix has in common with the one before it, and the rest.
 4. Runs are merged by a loser tree that carries the common prefixes along, so no two suffixes are
@@ -27,14 +28,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtables.llm.orderhash import POWERS, mixed
-from logtables.llm.shared import kept
+from logtables.llm.orderhash import POWERS, mixed, portions
+from logtables.llm.shared import kept, release
 
 SPAN = 50
 #: Length of an anchor's k-gram; at least one lies in each window, chosen among SPAN - K + 1.
-K = 24
+K = 20
 #: Bytes that chunks are looked for in at once; a longer text is taken as one.
-STRETCH = 1 << 21
+STRETCH = 1 << 20
+#: Characters of text whose chunks a task sorts and sends together.
+TOGETHER = 8 << 20
 #: Chunks of one k-gram that a task sends on; if it has more, they are contested anyway and it sends
 #: two as witnesses.
 SAME_GRAM = 8
@@ -96,9 +99,10 @@ def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(data: np.ndarray, bounds: np.ndarray, span: int, k: int) -> tuple[np.ndarray, ...]:
-    """Chunks of concatenated texts: hash of the k-gram, hash of the chunk, start, windows."""
+    """Chunks of concatenated texts: hash of the k-gram, hash of the chunk, start, windows, and a
+    byte each for what is before and after the anchor, 0 where no window needs it."""
     none = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64),
-            np.zeros(0, np.int64))
+            np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(0, np.uint8))
     if len(data) < span:
         return none
     sums, down = prefix_sums(data)
@@ -126,11 +130,22 @@ def chunks(data: np.ndarray, bounds: np.ndarray, span: int, k: int) -> tuple[np.
     with np.errstate(over="ignore"):
         content = mixed((sums[start + count + span - 1] - sums[start]) * down[start]
                         + count.astype(np.uint64))
-    return value[anchor[first]], content, start, count
+        # A window reaches `side` bytes before its anchor or after its k-gram, one of the two.
+        at, side = anchor[first].astype(np.int64), (span - k + 1) // 2
+        before = np.where(at - start >= side, byte_of(sums, down, np.maximum(at - side, 0), side), 0)
+        needs = at - (start + count - 1) <= span - k - side
+        last = np.minimum(at + k, len(data) - side)
+        after = np.where(needs, byte_of(sums, down, last, side), 0)
+    return value[anchor[first]], content, start, count, before.astype("u1"), after.astype("u1")
+
+
+def byte_of(sums: np.ndarray, down: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """1 to 255 by the hash of `size` bytes at each start."""
+    return mixed((sums[start + size] - sums[start]) * down[start]) % np.uint64(255) + np.uint64(1)
 
 
 def found_chunks(ids: np.ndarray, raw: list[bytes], span: int, k: int) -> list[np.ndarray]:
-    """(k-gram, content, document, start, windows) of all chunks of the texts."""
+    """(k-gram, content, document, start, windows, before, after) of all chunks of the texts."""
     out, begin = [], 0
     while begin < len(raw):
         end, size = begin, 0
@@ -138,13 +153,13 @@ def found_chunks(ids: np.ndarray, raw: list[bytes], span: int, k: int) -> list[n
             size += len(raw[end])
             end += 1
         bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw[begin:end]])])
-        gram, content, start, count = chunks(
+        gram, content, start, count, *sides = chunks(
             np.frombuffer(b"".join(raw[begin:end]), np.uint8), bounds, span, k)
         owner = np.searchsorted(bounds, start, side="right") - 1
-        out.append((gram, content, ids[begin:end][owner], (start - bounds[owner]), count))
+        out.append((gram, content, ids[begin:end][owner], start - bounds[owner], count, *sides))
         begin = end
     return [np.concatenate([o[i] for o in out]).astype(t)
-            for i, t in enumerate(("<u8", "<u8", "<i8", "<u4", "<u4"))]
+            for i, t in enumerate(("<u8", "<u8", "<i8", "<u4", "<u4", "u1", "u1"))]
 
 
 def settle(gram: np.ndarray, content: np.ndarray, doc: np.ndarray, *rest: np.ndarray
@@ -163,7 +178,7 @@ def of_batch(ids: np.ndarray, raw: list[bytes], span: int, k: int, parts: int) -
     """What a task sends on for its texts (pass 1): one document's chunks of each content."""
     found = found_chunks(ids, raw, span, k)
     found = [x[np.lexsort((found[2], found[1], found[0]))] for x in found]
-    gram, content, doc, start, count = found
+    gram, content, doc, start, count, before, after = found
     if not len(gram):
         return frame([])
     gone, new, new_gram = settle(gram, content, doc)
@@ -182,27 +197,43 @@ def of_batch(ids: np.ndarray, raw: list[bytes], span: int, k: int, parts: int) -
         (low >> np.uint64(4)).astype("<u4"), (content[send] & np.uint64(0xFFFFFFFF)).astype("<u4"),
         (content[send] >> np.uint64(48)).astype("<u2"), doc[send], start[send],
         count[send].astype("u1") if span - k < 255 else count[send].astype("<u4"),
-        many[send].astype("u1")])
+        many[send].astype("u1"), before[send], after[send]])
     return frame(rows)
 
 
+def beside_others(gram: np.ndarray, content: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Which chunks share their k-gram and what is on one side with a chunk of other content."""
+    order = np.lexsort((content, side, gram))
+    g, s, c = gram[order], side[order], content[order]
+    new = np.concatenate([[True], (g[1:] != g[:-1]) | (s[1:] != s[:-1])])
+    kinds = np.bincount(np.cumsum(new) - 1, weights=new | np.concatenate(
+        [[True], c[1:] != c[:-1]]))
+    out = np.empty(len(gram), bool)
+    out[order] = (kinds > 1)[np.cumsum(new) - 1] & (s > 0)
+    return out
+
+
 def meet(blobs: list[bytes], span: int, k: int, parts: int) -> pd.DataFrame:
     """Chunks of the same k-grams from all tasks (pass 2): what goes, and what is contested."""
     count_type = "u1" if span - k < 255 else "<u4"
-    tables = [unpack(b, "<u4", "<u4", "<u2", "<i8", "<u4", count_type, "u1") for b in blobs]
-    gram, low, high, doc, start, count, witness = [
-        np.concatenate([t[i] for t in tables]) for i in range(7)]
+    types = ("<u4", "<u4", "<u2", "<i8", "<u4", count_type, "u1", "u1", "u1")
+    tables = [unpack(b, *types) for b in blobs]
+    gram, low, high, doc, start, count, witness, before, after = [
+        np.concatenate([t[i] for t in tables]) for i in range(len(types))]
     content = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
     order = np.lexsort((doc, content, gram))
-    gram, content, doc, start, count, witness = [
-        x[order] for x in (gram, content, doc, start, count.astype("<u4"), witness)]
+    gram, content, doc, start, count, witness, before, after = [
+        x[order] for x in (gram, content, doc, start, count.astype("<u4"), witness, before, after)]
     gone, new, new_gram = settle(gram, content, doc)
     which = np.cumsum(new_gram) - 1
     first = np.flatnonzero(new_gram)
     several = (np.bincount(which, weights=new) > 1) & (
         np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first))
+    beside = beside_others(gram, content, before) | beside_others(gram, content, after)
+    # Witnesses stand for chunks with any surroundings.
+    beside |= np.maximum.reduceat(witness, first)[which] > 0
     # Witnesses are contested already where they come from.
-    contested = several[which] & ~gone & (witness == 0)
+    contested = several[which] & beside & ~gone & (witness == 0)
     gone &= witness == 0
     rows = []
     for kind, use in ((GONE, gone), (CONTESTED, contested)):
@@ -324,38 +355,42 @@ def sorted_runs(texts: dict[int, bytes], blobs: list[bytes], span: int, parts: i
     rows = list(by_part(GONE, block_of(doc[gone], parts), [
         doc[gone], start[gone], np.ones(int(gone.sum()), "<u4")]))
     left = np.flatnonzero(~gone)
-    sums, down = prefix_sums(data)
-    with np.errstate(over="ignore"):
-        target = mixed((sums[at[left] + span] - sums[at[left]]) * down[at[left]])
+    target = np.zeros(len(left), np.uint64)
+    for word in words_of(windows[left]):
+        target = mixed(target ^ word)
     target = (target >> np.uint64(33)).astype(np.int64) % parts
     for part in np.unique(target):
         mine = left[target == part]
         common, rest = front_coded(windows[mine])
-        rows.append((RUN, int(part), zstandard.ZstdCompressor(level=1).compress(b"".join([
-            len(mine).to_bytes(8, "little"), common.astype("<u2").tobytes(),
-            doc[mine].astype("<i8").tobytes(), start[mine].tobytes(), rest]))))
+        head = pack(common.astype("<u2"), doc[mine].astype("<i8"), start[mine])
+        rows.append((RUN, int(part), len(head).to_bytes(8, "little") + head
+                     + zstandard.ZstdCompressor(level=1).compress(rest)))
     return frame(rows)
 
 
-def order_windows(windows: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Places of the windows in ascending order, those of smaller documents first."""
+def words_of(windows: np.ndarray) -> list[np.ndarray]:
+    """Windows as 64-bit words that compare as their bytes do, the first word first."""
     width = -(-windows.shape[1] // 8) * 8
     wide = np.zeros((len(windows), width), np.uint8)
     wide[:, :windows.shape[1]] = windows
-    words = wide.view(">u8").astype(np.uint64)
-    return np.lexsort((owner, *[words[:, i] for i in range(words.shape[1] - 1, -1, -1)]))
+    return list(wide.view(">u8").astype(np.uint64).T)
+
+
+def order_windows(windows: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Places of the windows in ascending order, those of smaller documents first."""
+    return np.lexsort((owner, *words_of(windows)[::-1]))
 
 
 def merge_runs(blobs: list[bytes], span: int, parts: int) -> pd.DataFrame:
     """Merge the runs of a destination (pass 4): equal windows but the smallest document's go."""
     runs, docs, starts = [], [], []
     for blob in blobs:
-        data = zstandard.ZstdDecompressor().decompress(blob)
-        n = int.from_bytes(data[:8], "little")
-        at = 8 + 2 * n
-        runs.append(Run(np.frombuffer(data, "<u2", n, 8).tolist(), data[at + 12 * n:], span))
-        docs.append(np.frombuffer(data, "<i8", n, at).tolist())
-        starts.append(np.frombuffer(data, "<u4", n, at + 8 * n).tolist())
+        end = 8 + int.from_bytes(blob[:8], "little")
+        common, doc, start = unpack(blob[8:end], "<u2", "<i8", "<u4")
+        rest = zstandard.ZstdDecompressor().decompress(blob[end:]) if len(common) else b""
+        runs.append(Run(common.tolist(), rest, span))
+        docs.append(doc.tolist())
+        starts.append(start.tolist())
     gone_docs, gone_starts, group = [], [], []
 
     def close() -> None:
@@ -435,9 +470,10 @@ def removals(rows: DataFrame, span: int, k: int, with_text: bool) -> DataFrame:
 
     def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                yield of_batch(batch["id"].to_numpy(np.int64), [
-                    t.encode("utf-8", "surrogatepass") for t in batch["text"]], span, k, parts)
+            ids = batch["id"].to_numpy(np.int64)
+            for begin, texts in portions(batch["text"].tolist(), TOGETHER):
+                yield of_batch(ids[begin:begin + len(texts)], [
+                    t.encode("utf-8", "surrogatepass") for t in texts], span, k, parts)
 
     def second_pass(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         return meet(group["blob"].tolist(), span, k, parts) if key[0] == RECORD else group
@@ -471,9 +507,13 @@ def removals(rows: DataFrame, span: int, k: int, with_text: bool) -> DataFrame:
 
     sent = rows.select("id", "text").mapInPandas(first_pass, PACKED)
     met = kept(sent.groupBy("kind", "part").applyInPandas(second_pass, PACKED))
+    del sent
+    release(rows.sparkSession)
     runs = packed_texts(rows, parts).groupBy("part").cogroup(
         met.where(F.col("kind") == CONTESTED).groupBy("part")).applyInPandas(third_pass, PACKED)
     last = kept(runs.groupBy("kind", "part").applyInPandas(fourth_pass, PACKED))
+    del runs
+    release(rows.sparkSession)
     gone = met.where(F.col("kind") == GONE).unionByName(last)
     return packed_texts(rows, parts).groupBy("part").cogroup(gone.groupBy("part")).applyInPandas(
         last_pass, RESULT)

@@ -12,8 +12,8 @@ def connected(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (id, label) after joining the components of labels that links (a, b) connect.
 
     Only links between different components matter; they become edges between labels. Each round
-    takes the smallest name among an end's neighbours, then the name of that name, so paths
-    shrink by half; rounds end when no name falls. A hub's edges are aggregated before the shuffle
+    takes the smallest name among an end's neighbours and, after two rounds, the name of that name,
+    so paths shrink by half; rounds end when no name falls. A hub's edges are aggregated before the shuffle
     and spread by skew joins. The label of a component is the smallest of its labels.
     """
     one, other = (labels.select(F.col("id").alias(c), F.col("label").alias(f"label_{c}"))
@@ -24,14 +24,20 @@ def connected(labels: DataFrame, links: DataFrame) -> DataFrame:
         .alias("e")).select("e.x", "e.y").distinct()
     edges = kept(edges)
     names = edges.select(F.col("x").alias("at")).distinct().withColumn("name", F.col("at"))
+    rounds = 0
     while True:
         near = edges.join(names, F.col("y") == F.col("at")).groupBy("x").agg(
             F.min("name").alias("near"))
-        lower = names.join(near, F.col("at") == F.col("x")).select(
-            "at", F.least("name", "near").alias("next"), F.col("name").alias("before"))
-        jump = lower.select(F.col("at").alias("there"), F.col("next").alias("name"))
-        stepped = kept(lower.join(jump, F.col("next") == F.col("there")).select(
-            "at", "name", "before"))
+        stepped = names.join(near, F.col("at") == F.col("x")).select(
+            "at", F.least("name", "near").alias("name"), F.col("name").alias("before"))
+        rounds += 1
+        if rounds > 2:
+            # Hubs are settled by now; what is left are paths.
+            lower = stepped.withColumnRenamed("name", "next")
+            jump = lower.select(F.col("at").alias("there"), F.col("next").alias("name"))
+            stepped = lower.join(jump, F.col("next") == F.col("there")).select(
+                "at", "name", "before")
+        stepped = kept(stepped)
         names = stepped.select("at", "name")
         if stepped.where("name != before").isEmpty():
             break

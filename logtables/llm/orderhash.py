@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtables.llm.components import connected
-from logtables.llm.shared import kept
+from logtables.llm.shared import kept, release
 
-WORDS, MINIMA, REPEATS, SIMILARITY = 5, 3, 16, 0.8
+#: Texts that agree to SIMILARITY share one of the REPEATS sketches with a probability of 0.9996.
+WORDS, MINIMA, REPEATS, SIMILARITY = 5, 5, 20, 0.8
 #: Words whose shingles are hashed at once; a longer text is hashed as one.
 STRETCH = 1 << 18
 #: Rounds in which each open bucket compares its members with one of them, before all others.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 #: The id that stands for a null one.
 LEAST = -(1 << 63)
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -122,27 +123,31 @@ def order_sketches(labelled: np.ndarray, places: np.ndarray, repeats: int = REPE
     if not len(full):
         return out
     begin, size = places[:-1][full], sizes[full]
-    last = np.uint64(0xFFFFFFFFFFFFFFFF)
+    # Only hashes below a text's limit can be among its smallest: some 6 times as many as are asked
+    # for. The rare text with fewer of them is looked at whole.
+    share = np.minimum(6.0 * minima / size, 1.0)
+    limit = np.where(share < 1, share * 2.0**64, 2.0**64 - 2.0**11).astype(np.uint64)
+    limits, owner = np.repeat(limit, size), np.repeat(np.arange(len(full)), size)
+    limits[np.repeat(share >= 1, size)] = np.uint64(0xFFFFFFFFFFFFFFFF)
     for r in range(repeats):
         with np.errstate(over="ignore"):
             value = mixed(labelled + np.uint64(r + 1) * BASE)
-        chosen = []
-        for m in range(minima):
-            least = np.minimum.reduceat(value, begin)
-            at = np.flatnonzero(value == np.repeat(least, size))
-            if m:
-                # Texts with fewer shingles have none left.
-                at = at[value[at] != last]
-            value[at] = last
-            chosen.append(at)
-        at = np.sort(np.concatenate(chosen))
-        owner = np.searchsorted(begin, at, side="right") - 1
-        rank = np.arange(len(at)) - np.searchsorted(owner, owner)
+        at = np.flatnonzero(value <= limits)
+        found = np.bincount(owner[at], minlength=len(full))
+        few = np.flatnonzero(found < np.minimum(minima, size))
+        if len(few):
+            more = np.concatenate([np.arange(b, b + n) for b, n in zip(
+                begin[few], size[few], strict=True)])
+            at = np.concatenate([at[~np.isin(owner[at], few)], more])
+        at = at[np.lexsort((value[at], owner[at]))]
+        rank = np.arange(len(at)) - np.searchsorted(owner[at], owner[at])
+        at = np.sort(at[rank < minima])
+        rank = np.arange(len(at)) - np.searchsorted(owner[at], owner[at])
         sketch = np.full(len(full), r + 1, np.uint64)
         with np.errstate(over="ignore"):
             for m in range(minima):
-                use = rank == m
-                sketch[owner[use]] = mixed(sketch[owner[use]] * BASE + labelled[at[use]])
+                use = at[rank == m]
+                sketch[owner[use]] = mixed(sketch[owner[use]] * BASE + labelled[use])
         out[full, r] = sketch
     return out
 
@@ -207,6 +212,9 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
         return True
     if min(len(a), len(b)) < need:
         return False
+    # No more places can match than have a partner anywhere; in most false pairs too few do.
+    if min(np.isin(a, b).sum(), np.isin(b, a).sum()) < need:
+        return False
     where: dict[int, int] = {}
     for j, token in enumerate(b.tolist()):
         where[token] = where.get(token, 0) | 1 << j
@@ -230,8 +238,8 @@ def verified(pairs: DataFrame, tokens: DataFrame, similarity: float = SIMILARITY
         for batch in batches:
             good = []
             for one, other in zip(batch["words_a"], batch["words_b"], strict=True):
-                sides = [shingles(w, np.array([0, len(w)]))[0]
-                         for w in (np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64))]
+                sides = [shingles(w.astype(np.uint64), np.array([0, len(w)]))[0]
+                         for w in (np.frombuffer(one, "<u4"), np.frombuffer(other, "<u4"))]
                 good.append(aligned(*sides, similarity))
             yield batch.loc[good, ["a", "b"]]
 
@@ -336,6 +344,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
     chosen = named.join(members.select("id").distinct(), "id").select(
         F.col("id").alias("text_id"), F.col("first.id").alias("id"), F.col("first.tag").alias("tag"))
     tokens = kept(_tokens(rows.join(chosen, ["id", "tag"])))
+    release(docs.sparkSession)
     labels = links(members, tokens, similarity)
     classes = named.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = classes.groupBy("label").agg(F.min("first").alias("class"))
@@ -348,7 +357,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def _tokens(rows: DataFrame) -> DataFrame:
-    """(id, words): the word hashes of the texts, by the id of the text."""
+    """(id, words): the word hashes of the texts, cut to 32 bits, by the id of the text."""
 
     def tokenize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -357,7 +366,7 @@ def _tokens(rows: DataFrame) -> DataFrame:
                 words, places = word_hashes(part)
                 yield pd.DataFrame({
                     "id": ids[begin:begin + len(part)],
-                    "words": [words[a:b].tobytes()
+                    "words": [words[a:b].astype("<u4").tobytes()
                               for a, b in zip(places[:-1], places[1:], strict=True)]})
 
     return rows.select("text_id", "text").mapInPandas(

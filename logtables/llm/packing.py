@@ -23,9 +23,11 @@ from logtables.llm.shared import kept, ranked
 
 CAPACITY = 2048
 #: Pieces above this share of the capacity are large: they are grouped and configured.
-LARGE = 1 / 8
+LARGE = 1 / 3
 #: Groups of equal cardinality, hence sizes that configurations are made of.
-GROUPS = 48
+GROUPS = 64
+#: Configurations less full than this are not used; their pieces are left to best fit.
+TIGHT = 0.985
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -165,11 +167,12 @@ def equal_groups(counts: dict[int, int], groups: int) -> list[list[int]]:
 
 
 def configurations(sizes: list[int], demand: list[int], capacity: int,
-                   rounds: int = 2000) -> list[tuple[np.ndarray, int]]:
+                   rounds: int = 500) -> list[tuple[np.ndarray, int]]:
     """Bins for few sizes: a linear programme by column generation, rounded down.
 
     Each column is a configuration; a knapsack over the duals finds one that improves. The pieces
-    that rounding down leaves over are at most a bin's content for each size.
+    that rounding down leaves over are at most a bin's content for each size. After `rounds`
+    columns it stops with what it has, which is a packing too.
     """
     size, need = np.array(sizes), np.array(demand, float)
     k = len(size)
@@ -207,7 +210,7 @@ def configurations(sizes: list[int], demand: list[int], capacity: int,
 
 
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, large: float = LARGE,
-              groups: int = GROUPS) -> Plan:
+              groups: int = GROUPS, tight: float = TIGHT) -> Plan:
     """The packing of so many pieces of each length; its cost does not depend on their number."""
     if any(n < 1 or n > capacity for n in counts):
         raise ValueError("lengths must be between 1 and the capacity")
@@ -217,8 +220,10 @@ def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, large: float = L
     big = {n: c for n, c in counts.items() if capacity * large < n < capacity and c > 0}
     if big:
         grouped = equal_groups(big, groups)
-        plan.configure(grouped, configurations(
-            [max(g) for g in grouped], [sum(big[n] for n in g) for g in grouped], capacity))
+        sizes = [max(g) for g in grouped]
+        found = configurations(sizes, [sum(big[n] for n in g) for g in grouped], capacity)
+        plan.configure(grouped, [(slots, bins) for slots, bins in found
+                                 if (slots * np.array(sizes)).sum() >= tight * capacity])
     for length in sorted(plan.left, reverse=True):
         if plan.left[length]:
             plan.fit(length)

@@ -1,0 +1,117 @@
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from logtables.llm import langid
+
+from .cases import edges, nothing
+
+TRAIN = {"aa": ["bana nana bananas nab", "ana bana naan"], "bb": ["kilo likö ok lil", "oki kolo lö"]}
+
+
+def padded(text):
+    low = "".join(c.lower() if c.isalpha() else " " for c in text)
+    out = []
+    for c in low:
+        if c != " " or (out and out[-1] != " "):
+            out.append(c)
+    return "\0" * (langid.ORDER - 1) + "".join(out)
+
+
+def brute(texts):
+    """Interpolated Kneser-Ney by definition: a function of (context, character)."""
+    counts = [Counter() for _ in range(langid.ORDER + 1)]
+    top = Counter()
+    for t in texts:
+        p = padded(t)
+        for i in range(langid.ORDER - 1, len(p)):
+            top[p[i - langid.ORDER + 1:i + 1]] += 1
+    counts[langid.ORDER] = top
+    for n in range(langid.ORDER - 1, 0, -1):
+        for gram in counts[n + 1]:
+            counts[n][gram[1:]] += 1
+    discount = [0.0] * (langid.ORDER + 1)
+    for n in range(1, langid.ORDER + 1):
+        ones, twos = (sum(v == k for v in counts[n].values()) for k in (1, 2))
+        discount[n] = min(0.95, max(0.05, ones / max(1, ones + 2 * twos)))
+
+    def p(gram, size):
+        n = len(gram)
+        if n == 0:
+            return 1 / size
+        rest = [v for g, v in counts[n].items() if g[:-1] == gram[:-1]]
+        if not rest:
+            return p(gram[1:], size)
+        own = max(0.0, counts[n][gram] - discount[n]) / sum(rest) if counts[n][gram] else 0.0
+        return own + discount[n] * len(rest) / sum(rest) * p(gram[1:], size)
+
+    return p, {g for g in counts[1]}
+
+
+def test_probabilities_are_those_of_the_definition(spark):
+    rows = [(lang, t) for lang, texts in TRAIN.items() for t in texts]
+    model = langid.fit(langid.count_grams(
+        spark.createDataFrame(rows, "lang string, text string")).toPandas())
+    parts = {lang: brute(texts) for lang, texts in TRAIN.items()}
+    known = set().union(*(chars for _, chars in parts.values()))
+    text = "banana kilo loki naö"
+    bits, size, letters = model.bits([text])
+    p = padded(text)
+    for i, lang in enumerate(model.langs):
+        expected = -sum(math.log2(parts[lang][0](p[j - 3:j + 1], len(known) + 1))
+                        for j in range(3, len(p)))
+        assert bits[0, i] == pytest.approx(expected, rel=1e-4)
+    assert size[0] == len(p) - 3 and letters[0] == 17
+
+
+def test_probabilities_sum_to_one():
+    rows = pd.DataFrame({"lang": [], "text": []})
+    assert langid.fit(rows.assign(n=[])).langs == []
+
+
+def test_stretches_lose_no_text():
+    texts = ["", "a" * 10, "b" * (langid.STRETCH * 2 + 5), "c"]
+    back = defaultdict(str)
+    for part in langid.stretches(texts):
+        for i, t in part:
+            back[i] += t
+    assert [back[i] for i in range(4)] == texts
+
+
+def test_edges(spark):
+    found = langid.identify(edges(spark)).collect()
+    assert len(found) == edges(spark).count()
+    for r in found:
+        assert 0 <= r.score <= 1
+        assert (r.lang_pred == "und") == (r.cross_entropy is None or np.isnan(r.cross_entropy))
+    assert {r.lang_pred for r in found if r.doc_id in (3, 4, 5, 6, 15)} == {"und"}
+    assert all(r.rejected for r in found if r.lang_pred == "und")
+
+
+def test_nothing(spark):
+    assert langid.identify(nothing(spark)).count() == 0
+    kept = langid.keep_known(edges(spark))
+    assert kept.columns == edges(spark).columns
+
+
+def test_held_out_accuracy(spark):
+    """Learnt from some documents, right on the others; their labels are not looked at."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.doc_id: r for r in langid.identify(docs).collect()}
+    mine = [(found[r.doc_id].lang_pred, r.lang) for r in docs.collect() if found[r.doc_id].held_out]
+    assert len(mine) > 200 and sum(a == b for a, b in mine) / len(mine) > 0.98
+    from pyspark.sql import functions as F
+    blind = docs.withColumn("lang", F.when(~langid.held_out(), F.col("lang")))
+    again = {r.doc_id: r.lang_pred for r in langid.identify(blind).collect()}
+    assert again == {k: r.lang_pred for k, r in found.items()}
+
+
+def test_random_characters_are_rejected_and_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    noise = spark.createDataFrame([(10**6, "qzxj wvkq xzzq jqxv kzqw " * 40, None, "s", 1000)],
+                                  docs.schema)
+    kept = langid.keep_known(docs.unionByName(noise))
+    assert kept.count() == docs.count() and kept.where("doc_id = 1000000").count() == 0

@@ -1,0 +1,63 @@
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from logtables.llm import langid, orderhash, streamdedup, suffixes
+from logtables.llm.queries import ORACLE, QUERIES
+
+from .cases import edges, nothing
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_in_order():
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "language_id", "exact_dedup", "minhash_near_dedup", "suffix_array_dedup",
+        "best_fit_packing"]
+
+
+def test_each_stage_does_what_its_operator_says(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = [docs]
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, found[-1], SF).write.parquet(f"{tmp_path}/{i}")
+        found.append(spark.read.parquet(f"{tmp_path}/{i}"))
+        assert found[-1].columns == docs.columns
+
+    def ids(df):
+        return sorted(r.doc_id for r in df.select("doc_id").collect())
+
+    assert ids(found[1]) == ids(langid.identify(docs).where("NOT rejected"))
+    assert ids(found[2]) == ids(streamdedup.duplicates(found[1]).where("kept"))
+    assert ids(found[3]) == ids(orderhash.near_copies(found[2]).where("kept"))
+    assert ids(found[4]) == ids(found[3])
+    left = suffixes.remove_repeats(found[3], with_text=True).collect()
+    texts = {r.doc_id: (r.text, r.n_chars) for r in found[4].collect()}
+    for r in left:
+        kept = bytes(r.kept).decode("utf-8", "ignore")
+        assert texts[r.doc_id] == (kept, len(kept))
+    assert sum(r.n_removed for r in left) > 0
+    packed = corpus_pipeline.run(spark, SF)
+    assert sorted({r.doc_id for r in packed.collect()}) == ids(found[4])
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_cope_with_edges(spark, tmp_path, name, stage):
+    edges(spark).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    found = stage(spark, docs, SF)
+    if name != "best_fit_packing":
+        assert found.columns == docs.columns and found.schema["text"] == docs.schema["text"]
+    rows = found.count()
+    if name == "exact_dedup":
+        assert rows == docs.select(F.lower(F.coalesce("text", F.lit("")))).distinct().count()
+    assert rows > 0
+    nothing(spark).write.parquet(f"{tmp_path}/none")
+    assert stage(spark, spark.read.parquet(f"{tmp_path}/none"), SF).count() == 0
+
+
+def test_registered():
+    import __spark_entry__ as driver
+    assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
+    assert len([q for q in QUERIES if q.startswith("op")]) == 10
+    assert set(ORACLE) <= set(QUERIES)

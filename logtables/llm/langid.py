@@ -21,7 +21,7 @@ ORDER = 4
 #: only bound here: texts are read whole, and every document is scored.
 ROWS_PER_LANGUAGE = 2000
 #: Characters that are scored at once. A longer text is scored in stretches of this size.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 SPACE, START = 32, 0
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = "und"

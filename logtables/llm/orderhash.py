@@ -22,7 +22,7 @@ from logtables.llm.shared import kept, release
 #: Texts that agree to SIMILARITY share one of the REPEATS sketches with a probability of 0.9996.
 WORDS, MINIMA, REPEATS, SIMILARITY = 5, 5, 20, 0.8
 #: Words whose shingles are hashed at once; a longer text is hashed as one.
-STRETCH = 1 << 18
+STRETCH = 1 << 17
 #: Rounds in which each open bucket compares its members with one of them, before all others.
 HUB_ROUNDS = 2
 #: The id that stands for a null one.

@@ -105,7 +105,7 @@ def seen(spark: SparkSession, state: str) -> DataFrame:
 
 def compare(rows: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Digests under which bytes differ, and the rows of these grouped by their bytes."""
-    hits = members.where("group_size > 1").select("id", "digest", "keep_id")
+    hits = members.where("group_size > 1").select("id", "digest", "keep_id").distinct()
     texts = kept(rows.join(hits, ["id", "digest"]).select("id", "digest", "keep_id", "norm"))
     first = (texts.where("id = keep_id").groupBy("digest").agg(F.max("norm").alias("first")))
     wrong = kept(texts.join(first, "digest").where("norm != first").select("digest").distinct())

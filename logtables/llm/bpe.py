@@ -16,6 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logtables.llm.shared import in_small_batches
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens whose ids a worker remembers; beyond that it starts anew. Results do not depend on it.
 REMEMBERED = 500_000
@@ -185,7 +187,7 @@ def encode_text(docs: DataFrame, text: str = "text", into: str = "ids",
             yield pd.Series([np.frombuffer(packed_ids(t, memory, pattern), "<u4").astype(np.int64)
                              for t in texts.fillna("")])
 
-    return docs.withColumn(into, encode(F.col(text)))
+    return in_small_batches(docs).withColumn(into, encode(F.col(text)))
 
 
 def decode_ids(docs: DataFrame, ids: str = "ids", into: str = "decoded",
@@ -224,4 +226,4 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text",
                              hashlib.sha256(decoded).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(key), trip(F.col(text)).alias("_found")).select(key, "_found.*")
+    return in_small_batches(docs).select(F.col(key), trip(F.col(text)).alias("_found")).select(key, "_found.*")

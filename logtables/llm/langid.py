@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logtables.llm.shared import in_small_batches
+
 ORDER = 4
 #: About so many labelled documents per language are learnt from, chosen by a hash of their id. The
 #: only bound here: texts are read whole, and every document is scored.
@@ -299,7 +301,7 @@ def train(docs: DataFrame, labelled: Column, key: str = "doc_id", text: str = "t
     their key. Four in five of them are counted, the others calibrate. What comes to the driver is
     bounded by this sample; counting runs on the executors.
     """
-    known = docs.where(labelled & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+    known = in_small_batches(docs).where(labelled & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
         bucket(F.coalesce(F.col(key).cast("string"), F.lit("")), "rows").alias("drawn"),
         bucket(F.coalesce(F.col(key).cast("string"), F.lit("")), "part").alias("part"))

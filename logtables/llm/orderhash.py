@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtables.llm.components import connected
-from logtables.llm.shared import kept, release
+from logtables.llm.shared import in_small_batches, kept, release
 
 #: Texts that agree to SIMILARITY share one of the REPEATS sketches with a probability of 0.9996.
 WORDS, MINIMA, REPEATS, SIMILARITY = 5, 5, 20, 0.8
@@ -331,7 +331,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
     results. An empty table gives no rows. Other columns are not read.
     """
     text = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(LEAST)).alias("id"),
+    rows = in_small_batches(docs).select(F.coalesce(F.col(key).cast("bigint"), F.lit(LEAST)).alias("id"),
                        F.xxhash64(text).alias("tag"), text.alias("text"))
     found = kept(sketched(rows))
     # One document stands for all with the same words.

@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtables.llm.shared import kept, ranked
+from logtables.llm.shared import in_small_batches, kept, ranked
 
 CAPACITY = 2048
 #: Pieces above this share of the capacity are large: they are grouped and configured.
@@ -61,7 +61,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0,
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]
                                ).astype({"doc_id": "Int64"})
 
-    texts = docs.select(F.col(key).cast("bigint").alias("id"),
+    texts = in_small_batches(docs).select(F.col(key).cast("bigint").alias("id"),
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
     return texts.mapInPandas(cut, PIECES)
 

@@ -9,6 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Bytes of a batch that is handed to Python, whatever the number and length of its rows; one
+#: longer text is a batch of its own.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """`df`, after bounding the session's Arrow batches by bytes: texts differ in length a
+    thousandfold, so a number of rows bounds nothing."""
+    df.sparkSession.conf.set(*BATCH)
+    return df
+
+
 def root(spark: SparkSession) -> str:
     """The folder that driver and executors share: `spark.checkpoint.dir`.
 

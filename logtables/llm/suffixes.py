@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtables.llm.orderhash import POWERS, mixed, portions
-from logtables.llm.shared import kept, release
+from logtables.llm.shared import in_small_batches, kept, release
 
 SPAN = 50
 #: Length of an anchor's k-gram; at least one lies in each window, chosen among SPAN - K + 1.
 K = 20
 #: Bytes that chunks are looked for in at once; a longer text is taken as one.
-STRETCH = 1 << 20
+STRETCH = 1 << 19
 #: Characters of text whose chunks a task sorts and sends together.
 TOGETHER = 8 << 20
 #: Chunks of one k-gram that a task sends on; if it has more, they are contested anyway and it sends
@@ -521,7 +521,7 @@ def removals(rows: DataFrame, span: int, k: int, with_text: bool) -> DataFrame:
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     text = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(LEAST)).alias("id"),
+    return in_small_batches(docs).select(F.coalesce(F.col(key).cast("bigint"), F.lit(LEAST)).alias("id"),
                        F.xxhash64(text).alias("tag"), text.alias("text"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtables.llm import langid
-from logtables.llm.shared import kept
+from logtables.llm.shared import in_small_batches, kept
 
 #: What a character may stand for. Common substitutions.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -41,7 +41,7 @@ NOTHING, TOXIC_FROM = 0.01, 0.7
 REMEMBERED = 400_000
 LAST_LATIN = 0x24F
 
-SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?=[.,;:?!\"')]*(?!\S))")
 RUNS = re.compile(r"(.)\1\1")
 DOUBLED = re.compile(r"(.)\1+")
 TOKEN = re.compile(r"\S+")
@@ -222,7 +222,7 @@ class Scorer:
 
 def learn_channel(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Channel:
     """The character model of all documents that are not held out."""
-    texts = docs.where(~langid.held_out(key) & F.col(text).isNotNull()).select(
+    texts = in_small_batches(docs).where(~langid.held_out(key) & F.col(text).isNotNull()).select(
         F.col(text).alias("text"))
     model = langid.fit(count_words(texts).toPandas())
     if not model.langs:

@@ -43,7 +43,7 @@ def test_blocks_and_edges(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(v) for v in rng.normal(0, 0.2, 6)], "x", 1) for i in range(120)]
     rows += [(200, None, "x", 1), (220, [0.1, None, 0.2, 0.0, 0.0, 0.1], "x", 1),
-             (240, [NAN] * 6, "x", 1), (260, [INF, 0, 0, 0, 0, 0.0], "x", 1), (None, [0.1] * 6, "x", 1),
+             (240, [NAN] * 6, "x", 1), (260, [INF, 0.0, 0.0, 0.0, 0.0, 0.0], "x", 1), (None, [0.1] * 6, "x", 1),
              (280, [0.5, 0.5], "x", 1), (300, [], "x", 1), rows[20], (20, [0.9] * 6, "x", 1)]
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, rank string, q int")
     found = topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=4, candidates=16, queries=3)

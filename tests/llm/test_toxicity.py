@@ -71,7 +71,7 @@ def test_edges(spark):
 
 def test_held_out_documents(spark):
     """Plain and disguised insults in documents whose labels were not learnt from."""
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 4000")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     disguised = docs.withColumn("text", F.when(langid.held_out(), F.regexp_replace(
         F.regexp_replace("text", "idiot", "1d10t"), "scum", "s.c.u.m")).otherwise(F.col("text")))

@@ -72,9 +72,12 @@ def export_windows(logs: DataFrame, config: LogExportConfig, wanted: DataFrame,
     attempt = uuid.uuid4().hex
     try:
         scanned = log_source.scan_range(logs, first, last + config.window_ms, time, day)
-        found = outcomes(scanned, config, insert_id, time).join(todo, "window_start", "left_semi")
-        counts = tables.write_attempt(found, config, root, attempt, insert_id,
-                                      spread or tables.spread_of(spark, count))
+        # Ahead of the extraction: a bad row of another window is none of this run's business.
+        scanned = windows.assign_window(scanned, config.window_ms, time).join(
+            todo, "window_start", "left_semi")
+        counts = tables.write_attempt(
+            outcomes(scanned, config, insert_id, time), config, root, attempt, insert_id,
+            spread or tables.spread_of(spark, count))
         done = todo.join(counts, "window_start", "left").fillna(0, ["row_count"])
         done = tables.run_rows(done, config.name, config.window_ms)
         tables.append_runs(done, ledger, attempt)

@@ -95,6 +95,18 @@ def test_only_wanted_windows_are_exported_and_once(spark, tmp_path):
     assert sorted(r.window_start for r in runs.collect()) == [T0, T0 + 2 * DAY]
 
 
+def test_a_bad_row_of_another_window_does_not_abort(spark, tmp_path):
+    config = LogExportConfig("web", FieldSet((fields.HTTP, fields.USER)), window_ms=DAY)
+    logs = inputs.core_logs(spark, SF).withColumn("nickname", F.expr(
+        f"if(start_time_usec >= {(T0 + DAY) * 1000}L, NULL, nickname)"))
+    some = planned(spark, T0, 1).unionAll(planned(spark, T0 - 3 * DAY, 1))
+    log_export.export_windows(logs, config, some, str(tmp_path))
+    gap = planned(spark, T0 - DAY, 1).unionAll(planned(spark, T0 + 40 * DAY, 1))
+    log_export.export_windows(logs, config, gap, str(tmp_path))
+    found = tables.read_rows(spark, str(tmp_path), config)
+    assert {r.window_start for r in found.collect()} == {T0}
+
+
 def test_another_time_column_leaves_finished_windows_alone(spark, tmp_path):
     config = LogExportConfig("web", SET, window_ms=DAY)
     logs = inputs.core_logs(spark, SF).withColumn("seen_usec", F.expr(

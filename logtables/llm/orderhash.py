@@ -23,8 +23,10 @@ from logtables.llm.shared import in_small_batches, kept, release
 WORDS, MINIMA, REPEATS, SIMILARITY = 5, 5, 20, 0.8
 #: Words whose shingles are hashed at once; a longer text is hashed as one.
 STRETCH = 1 << 17
-#: Rounds in which each open bucket compares its members with one of them, before all others.
-HUB_ROUNDS = 2
+#: Buckets of up to SMALL texts list their pairs; larger ones are compared by blocks of about BLOCK.
+SMALL, BLOCK = 32, 192
+#: Shingles whose overlaps are counted at once.
+COLUMNS = 8192
 #: The id that stands for a null one.
 LEAST = -(1 << 63)
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -271,52 +273,102 @@ def _pairs(rows: DataFrame, done: DataFrame | None, similarity: float) -> DataFr
     return found if done is None else found.join(done, ["a", "b"], "left_anti")
 
 
-def links(members: DataFrame, tokens: DataFrame, similarity: float = SIMILARITY,
-          hub_rounds: int = HUB_ROUNDS) -> DataFrame:
+def links(members: DataFrame, tokens: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Components (id, label) of the texts that have a partner.
 
-    In a round, each bucket whose members are not all in one component compares the members outside
-    its hub's component with the hub, its heaviest member not used so far. Copies of one text are
-    joined by that, at a cost in proportion to their number. What is left, pairs of a bucket in
-    different components that were not compared, is then compared whatever their number, so no link
-    is lost: a pair is only left out if a path of links joins it anyway.
+    First each bucket compares its members with its hub, the heaviest one: copies of one text are
+    joined by that, at a cost in proportion to their number. What is left are the pairs of a bucket
+    in different components. In small buckets they are listed and compared; large buckets are
+    cut into blocks, and each pair of blocks is compared in one task (see `compare_blocks`). Nothing
+    is left out but pairs that a path of links joins anyway.
     """
     ids = members.select("id").distinct()
     labels = kept(ids.select("id", F.col("id").alias("label")))
-    done, used = None, None
-    for number in range(hub_rounds + 1):
-        own = members.join(labels, "id")
-        if number == hub_rounds:
-            count = own.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-            main = count.groupBy("bucket").agg(
-                F.max(F.struct("n", "label"))["label"].alias("main"),
-                F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
-            rest = own.join(main, "bucket").where("label != main").select(
-                "bucket", F.col("id").alias("id_2"), F.col("size").alias("size_2"),
-                F.col("label").alias("label_2"))
-            rows = own.join(rest, "bucket")
-        else:
-            open_ = own.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")
-                                              ).where("x < y").select("bucket")
-            own = own.join(open_, "bucket")
-            free = own if used is None else own.join(used, ["bucket", "id"], "left_anti")
-            hubs = free.groupBy("bucket").agg(F.max(F.struct(
-                "weight", (-F.col("id")).alias("first"), "id", "size", "label")).alias("hub")
-            ).select("bucket", F.col("hub.id").alias("id_2"), F.col("hub.size").alias("size_2"),
-                     F.col("hub.label").alias("label_2"))
-            hubs = kept(hubs)
-            tried = hubs.select("bucket", F.col("id_2").alias("id"))
-            used = tried if used is None else used.unionByName(tried)
-            rows = own.join(hubs, "bucket")
-        pairs = kept(_pairs(rows, done, similarity))
-        if pairs.isEmpty():
-            if number < hub_rounds:
-                continue
-            break
-        done = pairs if done is None else done.unionByName(pairs)
-        new = kept(verified(pairs, tokens, similarity))
-        labels = connected(labels, new)
-    return labels
+    hubs = members.groupBy("bucket").agg(F.max(F.struct(
+        "weight", (-F.col("id")).alias("first"), "id", "size")).alias("hub")).select(
+        "bucket", F.col("hub.id").alias("id_2"), F.col("hub.size").alias("size_2"))
+    first = members.join(hubs, "bucket").withColumns(
+        {"label": F.col("id"), "label_2": F.col("id_2")})
+    pairs = kept(_pairs(first, None, similarity))
+    labels = connected(labels, kept(verified(pairs, tokens, similarity)))
+
+    own = members.join(labels, "id")
+    counts = own.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    open_ = kept(counts.groupBy("bucket").agg(
+        F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("n"),
+        F.count("*").alias("kinds")).where("kinds > 1").drop("kinds"))
+    small, large = open_.where(F.col("n") <= SMALL), open_.where(F.col("n") > SMALL)
+    rest = own.join(small.select("bucket", "main"), "bucket").where("label != main").select(
+        "bucket", F.col("id").alias("id_2"), F.col("size").alias("size_2"),
+        F.col("label").alias("label_2"))
+    found = verified(kept(_pairs(own.join(rest, "bucket"), pairs, similarity)), tokens, similarity)
+    return connected(labels, kept(found.unionByName(_by_blocks(own, large, tokens, similarity))))
+
+
+def _by_blocks(own: DataFrame, large: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) in large buckets: every member meets every block of its bucket once."""
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    dealt = own.join(large.select("bucket", blocks.alias("blocks")), "bucket").withColumn(
+        "mine", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
+    met = dealt.select("bucket", "id", "label", "mine", F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "bucket", "id", "label", "mine", F.least("mine", "other").alias("one"),
+        F.greatest("mine", "other").alias("two"))
+    return met.join(tokens, "id").groupBy("bucket", "one", "two").applyInPandas(
+        lambda key, group: compare_blocks(group, key[1], key[2], similarity),
+        "a bigint, b bigint")
+
+
+def overlaps(found: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two of the (distinct) sequences have in common."""
+    owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
+    _, code, count = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+    # Shingles of one text only are in no overlap; the others by some thousand at a time.
+    use = count[code] > 1
+    name = np.cumsum(count > 1) - 1
+    owner, code = owner[use], name[code[use]]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    out = np.zeros((len(found), len(found)), np.float32)
+    for begin in range(0, int((count > 1).sum()), COLUMNS):
+        a, b = np.searchsorted(code, [begin, begin + COLUMNS])
+        held = np.zeros((len(found), COLUMNS), np.float32)
+        held[owner[a:b], code[a:b] - begin] = 1
+        out += held @ held.T
+    return out.astype(np.int64)
+
+
+def compare_blocks(group: pd.DataFrame, one: int, two: int, similarity: float) -> pd.DataFrame:
+    """Links between two blocks of a bucket, or within one.
+
+    The shingles two texts have in common bound their alignment from above; where the bound is
+    enough and no link found here joins the two already, they are aligned.
+    """
+    group = group.sort_values("id", ignore_index=True)
+    words = [np.frombuffer(w, "<u4").astype(np.uint64) for w in group["words"]]
+    plain = [shingles(w, np.array([0, len(w)]))[0] for w in words]
+    common = overlaps([with_occurrence(p, np.array([0, len(p)])) for p in plain])
+    sizes = np.array([len(p) for p in plain])
+    total = sizes[:, None] + sizes[None]
+    enough = common >= np.ceil(similarity * total / (1 + similarity) - 1e-9)
+    mine = group["mine"].to_numpy()
+    enough &= np.triu(np.ones_like(enough), 1)
+    if one != two:
+        enough &= mine[:, None] != mine[None]
+    parent = {label: label for label in group["label"].tolist()}
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    ids, labels, good = group["id"].tolist(), group["label"].tolist(), []
+    for i, j in zip(*map(np.ndarray.tolist, np.nonzero(enough)), strict=True):
+        x, y = top(labels[i]), top(labels[j])
+        if x != y and aligned(plain[i], plain[j], similarity):
+            good.append((ids[i], ids[j]))
+            parent[x] = y
+    return pd.DataFrame(good, columns=["a", "b"], dtype="int64")
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",

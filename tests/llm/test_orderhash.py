@@ -132,6 +132,36 @@ def test_groups_of_near_copies(spark):
     assert found == classes(rows)
 
 
+@pytest.mark.parametrize("small, block", [(1, 4), (1, 1000), (3, 7)])
+def test_blocks_lose_no_link(spark, monkeypatch, small, block):
+    """Copies just within and just beyond the similarity, in buckets compared by blocks."""
+    monkeypatch.setattr(orderhash, "SMALL", small)
+    monkeypatch.setattr(orderhash, "BLOCK", block)
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(300)]
+    base = [rng.choice(vocabulary) for _ in range(160)]
+    rows = []
+    for i in range(50):
+        words = list(base)
+        for _ in range(rng.randint(1, 5)):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        rows.append((i, " ".join(words)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = sorted((r.doc_id, r.class_id) for r in orderhash.near_copies(table).collect())
+    assert found == classes(rows)
+
+
+def test_overlaps_are_counted(monkeypatch):
+    monkeypatch.setattr(orderhash, "COLUMNS", 3)
+    rng = np.random.default_rng(1)
+    sets = [rng.choice(40, n, replace=False).astype(np.uint64) for n in (0, 1, 5, 12, 30, 40)]
+    found = orderhash.overlaps(sets)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if i != j:
+                assert found[i, j] == len(set(a.tolist()) & set(b.tolist()))
+
+
 def test_edges(spark):
     found = orderhash.near_copies(edges(spark)).collect()
     assert len(found) == len(edge_rows())

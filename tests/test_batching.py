@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -33,6 +35,40 @@ def test_transfer_and_numbers_follow_the_rule(sizes, limit, carry):
     assert found[0].tolist() == numbers and found[1:] == (open_bytes, batch)
 
 
+@settings(max_examples=300, deadline=None)
+@given(SIZES, st.lists(st.integers(0, 60), max_size=5), st.integers(1, 60), st.integers(0, 120))
+def test_composed_transfers_follow_the_rule(sizes, cuts, limit, carry):
+    array = np.array(sizes, dtype=np.int64)
+    transfer = greedy.NOTHING
+    for part in np.split(array, sorted(min(c, len(sizes)) for c in cuts)):
+        if len(part):
+            transfer = greedy.compose(transfer, greedy.summarize(part, limit), limit)
+    if sizes:
+        _, open_bytes, batch = walk(sizes, limit, carry)
+        assert transfer.apply(carry, limit) == (batch, open_bytes)
+
+
+def test_a_slice_is_never_held_whole():
+    """Many batches of one group pass through; what is kept is bounded by the limit."""
+    def batches():
+        for i in range(300):
+            yield pa.RecordBatch.from_pydict({
+                "_group": ["g"] * 10_000, "_slice": pa.array([0] * 10_000, pa.int32()),
+                "_size": np.full(10_000, 97 + i % 5)})
+
+    tracemalloc.start()
+    found = list(greedy.summarize_slice(50_000)(batches()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[0].num_rows == 1 and peak < 4_000_000  # all sizes would be 24 MB
+
+
+def test_groups_a_microsecond_apart_are_two(spark):
+    rows = spark.sql("SELECT timestamp_micros(id % 2) AS g, id AS o, 60L AS s FROM range(4)")
+    found = batching.byte_batches(rows, ["g"], ["o"], "s", limit=100, slices=2)
+    assert sorted((r.o, r.batch) for r in found.collect()) == [(0, 0), (1, 0), (2, 1), (3, 1)]
+
+
 def brute_force(table, limit):
     expected = {}
     for group in {g for g, _, _ in table}:

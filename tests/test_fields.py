@@ -168,3 +168,40 @@ def test_dedup_keeps_a_fixed_copy_and_is_idempotent(spark):
     assert sorted(dedup(once, first_by=["at"]).collect()) == sorted(once.collect())
     assert dedup(sent).count() == 2
     assert dedup(sent, key=None).count() == 3
+
+
+def test_records_are_built_by_name_and_parts_are_checked(spark):
+    logs = spark.sql("""
+        SELECT 'r1' AS id, named_struct('userAgent', 'ua', 'n', 'x', 'ip', '1.1') AS c,
+               array('1', 'x') AS a, 1.7D AS f
+        UNION ALL SELECT 'r2', named_struct('userAgent', 'ub', 'n', '7', 'ip', '2.2'),
+               array('1', '2'), 2.0D""")
+    record = FieldSpec("client", "record", "c", fields=(
+        FieldSpec("ip", "string"), FieldSpec("userAgent", "string"), FieldSpec("n", "integer")))
+    both = one_set(FieldSpec("requestId", "string", "id"), record,
+                   FieldSpec("items", "integer", "a", repeated=True),
+                   FieldSpec("number", "integer", "f"))
+    checked = rows.checked_rows(logs, both, 1000)
+    good = rows.valid_rows(checked, both).collect()
+    assert [(r.requestId, tuple(r.client), r["items"], r.number) for r in good] == [
+        ("r2", ("2.2", "ub", 7), [1, 2], 2)]
+    bad = rows.reject_rows(checked, both).collect()
+    assert sorted(r.message for r in bad) == [
+        "Value of client is not of type record", "Value of items is not of type integer",
+        "Value of number is not of type integer"]
+    assert {r.request_id for r in bad} == {"r1"}
+    with pytest.raises(PySparkException, match="altered"):
+        rows.export_rows(logs, one_set(FieldSpec("number", "integer", "f"))).collect()
+    with pytest.raises(InvalidFieldError, match="no value for ip"):
+        rows.export_rows(logs.withColumn("c", F.expr("named_struct('userAgent', 'x', 'n', '1')")),
+                         one_set(record))
+
+
+def test_shared_columns_stay_with_their_exporter(spark):
+    logs = spark.createDataFrame([("r", "1.1")], "id string, ip string")
+    one = Exporter("one", (FieldSpec("a", "string", "ip"), FieldSpec("b", "string", "own")),
+                   shared={"ip": "concat('hidden', ip)", "own": "'x'"})
+    two = Exporter("two", (FieldSpec("c", "string", "ip"), FieldSpec("d", "string", "own")),
+                   shared={"own": "'y'"})
+    assert tuple(rows.export_rows(logs, FieldSet((one, two)), ["ip"]).first()) == (
+        "1.1", "hidden1.1", "x", "1.1", "y")

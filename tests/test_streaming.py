@@ -98,3 +98,17 @@ def test_a_batch_run_again_replaces_its_own_files(spark, tmp_path):
         r.request_id for r in logs.collect())
     runs = list_runs(read_runs(spark, f"{root}/runs"))
     assert runs.agg(F.sum("row_count")).first()[0] == logs.count()
+
+
+def test_the_default_cadence_is_a_minute(spark, tmp_path):
+    """The first batch comes at once, the next with the next minute."""
+    root = str(tmp_path)
+    config = LogExportConfig("s", FieldSet((fields.HTTP, fields.TIMESTAMP)), window_ms=86_400_000)
+    query = stream.start_export(inputs.log_stream(spark, SF), config, root, f"{root}/state")
+    try:
+        query.processAllAvailable()
+        assert tables.read_rows(spark, root, config).count() == inputs.core_logs(spark, SF).count()
+        assert stream.EVERY_MINUTE == {"processingTime": "1 minute"}
+        assert query.isActive
+    finally:
+        query.stop()

@@ -35,9 +35,9 @@ SPAN = 50
 #: Length of an anchor's k-gram; at least one lies in each window, chosen among SPAN - K + 1.
 K = 20
 #: Bytes that chunks are looked for in at once; a longer text is taken as one.
-STRETCH = 1 << 19
+STRETCH = 1 << 17
 #: Characters of text whose chunks a task sorts and sends together.
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 #: Chunks of one k-gram that a task sends on; if it has more, they are contested anyway and it sends
 #: two as witnesses.
 SAME_GRAM = 8
@@ -136,7 +136,9 @@ def chunks(data: np.ndarray, bounds: np.ndarray, span: int, k: int) -> tuple[np.
         needs = at - (start + count - 1) <= span - k - side
         last = np.minimum(at + k, len(data) - side)
         after = np.where(needs, byte_of(sums, down, last, side), 0)
-    return value[anchor[first]], content, start, count, before.astype("u1"), after.astype("u1")
+    # Anchors have small hashes; mixed again, they spread over all destinations.
+    gram = mixed(~value[anchor[first]])
+    return gram, content, start, count, before.astype("u1"), after.astype("u1")
 
 
 def byte_of(sums: np.ndarray, down: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:

@@ -8,11 +8,14 @@ id. So what counts of a suffix are its first SPAN bytes, here called a window. F
 2. Equal chunks: all but those of the smallest document go. A chunk whose k-gram other documents
    have too is contested if, besides, its surroundings agree on one side: a window holds half the
    rest of SPAN before or after its anchor. The windows of all other chunks occur nowhere else.
-3. The suffixes at contested windows are sorted into runs where their texts are, and the runs are
-   exchanged front-coded: what a suffix has in common with the one before it, and the rest.
-4. Runs are merged by a loser tree that carries the common prefixes along, so no two suffixes are
-   compared from the beginning again. Equal windows become neighbours; all but the smallest
-   document's go.
+3. Contested chunks are sorted where their texts are, as suffixes from their anchors, and the runs
+   are exchanged front-coded: what a suffix has in common with the one before it, and the rest.
+   Chunks of one k-gram meet. Where a k-gram has very many, its windows are exchanged instead, in
+   runs of their own and spread by their content.
+4. Neighbours in the order of suffixes, and in that of what is before the anchors, tell how far a
+   chunk can agree with any other; windows beyond that go. The runs of the others are merged by a
+   loser tree that carries the common prefixes along, so no two suffixes are compared from
+   the beginning again. Equal windows become neighbours; all but the smallest document's go.
 
 Everything that moves is packed by task and destination; the texts move by blocks of documents.
 """
@@ -45,7 +48,11 @@ SAME_GRAM = 8
 FINE = 4
 #: The id that stands for a null one.
 LEAST = -(1 << 63)
-RECORD, GONE, CONTESTED, RUN = 0, 1, 2, 3
+RECORD, GONE, CONTESTED, RUN, HOT, CHUNKS = 0, 1, 2, 3, 4, 5
+#: Contested chunks of one k-gram that may meet in a task; the windows of more are spread.
+MEETING = 256
+#: Runs that a task merges chunks from.
+RUNS = 8
 PACKED = "kind int, part int, blob binary"
 MARK = ("<i8", "<u4", "<u4")  # document, first window, number of windows
 
@@ -191,7 +198,7 @@ def of_batch(ids: np.ndarray, raw: list[bytes], span: int, k: int, parts: int) -
     kinds = np.bincount(which, weights=new).astype(np.int64)
     nth = np.cumsum(new) - np.cumsum(new)[np.flatnonzero(new_gram)][which]
     many = (kinds > SAME_GRAM)[which] & left
-    rows += by_part(CONTESTED, block_of(doc[many], parts), [doc[many], start[many], count[many]])
+    rows += by_part(HOT, block_of(doc[many], parts), [doc[many], start[many], count[many]])
     send = left & (~many | (nth < 2))
     part = ((gram[send] >> np.uint64(44)).astype(np.int64) * parts) >> 20
     low = (gram[send] & np.uint64((1 << 44) - 1))
@@ -233,12 +240,14 @@ def meet(blobs: list[bytes], span: int, k: int, parts: int) -> pd.DataFrame:
         np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first))
     beside = beside_others(gram, content, before) | beside_others(gram, content, after)
     # Witnesses stand for chunks with any surroundings.
-    beside |= np.maximum.reduceat(witness, first)[which] > 0
+    seen = np.maximum.reduceat(witness, first)[which] > 0
+    beside |= seen
+    hot = seen | (np.bincount(which, weights=new) > MEETING)[which]
     # Witnesses are contested already where they come from.
     contested = several[which] & beside & ~gone & (witness == 0)
     gone &= witness == 0
     rows = []
-    for kind, use in ((GONE, gone), (CONTESTED, contested)):
+    for kind, use in ((GONE, gone), (CONTESTED, contested & ~hot), (HOT, contested & hot)):
         rows += by_part(kind, block_of(doc[use], parts), [doc[use], start[use], count[use]])
     return frame(rows)
 
@@ -326,48 +335,163 @@ def merged(runs: list[Run]) -> Iterator[tuple[int, int, int]]:
             node //= 2
 
 
-def sorted_runs(texts: dict[int, bytes], blobs: list[bytes], span: int, parts: int
-                ) -> pd.DataFrame:
-    """Contested suffixes of a block of documents (pass 3), as runs for each destination.
-
-    Within the block, only the smallest document keeps a window; the others' go at once.
-    """
-    tables = [unpack(b, *MARK) for b in blobs]
-    doc, start, count = [np.concatenate([t[i] for t in tables]) for i in range(3)]
-    count = count.astype(np.int64)
+def block_texts(texts: dict[int, bytes], blobs: list[bytes]) -> tuple:
+    """The texts that marks speak of, as one, and the marks: (ids, data, bounds, owner, start,
+    count)."""
+    doc, start, count = [np.concatenate(x) for x in zip(*[unpack(b, *MARK) for b in blobs],
+                                                        strict=True)]
     known, owner = np.unique(doc, return_inverse=True)
     raw = [texts.get(int(d), b"") for d in known]
-    data = np.frombuffer(b"".join(raw), np.uint8)
     bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-    owner = np.repeat(owner, count)
-    start = np.repeat(start.astype(np.int64), count) + (
-        np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count))
-    at = bounds[owner] + start
-    inside = at + span <= bounds[owner + 1]
-    owner, start, at = owner[inside], start[inside], at[inside]
-    if not len(at):
-        return frame([])
-    windows = data[at[:, None] + np.arange(span)]
-    order = order_windows(windows, owner)
-    windows, owner, start, at = windows[order], owner[order], start[order], at[order]
+    return (known, np.frombuffer(b"".join(raw), np.uint8), bounds, owner,
+            start.astype(np.int64), count.astype(np.int64))
+
+
+def first_of_equal(windows: np.ndarray, doc: np.ndarray, start: np.ndarray, parts: int
+                   ) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted windows of the smallest document of each content; the others go at once."""
+    order = order_windows(windows, doc)
+    windows, doc, start = windows[order], doc[order], start[order].astype("<u4")
     new = np.concatenate([[True], (windows[1:] != windows[:-1]).any(axis=1)])
-    least = owner[np.flatnonzero(new)][np.cumsum(new) - 1]
-    gone = owner > least
-    doc, start = known[owner], start.astype("<u4")
+    gone = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
     rows = list(by_part(GONE, block_of(doc[gone], parts), [
         doc[gone], start[gone], np.ones(int(gone.sum()), "<u4")]))
-    left = np.flatnonzero(~gone)
-    target = np.zeros(len(left), np.uint64)
-    for word in words_of(windows[left]):
+    return rows, windows[~gone], doc[~gone], start[~gone]
+
+
+def sorted_runs(texts: dict[int, bytes], blobs: list[bytes], span: int, parts: int) -> list[tuple]:
+    """Windows of hot chunks of a block of documents (pass 3), as runs for each destination."""
+    known, data, bounds, owner, start, count = block_texts(texts, blobs)
+    owner = np.repeat(owner, count)
+    start = np.repeat(start, count) + (
+        np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count))
+    inside = start + span <= np.diff(bounds)[owner]
+    owner, start = owner[inside], start[inside]
+    if not len(owner):
+        return []
+    windows = data[(bounds[owner] + start)[:, None] + np.arange(span)]
+    rows, windows, doc, start = first_of_equal(windows, known[owner], start, parts)
+    target = np.zeros(len(windows), np.uint64)
+    for word in words_of(windows):
         target = mixed(target ^ word)
     target = (target >> np.uint64(33)).astype(np.int64) % parts
     for part in np.unique(target):
-        mine = left[target == part]
-        common, rest = front_coded(windows[mine])
-        head = pack(common.astype("<u2"), doc[mine].astype("<i8"), start[mine])
-        rows.append((RUN, int(part), len(head).to_bytes(8, "little") + head
-                     + zstandard.ZstdCompressor(level=1).compress(rest)))
-    return frame(rows)
+        mine = np.flatnonzero(target == part)
+        rows.append((RUN, int(part), coded_run(windows[mine], doc[mine], start[mine])))
+    return rows
+
+
+def coded_run(rows: np.ndarray, *columns: np.ndarray) -> bytes:
+    """A front-coded run with columns beside it."""
+    common, rest = front_coded(rows)
+    head = pack(common.astype("<u2"), *columns)
+    return (len(head).to_bytes(8, "little") + head
+            + zstandard.ZstdCompressor(level=1).compress(rest))
+
+
+def decoded_run(blob: bytes, *types: str) -> tuple[list[int], bytes, list[np.ndarray]]:
+    end = 8 + int.from_bytes(blob[:8], "little")
+    common, *columns = unpack(blob[8:end], "<u2", *types)
+    rest = zstandard.ZstdDecompressor().decompress(blob[end:]) if len(common) else b""
+    return common.tolist(), rest, columns
+
+
+CHUNK = ("<i8", "<u4", "<u2", "<u2")  # document, first window, bytes before the anchor, windows
+
+
+def chunk_runs(texts: dict[int, bytes], blobs: list[bytes], span: int, k: int, parts: int
+               ) -> list[tuple]:
+    """Contested chunks of a block (pass 3): suffixes from the anchor, then what is before it
+    backwards, sorted and front-coded for each destination."""
+    known, data, bounds, owner, start, count = block_texts(texts, blobs)
+    inside = start + count + span - 1 <= np.diff(bounds)[owner]
+    owner, start, count = owner[inside], start[inside], count[inside]
+    if not len(owner):
+        return []
+    size, reach = count + span - 1, span - k
+    at = bounds[owner] + start
+    longest = 2 * span - k
+    held = np.zeros((len(at), longest), np.uint64)
+    columns = np.arange(longest)
+    real = columns < size[:, None]
+    held[real] = data[(at[:, None] + columns)[real]]
+    # The anchor lies in all of the chunk's windows and has the smallest hash there.
+    powers = POWERS.get(k)[0][:k]
+    before, gram = np.zeros(len(at), np.int64), np.zeros(len(at), np.uint64)
+    least = np.full(len(at), 1 << 32, np.uint64)
+    for place in range(reach + 1):
+        with np.errstate(over="ignore"):
+            value = mixed(((held[:, place:place + k] + np.uint64(1)) * powers).sum(
+                axis=1, dtype=np.uint64))
+        better = (value >> np.uint64(32) < least) & (place >= count - 1)
+        least = np.where(better, value >> np.uint64(32), least)
+        before, gram = np.where(better, place, before), np.where(better, value, gram)
+    # From the anchor on, then backwards from it; zero where the chunk has no more.
+    source = np.where(columns < span, before[:, None] + columns, before[:, None] - 1 - (
+        columns - span))
+    real = (source >= 0) & (source < size[:, None])
+    suffix = np.where(real, np.take_along_axis(held, np.clip(source, 0, longest - 1), 1),
+                      0).astype(np.uint8)
+    target = (mixed(~gram) >> np.uint64(33)).astype(np.int64) % parts
+    order = np.lexsort((*words_of(suffix)[::-1], target))
+    doc = known[owner]
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(target[order]) != 0, [True]]))
+    return [(CHUNKS, int(target[order[a]]), coded_run(
+        suffix[order[a:b]], doc[order[a:b]], start[order[a:b]].astype("<u4"),
+        before[order[a:b]].astype("<u2"), count[order[a:b]].astype("<u2")))
+        for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def agreement(rows: np.ndarray, width: int) -> np.ndarray:
+    """For sorted rows, the longest prefix each shares with a neighbour, hence with any other."""
+    with_next = np.zeros(len(rows) + 1, np.int64)
+    if len(rows) > 1:
+        differ = rows[1:, :width] != rows[:-1, :width]
+        with_next[1:-1] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    return np.maximum(with_next[1:], with_next[:-1])
+
+
+def merge_chunks(blobs: list[bytes], span: int, k: int, parts: int) -> list[tuple]:
+    """Contested chunks of the same k-grams (pass 4): windows that may recur, in sorted runs."""
+    longest, held, columns, source = 2 * span - k, [], [], []
+    for i, blob in enumerate(blobs):
+        common, rest, found = decoded_run(blob, *CHUNK)
+        run = Run(common, rest, longest)
+        while run.step() >= 0:
+            held.append(run.text)
+        columns.append(found)
+        source.append(np.full(len(common), i % RUNS))
+    suffix = np.frombuffer(b"".join(held), np.uint8).reshape(-1, longest)
+    doc, start, before, count = [np.concatenate(x) for x in zip(*columns, strict=True)]
+    source, before, count = np.concatenate(source), before.astype(np.int64), count.astype(np.int64)
+    after, ahead = np.zeros(len(suffix), np.int64), np.zeros(len(suffix), np.int64)
+    order = np.lexsort(words_of(suffix[:, :span])[::-1])
+    after[order] = agreement(suffix[order], span)
+    # What is before the anchors, among chunks of one k-gram.
+    turned = np.concatenate([suffix[:, :k], suffix[:, span:]], axis=1)
+    order = np.lexsort(words_of(turned)[::-1])
+    ahead[order] = np.maximum(agreement(turned[order], turned.shape[1]) - k, -1)
+    which = np.repeat(np.arange(len(suffix)), count)
+    step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    back = before[which] - step
+    able = (back <= ahead[which]) & (span - back <= after[which])
+    which, step, back = which[able], step[able], back[able]
+    rows, runs, docs, starts = [], [], [], []
+    for i in range(RUNS):
+        mine = np.flatnonzero(source[which] == i)
+        if not len(mine):
+            continue
+        j, b = np.arange(span), back[mine][:, None]
+        windows = np.take_along_axis(
+            suffix[which[mine]], np.where(j < b, span + b - 1 - j, j - b), 1)
+        more, windows, d, t = first_of_equal(
+            windows, doc[which[mine]], start[which[mine]] + step[mine], parts)
+        rows += more
+        common, rest = front_coded(windows)
+        runs.append(Run(common.tolist(), rest, span))
+        docs.append(d.tolist())
+        starts.append(t.tolist())
+    return rows + recurring(runs, docs, starts, parts)
 
 
 def words_of(windows: np.ndarray) -> list[np.ndarray]:
@@ -383,35 +507,40 @@ def order_windows(windows: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return np.lexsort((owner, *words_of(windows)[::-1]))
 
 
-def merge_runs(blobs: list[bytes], span: int, parts: int) -> pd.DataFrame:
-    """Merge the runs of a destination (pass 4): equal windows but the smallest document's go."""
+def merge_runs(blobs: list[bytes], span: int, parts: int) -> list[tuple]:
+    """The runs of hot windows of a destination (pass 4)."""
     runs, docs, starts = [], [], []
     for blob in blobs:
-        end = 8 + int.from_bytes(blob[:8], "little")
-        common, doc, start = unpack(blob[8:end], "<u2", "<i8", "<u4")
-        rest = zstandard.ZstdDecompressor().decompress(blob[end:]) if len(common) else b""
-        runs.append(Run(common.tolist(), rest, span))
+        common, rest, (doc, start) = decoded_run(blob, "<i8", "<u4")
+        runs.append(Run(common, rest, span))
         docs.append(doc.tolist())
         starts.append(start.tolist())
+    return recurring(runs, docs, starts, parts)
+
+
+def recurring(runs: list[Run], docs: list[list[int]], starts: list[list[int]], parts: int
+              ) -> list[tuple]:
+    """Merge runs: of equal windows all but the smallest document's go."""
     gone_docs, gone_starts, group = [], [], []
 
     def close() -> None:
-        if len(group) > 1:
-            least = min(d for d, _ in group)
-            for d, s in group:
-                if d > least:
-                    gone_docs.append(d)
-                    gone_starts.append(s)
+        least = min(d for d, _ in group)
+        for d, s in group:
+            if d > least:
+                gone_docs.append(d)
+                gone_starts.append(s)
 
     for run, place, common in merged(runs):
-        if common < span:
-            close()
+        if common < runs[run].span:
+            if len(group) > 1:
+                close()
             group.clear()
         group.append((docs[run][place], starts[run][place]))
-    close()
+    if len(group) > 1:
+        close()
     doc = np.array(gone_docs, "<i8")
-    return frame(list(by_part(GONE, block_of(doc, parts), [
-        doc, np.array(gone_starts, "<u4"), np.ones(len(doc), "<u4")])))
+    return list(by_part(GONE, block_of(doc, parts), [
+        doc, np.array(gone_starts, "<u4"), np.ones(len(doc), "<u4")]))
 
 
 def packed_texts(rows: DataFrame, parts: int) -> DataFrame:
@@ -485,10 +614,14 @@ def removals(rows: DataFrame, span: int, k: int, with_text: bool) -> DataFrame:
             return frame([])
         asked = {int(d) for b in marks["blob"] for d in np.unique(unpack(b, *MARK)[0])}
         found = {d: raw for b in texts["blob"] for d, _, raw in texts_of(b) if d in asked}
-        return sorted_runs(found, marks["blob"].tolist(), span, parts)
+        cold, hot = (marks["blob"][marks["kind"] == kind].tolist() for kind in (CONTESTED, HOT))
+        return frame((chunk_runs(found, cold, span, k, parts) if cold else [])
+                     + (sorted_runs(found, hot, span, parts) if hot else []))
 
     def fourth_pass(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return merge_runs(group["blob"].tolist(), span, parts) if key[0] == RUN else group
+        if key[0] == CHUNKS:
+            return frame(merge_chunks(group["blob"].tolist(), span, k, parts))
+        return frame(merge_runs(group["blob"].tolist(), span, parts)) if key[0] == RUN else group
 
     def last_pass(texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         by_doc: dict[int, list] = {}
@@ -512,7 +645,7 @@ def removals(rows: DataFrame, span: int, k: int, with_text: bool) -> DataFrame:
     del sent
     release(rows.sparkSession)
     runs = packed_texts(rows, parts).groupBy("part").cogroup(
-        met.where(F.col("kind") == CONTESTED).groupBy("part")).applyInPandas(third_pass, PACKED)
+        met.where(F.col("kind").isin(CONTESTED, HOT)).groupBy("part")).applyInPandas(third_pass, PACKED)
     last = kept(runs.groupBy("kind", "part").applyInPandas(fourth_pass, PACKED))
     del runs
     release(rows.sparkSession)

@@ -46,8 +46,11 @@ def test_against_all_windows(spark, seed, span, k):
     assert sorted(map(tuple, found.collect())) == brute(docs, span)
 
 
-def test_a_passage_in_very_many_documents(spark):
-    """More surroundings than a task sends on; hot windows in all runs."""
+@pytest.mark.parametrize("same, meeting", [(8, 256), (3, 2), (500, 4)])
+def test_a_passage_in_very_many_documents(spark, monkeypatch, same, meeting):
+    """More surroundings than a task sends on, or than may meet; hot windows in all runs."""
+    monkeypatch.setattr(suffixes, "SAME_GRAM", same)
+    monkeypatch.setattr(suffixes, "MEETING", meeting)
     rng = random.Random(9)
     passage = "".join(rng.choice("abcdefgh ") for _ in range(90))
     docs = [(i, f"{rng.random()} {passage} {rng.random()}" * (1 + i % 2)) for i in range(200)]

@@ -44,8 +44,8 @@ TOGETHER = 4 << 20
 #: Chunks of one k-gram that a task sends on; if it has more, they are contested anyway and it sends
 #: two as witnesses.
 SAME_GRAM = 8
-#: Blocks and destinations to a shuffle partition, so that hashing spreads them evenly.
-FINE = 4
+#: Bytes of text to a block of documents, and to a destination. A task holds one of either.
+PART_BYTES = 8 << 20
 #: The id that stands for a null one.
 LEAST = -(1 << 63)
 RECORD, GONE, CONTESTED, RUN, HOT, CHUNKS = 0, 1, 2, 3, 4, 5
@@ -597,7 +597,8 @@ def removals(rows: DataFrame, span: int, k: int, with_text: bool) -> DataFrame:
     """(RESULT) of rows (id, tag, text). `kept` is null unless asked for."""
     if not 1 <= k <= span:
         raise ValueError("the k-gram must fit the window")
-    parts = FINE * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-size // PART_BYTES))
 
     def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -31,6 +31,11 @@ def brute(docs, span):
     return sorted(out)
 
 
+@pytest.fixture(autouse=True)
+def many_parts(monkeypatch):
+    monkeypatch.setattr(suffixes, "PART_BYTES", 2000)
+
+
 def random_docs(seed, n, alphabet="ab c"):
     rng = random.Random(seed)
     parts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(5, 60))) for _ in range(12)]

@@ -2,8 +2,9 @@
 
 A shingle is five consecutive words with the number of its earlier occurrences in the text. For each
 of REPEATS hash functions, a text's sketch has the shingles with the MINIMA smallest hashes, listed as
-they stand in the text. Texts that agree in a sketch are candidates; a banded alignment of their
-shingles decides. Texts of equal words are one text with several documents throughout.
+they stand in the text. Texts that agree in a sketch are candidates, and so are short texts that agree in
+one of the first shingles of a common order, which none within the similarity can miss; a banded
+alignment of their shingles decides. Texts of equal words are one text with several documents throughout.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 from logtables.llm.components import connected
 from logtables.llm.shared import in_small_batches, kept, release
 
-#: Texts that agree to SIMILARITY share one of the REPEATS sketches with a probability of 0.9996.
-WORDS, MINIMA, REPEATS, SIMILARITY = 5, 5, 20, 0.8
+#: Texts that agree to SIMILARITY share one of the REPEATS sketches with a probability of 0.9999 or more
+#: if both have over FEW shingles; if one has fewer, they always share a bucket (see `first_shingles`).
+WORDS, MINIMA, REPEATS, SIMILARITY, FEW = 5, 3, 16, 0.8, 16
 #: Words whose shingles are hashed at once; a longer text is hashed as one.
 STRETCH = 1 << 17
 #: Buckets of up to SMALL texts list their pairs; larger ones are compared by blocks of about BLOCK.
@@ -154,6 +156,17 @@ def order_sketches(labelled: np.ndarray, places: np.ndarray, repeats: int = REPE
     return out
 
 
+def first_shingles(labelled: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The shingles of a text, hashed, that come first in the order of their hashes: so many that
+    every text within `similarity` has one of them among its own first ones.
+
+    Two such texts have a share of `similarity` of the shingles of each in common. So the first of
+    the common ones has no more than the others, 1 - `similarity`, before it in either text.
+    """
+    need = int(np.ceil(similarity * len(labelled) - 1e-9))
+    return np.sort(mixed(labelled))[:len(labelled) - need + 1]
+
+
 def portions(texts: list[str], size: int = 6 * STRETCH) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of about `size` characters, with the number of the first."""
     begin, held = 0, 0
@@ -166,9 +179,21 @@ def portions(texts: list[str], size: int = 6 * STRETCH) -> Iterator[tuple[int, l
         yield begin, texts[begin:]
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def bucket_names(labelled: np.ndarray, places: np.ndarray, similarity: float = SIMILARITY
+                 ) -> list[np.ndarray]:
+    """What each text is compared by: its sketches if it has over FEW shingles, its first shingles
+    if it may be near to a text that has not. Texts between have both."""
+    out = list(order_sketches(labelled, places))
+    sizes = np.diff(places)
+    for i in np.flatnonzero((sizes > 0) & (similarity * sizes <= FEW + 1e-9)):
+        first = first_shingles(labelled[places[i]:places[i + 1]], similarity)
+        out[i] = np.concatenate([out[i], first]) if sizes[i] > FEW else first
+    return out
+
+
+def sketched(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(id, tag, same, size, sketches) of (id, tag, text); `same` is a digest of the words, `size`
-    the number of shingles."""
+    the number of shingles, `sketches` has the names of the text's buckets."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -176,13 +201,13 @@ def sketched(docs: DataFrame) -> DataFrame:
             for begin, part in portions(texts):
                 words, places = word_hashes(part)
                 found, at = shingles(words, places)
-                out = order_sketches(with_occurrence(found, at), at).view(np.int64)
+                out = bucket_names(with_occurrence(found, at), at, similarity)
                 yield pd.DataFrame({
                     "id": own["id"].to_numpy()[begin:begin + len(part)],
                     "tag": own["tag"].to_numpy()[begin:begin + len(part)],
                     "same": [hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest()
                              for a, b in zip(places[:-1], places[1:], strict=True)],
-                    "size": np.diff(at).astype(np.int32), "sketches": list(out)})
+                    "size": np.diff(at).astype(np.int32), "sketches": [names.view(np.int64) for names in out]})
 
     return docs.mapInPandas(sketch, SKETCHES)
 
@@ -256,8 +281,7 @@ def candidates(texts: DataFrame) -> DataFrame:
     A text's weight is the number of texts it meets, over all buckets: of a group of copies, the
     one that the others were made from meets most.
     """
-    every = texts.select("id", "size", F.posexplode("sketches").alias("repeat", "sketch")).select(
-        F.xxhash64("repeat", "sketch").alias("bucket"), "id", "size")
+    every = texts.select("id", "size", F.explode("sketches").alias("bucket"))
     full = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = every.join(full, "bucket")
     weights = members.groupBy("id").agg(F.sum("n").alias("weight"))
@@ -385,7 +409,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
     text = F.coalesce(F.col(text), F.lit(""))
     rows = in_small_batches(docs).select(F.coalesce(F.col(key).cast("bigint"), F.lit(LEAST)).alias("id"),
                        F.xxhash64(text).alias("tag"), text.alias("text"))
-    found = kept(sketched(rows))
+    found = kept(sketched(rows, similarity))
     # One document stands for all with the same words.
     stand_ins = kept(found.groupBy("same").agg(
         F.min(F.struct("id", "tag")).alias("first"), F.max("size").alias("size"),

@@ -151,6 +151,44 @@ def test_blocks_lose_no_link(spark, monkeypatch, small, block):
     assert found == classes(rows)
 
 
+def test_short_texts_always_meet(spark):
+    """Texts of 8 to 40 words and the same with one word more at an end: 4 against 5 shingles is 0.8."""
+    rng = random.Random(11)
+    rows = []
+    for n in [8] * 60 + [9] * 60 + list(range(5, 41)) * 2:
+        words = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        more = f"w{rng.randrange(10**9)}"
+        for text in (words, [more, *words] if rng.random() < 0.5 else [*words, more]):
+            rows.append((len(rows), " ".join(text)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = sorted((r.doc_id, r.class_id) for r in orderhash.near_copies(table).collect())
+    assert found == classes(rows)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 9), min_size=1, max_size=20), st.integers(0, 3), st.randoms(),
+       st.sampled_from([0.5, 0.8, 1.0]))
+def test_first_shingles_miss_no_near_text(base, edits, rng, similarity):
+    other = list(base)
+    for _ in range(edits):
+        at = rng.randrange(len(other) + 1)
+        other[at:at + rng.randrange(2)] = [rng.randrange(12)]
+    sides = [np.array(x, np.uint64) for x in (base, other)]
+    if min(len(base), len(other)) <= orderhash.FEW and orderhash.aligned(*sides, similarity):
+        names = [orderhash.bucket_names(orderhash.with_occurrence(x, np.array([0, len(x)])),
+                                        np.array([0, len(x)]), similarity)[0] for x in sides]
+        assert np.isin(*names).any()
+
+
+def test_recall_of_the_sketches():
+    """The probability by the formula, for texts with over FEW shingles that agree to 0.8."""
+    from math import comb
+    for union in range(orderhash.FEW + 1, 2000):
+        shared = -(-4 * union // 5)
+        p = comb(shared, orderhash.MINIMA) / comb(union, orderhash.MINIMA)
+        assert 1 - (1 - p) ** orderhash.REPEATS > 0.9999
+
+
 def test_overlaps_are_counted(monkeypatch):
     monkeypatch.setattr(orderhash, "COLUMNS", 3)
     rng = np.random.default_rng(1)

@@ -7,6 +7,7 @@ text, and their stems, are evidence learnt from labelled documents.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,9 +33,8 @@ LABELLED_ROWS = 12_000
 #: Evidence: a word or stem must be in so many toxic documents of the sample, with such a share of toxic
 #: ones, and with such a log-likelihood ratio against chance.
 LEAST_DOCUMENTS, LEAST_SHARE, LEAST_RATIO = 5, 0.9, 20.0
-#: In a round, evidence must explain this share of the toxic documents not explained so far.
-COVER = 0.04
-ROUNDS = 4
+#: The probability that chance makes any of the words tried in a round evidence stays below this.
+CHANCE = 0.01
 STEMS = (4, 5, 6)
 #: The score of a text with no evidence, and the score from which a text is predicted toxic.
 NOTHING, TOXIC_FROM = 0.01, 0.7
@@ -236,8 +236,11 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Channel and evidence from documents that are not held out.
 
     Evidence is found in rounds over a bounded sample of labelled documents with different texts. A
-    round looks only at toxic documents without evidence so far, so words that merely keep
-    company with evidence explain nothing and are not taken.
+    round looks only at toxic documents without evidence so far, and takes the words whose ratio is
+    at least half of the highest one; so words that merely keep company with evidence explain
+    nothing and are not taken. The least number and share of documents are of the whole sample, the
+    ratio is of the documents looked at. Rounds end when no word is left that passes: each explains some
+    documents, and only toxic ones are counted anew.
     """
     spark = docs.sparkSession
     channel = learn_channel(docs, key, text)
@@ -250,43 +253,54 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                   .join(known, "_key").groupBy(F.xxhash64("text").alias("same"))
                   .agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")))
     scorer = Scorer(channel)
-    for number in range(ROUNDS):
-        shared = spark.sparkContext.broadcast(scorer)
 
-        def count(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            so_far = shared.value
-            every, have = Evidence(so_far.channel, None), Evidence(so_far.channel, so_far.weights)
+    def counts(rows: DataFrame, so_far: Scorer, name: str) -> DataFrame:
+        """In how many of the rows without evidence so far each word or stem is; '' is in all."""
+        shared = spark.sparkContext.broadcast(so_far)
+
+        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known = shared.value
+            every, have = Evidence(known.channel, None), Evidence(known.channel, known.weights)
             for batch in batches:
-                n = [Counter(), Counter()]
-                for body, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                    if toxic and so_far.weights and have.of(body):
-                        continue
-                    n[int(toxic)].update([*every.of(body), ""])
-                yield pd.DataFrame([(w, n[1][w], n[0][w]) for w in n[0].keys() | n[1].keys()],
-                                   columns=["word", "n1", "n0"])
-
-        counts = kept(sample.select("text", "toxic").mapInPandas(
-            count, "word string, n1 bigint, n0 bigint").groupBy("word").agg(
-                F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
-        totals = counts.where("word = ''").first()
-        if not totals or not totals["n1"]:
+                n: Counter = Counter()
+                for body in batch["text"]:
+                    if not (known.weights and have.of(body)):
+                        n.update([*every.of(body), ""])
+                yield pd.DataFrame([*n.items()], columns=["word", "n"])
+
+        return kept(rows.select("text").mapInPandas(count, "word string, n bigint")
+                    .groupBy("word").agg(F.sum("n").alias(name)))
+
+    clean = counts(sample.where("toxic = 0"), scorer, "n0")
+    none = clean.where("word = ''").first()
+    others = max(1, none["n0"] if none else 0)
+    whole = None
+    while True:
+        toxic = counts(sample.where("toxic = 1"), scorer, "n1")
+        left = toxic.where("word = ''").first()
+        if not left:
             break
-        most, others = totals["n1"], max(1, totals["n0"])
-        least = max(LEAST_DOCUMENTS, COVER * most)
-        found = counts.where((F.col("word") != "") & (F.col("n1") >= least)
-                             & (F.col("n1") >= LEAST_SHARE * (F.col("n1") + F.col("n0"))))
-        new = {}
-        # Each has a fixed share of the documents left, so there are few.
+        most, tried = left["n1"], max(1, toxic.count() - 1)
+        if whole is None:
+            whole = toxic.withColumnRenamed("n1", "n").where(F.col("n") >= LEAST_DOCUMENTS)
+        found = toxic.where("word != ''").join(whole, "word").join(clean, "word", "left").select(
+            "word", "n1", "n", F.coalesce("n0", F.lit(0)).alias("n0")).where(
+            F.col("n") >= LEAST_SHARE * (F.col("n") + F.col("n0")))
+        ratios, new = {}, {}
+        # No more than the words of the sample, which is bounded.
         for row in found.collect():
-            n1, n0 = row["n1"], row["n0"]
+            n1, n0, n = row["n1"], row["n0"], row["n"]
             share_all = (n1 + n0) / (most + others)
             ratio = 2 * (n1 * np.log(n1 / (most * share_all))
                          + (n0 * np.log(n0 / (others * share_all)) if n0 else 0))
-            if ratio >= LEAST_RATIO:
-                p = (n1 + 0.5) / (n1 + n0 + 1)
-                new[row["word"]] = float(p - np.sqrt(p * (1 - p) / (n1 + n0 + 1)))
-        if not new:
+            if ratio >= LEAST_RATIO and tried * math.erfc(math.sqrt(ratio / 2)) <= CHANCE:
+                p = (n + 0.5) / (n + n0 + 1)
+                ratios[row["word"]] = ratio
+                new[row["word"]] = float(p - np.sqrt(p * (1 - p) / (n + n0 + 1)))
+        if not new.keys() - scorer.weights.keys():
             break
+        highest = max(ratios.values())
+        new = {word: weight for word, weight in new.items() if 2 * ratios[word] >= highest}
         scorer = Scorer(channel, {**new, **scorer.weights})
     return scorer
 

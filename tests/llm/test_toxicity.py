@@ -81,3 +81,27 @@ def test_held_out_documents(spark):
         assert right / found.count() > 0.97
         wrong = found.where("predicted = 1 AND toxic = 0").count()
         assert wrong <= 0.01 * found.count()
+
+
+def test_many_rare_toxic_words(spark):
+    """A hundred toxic words without common stems, each in 1% of the toxic documents, and one in 30%."""
+    import random
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rng.choices(letters, k=7)) for _ in range(400)]
+    bad = ["".join(rng.choices(letters, k=8)) for _ in range(100)]
+    rows, labels = [], []
+    for i in range(6000):
+        body = rng.choices(words, k=12)
+        if toxic := i % 4 == 0:
+            body[3] = bad[i // 4 % 100]
+            if rng.random() < 0.3:
+                body[5] = "plainlybad"
+        rows.append((i, " ".join(body)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    found = toxicity.score_toxicity(docs, marks).join(marks, "doc_id").where("held_out").collect()
+    caught = [r.predicted for r in found if r.toxic]
+    assert sum(caught) >= 0.95 * len(caught)
+    assert sum(r.predicted for r in found if not r.toxic) <= 0.01 * len(found)

@@ -8,9 +8,11 @@ places from the plan in parallel, by their rank among pieces of the same length.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -32,12 +34,15 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 
 def encoder() -> tiktoken.Encoding:
-    """The vocabulary of `byte_bpe_50k`, from its rank file; ids equal those of the JSON file."""
+    """The vocabulary of `byte_bpe_50k`, from its rank file; ids equal those of the JSON file, whose
+    added tokens are special here: `encode` with all of them allowed finds them in a text."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
     return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN,
-                             mergeable_ranks=ranks, special_tokens={})
+                             mergeable_ranks=ranks, special_tokens=added)
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0,
@@ -48,7 +53,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0,
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder().encode_ordinary
+        encode = partial(encoder().encode, allowed_special="all")
         for batch in batches:
             out = []
             for doc, body in zip(batch["id"], batch["text"], strict=True):

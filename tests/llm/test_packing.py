@@ -99,3 +99,19 @@ def test_pack(spark):
 
 def test_nothing_to_pack(spark):
     assert packing.pack(nothing(spark)).count() == 0
+
+
+def test_added_tokens_have_their_ids(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"code  {end}\n\n  x", f"  {end[:-1]} {end}>", f"é{end}\t",
+             f"word \n {end} " * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {(r.doc_id, r.piece): r for r in packing.pieces(docs, capacity=64).collect()}
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        assert 50256 in ids
+        own = sorted((r.start, r.length, r.ids_crc32) for (doc, _), r in found.items() if doc == i)
+        assert sum(n for _, n, _ in own) == len(ids)
+        for start, n, crc in own:
+            assert crc == zlib.crc32(np.array(ids[start:start + n], "<u4").tobytes())

@@ -197,10 +197,12 @@ class Model:
 
 #: Letters from which on a text's cross-entropy is held against the full limit.
 FULL = 200
-#: The limit of rejection above the mean cross-entropy: in times of what labelled texts outside the
-#: counts reach, and at least this share of the way to characters drawn at random. Texts that mix
-#: languages or carry codes and numbers stay below it.
-SLACK, WAY = 1.5, 0.75
+#: The limit of rejection above the mean cross-entropy of a language: in times of what this share of
+#: its labelled texts outside the counts reach, and at least this share of the way to the language's
+#: own characters in random order. Texts that mix languages or carry codes and numbers stay below it.
+QUANTILE, SLACK, WAY = 0.95, 1.5, 0.75
+#: Characters of the labelled texts of a language that are put in random order.
+SHUFFLED = 1 << 16
 
 
 def fit(counts: pd.DataFrame) -> Model:
@@ -280,15 +282,28 @@ def calibrate(model: Model, texts: list[str], langs: list[str]) -> Model:
 
     model.temperature = min([1.0, 1.5, 2, 3, 5, 8, 12, 20, 40], key=loss)
     entropy = bits[np.arange(len(true)), true] / size
-    random = np.log2(len(model.keys[0]) + 1)
+    texts = [t for t, used in zip(texts, use, strict=True) if used]
     for i in range(shape):
         if (mine := entropy[true == i]).size:
             model.mean[i] = np.average(mine, weights=size[true == i])
             far = (mine - model.mean[i]) * np.minimum(1, np.sqrt(letter[true == i] / FULL))
-            model.limit[i] = max(SLACK * far.max(), WAY * (random - model.mean[i]))
+            random = random_level(model, i, [texts[k] for k in np.flatnonzero(true == i)])
+            model.limit[i] = max(SLACK * np.quantile(far, QUANTILE),
+                                 WAY * (random - model.mean[i]))
     return model
 
 
+def random_level(model: Model, lang: int, texts: list[str]) -> float:
+    """Cross-entropy of a language's own characters in random order: letters of its texts, as often
+    as they are in them, whatever other languages were learnt. An equal part of each text is drawn."""
+    each = max(1, SHUFFLED // len(texts))
+    rng = np.random.default_rng(0)
+    codes, _ = normalized([t[:each] for t in texts])
+    codes = rng.permutation(codes[codes != START])
+    bits, size, _ = model.bits(["".join(map(chr, codes))])
+    return float(bits[0, lang] / max(1, size[0]))
+
+
 def bucket(key: Column, salt: str) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 30)).cast("bigint")
 

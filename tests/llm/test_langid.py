@@ -115,3 +115,24 @@ def test_random_characters_are_rejected_and_clean_documents_stay(spark):
                                   docs.schema)
     kept = langid.keep_known(docs.unionByName(noise))
     assert kept.count() == docs.count() and kept.where("doc_id = 1000000").count() == 0
+
+
+def test_a_large_script_and_garbage_labels_do_not_loosen_the_limit(spark):
+    """Random letters are rejected beside a language of 4,000 characters, and with one such text
+    labelled; clean documents stay."""
+    import random
+    rng = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+
+    def garbage():
+        return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9)))
+                        for _ in range(150))
+
+    script = [chr(0x4E00 + i) for i in range(4000)]
+    weights = [1 / (i + 1) for i in range(4000)]
+    rows = [(2 * 10**6 + i, "".join(rng.choices(script, k=400) if i % 4 == 0
+                                    else rng.choices(script, weights, k=400)), "zz") for i in range(300)]
+    rows += [(10**6 + i, garbage(), "en" if i < 3 else None) for i in range(40)]
+    kept = langid.keep_known(docs.unionByName(spark.createDataFrame(rows, docs.schema)))
+    assert kept.where("doc_id BETWEEN 1000003 AND 1000039").count() == 0
+    assert kept.where("doc_id < 1000000").count() >= 0.999 * docs.count()

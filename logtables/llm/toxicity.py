@@ -43,6 +43,9 @@ LAST_LATIN = 0x24F
 
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?=[.,;:?!\"')]*(?!\S))")
 RUNS = re.compile(r"(.)\1\1")
+LONG_RUNS = re.compile(r"([^\W\d_])\1{3,}")
+#: Digits alone, one of them no letter's stand-in: a number.
+NUMBER = re.compile(r"[\d.,:/-]*2[\d.,:/-]*")
 DOUBLED = re.compile(r"(.)\1+")
 TOKEN = re.compile(r"\S+")
 
@@ -100,10 +103,15 @@ class Channel:
         return found
 
     def read(self, token: str, pairs: bool = False) -> str:
-        """The cheapest path through the token's lattice. `pairs`: also pairs may be one letter."""
+        """The cheapest path through the token's lattice. `pairs`: also pairs may be one letter.
+
+        In a token without letters, what can stand for a letter does: it is neither noise nor a break.
+        A path is a chain of its last output and the path before, whatever its length.
+        """
         start = "\0" * (langid.ORDER - 1)
-        states = {start: (0.0, "")}
+        states: dict[str, tuple[float, tuple | None]] = {start: (0.0, None)}
         n = len(token)
+        letterless = not any(c.isalpha() for c in token)
         for i, char in enumerate(token):
             options: list[tuple[str, float]] = []
             if char.isalpha():
@@ -114,8 +122,9 @@ class Channel:
                         options.append(("", RUN if long else PAIR))
             else:
                 options += [(c, SUBSTITUTE) for c in LEET.get(char, "")]
-                options += [("", NOISE), (" ", BREAK)]
-            following: dict[str, tuple[float, str]] = {}
+                if not (letterless and options):
+                    options += [("", NOISE), (" ", BREAK)]
+            following: dict[str, tuple[float, tuple | None]] = {}
             for context, (cost, text) in states.items():
                 for out, price in options:
                     total, after = cost + price, context
@@ -125,40 +134,54 @@ class Channel:
                         total += self.bits(context, out)
                         after = context[1:] + out
                     if after not in following or total < following[after][0]:
-                        following[after] = (total, text + out)
+                        following[after] = (total, (text, out) if out else text)
             if len(following) > 64:
                 best = sorted(following.items(), key=lambda s: s[1][0])[:64]
                 following = dict(best)
             states = following
         ends = [(cost + (self.bits(c, " ") if c[-1] not in " \0" else 0.0), text)
                 for c, (cost, text) in states.items()]
-        return min(ends)[1].strip()
+        least = min(cost for cost, _ in ends)
+        return min(spelt(text) for cost, text in ends if cost == least).strip()
+
+
+def spelt(path: tuple | None) -> str:
+    """The outputs of a path, from the first."""
+    out = []
+    while path is not None:
+        path, last = path
+        out.append(last)
+    return "".join(reversed(out))
 
 
 def disguised(token: str) -> bool:
-    """Whether a token has letters and, besides, signs of a disguise."""
+    """Whether a token has letters and, besides, signs of a disguise, or no letter but two and more
+    characters that stand for some, not all the same, and is not a plain number with a 2."""
     if token.isalpha():
         return RUNS.search(token) is not None
-    return any(c.isalpha() for c in token)
+    if any(c.isalpha() for c in token):
+        return True
+    signs = [c for c in token if c in LEET]
+    return len(set(signs)) > 1 and not NUMBER.fullmatch(token)
 
 
 def restored(token: str, channel: Channel, pairs: bool = False) -> str:
-    """A lower-case token as it is to be read. Tokens over 64 characters stay as they are."""
+    """A lower-case token of any length as it is to be read. Of a letter repeated more than three
+    times in a row three are left first, of which the reading may drop some."""
     core = token.strip(".,;:?\"'`*%&#~<>[]{}=/\\^-_)")
-    if len(core) > 64 or not (pairs or disguised(core)):
+    if not (pairs or disguised(core)):
         return core
-    return channel.read(core, pairs)
+    return channel.read(LONG_RUNS.sub(r"\1\1\1", core), pairs)
 
 
 def spaced_out(text: str) -> list[str]:
-    """Runs of three and more single characters, which may be one word, in stretches of 64."""
-    return [run[i:i + 64] for run in SPACED.findall(text) for i in range(0, len(run), 64)]
+    """Runs of three and more single characters, which may be words, whole."""
+    return SPACED.findall(text)
 
 
 def restore_text(text: str, channel: Channel) -> str:
     """The whole text in lower case with each disguised word as it is read."""
-    low = SPACED.sub(lambda m: " ".join(
-        channel.read(m[0][i:i + 64]) for i in range(0, len(m[0]), 64)), text.lower())
+    low = SPACED.sub(lambda m: channel.read(m[0]), text.lower())
     return TOKEN.sub(lambda m: restored(m[0], channel), low)
 
 

@@ -105,3 +105,32 @@ def test_many_rare_toxic_words(spark):
     caught = [r.predicted for r in found if r.toxic]
     assert sum(caught) >= 0.95 * len(caught)
     assert sum(r.predicted for r in found if not r.toxic) <= 0.01 * len(found)
+
+
+@pytest.mark.parametrize("written, read", [
+    ("i" + "d" * 70 + "iot", "idiot"), ("s" * 80 + "cum", "scum"), ("5(0rn" + "x" * 70, None),
+    ("1d10t" + "-" * 70, "idiot"), ("1d10t" * 30, None), ("2024", "2024"), ("$$", "$$")])
+def test_readings_of_any_length(channel, written, read):
+    found = toxicity.restored(written, channel)
+    assert found == read if read else (found.isalpha() or " " in found) and found != written
+
+
+def test_tokens_without_letters_are_read(spark):
+    docs = spark.createDataFrame([(i, "as ass lass gas sass at all") for i in range(60)],
+                                 "doc_id bigint, text string")
+    channel = toxicity.learn_channel(docs)
+    assert [toxicity.restored(t, channel) for t in ("455", "4$$", "@5$")] == ["ass"] * 3
+
+
+def test_spaced_runs_are_read_whole(channel):
+    """A word across every place where runs were cut, 32 letters apart."""
+    for before in range(24, 34):
+        written = " ".join(("over" * 9)[:before] + "idiot" + "there" * 8)
+        weights = {"=idiot": 0.9}
+        run, = toxicity.spaced_out(written)
+        assert run == written
+        read = toxicity.restore_text(written, channel)
+        assert read.replace(" ", "") == written.replace(" ", "")
+        if before % 4 == 0:
+            assert "idiot" in read.split()
+            assert toxicity.Evidence(channel, weights).of(written) == {"=idiot"}

@@ -12,12 +12,12 @@ import json
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import tiktoken
+import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,15 +45,37 @@ def encoder() -> tiktoken.Encoding:
                              mergeable_ranks=ranks, special_tokens=added)
 
 
+class Encoder:
+    """Ids of whole texts.
+
+    The pattern of pre-tokens backtracks once per character of a run of blanks, and on a very long
+    run the fast encoder gives up. Such a text, by its own failure, goes to `tokenizers`, which
+    gives the same ids for any text.
+    """
+
+    def __init__(self):
+        self.fast, self.whole = encoder(), None
+
+    def ids(self, text: str) -> list[int]:
+        try:
+            return self.fast.encode(text, allowed_special="all")
+        except ValueError:
+            if self.whole is None:
+                self.whole = tokenizers.Tokenizer.from_file(
+                    str(public_tokenizers.path("byte_bpe_50k.json")))
+            return self.whole.encode(text, add_special_tokens=False).ids
+
+
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0,
            key: str = "doc_id", text: str = "text") -> DataFrame:
     """Token pieces: a text's ids, then `end_id`, cut into pieces of `capacity` from the end.
 
-    Null text is empty and has the one id. Very long texts are encoded whole.
+    Null text is empty and has the one id. Very long texts are encoded whole, unbroken runs of blanks
+    too.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = partial(encoder().encode, allowed_special="all")
+        encode = Encoder().ids
         for batch in batches:
             out = []
             for doc, body in zip(batch["id"], batch["text"], strict=True):

@@ -115,3 +115,21 @@ def test_added_tokens_have_their_ids(spark):
         assert sum(n for _, n, _ in own) == len(ids)
         for start, n, crc in own:
             assert crc == zlib.crc32(np.array(ids[start:start + n], "<u4").tobytes())
+
+
+@pytest.mark.parametrize("text", [
+    " " * 1_000_000, "a" + "\n" * 1_000_000 + "b", "\t" * 1_000_000 + "x y", " \n" * 600_000])
+def test_very_long_runs_of_blanks_are_encoded(text):
+    whole = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    assert packing.Encoder().ids(text) == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_a_text_that_the_fast_encoder_cannot_take_is_packed(spark):
+    rows = [(1, "word " * 50), (2, "x" + " " * 1_000_000), (3, None)]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    length = {}
+    for r in found:
+        length[r.doc_id] = length.get(r.doc_id, 0) + r.length
+    whole = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    assert length == {i: 1 + len(whole.encode(t or "", add_special_tokens=False).ids)
+                      for i, t in rows}

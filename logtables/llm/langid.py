@@ -195,6 +195,8 @@ class Model:
             "rejected": (letter == 0) | (far > self.limit[best])})
 
 
+#: A language with no more labelled documents is counted and calibrated with all of them.
+FEW = 40
 #: Letters from which on a text's cross-entropy is held against the full limit.
 FULL = 200
 #: The limit of rejection above the mean cross-entropy of a language: in times of what this share of
@@ -261,44 +263,67 @@ def fit(counts: pd.DataFrame) -> Model:
     return model
 
 
-def calibrate(model: Model, texts: list[str], langs: list[str]) -> Model:
-    """Temperature and limits of rejection from labelled texts that were not counted."""
+def measured(model: Model, texts: DataFrame) -> pd.DataFrame:
+    """Bits by language, characters and letters of texts (lang, few, each, text), on the executors,
+    and the first `each` characters of every text."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bits, size, letter = shared.value.bits(batch["text"].tolist())
+            yield pd.DataFrame({
+                "lang": batch["lang"], "few": batch["few"], "bits": list(bits), "size": size,
+                "letter": letter,
+                "head": [t[:n] for t, n in zip(batch["text"], batch["each"], strict=True)]})
+
+    return texts.select("lang", "few", "each", "text").mapInPandas(
+        measure, "lang string, few boolean, bits array<double>, size bigint, letter bigint, "
+        "head string").toPandas()
+
+
+def calibrate(model: Model, rest: pd.DataFrame) -> Model:
+    """Temperature and limits of rejection from labelled texts, as `measured` gives them.
+
+    Texts of a language with few of them were counted too. They are no measure for the temperature,
+    unless there are no others, and what limits such a language is how far its own characters in
+    random order are.
+    """
     shape = len(model.langs)
     model.mean, model.limit = np.zeros(shape), np.full(shape, np.inf)
-    if not texts or not model.langs:
+    if not model.langs:
         return model
-    bits, size, letter = model.bits(texts)
     column = {lang: i for i, lang in enumerate(model.langs)}
-    true = np.array([column.get(lang, -1) for lang in langs])
-    use = (letter > 0) & (true >= 0)
-    bits, size, letter, true = bits[use], size[use], letter[use], true[use]
-    if not len(true):
+    rest = rest[(rest["letter"] > 0) & rest["lang"].isin(column)]
+    if not len(rest):
         return model
+    bits, size = np.stack(rest["bits"].to_list()), rest["size"].to_numpy()
+    letter, few = rest["letter"].to_numpy(), rest["few"].to_numpy(bool)
+    true = rest["lang"].map(column).to_numpy()
+    rows = np.flatnonzero(~few) if not few.all() else np.arange(len(few))
 
     def loss(temperature: float) -> float:
-        scaled = -(bits - bits.min(axis=1, keepdims=True)) / temperature
+        scaled = -(bits[rows] - bits[rows].min(axis=1, keepdims=True)) / temperature
         return float((np.log2(np.exp2(scaled).sum(axis=1))
-                      - scaled[np.arange(len(true)), true]).mean())
+                      - scaled[np.arange(len(rows)), true[rows]]).mean())
 
     model.temperature = min([1.0, 1.5, 2, 3, 5, 8, 12, 20, 40], key=loss)
     entropy = bits[np.arange(len(true)), true] / size
-    texts = [t for t, used in zip(texts, use, strict=True) if used]
+    heads = rest["head"].to_numpy()
     for i in range(shape):
         if (mine := entropy[true == i]).size:
             model.mean[i] = np.average(mine, weights=size[true == i])
             far = (mine - model.mean[i]) * np.minimum(1, np.sqrt(letter[true == i] / FULL))
-            random = random_level(model, i, [texts[k] for k in np.flatnonzero(true == i)])
+            random = random_level(model, i, heads[true == i].tolist())
             model.limit[i] = max(SLACK * np.quantile(far, QUANTILE),
                                  WAY * (random - model.mean[i]))
     return model
 
 
-def random_level(model: Model, lang: int, texts: list[str]) -> float:
+def random_level(model: Model, lang: int, heads: list[str]) -> float:
     """Cross-entropy of a language's own characters in random order: letters of its texts, as often
-    as they are in them, whatever other languages were learnt. An equal part of each text is drawn."""
-    each = max(1, SHUFFLED // len(texts))
+    as they are in them, whatever other languages were learnt."""
     rng = np.random.default_rng(0)
-    codes, _ = normalized([t[:each] for t in texts])
+    codes, _ = normalized(heads)
     codes = rng.permutation(codes[codes != START])
     bits, size, _ = model.bits(["".join(map(chr, codes))])
     return float(bits[0, lang] / max(1, size[0]))
@@ -313,23 +338,25 @@ def train(docs: DataFrame, labelled: Column, key: str = "doc_id", text: str = "t
     """A model from documents with a language for which `labelled` holds.
 
     A language is learnt from about `rows` documents: with more, those with the lowest hashes of
-    their key. Four in five of them are counted, the others calibrate. What comes to the driver is
-    bounded by this sample; counting runs on the executors.
+    their key. Four in five of them are counted, the others calibrate; of a language with no more than
+    FEW, all do both, so that none is left out. Counting and measuring run on the executors. What
+    comes to the driver is bounded by this sample in number, and by SHUFFLED characters a language.
     """
     known = in_small_batches(docs).where(labelled & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
         bucket(F.coalesce(F.col(key).cast("string"), F.lit("")), "rows").alias("drawn"),
         bucket(F.coalesce(F.col(key).cast("string"), F.lit("")), "part").alias("part"))
-    shares = {r["lang"]: min(1.0, rows / r["n"]) for r in
-              known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not shares:
-        return calibrate(fit(pd.DataFrame(columns=["lang"])), [], [])
-    edge = F.create_map(*[F.lit(x) for lang, share in shares.items()
-                          for x in (lang, int(share * (1 << 30)))])
-    sample = known.where(F.col("drawn") < F.element_at(edge, F.col("lang")))
-    model = fit(count_grams(sample.where("part % 5 != 0").select("lang", "text")).toPandas())
-    rest = sample.where("part % 5 = 0").select("lang", "text").toPandas()
-    return calibrate(model, rest["text"].tolist(), rest["lang"].tolist())
+    numbers = {r["lang"]: r["n"] for r in
+               known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not numbers:
+        return calibrate(fit(pd.DataFrame(columns=["lang"])), pd.DataFrame())
+    table = F.create_map(*[x for lang, n in numbers.items() for x in (F.lit(lang), F.struct(
+        F.lit(int(min(1.0, rows / n) * (1 << 30))).alias("edge"), F.lit(n <= FEW).alias("few"),
+        F.lit(max(1, SHUFFLED // max(1, min(n, rows) // (1 if n <= FEW else 5)))).alias("each")))])
+    sample = known.withColumn("of", F.element_at(table, F.col("lang"))).where(
+        "drawn < of.edge").select("lang", "text", "part", "of.few", "of.each")
+    model = fit(count_grams(sample.where("few OR part % 5 != 0").select("lang", "text")).toPandas())
+    return calibrate(model, measured(model, sample.where("few OR part % 5 = 0")))
 
 
 def judged(model: Model, spark) -> object:
@@ -355,7 +382,7 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     Learnt from documents that are not held out and have a language. The language with the lowest
     cross-entropy per character is predicted, ties to the first by name; the score is its calibrated
     probability. `und`, score 0 and rejection go to null texts and texts without a letter, and to
-    all if there is nothing to learn from. A text is also rejected if its cross-entropy is above
+    all if there is nothing to learn from. A language is learnt from a single document too. A text is also rejected if its cross-entropy is above
     what texts of its predicted language reach. One row per row, repeated ones and null keys (held
     out like an empty key) too; no rows for an empty table. Very long texts are scored in
     stretches, whole. Only key, text and language are read, and the language only to learn.
@@ -375,5 +402,5 @@ def keep_known(docs: DataFrame, key: str = "doc_id", text: str = "text",
     mark = "_rejected"
     while mark in columns:
         mark += "_"
-    return docs.withColumn(mark, judge(F.col(text))["rejected"]).where(~F.col(mark)).select(
-        *[docs[c] for c in columns])
+    names = ["`" + c.replace("`", "``") + "`" for c in columns]
+    return docs.withColumn(mark, judge(F.col(text))["rejected"]).where(~F.col(mark)).select(*names)

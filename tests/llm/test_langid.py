@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from logtables.llm import langid
 
@@ -103,7 +104,6 @@ def test_held_out_accuracy(spark):
     found = {r.doc_id: r for r in langid.identify(docs).collect()}
     mine = [(found[r.doc_id].lang_pred, r.lang) for r in docs.collect() if found[r.doc_id].held_out]
     assert len(mine) > 200 and sum(a == b for a, b in mine) / len(mine) > 0.98
-    from pyspark.sql import functions as F
     blind = docs.withColumn("lang", F.when(~langid.held_out(), F.col("lang")))
     again = {r.doc_id: r.lang_pred for r in langid.identify(blind).collect()}
     assert again == {k: r.lang_pred for k, r in found.items()}
@@ -136,3 +136,33 @@ def test_a_large_script_and_garbage_labels_do_not_loosen_the_limit(spark):
     kept = langid.keep_known(docs.unionByName(spark.createDataFrame(rows, docs.schema)))
     assert kept.where("doc_id BETWEEN 1000003 AND 1000039").count() == 0
     assert kept.where("doc_id < 1000000").count() >= 0.999 * docs.count()
+
+
+def test_languages_of_one_document_are_learnt(spark):
+    """Thirty languages with a text each, beside one of many: each is learnt, has a limit, and is found
+    again in another text; noise in their letters is not."""
+    import random
+    rng = random.Random(3)
+    words = {f"l{k:02d}": ["".join(rng.choices([chr(0x4E00 + 40 * k + i) for i in range(20)],
+                                               k=rng.randint(3, 8))) for _ in range(60)]
+             for k in range(30)}
+    words["en"] = ["alpha", "beta", "gamma", "delta", "house", "river", "stone", "window"]
+
+    def text(lang, n=150):
+        return " ".join(rng.choices(words[lang], k=n))
+
+    rows = [(i, text("en"), "en") for i in range(400)]
+    rows += [(10_000 + k * 7, text(f"l{k:02d}"), f"l{k:02d}") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.train(docs, F.lit(True))
+    assert len(model.langs) == 31 and np.isfinite(model.limit).all()
+    asked = [f"l{k:02d}" for k in range(30)]
+    found = model.judge([text(lang) for lang in asked])
+    assert found["lang_pred"].tolist() == asked and not found["rejected"].any()
+    noise = "".join(rng.choices([chr(0x4E00 + i) for i in range(1200)], k=900))
+    assert model.judge([noise])["rejected"].all()
+
+
+def test_names_with_dots(spark):
+    docs = edges(spark).withColumnRenamed("source", "a.b")
+    assert langid.keep_known(docs).columns == docs.columns

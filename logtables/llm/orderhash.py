@@ -10,6 +10,7 @@ alignment of their shingles decides. Texts of equal words are one text with seve
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -215,8 +216,8 @@ def sketched(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     """Whether two sequences agree in order: matches / (all - matches) reaches `similarity`.
 
-    The longest common subsequence is found with one bit per place, within the band of diagonals
-    that a sufficient alignment cannot leave.
+    The longest common subsequence is found within the band of diagonals that a sufficient
+    alignment cannot leave, in memory proportional to the lengths.
     """
     total = len(a) + len(b)
     if not total:
@@ -242,20 +243,38 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     # No more places can match than have a partner anywhere; in most false pairs too few do.
     if min(np.isin(a, b).sum(), np.isin(b, a).sum()) < need:
         return False
-    where: dict[int, int] = {}
-    for j, token in enumerate(b.tolist()):
-        where[token] = where.get(token, 0) | 1 << j
-    width = len(b)
-    everything = (1 << width) - 1
-    window = (1 << (2 * band + 1)) - 1
-    open_ = everything
-    for i, token in enumerate(a.tolist()):
-        hit = where.get(token, 0)
-        if hit:
-            hit &= window << (i - band) if i >= band else window >> (band - i)
-            both = open_ & hit
-            open_ = ((open_ + both) | (open_ - both)) & everything
-    return width - open_.bit_count() >= need
+    return _matches(a.tolist(), b.tolist(), band) >= need
+
+
+def _matches(a: list[int], b: list[int], band: int) -> int:
+    """Longest common subsequence of matches at most `band` places apart.
+
+    One bit per place of `b` is kept for the 2 * band + 1 places that the current place of `a` may
+    meet, whatever the lengths. A bit is cleared where a match ends a longer subsequence. Places
+    below the window can change no more and are counted as they leave; those above were never met.
+    """
+    width = 2 * band + 1
+    ones = (1 << width) - 1
+    where: dict[int, list[int]] = {token: [] for token in a}
+    for j, token in enumerate(b):
+        if token in where:
+            where[token].append(j)
+    open_, base, matched = ones, -band, 0
+    for i, token in enumerate(a):
+        at = where[token]
+        first, last = bisect_left(at, i - band), bisect_right(at, i + band)
+        if first == last:
+            continue
+        if away := min(i - band - base, width):
+            matched += away - (open_ & (1 << away) - 1).bit_count()
+            open_ = open_ >> away | (1 << away) - 1 << width - away
+        base = i - band
+        hit = 0
+        for j in at[first:last]:
+            hit |= 1 << j - base
+        both = open_ & hit
+        open_ = (open_ + both | open_ - both) & ones
+    return matched + width - open_.bit_count()
 
 
 def verified(pairs: DataFrame, tokens: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -413,10 +432,12 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # One document stands for all with the same words.
     stand_ins = kept(found.groupBy("same").agg(
         F.min(F.struct("id", "tag")).alias("first"), F.max("size").alias("size"),
-        F.first("sketches").alias("sketches")))
-    named = stand_ins.select("same", "first", F.xxhash64("same").alias("id"))
+        F.first("sketches").alias("sketches"))
+        # Written with them, so a text keeps its number.
+        .withColumn("text_id", F.monotonically_increasing_id()))
+    named = stand_ins.select("same", "first", F.col("text_id").alias("id"))
     members = kept(candidates(stand_ins.where("size > 0").select(
-        F.xxhash64("same").alias("id"), "size", "sketches")))
+        F.col("text_id").alias("id"), "size", "sketches")))
     chosen = named.join(members.select("id").distinct(), "id").select(
         F.col("id").alias("text_id"), F.col("first.id").alias("id"), F.col("first.tag").alias("tag"))
     tokens = kept(_tokens(rows.join(chosen, ["id", "tag"])))

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -230,3 +231,29 @@ def test_components(spark, seed):
     half = components.connected(labels, spark.createDataFrame(links[::2], "a bigint, b bigint"))
     found = components.connected(half, spark.createDataFrame(links[1::2], "a bigint, b bigint"))
     assert {r.id: r.label for r in found.collect()} == {i: top(i) for i in range(200)}
+
+
+@given(st.lists(st.integers(0, 3), max_size=24), st.lists(st.integers(0, 3), max_size=24),
+       st.integers(0, 25))
+def test_the_band_slides(one, other, band):
+    best = [0] * (len(other) + 1)
+    for i, x in enumerate(one):
+        row = [0]
+        for j, y in enumerate(other):
+            hit = best[j] + 1 if x == y and abs(i - j) <= band else 0
+            row.append(max(best[j + 1], row[j], hit))
+        best = row
+    assert orderhash._matches(one, other, band) == best[-1]
+
+
+def test_long_pairs_need_memory_in_proportion():
+    """Two texts of 200,000 words, one in twelve changed: a bit table of all places would be 2.5 GB."""
+    words = np.arange(200_000, dtype=np.uint64)
+    other = words.copy()
+    other[::12] += np.uint64(1 << 40)
+    tracemalloc.start()
+    try:
+        assert orderhash.aligned(words, other)
+        assert tracemalloc.get_traced_memory()[1] < 100_000_000
+    finally:
+        tracemalloc.stop()

@@ -24,6 +24,10 @@ from logtables.llm.shared import in_small_batches, kept
 #: What a character may stand for. Common substitutions.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
+#: Letters of other scripts that look like Latin ones. Fixed values.
+ALIKE = {"а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c",
+         "т": "t", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j", "α": "a", "ε": "e", "ι": "i",
+         "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x"}
 #: Costs in bits: a substitution, a symbol taken for noise, a break between words, dropping a
 #: letter that repeats the one before it (in a run of three or more; in a pair).
 SUBSTITUTE, NOISE, BREAK, RUN, PAIR = 1.0, 2.0, 4.0, 1.0, 8.0
@@ -39,7 +43,6 @@ STEMS = (4, 5, 6)
 #: The score of a text with no evidence, and the score from which a text is predicted toxic.
 NOTHING, TOXIC_FROM = 0.01, 0.7
 REMEMBERED = 400_000
-LAST_LATIN = 0x24F
 
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?=[.,;:?!\"')]*(?!\S))")
 RUNS = re.compile(r"(.)\1\1")
@@ -54,7 +57,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     """N-gram counts of all words of the texts, as `langid.count_grams` gives them, for one model.
 
     Words are counted by batch first, so each n-gram moves once per batch and not per occurrence.
-    N-grams with letters other than Latin ones are left out: no reading can contain them.
+    Letters of all scripts count: a disguise may stand in for any, or stand beside them.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -67,9 +70,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                 found = langid.hashes(codes)
                 times = np.array([words[w] for _, w in part], np.int64)
                 weight = np.repeat(times, np.diff(places))
-                latin = np.concatenate([[0], np.cumsum(codes > LAST_LATIN)])
                 at = np.flatnonzero(codes != langid.START)
-                at = at[latin[at + 1] == latin[at + 1 - langid.ORDER]]
                 _, first, which = np.unique(found[-1][at], return_index=True, return_inverse=True)
                 n = np.bincount(which, weights=weight[at], minlength=len(first))
                 at = at[first]
@@ -106,22 +107,28 @@ class Channel:
         """The cheapest path through the token's lattice. `pairs`: also pairs may be one letter.
 
         In a token without letters, what can stand for a letter does: it is neither noise nor a break.
+        Beside letters beyond ASCII, a sign may also stand for those that look like its own.
         A path is a chain of its last output and the path before, whatever its length.
         """
         start = "\0" * (langid.ORDER - 1)
         states: dict[str, tuple[float, tuple | None]] = {start: (0.0, None)}
         n = len(token)
-        letterless = not any(c.isalpha() for c in token)
+        plain, letterless = token.isascii(), not any(c.isalpha() for c in token)
         for i, char in enumerate(token):
             options: list[tuple[str, float]] = []
             if char.isalpha():
                 options.append((char, 0.0))
+                if char in ALIKE:
+                    options.append((ALIKE[char], SUBSTITUTE))
                 if i and token[i - 1] == char:
                     long = (i > 1 and token[i - 2] == char) or (i + 1 < n and token[i + 1] == char)
                     if long or pairs:
                         options.append(("", RUN if long else PAIR))
             else:
-                options += [(c, SUBSTITUTE) for c in LEET.get(char, "")]
+                stands = LEET.get(char, "")
+                if stands and not plain:
+                    stands += "".join(a for a, c in ALIKE.items() if c in stands)
+                options += [(c, SUBSTITUTE) for c in stands]
                 if not (letterless and options):
                     options += [("", NOISE), (" ", BREAK)]
             following: dict[str, tuple[float, tuple | None]] = {}
@@ -155,10 +162,12 @@ def spelt(path: tuple | None) -> str:
 
 
 def disguised(token: str) -> bool:
-    """Whether a token has letters and, besides, signs of a disguise, or no letter but two and more
-    characters that stand for some, not all the same, and is not a plain number with a 2."""
+    """Whether a token has letters and, besides, signs of a disguise (letters of another script among
+    Latin ones, too), or no letter but two and more characters that stand for some, not all the same,
+    and is not a plain number with a 2."""
     if token.isalpha():
-        return RUNS.search(token) is not None
+        alike = not token.isascii() and any(c in ALIKE for c in token)
+        return RUNS.search(token) is not None or alike and any(c < "\u0250" for c in token)
     if any(c.isalpha() for c in token):
         return True
     signs = [c for c in token if c in LEET]

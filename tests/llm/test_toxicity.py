@@ -134,3 +134,14 @@ def test_spaced_runs_are_read_whole(channel):
         if before % 4 == 0:
             assert "idiot" in read.split()
             assert toxicity.Evidence(channel, weights).of(written) == {"=idiot"}
+
+
+def test_letters_of_other_scripts_are_in_the_model(spark):
+    """Cyrillic words, disguised by signs and by Latin look-alikes, and Latin ones by Cyrillic."""
+    words = "дурак это все слова здесь там река дом окно камень idiot there moron scum".split()
+    docs = spark.createDataFrame([(i, " ".join(words[i % 7:] + words[:i % 7])) for i in range(60)],
+                                 "doc_id bigint, text string")
+    channel = toxicity.learn_channel(docs)
+    read = {w: toxicity.restored(w, channel) for w in ("дур@к", "дураааак", "idiоt", "mоrоn", "дурак")}
+    assert read == {"дур@к": "дурак", "дураааак": "дурак", "idiоt": "idiot", "mоrоn": "moron",
+                    "дурак": "дурак"}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtables.llm import (bpe, langid, orderhash, packing, sharding, streamdedup, suffixes, topk,
-                           toxicity, urlrules)
+from logtables.llm import (bpe, hardneg, langid, orderhash, packing, sharding, streamdedup, suffixes,
+                           topk, toxicity, urlrules)
 
 #: The rules that `op9_url_filters` judges by: action, host, path. Fixed values.
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
@@ -52,6 +52,13 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf_dir), shards=8)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label, positives=5,
+                                  negatives=10, least=30, most=90, scale=256.0)
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return urlrules.judge_urls(pages, urlrules.rule_table(spark, URL_RULES))
@@ -64,7 +71,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (
     op1_best_fit_packing, op2_language_id, op3_toxicity, op4_exact_top_k,
     op5_suffix_array_dedup, op6_bpe_round_trip, op7_exact_dedup, op8_sharding,
-    op9_url_filters, op10_minhash_near_dedup)}
+    op9_url_filters, op10_minhash_near_dedup, op11_hard_negatives)}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -80,6 +87,25 @@ ORACLE = {
         r AS (SELECT query_id, cast(row_number() OVER (PARTITION BY query_id
                      ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+                   FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(
+                     embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                     list_inner_product(a.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+              FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                     cast(row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                          ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+              FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+                           AND 30 * positive_score <= 100 * score
+                           AND 100 * score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 10""",
     "op7_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {LOWER.format("coalesce(text, '')")} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -1,0 +1,118 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from logtables.llm import hardneg
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, score string, row int"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 23), st.integers(0, 23), st.integers(0, 23), st.sampled_from([1, 2, 3, 50]),
+       st.integers(0, 2**32))
+def test_strassen_is_exact(m, k, n, leaf, seed):
+    rng = np.random.default_rng(seed)
+    a = rng.integers(-2**27, 2**27, (m, k))
+    b = rng.integers(-2**27, 2**27, (k, n))
+    assert (hardneg.strassen(a, b, leaf) == a @ b).all()
+    whole = hardneg.strassen(a.astype(object) * 2**40, b.astype(object) * 2**40, leaf)
+    assert (whole == (a @ b).astype(object) * 2**80).all() or not whole.size
+
+
+def test_sums_on_the_way_may_wrap():
+    """Results that fit come out right although the sums of sub-matrices do not."""
+    a = np.full((4, 4), 2**61, np.int64)
+    b = np.eye(4, dtype=np.int64)
+    assert (hardneg.strassen(a, b, 1) == a).all()
+
+
+def brute(rows, positives, negatives, scale=256):
+    """The same, pair by pair."""
+    used = []
+    for n, (i, x, label, *_) in enumerate(rows):
+        if x is None or label is None or any(c is None or not math.isfinite(c) for c in x):
+            continue
+        if i is not None and i % 7 == 0:
+            label = (label + 1) % 10
+        used.append((n, i, [math.floor(scale * float(np.float32(c))) for c in x], label))
+
+    def score(a, b):
+        return sum(p * q for p, q in zip(a, b))
+
+    def order(r):
+        return (-r[0], r[1] is None, r[1] or 0)
+
+    out = []
+    for n, i, x, label in used:
+        if i is None or i % 100:
+            continue
+        others = [(score(x, y), j, other) for m, j, y, other in used if m != n]
+        best = sorted((o for o in others if o[2] == label), key=order)[:positives]
+        for of, j, _ in best:
+            fits = sorted((o for o in others if o[2] != label
+                           and 30 * of <= 100 * o[0] <= 90 * of), key=order)[:negatives]
+            out += [(i, j, r + 1, k, of, s) for r, (s, k, _) in enumerate(fits)]
+    return sorted(out, key=repr)
+
+
+def mined(spark, rows, **options):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hardneg.hard_negatives(df, F.col("vec_id") % 100 == 0, label, **options)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score",
+                             "negative_score"]
+    return sorted(map(tuple, found.collect()), key=repr)
+
+
+@pytest.mark.parametrize("anchors, candidates", [(1024, 4096), (3, 17)])
+def test_equal_to_all_pairs(spark, monkeypatch, anchors, candidates):
+    """Ties (few values), repeated ids and rows, nulls, not-a-number, short and empty vectors."""
+    monkeypatch.setattr(hardneg, "ANCHORS", anchors)
+    monkeypatch.setattr(hardneg, "CANDIDATES", candidates)
+    monkeypatch.setattr(hardneg, "LEAF", 2)
+    rng = random.Random(7)
+
+    def row(i):
+        x = [rng.choice([-0.01, 0.005, 0.01, 0.02]) + rng.random() * ((i or 0) % 2) for _ in range(9)]
+        return (i, x, rng.randrange(4), "x", 1)
+
+    rows = [row(i) for i in range(0, 900, 4)]
+    rows += [row(100), row(100), row(None), row(None), rows[3], rows[3], rows[25]]
+    rows += [(500, None, 1, "x", 1), (600, [0.1, None], 1, "x", 1), (700, [0.1, math.nan], 1, "x", 1),
+             (801, [math.inf], 2, "x", 1), (803, [0.3] * 9, None, "x", 1), (1000, [], 2, "x", 1),
+             (1100, [0.5, 0.5], 2, "x", 1), (1101, [0.7], 3, "x", 1)]
+    expected = brute(rows, 5, 10)
+    assert len(expected) > 100 and mined(spark, rows) == expected
+
+
+def test_huge_components(spark):
+    """Products beyond a long: exact order as far as longs go, no failure."""
+    rows = [(100, [1e9, 1e9], 1, "x", 1), (1, [1e9, 0.0], 1, "x", 1), (2, [5e8, 0.0], 2, "x", 1),
+            (3, [1e38, 1e38], 2, "x", 1)]
+    big = 256 * 256 * 10**18
+    limit = 2**63 - 1
+    # The positive's score is the largest long: its window ends below that.
+    assert big > limit
+    found = mined(spark, rows)
+    assert all(r[4] == limit and r[5] <= limit * 9 // 10 for r in found)
+    small = [(100, [1e6, 0.0], 1, "x", 1), (1, [1e6, 0.0], 1, "x", 1), (2, [5e5, 0.0], 2, "x", 1)]
+    assert mined(spark, small) == [(100, 1, 1, 2, 65536 * 10**12, 65536 * 5 * 10**11)]
+
+
+def test_one_label_holds_most_rows(spark, monkeypatch):
+    monkeypatch.setattr(hardneg, "CANDIDATES", 50)
+    rng = random.Random(1)
+    rows = [(i, [rng.random() for _ in range(4)], 3 if i % 10 else i % 3, "x", 1)
+            for i in range(400)]
+    assert mined(spark, rows) == brute(rows, 5, 10)
+
+
+def test_nothing(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(1, [0.1], 1, "x", 1), (100, None, 1, "x", 1)]) == []
+    assert mined(spark, [(100, [0.1], 1, "x", 1)]) == []

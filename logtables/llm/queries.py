@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtables.llm import (bpe, hardneg, langid, orderhash, packing, sharding, streamdedup, suffixes,
-                           topk, toxicity, urlrules)
+from logtables.llm import (bpe, hardneg, langid, orderhash, packing, sharding, spelling, streamdedup,
+                           suffixes, topk, toxicity, urlrules)
 
 #: The rules that `op9_url_filters` judges by: action, host, path. Fixed values.
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
@@ -59,6 +59,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   negatives=10, least=30, most=90, scale=256.0)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir), least=7, count=2, more=10)
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return urlrules.judge_urls(pages, urlrules.rule_table(spark, URL_RULES))
@@ -71,7 +75,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (
     op1_best_fit_packing, op2_language_id, op3_toxicity, op4_exact_top_k,
     op5_suffix_array_dedup, op6_bpe_round_trip, op7_exact_dedup, op8_sharding,
-    op9_url_filters, op10_minhash_near_dedup, op11_hard_negatives)}
+    op9_url_filters, op10_minhash_near_dedup, op11_hard_negatives,
+    op13_spelling_variants)}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -106,6 +111,38 @@ ORACLE = {
                            AND 100 * score <= 90 * positive_score)
         SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
         FROM n WHERE rank <= 10""",
+    # crc32 by its table; near words by wildcards (replaced) and deletions (inserted).
+    "op13_spelling_variants": f"""
+        WITH RECURSIVE bits AS (SELECT i, list_reduce(range(0, 8), lambda c, k:
+              CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+            FROM range(0, 256) t(i)),
+        crc AS (SELECT list(c ORDER BY i) AS t FROM bits),
+        runs AS (SELECT doc_id, {LOWER.format("unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+'))")} AS run
+                 FROM documents),
+        many AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+        raw AS (SELECT *, encode(coalesce(doc_id::VARCHAR, '') || ':' || run) AS b FROM many),
+        summed AS (SELECT run, n, xor(4294967295, list_reduce(
+              list_transform(range(0, octet_length(b)), lambda i: ('0x' || hex(b)[2 * i + 1 : 2 * i + 2])::BIGINT),
+              lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295)) AS h FROM raw, crc),
+        put AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                       ELSE run END AS word, n FROM summed),
+        words AS (SELECT word, sum(n)::BIGINT AS n FROM put WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        places AS (SELECT word, n, unnest(range(0, length(word))) AS j FROM words),
+        cut AS (SELECT word, n, left(word, j) || '*' || substr(word, j + 2) AS wild,
+                       left(word, j) || substr(word, j + 2) AS short FROM places),
+        near AS (SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.wild = b.wild AND a.word <> b.word
+                 UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.short
+                 UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.short),
+        best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS other_n
+                 FROM near GROUP BY word),
+        known AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                         CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+                         CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+                  FROM words w LEFT JOIN best ON best.word = w.word),
+        walk AS (SELECT word, word AS here, form AS further FROM known
+                 UNION ALL SELECT k.word, k.further, f.form FROM walk k JOIN known f ON f.word = k.further)
+        SELECT known.word, form, here AS root, n, n_near, form_n
+        FROM known JOIN walk ON walk.word = known.word AND walk.further IS NULL""",
     "op7_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {LOWER.format("coalesce(text, '')")} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtables.llm import (bpe, hardneg, langid, orderhash, packing, sharding, spelling, streamdedup,
-                           suffixes, topk, toxicity, urlrules)
+from logtables.llm import (bpe, hardneg, jaccardjoin, langid, orderhash, packing, sharding, spelling,
+                           streamdedup, suffixes, topk, toxicity, urlrules)
 
 #: The rules that `op9_url_filters` judges by: action, host, path. Fixed values.
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
@@ -59,6 +59,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   negatives=10, least=30, most=90, scale=256.0)
 
 
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccardjoin.jaccard_classes(documents(spark, sf_dir), width=3, percent=90)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir), least=7, count=2, more=10)
 
@@ -76,7 +80,7 @@ QUERIES = {q.__name__: q for q in (
     op1_best_fit_packing, op2_language_id, op3_toxicity, op4_exact_top_k,
     op5_suffix_array_dedup, op6_bpe_round_trip, op7_exact_dedup, op8_sharding,
     op9_url_filters, op10_minhash_near_dedup, op11_hard_negatives,
-    op13_spelling_variants)}
+    op12_ngram_jaccard_join, op13_spelling_variants)}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -111,6 +115,20 @@ ORACLE = {
                            AND 100 * score <= 90 * positive_score)
         SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
         FROM n WHERE rank <= 10""",
+    "op12_ngram_jaccard_join": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER.format("text")}, '[^\x20\x09-\x0D]+'), []) AS w
+              FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+              FROM w),
+        flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+        links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.t = b.t AND a.doc_id <> b.doc_id
+                  AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+                  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION
+                  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id
+        FROM s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = s.doc_id""",
     # crc32 by its table; near words by wildcards (replaced) and deletions (inserted).
     "op13_spelling_variants": f"""
         WITH RECURSIVE bits AS (SELECT i, list_reduce(range(0, 8), lambda c, k:

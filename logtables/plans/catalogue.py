@@ -133,24 +133,24 @@ def kind_uris(spark, sf):
     return backups.kind_uris(inputs.backup_info(spark, sf), list(inputs.KINDS), FINISHED_BACKUP)
 
 
-def _recorded(spark, sf) -> DataFrame:
-    """The ledger after a log export and a snapshot load below one root."""
+def _recorded(spark, sf) -> str:
+    """The ledger's folder after a log export and a snapshot load below one root."""
     database, root = _database(spark, "runs")
     found = inputs.core_logs(spark, sf)
     log_export.export_windows(found, DAILY, _windows_of(found, DAY), root)
     config = SnapshotConfig(inputs.KINDS, root, database)
     snapshot_export.start(spark, inputs.entities(spark, sf), config, JAN_5)
-    return run_source.read_runs(spark, f"{root}/runs")
+    return f"{root}/runs"
 
 
 @query
 def run_list(spark, sf):
-    return run_source.list_runs(_recorded(spark, sf))
+    return run_source.list_runs(run_source.read_runs(spark, _recorded(spark, sf)))
 
 
 @query
 def run_lookup(spark, sf):
-    return run_source.run_by_id(_recorded(spark, sf), RUN_ID)
+    return run_source.find_run(spark, _recorded(spark, sf), RUN_ID)
 
 
 # Field extraction.

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from logtables.operators import filters, rows, windows
 from logtables.session import delete_dir
 from logtables.sinks import tables
+from logtables.sinks.journal import CLAIM_MS, Journal, run_of
 from logtables.sources import logs as log_source
-from logtables.sources import runs as run_source
 from logtables.spec import LogExportConfig
 
 
@@ -46,44 +46,45 @@ def outcomes(logs: DataFrame, config: LogExportConfig, insert_id: str | None = "
 
 def export_windows(logs: DataFrame, config: LogExportConfig, wanted: DataFrame, root: str,
                    time: str = "start_time_usec", insert_id: str | None = "requestId",
-                   day: str | None = None, spread: int | None = None) -> None:
-    """Export the `wanted` windows (`window_start`, `window_end`) that have not been run yet.
-
-    Rows and rejects go below a folder of this attempt, `<root>/<config>/data/attempt=…`; the ledger
-    `<root>/runs`, written last, publishes both. A failed attempt is recorded as such and its
-    folder removed. Only wanted windows are read, each once however often it is given; `time`, a
-    column of epoch microseconds or a timestamp, decides on both the scan and the window. Copies
-    of an insert id are removed within a window. `spread` is the number of tasks a window may be
-    dealt over; by default four times the window's share of all shuffle partitions.
+                   day: str | None = None, spread: int | None = None,
+                   hold_ms: int = CLAIM_MS) -> list[int]:
+    """Export the `wanted` windows (`window_start`, `window_end`) that nobody has exported or is
+    exporting; returns the windows that this run has published.
+
+    The run claims its windows in the ledger `<root>/runs` first. Rows and rejects go below a folder of
+    this attempt, `<root>/<config>/data/attempt=…`; one record of the ledger, written last, publishes
+    both. Any number of runs may be started for the same windows: each window is published once. A run
+    that dies holds its windows for `hold_ms`, then another takes them over; should it be alive after
+    all, what it has written of them stays invisible. A failed attempt is recorded as such, its windows
+    are free at once and its folder is removed.
+
+    Only wanted windows are read, each once however often it is given; `time`, a column of epoch
+    microseconds or a timestamp, decides on both the scan and the window. Copies of an insert id are
+    removed within a window; rows without one all stay. `spread` is the number of tasks a window may
+    be dealt over; by default four times the window's share of all shuffle partitions.
     """
-    spark = logs.sparkSession
-    ledger = f"{root}/runs"
-    asked = wanted.select("window_start", "window_end").distinct()
-    # One row: the bounds become literals that reach the scan and prune the ledger.
-    first, last = asked.agg(F.min("window_start"), F.max("window_start")).first()
-    if first is None:
-        return
-    runs = run_source.read_runs(spark, ledger, config.name, (first, last))
-    todo = windows.pending_windows(asked, runs, config.name).select("window_start")
-    first, last, count = todo.agg(
-        F.min("window_start"), F.max("window_start"), F.count("*")).first()
-    if not count:
-        return
-    attempt = uuid.uuid4().hex
+    spark, attempt = logs.sparkSession, uuid.uuid4().hex
+    journal = Journal(spark, f"{root}/runs", config.name)
+    # A number for each window; rows stay where they are.
+    asked = [r[0] for r in wanted.select("window_start").distinct().collect()]
+    claimed = journal.claim(asked, attempt, hold_ms)
+    if not claimed:
+        return []
+    runs = [run_of(config.name, w, config.window_ms) for w in claimed]
     try:
-        scanned = log_source.scan_range(logs, first, last + config.window_ms, time, day)
+        scanned = log_source.scan_range(logs, claimed[0], claimed[-1] + config.window_ms, time, day)
         # Ahead of the extraction: a bad row of another window is none of this run's business.
+        todo = spark.createDataFrame([(w,) for w in claimed], "window_start bigint")
         scanned = windows.assign_window(scanned, config.window_ms, time).join(
             todo, "window_start", "left_semi")
-        counts = tables.write_attempt(
+        written = tables.write_attempt(
             outcomes(scanned, config, insert_id, time), config, root, attempt, insert_id,
-            spread or tables.spread_of(spark, count))
-        done = todo.join(counts, "window_start", "left").fillna(0, ["row_count"])
-        done = tables.run_rows(done, config.name, config.window_ms)
-        tables.append_runs(done, ledger, attempt)
+            spread or tables.spread_of(spark, len(claimed)), claimed)
+        done = journal.publish(attempt, [r | written.get(r["window_start"], {}) for r in runs])
     except Exception:
-        delete_dir(spark, f"{root}/{config.name}/data/attempt={attempt}")
-        failed = todo.withColumn("row_count", F.lit(0).cast("bigint"))
-        tables.append_runs(tables.run_rows(failed, config.name, config.window_ms,
-                                           run_source.FAILED), ledger)
+        if not journal.give_up(attempt, claimed, runs):
+            return claimed
+        delete_dir(spark, tables.data_path(root, config, attempt))
         raise
+    journal.compact()
+    return [r["window_start"] for r in done]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -40,6 +41,56 @@ def delete_dir(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_hadoop_path(spark, path), True)
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a whole file there unless one is there already; whether this call did. Of callers at the
+    same time one succeeds.
+
+    The file is written aside and moved in one step that never overwrites: a link where the store is
+    a local folder, a rename elsewhere, which has to be atomic there, as in HDFS.
+    """
+    folder, name = path.rsplit("/", 1)
+    aside = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    fs, jvm = _fs(spark, path), spark._jvm
+    out = fs.create(_hadoop_path(spark, aside), False)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    try:
+        if fs.getScheme() == "file":
+            files = jvm.java.nio.file.Files
+            files.createLink(*(jvm.java.io.File(fs.makeQualified(_hadoop_path(spark, p)).toUri()
+                                                .getPath()).toPath() for p in (path, aside)))
+        else:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                fs.getUri(), fs.getConf()).rename(
+                _hadoop_path(spark, aside), _hadoop_path(spark, path), spark.sparkContext._gateway
+                .new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(_hadoop_path(spark, aside), False)
+    return True
+
+
+def list_dir(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names right below a folder, with the time they were last changed; none if it is not there."""
+    if not path_exists(spark, path):
+        return {}
+    return {f.getPath().getName(): f.getModificationTime()
+            for f in _fs(spark, path).listStatus(_hadoop_path(spark, path))}
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    opened = _fs(spark, path).open(_hadoop_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -50,9 +101,15 @@ def _fs(spark: SparkSession, path: str):
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir`, else one in the warehouse."""
+    """The folder every executor can reach: `spark.checkpoint.dir`, else one in the warehouse. On a
+    cluster a warehouse in a driver's local folder is no such place."""
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    return f"{warehouse}/_shared".rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -13,25 +13,17 @@ from pyspark.sql import functions as F
 
 from logtables.functions import keys
 from logtables.session import delete_dir
-from logtables.sinks.tables import append_runs, quoted
-from logtables.sources.backups import read_kind
-from logtables.sources.runs import DONE, FAILED, read_runs
+from logtables.sinks import vacuum
+from logtables.sinks.journal import Journal
+from logtables.sinks.tables import quoted
+from logtables.sources.backups import catalogue_path, read_catalogue, read_kind
+from logtables.sources.runs import DONE, FAILED
 from logtables.spec import SnapshotConfig
 
-BACKUP_INFO_SCHEMA = "name string, complete_time bigint, gs_handle string"
 # Kinds written or loaded at the same time; each is a distributed job of its own.
 CONCURRENT_KINDS = 4
 
 
-def catalogue_path(config: SnapshotConfig) -> str:
-    return f"{config.root}/catalogue"
-
-
-def read_catalogue(spark: SparkSession, config: SnapshotConfig) -> DataFrame:
-    found = spark.read.schema(f"{BACKUP_INFO_SCHEMA}, record string")
-    return found.parquet(catalogue_path(config)).drop("record")
-
-
 def _each_kind(spark: SparkSession, work, kinds) -> None:
     with ThreadPoolExecutor(min(CONCURRENT_KINDS, len(kinds))) as pool:
         for done in [pool.submit(inheritable_thread_target(spark)(work), kind) for kind in kinds]:
@@ -63,18 +55,14 @@ def back_up(spark: SparkSession, entities: Mapping[str, DataFrame], config: Snap
     return handle
 
 
-def ledger_path(config: SnapshotConfig) -> str:
-    return f"{config.root}/runs"
-
-
 def load(spark: SparkSession, config: SnapshotConfig, handle: str, timestamp_ms: int,
          fmt: str = "parquet", **options: str) -> list[str]:
     """Load every kind into its table and return the tables.
 
     A kind is first written whole to a new folder, then the table, a view of that folder, is
     replaced in one step, with other columns if need be. A failed load leaves the table on its old
-    data. Each load is recorded in the ledger, failed ones too; the folder that the load before
-    has written is removed after the switch.
+    data. Each load is recorded in the ledger, failed ones too. What a load has replaced stays for
+    `config.keep_replaced_ms`, for queries that have begun before, and goes with a later load.
     """
     stamp = timestamp_ms if config.append_timestamp else None
     tables = {kind: keys.kind_table(kind, stamp) for kind in config.kinds}
@@ -82,8 +70,6 @@ def load(spark: SparkSession, config: SnapshotConfig, handle: str, timestamp_ms:
     def load_kind(kind: str) -> None:
         table = tables[kind]
         folder = f"{config.root}/tables/{table}/{uuid.uuid4().hex}"
-        before = [r["location"] for r in read_runs(spark, ledger_path(config), table).where(
-            F.col("status") == DONE).select("location").distinct().collect()]
         try:
             read_kind(spark, handle, kind, fmt, **options).write.parquet(folder)
             loaded = spark.read.parquet(folder)
@@ -94,8 +80,7 @@ def load(spark: SparkSession, config: SnapshotConfig, handle: str, timestamp_ms:
             _record(spark, config, table, timestamp_ms, 0, FAILED, None)
             raise
         _record(spark, config, table, timestamp_ms, count, DONE, folder)
-        for old in before:
-            delete_dir(spark, old)
+        vacuum.replaced_loads(spark, config, table)
 
     _each_kind(spark, load_kind, config.kinds)
     return [f"{config.database}.{table}" for table in tables.values()]
@@ -103,12 +88,9 @@ def load(spark: SparkSession, config: SnapshotConfig, handle: str, timestamp_ms:
 
 def _record(spark: SparkSession, config: SnapshotConfig, table: str, timestamp_ms: int,
             count: int, status: str, location: str | None) -> None:
-    at = F.lit(timestamp_ms).cast("bigint")
-    append_runs(spark.range(0, 1, 1, 1).select(
-        F.lit(f"load_{table}_{timestamp_ms}").alias("run_id"), F.lit(table).alias("config"),
-        at.alias("window_start"), at.alias("window_end"),
-        F.lit(count).cast("bigint").alias("row_count"), F.lit(status).alias("status")),
-        ledger_path(config), location)
+    run = {"run_id": f"load_{table}_{timestamp_ms}", "window_start": timestamp_ms,
+           "window_end": timestamp_ms, "row_count": count}
+    Journal(spark, f"{config.root}/runs", table).append(location, [run], status)
 
 
 def point_table(spark: SparkSession, name: str, folder: str) -> None:

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logtables.functions.rows import literal
 from logtables.operators.rows import REJECTS, ROWS
-from logtables.session import path_exists
-from logtables.sources.runs import DONE, RUNS_COLUMNS, published, read_runs
+from logtables.session import list_dir
+from logtables.sources.runs import DONE, read_runs
 from logtables.spec import LogExportConfig
 
 LAYOUT = T.StructType([T.StructField("table_id", T.StringType()),
@@ -125,16 +125,30 @@ def insert_windows(rows: DataFrame, config: LogExportConfig, database: str, root
     # This insert's folder only; its windows are few beside the rows.
     written = spark.read.schema(LAYOUT).parquet(path).select(*LAYOUT.names).distinct().collect()
     for table_id in ids:
-        mine = [r["window_start"] for r in written if r["table_id"] == table_id]
-        name = table_name(config, database, table_id)
-        for start in mine:
-            where = f"{path}/table_id={table_id}/window_start={start}"
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (window_start={start}) "
-                      f"LOCATION {literal(where)}")
-            spark.sql(f"ALTER TABLE {name} PARTITION (window_start={start}) "
-                      f"SET LOCATION {literal(where)}")
-        if mine:
-            spark.catalog.refreshTable(name)
+        mine = sorted(r["window_start"] for r in written if r["table_id"] == table_id)
+        point_partitions(spark, table_name(config, database, table_id),
+                         {w: f"{path}/table_id={table_id}/window_start={w}" for w in mine})
+
+
+#: Partitions that one statement names.
+NAMED = 1000
+
+
+def point_partitions(spark: SparkSession, name: str, folders: Mapping[int, str]) -> None:
+    """Let windows of a table show what is in their folders: new ones with one statement for NAMED of
+    them, those that are there already one by one, so none is missing in between."""
+    if not folders:
+        return
+    there = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    new = [w for w in folders if w not in there]
+    for begin in range(0, len(new), NAMED):
+        named = " ".join(f"PARTITION (window_start={w}) LOCATION {literal(folders[w])}"
+                         for w in new[begin:begin + NAMED])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {named}")
+    for w in folders.keys() & there:
+        spark.sql(f"ALTER TABLE {name} PARTITION (window_start={w}) "
+                  f"SET LOCATION {literal(folders[w])}")
+    spark.catalog.refreshTable(name)
 
 
 OUTCOMES = T.StructType([T.StructField("attempt", T.StringType()),
@@ -146,55 +160,103 @@ REJECT_FIELDS = T.StructType([
     T.StructField("_field_lengths", T.MapType(T.StringType(), T.LongType()))])
 
 
+#: Up to so many windows are counted while they are written.
+OBSERVED = 200
+
+
+def data_path(root: str, config: LogExportConfig, attempt: str) -> str:
+    return f"{root}/{config.name}/data/attempt={attempt}"
+
+
 def write_attempt(found: DataFrame, config: LogExportConfig, root: str, attempt: str,
-                  insert_id: str | None, spread: int) -> DataFrame:
+                  insert_id: str | None, spread: int, windows: Sequence[int] | None = None
+                  ) -> dict[int, dict]:
     """Write good rows and rejects of one attempt in one pass, one per insert id and window (a reject
-    also per message), and return the good rows' number by window.
+    also per message), and return what was written by window: row_count, reject_count, table_id.
 
     One exchange, by window and a bucket of the id, serves both the removal of copies and the
-    files. Of copies, the one with the smallest hash of its columns stays, whatever the tasks.
+    files. Of copies, the one with the smallest hash of its columns stays, whatever the tasks. Rows
+    without an id are nobody's copies: all of them stay, dealt by their content. The windows in
+    `windows` are counted by the write itself, if they are no more than OBSERVED; else, or if they are
+    not known, the partitions written are counted.
     """
     content = [f.name for f in found.schema.fields if not isinstance(f.dataType, T.MapType)]
     rejects = "_reason" in found.columns
-    if insert_id is None:
-        key = [F.xxhash64(*content)]
-    else:
+    id_ = F.lit(None).cast("string")
+    if insert_id is not None:
         own = F.col(f"`{insert_id}`").cast("string")
-        key = [F.coalesce(own, F.col("_request_id")) if rejects else own]
-    placed = (route(found, config).withColumn("_id", key[0])
-              .withColumn("_bucket", F.pmod(F.xxhash64("_id"), F.lit(spread)))
+        id_ = F.coalesce(own, F.col("_request_id")) if rejects else own
+    placed = (route(found, config).withColumn("_id", id_)
+              .withColumn("_bucket", F.pmod(F.when(F.col("_id").isNull(), F.xxhash64(*content))
+                                            .otherwise(F.xxhash64("_id")), F.lit(spread)))
               .repartition("window_start", "_bucket"))
     if insert_id is not None:
         copies = Window.partitionBy("window_start", "_bucket", "_id",
                                     *["outcome", "_message"] * rejects)
         placed = placed.withColumn("_copy", F.row_number().over(
-            copies.orderBy(F.xxhash64(*content)))).where("_copy = 1").drop("_copy")
-    path = f"{root}/{config.name}/data/attempt={attempt}"
+            copies.orderBy(F.xxhash64(*content)))).where("_copy = 1 OR _id IS NULL").drop("_copy")
+    path, spark = data_path(root, config, attempt), found.sparkSession
+    counted = None
+    if windows is not None and 0 < len(windows) <= OBSERVED:
+        counted = Observation()
+        placed = placed.observe(counted, *[F.count_if(
+            (F.col("window_start") == w) & (F.col("outcome") == outcome)).alias(f"{outcome}_{w}")
+            for w in windows for outcome in (ROWS, REJECTS)])
     (placed.drop("_id", "_bucket").write.mode("overwrite")
      .option("partitionOverwriteMode", "static")
      .partitionBy("outcome", *LAYOUT.names).parquet(path))
-    good = f"{path}/outcome={ROWS}"
-    spark = found.sparkSession
-    if not path_exists(spark, good):
-        return spark.createDataFrame([], "window_start bigint, row_count bigint")
-    return spark.read.schema(LAYOUT).parquet(good).groupBy("window_start").agg(
-        F.count("*").alias("row_count"))
+    if counted is not None:
+        numbers = {tuple(k.rsplit("_", 1)): n for k, n in counted.get.items()}
+        counts = [(o, int(w), n) for (o, w), n in numbers.items() if n]
+    else:
+        files = [f"{path}/{n}" for n in list_dir(spark, path) if n.startswith("outcome=")]
+        counts = [] if not files else [tuple(r) for r in spark.read.schema(T.StructType(
+            OUTCOMES.fields[1:])).option("basePath", path).parquet(*files).groupBy(
+                "outcome", "window_start").agg(F.count("*")).collect()]
+    ids = table_ids_of(spark, config, sorted({w for _, w, _ in counts}))
+    out = {w: {"row_count": 0, "reject_count": 0, "table_id": t} for w, t in ids.items()}
+    for outcome, w, n in counts:
+        out[w]["row_count" if outcome == ROWS else "reject_count"] = n
+    return out
+
+
+def table_ids_of(spark: SparkSession, config: LogExportConfig, windows: Sequence[int]
+                 ) -> dict[int, str]:
+    """The table of each window."""
+    starts = spark.createDataFrame([(w,) for w in windows], "w bigint")
+    return {r[0]: r[1] for r in starts.select("w", config.table_id(F.col("w"))).collect()}
+
+
+def published_paths(runs: DataFrame, root: str, config: LogExportConfig, outcome: str,
+                    whole: bool) -> list[str]:
+    """The folders of finished runs that have rows of an outcome. An attempt that is published whole
+    is one folder, if all its windows are wanted (`whole`), otherwise each window is one."""
+    count = "row_count" if outcome == ROWS else "reject_count"
+    some = runs.where((F.col("status") == DONE) & (F.col(count) > 0))
+    entire = F.col("whole") if whole else F.lit(False)
+    found = some.select("location", *[F.when(~entire, F.col(c)).alias(c)
+                                      for c in ("table_id", "window_start")]).distinct().collect()
+    return sorted(f"{data_path(root, config, r['location'])}/outcome={outcome}" + (
+        "" if r["window_start"] is None else
+        f"/table_id={r['table_id']}/window_start={r['window_start']}") for r in found)
 
 
 def read_outcome(spark: SparkSession, root: str, config: LogExportConfig, outcome: str,
                  columns: T.StructType, span: tuple[int, int] | None = None) -> DataFrame:
-    """What finished runs have written, with `table_id` and `window_start`. Readers follow the ledger:
-    data of other attempts is not there for them."""
-    path = f"{root}/{config.name}/data"
-    schema = T.StructType([*columns.fields, *OUTCOMES.fields])
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema).drop("attempt", "outcome")
-    data = spark.read.schema(schema).parquet(path).where(F.col("outcome") == outcome)
-    if span:
-        data = data.where(F.col("window_start").between(*span))
-    done = published(read_runs(spark, f"{root}/runs", config.name, span))
-    return data.join(done, ["attempt", "window_start"], "left_semi").select(
-        *columns.names, *LAYOUT.names)
+    """What finished runs have written, with `table_id` and `window_start`, of the windows that start
+    in a span if given.
+
+    The read is planned from the ledger. Only folders it names are listed and opened: neither those
+    of other attempts, of which there may be any number, nor those of other windows.
+    """
+    schema = T.StructType([*columns.fields, *LAYOUT.fields])
+    runs = read_runs(spark, f"{root}/runs", config.name, span)
+    paths = published_paths(runs, root, config, outcome, span is None)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    inside = T.StructType([*columns.fields, *OUTCOMES.fields])
+    return spark.read.schema(inside).option("basePath", f"{root}/{config.name}/data").parquet(
+        *paths).select(*schema.names)
 
 
 def read_rows(spark: SparkSession, root: str, config: LogExportConfig,
@@ -215,18 +277,3 @@ def run_rows(counts: DataFrame, config: str, window_ms: int, status: str = DONE)
         F.concat_ws("_", F.lit(config), "window_start", end).alias("run_id"),
         F.lit(config).alias("config"), "window_start", end.alias("window_end"),
         F.col("row_count").cast("bigint").alias("row_count"), F.lit(status).alias("status"))
-
-
-def append_runs(runs: DataFrame, path: str, location: str | None = None) -> None:
-    """Add records to the ledger, after the data they speak of is written.
-
-    Every call has partitions of its own, which are moved into place from a folder of its own: runs
-    that end at the same time do not disturb each other.
-    """
-    day = F.date_format(F.timestamp_millis("window_start"), "yyyy-MM-dd")
-    (runs.select(*RUNS_COLUMNS, F.lit(location).cast("string").alias("location"),
-                 F.unix_millis(F.current_timestamp()).alias("recorded_ms"), day.alias("day"),
-                 F.lit(uuid.uuid4().hex).alias("record"))
-     .repartition("config", "day").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("config", "day", "record").parquet(path))

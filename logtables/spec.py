@@ -151,6 +151,8 @@ class SnapshotConfig:
     append_timestamp: bool = False
     skip_load: bool = False
     name_prefix: str | None = None
+    # How long a folder stays after a load has replaced it.
+    keep_replaced_ms: int = 3_600_000
 
     def __post_init__(self):
         if not self.kinds or not self.root:

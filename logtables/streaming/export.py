@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logtables.plans.log_export import outcomes
 from logtables.sinks import tables
+from logtables.sinks.journal import Journal, run_of
 from logtables.spec import LogExportConfig
 from logtables.streaming import combine
 
@@ -56,9 +57,9 @@ def write_batch(config: LogExportConfig, root: str, insert_id: str | None = "req
         found = outcomes(batch, config, insert_id, time)
         counts = tables.write_attempt(found, config, root, attempt, insert_id,
                                       spread or tables.spread_of(batch.sparkSession))
-        runs = tables.run_rows(counts, config.name, config.window_ms)
-        tables.append_runs(runs.withColumn("run_id", F.concat("run_id", F.lit(f"_{attempt}"))),
-                           f"{root}/runs", attempt)
+        runs = [run_of(config.name, w, config.window_ms, **n) for w, n in sorted(counts.items())]
+        Journal(batch.sparkSession, f"{root}/runs", config.name).append(
+            attempt, [r | {"run_id": f"{r['run_id']}_{attempt}"} for r in runs])
     return write
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logtables.operators import fields, windows
 from logtables.plans import inputs, log_export, snapshot_export
-from logtables.sinks import snapshots, tables
+from logtables.sinks import journal, snapshots, tables, vacuum
 from logtables.sources.backups import read_kind
 from logtables.sources.runs import list_runs, read_runs, run_by_id
 from logtables.spec import Exporter, FieldSet, FieldSpec, LogExportConfig, SnapshotConfig
@@ -66,15 +66,15 @@ def test_a_failed_export_publishes_nothing(spark, tmp_path):
 def test_a_failure_before_the_ledger_publishes_neither_rows_nor_rejects(
         spark, tmp_path, monkeypatch):
     logs = inputs.core_logs(spark, SF)
-    append, calls = tables.append_runs, []
+    publish, calls = journal.Journal.publish, []
 
     def broken(*args):
         calls.append(args)
         if len(calls) == 1:
             raise OSError("no ledger")
-        append(*args)
+        return publish(*args)
 
-    monkeypatch.setattr(tables, "append_runs", broken)
+    monkeypatch.setattr(journal.Journal, "publish", broken)
     with pytest.raises(OSError):
         log_export.export_windows(logs, CHECKED, planned(spark, T0, 31), str(tmp_path))
     for read in (tables.read_rows, tables.read_rejects):
@@ -262,12 +262,23 @@ def test_a_failing_backup_leaves_the_finished_one_whole(spark, tmp_path):
     assert read_kind(spark, handle, "part").count() > 0
 
 
-def test_a_replaced_folder_goes(spark, tmp_path):
+def test_a_replaced_folder_goes_after_a_time_of_grace(spark, tmp_path):
     config = snapshot_config(spark, tmp_path)
-    for at in (T0, T0 + DAY):
-        snapshot_export.start(spark, inputs.entities(spark, SF), config, at)
-    assert len(list((tmp_path / "tables" / "part").iterdir())) == 1
-    assert spark.table(f"{config.database}.part").count() > 0
+    entities = inputs.entities(spark, SF)
+    snapshot_export.start(spark, entities, config, T0)
+    reader = spark.table(f"{config.database}.part")
+    snapshot_export.start(spark, entities, config, T0 + DAY)
+    assert reader.count() == entities["part"].count()
+    folders = tmp_path / "tables" / "part"
+    assert len(list(folders.iterdir())) == 2
+    assert vacuum.replaced_loads(spark, config, "part") == []
+    assert len(vacuum.replaced_loads(spark, config, "part", 0)) == 1
+    assert len(list(folders.iterdir())) == 1
+    assert spark.table(f"{config.database}.part").count() == entities["part"].count()
+    hasty = snapshot_config(spark, tmp_path / "other", keep_replaced_ms=0)
+    for at in range(3):
+        snapshot_export.start(spark, entities, hasty, T0 + at * DAY)
+    assert len(list((tmp_path / "other" / "tables" / "part").iterdir())) == 1
 
 
 def test_snapshots_load_other_formats(spark, tmp_path):

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from logtables.functions.rows import literal
 from logtables.operators.rows import REJECTS, ROWS
 from logtables.session import list_dir
-from logtables.sources.runs import DONE, read_runs
+from logtables.sources.runs import DONE, WRITTEN, read_runs
 from logtables.spec import LogExportConfig
 
 LAYOUT = T.StructType([T.StructField("table_id", T.StringType()),
@@ -230,15 +230,26 @@ def table_ids_of(spark: SparkSession, config: LogExportConfig, windows: Sequence
 def published_paths(runs: DataFrame, root: str, config: LogExportConfig, outcome: str,
                     whole: bool) -> list[str]:
     """The folders of finished runs that have rows of an outcome. An attempt that is published whole
-    is one folder, if all its windows are wanted (`whole`), otherwise each window is one."""
+    is one folder, if all its windows are wanted (`whole`), otherwise each window is one.
+
+    A finished run without a place is a window that a stream has closed: its rows are where the
+    stream has written them, batch by batch.
+    """
     count = "row_count" if outcome == ROWS else "reject_count"
-    some = runs.where((F.col("status") == DONE) & (F.col(count) > 0))
+    done = runs.where(F.col("status") == DONE)
+    closed = done.where("location IS NULL").select("window_start").distinct().withColumn(
+        "closed", F.lit(True))
+    parts = runs.where(F.col("status") == WRITTEN).join(closed, "window_start", "left").withColumn(
+        "whole", F.count_if(F.col("closed").isNull()).over(Window.partitionBy("location")) == 0)
+    some = done.where("location IS NOT NULL").select("location", "table_id", "window_start", count,
+                                                     "whole").unionAll(
+        parts.where("closed").select("location", "table_id", "window_start", count, "whole"))
     entire = F.col("whole") if whole else F.lit(False)
-    found = some.select("location", *[F.when(~entire, F.col(c)).alias(c)
-                                      for c in ("table_id", "window_start")]).distinct().collect()
+    found = some.where(F.col(count) > 0).select("location", *[
+        F.when(~entire, F.col(c)).alias(c) for c in ("table_id", "window_start")]).distinct()
     return sorted(f"{data_path(root, config, r['location'])}/outcome={outcome}" + (
         "" if r["window_start"] is None else
-        f"/table_id={r['table_id']}/window_start={r['window_start']}") for r in found)
+        f"/table_id={r['table_id']}/window_start={r['window_start']}") for r in found.collect())
 
 
 def read_outcome(spark: SparkSession, root: str, config: LogExportConfig, outcome: str,

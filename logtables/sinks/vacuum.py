@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from logtables.session import delete_dir, list_dir
 from logtables.sinks.journal import Journal, now_ms
 from logtables.sources.backups import catalogue_path, read_catalogue
-from logtables.sources.runs import DONE, read_runs
+from logtables.sources.runs import DONE, WRITTEN, read_runs
 from logtables.spec import LogExportConfig, SnapshotConfig
 
 #: Folders of a snapshot export that hold no backup.
@@ -36,10 +36,11 @@ def attempts(spark: SparkSession, root: str, config: LogExportConfig, grace_ms:
     data = f"{root}/{config.name}/data"
     state = Journal(spark, f"{root}/runs", config.name).state()
     alive = {f"attempt={who}" for who, until in state.claims.values() if until > now_ms()}
-    done = read_runs(spark, f"{root}/runs", config.name).where(F.col("status") == DONE)
+    done = read_runs(spark, f"{root}/runs", config.name).where(F.col("status").isin(DONE, WRITTEN))
     gone = _unnamed(spark, {n: t for n, t in list_dir(spark, data).items()
                             if n.startswith("attempt=")},
-                    done.select(F.concat(F.lit("attempt="), "location")), grace_ms, alive)
+                    done.where("location IS NOT NULL").select(
+                        F.concat(F.lit("attempt="), "location")), grace_ms, alive)
     for name in gone:
         delete_dir(spark, f"{data}/{name}")
     return gone

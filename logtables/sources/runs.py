@@ -24,7 +24,8 @@ RUNS_SCHEMA = T.StructType([T.StructField(name, kind()) for name, kind in (
     ("status", T.StringType), ("location", T.StringType), ("whole", T.BooleanType),
     ("recorded_ms", T.LongType), ("record", T.LongType))])
 RUN_NAMES = RUNS_SCHEMA.names
-DONE, FAILED = "done", "failed"
+#: WRITTEN: rows of a window that a stream has not closed yet. LATE: rows that came after that.
+DONE, FAILED, WRITTEN, LATE = "done", "failed", "written", "late"
 RECORD, CHECKPOINT = "{:020d}.json", "{:020d}.checkpoint"
 
 

@@ -18,8 +18,9 @@ sequential. It is cut up here without changing the result:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,8 @@ SUMMARY = T.StructType([
     T.StructField("upto", T.ArrayType(T.LongType())),
     T.StructField("closed", T.ArrayType(T.LongType())),
     T.StructField("open_bytes", T.ArrayType(T.LongType())),
+    T.StructField("carry_bytes", T.LongType()),
+    T.StructField("carry_batch", T.LongType()),
 ])
 
 ENTRY = T.StructType([
@@ -52,36 +55,73 @@ LOSSLESS = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:
 
 
 def byte_batches(rows: DataFrame, group: Sequence[str], order: Sequence[str], size: str,
-                 limit: int = MAX_BATCH_BYTES, slices: int | None = None) -> DataFrame:
+                 limit: int = MAX_BATCH_BYTES, slices: int | None = None,
+                 carried: DataFrame | None = None) -> DataFrame:
     """Add `batch`, the number of the batch a row falls into within its group, counted from 0.
 
     `order` must be total within a group (end it with a unique id): ties cannot be split. Give only
     the columns the batches are needed for; the rows are written once to the shared folder, where
     `spark.cleaner.referenceTracking.cleanCheckpoints` removes them after use. A first row above
     the limit leaves batch 0 empty, so a batch number is not always used. The number of slices
-    follows the number of rows unless given.
+    follows the number of rows unless given. `carried` has what earlier rows of a group have left:
+    the group's columns, `open_bytes` and `batch`, as `left_open` gives them.
     """
     if slices is None:
         slices = max(rows.sparkSession.sparkContext.defaultParallelism,
                      -(-rows.count() // ROWS_PER_SLICE))
     columns = rows.columns
+    before, carry = rows, []
+    if carried is not None:
+        carry = ["_carry_bytes", "_carry_batch"]
+        first = (F.lit(greedy.FIRST_BATCH_BYTES).cast("bigint"), F.lit(0).cast("bigint"))
+        state = carried.select(*[F.col(c).alias(f"_of_{c}") for c in group], "open_bytes",
+                               F.col("batch").alias("_batch"))
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group]
+        before = rows.join(state, reduce(Column.__and__, same), "left").select(
+            *columns, F.coalesce("open_bytes", first[0]).alias("_carry_bytes"),
+            F.coalesce("_batch", first[1]).alias("_carry_batch"))
     placed = durable(
-        rows.repartitionByRange(slices, *group, *order)
+        before.repartitionByRange(slices, *group, *order)
         .sortWithinPartitions(*group, *order)
         .select("*", F.to_json(F.struct(*group), LOSSLESS).alias("_group"),
                 F.col(size).cast("bigint").alias("_size"),
                 F.spark_partition_id().alias("_slice")))
     # A row or two per slice: for the group it begins in and for the one it ends in.
-    entries = (placed.select("_group", "_size", "_slice")
+    entries = (placed.select("_group", "_size", "_slice", *carry)
                .mapInArrow(greedy.summarize_slice(limit), SUMMARY)
                .repartition("group").sortWithinPartitions("group", "slice")
                .mapInPandas(greedy.walk_slices(limit), ENTRY))
     out = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
     return (placed.join(F.broadcast(entries.withColumnRenamed("slice", "_slice")), "_slice", "left")
-            .select(*columns, "_group", "_size", "entry_bytes", "entry_batch")
+            .select(*columns, "_group", "_size", *carry, "entry_bytes", "entry_batch")
             .mapInArrow(greedy.number_slice(limit, columns), out))
 
 
+def left_open(batched: DataFrame, group: Sequence[str], size: str,
+              carried: DataFrame | None = None) -> DataFrame:
+    """What numbered rows leave open: (group, open_bytes, batch), the last batch of each group and the
+    bytes counted for it. Groups of `carried` without new rows stay as they are."""
+    fresh = F.lit(greedy.FIRST_BATCH_BYTES).cast("bigint")
+    sums = batched.groupBy(*group, "batch").agg(F.sum(size).cast("bigint").alias("open_bytes"))
+    if carried is None:
+        sums = sums.withColumn("open_bytes", F.col("open_bytes") + F.when(
+            F.col("batch") == 0, fresh).otherwise(0))
+    else:
+        # The batch that was open has the bytes it had; of a new group, the first ones.
+        known = carried.select(*group, F.col("batch").alias("_batch"),
+                               F.col("open_bytes").alias("_open"))
+        both = sums.alias("s").join(known.alias("k"), reduce(Column.__and__, [
+            F.col(f"s.`{c}`").eqNullSafe(F.col(f"k.`{c}`")) for c in group]), "full")
+        had = F.coalesce("_batch", F.lit(0)) == F.col("batch")
+        sums = both.select(
+            *[F.coalesce(f"s.`{c}`", f"k.`{c}`").alias(c) for c in group],
+            F.when(F.col("batch").isNull(), F.col("_open")).otherwise(
+                F.col("open_bytes") + F.when(had, F.coalesce("_open", fresh)).otherwise(0))
+            .alias("open_bytes"), F.coalesce("batch", "_batch").alias("batch"))
+    last = F.max(F.struct("batch", "open_bytes")).alias("_last")
+    return sums.groupBy(*group).agg(last).select(*group, "_last.open_bytes", "_last.batch")
+
+
 def batch_sizes(batched: DataFrame, group: Sequence[str], size: str) -> DataFrame:
     return batched.groupBy(*group, "batch").agg(
         F.count("*").alias("row_count"), F.sum(size).cast("bigint").alias("total_bytes"))

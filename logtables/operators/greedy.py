@@ -117,15 +117,23 @@ def _thin(t: Transfer, limit: int) -> Transfer:
 NOTHING = Transfer(0, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def carried(data: pa.RecordBatch, at: int) -> tuple[int, int]:
+    """Bytes open and the batch's number before the first row of the group that a row belongs to."""
+    if "_carry_bytes" not in data.schema.names:
+        return FIRST_BATCH_BYTES, 0
+    return data.column("_carry_bytes")[at].as_py(), data.column("_carry_batch")[at].as_py()
+
+
 def summarize_slice(limit: int):
-    def rows_of(part, group, starts, transfer) -> dict:
+    def rows_of(part, group, starts, transfer, carry) -> dict:
         return {"slice": part, "group": group, "starts": starts, "total": transfer.total,
                 "upto": transfer.upto, "closed": transfer.closed,
-                "open_bytes": transfer.open_bytes}
+                "open_bytes": transfer.open_bytes, "carry_bytes": carry[0],
+                "carry_batch": carry[1]}
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The transfer of the group a slice begins in and, if another, of the one it ends in."""
-        part, first, last, so_far, found = None, None, None, NOTHING, []
+        part, first, last, so_far, found, carry = None, None, None, NOTHING, [], None
         for data in batches:
             if not data.num_rows:
                 continue
@@ -136,32 +144,34 @@ def summarize_slice(limit: int):
                 name = group[start].as_py()
                 if first is None:
                     first = last = name
+                    carry = carried(data, start)
                 if name != last:
                     if last == first:
-                        found.append(rows_of(part, first, False, so_far))
-                    last, so_far = name, NOTHING
+                        found.append(rows_of(part, first, False, so_far, carry))
+                    last, so_far, carry = name, NOTHING, carried(data, start)
                 so_far = compose(so_far, summarize(values[start:end], limit), limit)
         if part is None:
             return
-        found.append(rows_of(part, last, last != first, so_far))
+        found.append(rows_of(part, last, last != first, so_far, carry))
         yield pa.RecordBatch.from_pylist(found, schema=pa.schema([
             ("slice", pa.int32()), ("group", pa.string()), ("starts", pa.bool_()),
             ("total", pa.int64()), ("upto", pa.list_(pa.int64())),
             ("closed", pa.list_(pa.int64())), ("open_bytes", pa.list_(pa.int64())),
+            ("carry_bytes", pa.int64()), ("carry_batch", pa.int64()),
         ]))
     return summary
 
 
 def walk_slices(limit: int):
     """Carry the open batch along each group's slices. A slice in which the group starts has no
-    entry: the group's first row opens its first batch."""
+    entry: the group's first row goes on with what was open before, or opens its first batch."""
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, open_bytes, batch = None, 0, 0
         for frame in frames:
             entries = []
             for row in frame.itertuples(index=False):
                 if row.group != group:
-                    group, open_bytes, batch = row.group, FIRST_BATCH_BYTES, 0
+                    group, open_bytes, batch = row.group, row.carry_bytes, row.carry_batch
                 if not row.starts:
                     entries.append((row.slice, open_bytes, batch))
                 closed, open_bytes = Transfer(
@@ -183,11 +193,12 @@ def number_slice(limit: int, columns: list[str]):
             for start, end in _runs(group):
                 name = group[start].as_py()
                 if not started:
-                    carried = data.column("entry_bytes")[start].as_py()
-                    open_bytes = FIRST_BATCH_BYTES if carried is None else carried
-                    batch = data.column("entry_batch")[start].as_py() or 0
+                    open_bytes = data.column("entry_bytes")[start].as_py()
+                    batch = data.column("entry_batch")[start].as_py()
+                    if open_bytes is None:
+                        open_bytes, batch = carried(data, start)
                 elif name != current:
-                    open_bytes, batch = FIRST_BATCH_BYTES, 0
+                    open_bytes, batch = carried(data, start)
                 current, started = name, True
                 numbers[start:end], open_bytes, batch = number_rows(
                     values[start:end], open_bytes, batch, limit)

@@ -128,6 +128,12 @@ def backup_ready(spark, sf):
         backups.find_backup(inputs.backup_info(spark, sf), FINISHED_BACKUP, "nightly"))
 
 
+@query
+def backup_lookups(spark, sf):
+    """The first backup of every prefix in one go."""
+    return backups.find_backups(inputs.backup_info(spark, sf), inputs.backup_prefixes(spark, sf))
+
+
 @query
 def kind_uris(spark, sf):
     return backups.kind_uris(inputs.backup_info(spark, sf), list(inputs.KINDS), FINISHED_BACKUP)

@@ -121,6 +121,16 @@ def backup_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("gs_handle"))
 
 
+def backup_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each day of an order: its backup's name as expected, with and without what finished orders
+    add, a short form that covers several days, and one that lies behind all names of the day."""
+    at = times.millis(F.col("o_orderdate")).cast("string")
+    expected = F.concat(F.lit("nightly"), at, F.lit("_"))
+    forms = F.array(expected, F.concat(expected, F.lit("x")), F.substring(expected, 1, 11),
+                    F.concat(expected, F.lit("~")))
+    return table(spark, sf_dir, "orders").select(F.explode(forms).alias("prefix"))
+
+
 def entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {kind: table(spark, sf_dir, kind) for kind in KINDS}
 

@@ -343,6 +343,16 @@ ORDER BY name LIMIT 1)"""
 ORACLE["backup_lookup"] = first_backup(UNFINISHED_BACKUP) + " SELECT * FROM found"
 ORACLE["backup_ready"] = (first_backup(FINISHED_BACKUP)
                           + " SELECT * FROM found WHERE gs_handle IS NOT NULL")
+ORACLE["backup_lookups"] = f"""WITH {BACKUPS},
+days AS (SELECT DISTINCT concat('nightly', epoch_ms(o_orderdate), '_') AS p FROM orders),
+prefixes AS (SELECT p AS prefix FROM days UNION SELECT p || 'x' FROM days UNION SELECT left(p, 11) FROM days
+             UNION SELECT p || '~' FROM days),
+-- A name lies in the range of a prefix only if it begins with it.
+cut AS (SELECT DISTINCT length(prefix) AS n FROM prefixes),
+found AS (SELECT prefix, name, complete_time, gs_handle FROM backup_info, cut
+          JOIN prefixes ON left(name, n) = prefix AND length(prefix) = n WHERE name <= prefix || 'Z'
+          QUALIFY row_number() OVER (PARTITION BY prefix ORDER BY name, complete_time NULLS FIRST, gs_handle NULLS FIRST) = 1)
+SELECT prefix, name, complete_time, gs_handle FROM prefixes LEFT JOIN found USING (prefix)"""
 ORACLE["kind_uris"] = f"""WITH {BACKUPS}, kinds(kind) AS (VALUES ('customer'), ('supplier'), ('part'))
 SELECT name, kind,
        replace(replace(gs_handle, '/gs/', 'gs://'), 'backup_info', kind || '.backup_info') AS uri,

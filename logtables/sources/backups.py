@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtables.functions import keys
+from logtables.operators import sweep
 from logtables.spec import SnapshotConfig
 
 BACKUP_INFO_SCHEMA = "name string, complete_time bigint, gs_handle string"
@@ -31,6 +32,21 @@ def find_backup(backup_info: DataFrame, timestamp_ms: int, prefix: str | None) -
             .orderBy("name", "complete_time", "gs_handle").limit(1))
 
 
+def find_backups(backup_info: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The first backup by name for each of many prefixes (`prefix`) at once.
+
+    One row per distinct prefix, with nulls where no name lies between the prefix and the prefix
+    followed by `Z`. Prefixes may overlap. The first name at or after a prefix is in that range if any
+    name is, so one sorted sweep over names and prefixes answers all of them.
+    """
+    names = backup_info.select("name", "complete_time", "gs_handle")
+    found = sweep.next_points(prefixes.select(F.col("prefix").alias("name")), names, "name",
+                              ["complete_time", "gs_handle"])
+    inside = F.col("point.name") <= F.concat("name", F.lit("Z"))
+    return found.select(F.col("name").alias("prefix"), *[
+        F.when(inside, F.col(f"point.{c}")).alias(c) for c in names.columns])
+
+
 def ready(found: DataFrame) -> DataFrame:
     """The backup is ready once it has a handle. Applied after the limit of `find_backup`, so an
     unfinished first match does not let a later one through."""

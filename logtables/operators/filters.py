@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
+#: The highest level of a request's lines, where it was stored (`sinks/logs.py`).
+TOP_LEVEL = "top_level"
 #: The longest list of versions that is written out as a predicate.
 PUSHED_PAIRS = 20
 
@@ -16,10 +17,13 @@ PUSHED_PAIRS = 20
 def min_level(logs: DataFrame, level: int | None) -> DataFrame:
     """Keep requests with at least one log line at `level` or above; None keeps all.
 
-    Reads the lines' levels only, not their messages, and stays in generated code.
+    Logs that were stored with their TOP_LEVEL are filtered by that, a bare column that lets Parquet
+    skip row groups. Otherwise the lines' levels are read, not their messages, in generated code.
     """
     if level is None:
         return logs
+    if TOP_LEVEL in logs.columns:
+        return logs.where(F.col(TOP_LEVEL) >= level)
     return logs.where(F.array_max(F.col("app_logs")["level"]) >= level)
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,12 @@ from logtables.functions import keys, schemas, times
 from logtables.functions import rows as row_text
 from logtables.operators import batching, dedup, fields, filters, reports, rows, windows
 from logtables.plans import inputs, log_export, snapshot_export
-from logtables.sinks import snapshots, tables
+from logtables.sinks import journal, snapshots, tables, vacuum
+from logtables.sinks import logs as log_store
 from logtables.sources import backups, logs, manifest
 from logtables.sources import runs as run_source
 from logtables.spec import Exporter, FieldSet, FieldSpec, LogExportConfig, SnapshotConfig
+from logtables.streaming import batches, closing
 from logtables.streaming import export as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,6 +260,15 @@ def min_level(spark, sf):
     return kept.select("request_id", F.size("app_logs").cast("bigint").alias("line_count"))
 
 
+@query
+def stored_min_level(spark, sf):
+    """A level and a span of time asked of stored logs: both are pushed down to row groups."""
+    path = session.fresh_dir(spark, "stored_min_level")
+    log_store.store(inputs.core_logs(spark, sf).drop("event_time"), path)
+    found = logs.scan_range(spark.read.parquet(path), JAN_5, JAN_12, day="day")
+    return filters.min_level(found, 3).select("request_id", "start_time_usec")
+
+
 @query
 def version_filter(spark, sf):
     wanted = spark.sql("VALUES ('v0', 'default'), ('v2', 'worker') AS v(version_id, module_id)")
@@ -502,6 +515,76 @@ def export_rerun(spark, sf):
     return _exported(spark, root, DAILY)
 
 
+@query
+def export_concurrent(spark, sf):
+    """Three runs of the same windows at the same time; every row is there once."""
+    root = session.fresh_dir(spark, "export_concurrent")
+    found = inputs.core_logs(spark, sf)
+    planned = _windows_of(found, DAY)
+    with ThreadPoolExecutor(3) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(log_export.export_windows), found,
+                               DAILY, planned, root) for _ in range(3)]
+        for run in started:
+            run.result()
+    return _exported(spark, root, DAILY)
+
+
+@query
+def export_takeover(spark, sf):
+    """One run holds every third window, another has died over every third: the export does all but
+    what is held, and the dead one, alive after all, publishes nothing."""
+    root = session.fresh_dir(spark, "export_takeover")
+    found = inputs.core_logs(spark, sf)
+    planned = _windows_of(found, DAY)
+    days = [r[0] for r in planned.select("window_start").collect()]
+    other = journal.Journal(spark, f"{root}/runs", DAILY.name)
+    other.claim([w for w in days if w // DAY % 3 == 0], "alive")
+    dead = other.claim([w for w in days if w // DAY % 3 == 1], "dead", hold_ms=-1)
+    log_export.export_windows(found, DAILY, planned, root)
+    other.publish("dead", [journal.run_of(DAILY.name, w, DAY, row_count=1) for w in dead])
+    return _exported(spark, root, DAILY)
+
+
+LOOSE = LogExportConfig("loose", FieldSet((fields.TIMESTAMP, Exporter("id", (
+    FieldSpec("requestId", "string", "request_id", nullable=True),)))), window_ms=DAY)
+
+
+@query
+def export_null_ids(spark, sf):
+    """Replayed logs of which the odd ones have no insert id: those all stay."""
+    root = session.fresh_dir(spark, "export_null_ids")
+    sent = inputs.replays(inputs.core_logs(spark, sf)).withColumn(
+        "request_id", F.when(F.col("event_id") % 2 == 0, F.col("request_id")))
+    log_export.export_windows(sent, LOOSE, _windows_of(inputs.core_logs(spark, sf), DAY), root)
+    return tables.read_rows(spark, root, LOOSE).select("window_start", "timestamp", "requestId")
+
+
+@query
+def export_vacuum(spark, sf):
+    """The folder of a killed attempt goes, published rows stay."""
+    root = session.fresh_dir(spark, "export_vacuum")
+    found = inputs.core_logs(spark, sf)
+    tables.write_attempt(log_export.outcomes(found, DAILY), DAILY, root, "killed", "requestId", 1)
+    log_export.export_windows(found, DAILY, _windows_of(found, DAY), root)
+    gone = vacuum.attempts(spark, root, DAILY, grace_ms=0)
+    left = tables.read_rows(spark, root, DAILY).groupBy("window_start").agg(
+        F.count("*").alias("row_count"))
+    return left.withColumn("removed", F.lit(len(gone)).cast("bigint"))
+
+
+@query
+def ledger_compacted(spark, sf):
+    """A record per hour that has logs: beyond some records they are in a checkpoint."""
+    root = session.fresh_dir(spark, "ledger_compacted")
+    hours = rows_per_window(spark, sf).collect()
+    log = journal.Journal(spark, f"{root}/runs", "hourly")
+    for part in range(48):
+        log.append(f"part-{part}", [
+            journal.run_of("hourly", r["window_start"], HOUR, row_count=r["row_count"])
+            for r in hours if r["window_start"] // HOUR % 48 == part])
+    return run_source.list_runs(run_source.read_runs(spark, f"{root}/runs"))
+
+
 @query
 def route_tables(spark, sf):
     """Rows routed to a table per day."""
@@ -640,3 +723,59 @@ def stream_rejects(spark, sf):
     _streamed(spark, sf, root)
     return tables.read_rejects(spark, root, STREAMED).select(
         "window_start", "request_id", "reason", "message")
+
+
+def _in_slices(spark, sf, root: str, parts: int = 4) -> DataFrame:
+    """The core logs as a stream of files in order of arrival, a file to a micro-batch."""
+    found = inputs.core_logs(spark, sf).drop("event_time")
+    first, last = found.agg(F.min("arrival_usec"), F.max("arrival_usec")).first()
+    part = F.least(F.lit(parts - 1), F.floor(
+        (F.col("arrival_usec") - first) * parts / (last - first + 1))).cast("int")
+    for i in range(parts):
+        found.where(part == i).coalesce(1).write.mode("append").parquet(f"{root}/sent")
+    return stream.read_stream(spark, f"{root}/sent", found.schema, max_files=1)
+
+
+def _closed(spark, sf, label: str) -> tuple[str, DataFrame]:
+    root = session.fresh_dir(spark, label)
+    sent = _in_slices(spark, sf, root)
+    closing.start_export(sent, DAILY, root, f"{root}/checkpoint", ONCE).awaitTermination()
+    return root, sent
+
+
+@query
+def stream_windows(spark, sf):
+    """The ledger of a stream in several micro-batches: one finished run for each closed window."""
+    root, _ = _closed(spark, sf, "stream_windows")
+    runs = run_source.read_runs(spark, f"{root}/runs", DAILY.name)
+    return runs.where("status = 'done'").select("run_id", "window_start", "row_count")
+
+
+@query
+def stream_closed_rows(spark, sf):
+    """The rows of closed windows, written by several micro-batches."""
+    root, _ = _closed(spark, sf, "stream_closed_rows")
+    return _exported(spark, root, DAILY)
+
+
+@query
+def stream_late(spark, sf):
+    """Late rows of the same stream."""
+    root, sent = _closed(spark, sf, "stream_late")
+    return closing.read_late(spark, root, DAILY, sent.schema).select(
+        "request_id", "window_start", "late_by_ms", "reason")
+
+
+@query
+def stream_batches(spark, sf):
+    """Greedy batches of documents that come in four micro-batches, equal to those of the whole."""
+    root = session.fresh_dir(spark, "stream_batches")
+    sized = inputs.row_sizes(spark, sf)
+    first, last = sized.agg(F.min("doc_id"), F.max("doc_id")).first()
+    for i in range(4):
+        part = F.floor((F.col("doc_id") - first) * 4 / (last - first + 1)) == i
+        sized.where(part).coalesce(1).write.mode("append").parquet(f"{root}/sent")
+    sent = stream.read_stream(spark, f"{root}/sent", sized.schema, max_files=1)
+    batches.start_batches(sent, f"{root}/out", f"{root}/checkpoint", ["lang"], ["doc_id"],
+                          "row_bytes", DOCUMENT_BATCH_BYTES, ONCE).awaitTermination()
+    return batches.read_batches(spark, f"{root}/out", sized.schema)

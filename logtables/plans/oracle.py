@@ -106,6 +106,10 @@ ORACLE["min_level"] = core("""
 SELECT request_id, len(app_logs) AS line_count FROM core
 WHERE len([x FOR x IN app_logs IF x.level >= 3]) > 0""")
 
+ORACLE["stored_min_level"] = core(f"""
+SELECT request_id, start_time_usec FROM core
+WHERE len([x FOR x IN app_logs IF x.level >= 3]) > 0
+  AND start_time_usec >= {JAN_5}000 AND start_time_usec < {JAN_12}000""")
 ORACLE["version_filter"] = core("""
 SELECT request_id, version_id, module_id FROM core
 WHERE (version_id = 'v0' AND module_id = 'default') OR (version_id = 'v2' AND module_id = 'worker')
@@ -387,6 +391,23 @@ ORACLE["export_rerun"] = core(f"""
 SELECT {window(DAY)} AS window_start, request_id AS "requestId" FROM core
 WHERE http_status <> 500 AND nickname <> 'user3'""")
 
+ORACLE["export_concurrent"] = core(f"""
+SELECT {window(DAY)} AS window_start, request_id AS "requestId" FROM core""")
+ORACLE["export_takeover"] = core(f"""
+SELECT {window(DAY)} AS window_start, request_id AS "requestId" FROM core
+WHERE {window(DAY)} // {DAY} % 3 <> 0""")
+ORACLE["export_null_ids"] = core(f"""
+SELECT {window(DAY)} AS window_start, start_time_usec AS "timestamp",
+       CASE WHEN event_id % 2 = 0 THEN request_id END AS "requestId" FROM core
+CROSS JOIN range(0, 3) attempts(n) WHERE n <= CASE event_id % 2 WHEN 0 THEN 0 ELSE event_id % 3 END""")
+ORACLE["export_vacuum"] = core(f"""
+SELECT {window(DAY)} AS window_start, count(*) AS row_count, cast(1 AS bigint) AS removed
+FROM core GROUP BY 1""")
+ORACLE["ledger_compacted"] = core(f"""
+SELECT concat('hourly_', w, '_', w + {HOUR}) AS run_id, 'hourly' AS config, w AS window_start,
+       w + {HOUR} AS window_end, count(*) AS row_count, 'done' AS status
+FROM (SELECT {window(HOUR)} AS w FROM core) GROUP BY w""")
+
 ORACLE["snapshot_backup"] = """
 SELECT 'customer' AS kind, count(*) AS row_count FROM customer
 UNION ALL SELECT 'supplier', count(*) FROM supplier
@@ -431,3 +452,18 @@ SELECT request_id, 'bad_type' AS reason, 'Value of ' || what AS message FROM (
   UNION ALL SELECT request_id, 'octets is not of type integer' FROM core WHERE event_id % 7 = 0
   UNION ALL SELECT request_id, 'half is not of type integer' FROM core WHERE event_id % 2 = 1)""")
 
+# Streams whose windows close.
+
+ARRIVED = f"""{CORE},
+windowed AS (SELECT *, {window(DAY)} AS w, ({window(DAY)} + {DAY + MINUTE}) * 1000 AS closes FROM core),
+closed AS (SELECT w, request_id FROM windowed
+           WHERE arrival_usec <= closes AND closes < (SELECT max(arrival_usec) FROM core))"""
+ORACLE["stream_windows"] = f"""WITH {ARRIVED}
+SELECT concat('daily_', w, '_', w + {DAY}) AS run_id, w AS window_start, count(*) AS row_count
+FROM closed GROUP BY w"""
+ORACLE["stream_closed_rows"] = f"""WITH {ARRIVED}
+SELECT w AS window_start, request_id AS "requestId" FROM closed"""
+ORACLE["stream_late"] = f"""WITH {ARRIVED}
+SELECT request_id, w AS window_start, (arrival_usec - closes) // 1000 AS late_by_ms,
+       'arrived_late' AS reason FROM windowed WHERE arrival_usec > closes"""
+ORACLE["stream_batches"] = ORACLE["byte_batches"]

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from logtables.operators import dedup, fields, filters, rows
@@ -16,7 +17,9 @@ SF = "/root/testdata/sf0.001"
 # These write while they are built; what they return is a read.
 WRITING = ("export_table export_ledger export_gaps export_other_time export_rerun run_list "
            "run_lookup route_tables create_tables snapshot_backup snapshot_read "
-           "snapshot_replace snapshot_history stream_dedup stream_export stream_rejects").split()
+           "snapshot_replace snapshot_history stream_dedup stream_export stream_rejects "
+           "export_concurrent export_takeover export_null_ids export_vacuum ledger_compacted "
+           "stored_min_level stream_windows stream_closed_rows stream_late stream_batches").split()
 NARROW = ("scan_log_range app_log_lines fields_http fields_instance fields_timestamp fields_user "
           "fields_version format_values custom_fields min_level skip_predicate required_ok "
           "align_time assign_window on_time_rows late_rows csv_lines schema_hash schema_fields "
@@ -83,6 +86,31 @@ def test_the_level_filter_reads_levels_only(spark, tmp_path):
     assert "app_logs:array<struct<level:int>>" in plan and "message" not in plan.split("Physical")[1]
 
 
+def test_stored_levels_let_row_groups_be_skipped(spark, tmp_path):
+    from logtables.sinks import logs as log_store
+    from logtables.sources import logs as log_source
+    logs = inputs.core_logs(spark, SF).drop("event_time").withColumn(
+        "nickname", F.repeat(F.col("nickname"), 200))
+    log_store.store(logs.withColumn("start_time_usec", F.col("start_time_usec") % 86_400_000_000),
+                    f"{tmp_path}/logs", row_group=4096)
+    stored = spark.read.parquet(f"{tmp_path}/logs")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = plan_of(filters.min_level(log_source.scan_range(stored, 0, 80_000_000), 4))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(top_level,4)" in plan and "LessThan(start_time_usec," in plan
+    expected = filters.min_level(logs, 4)
+    assert filters.min_level(stored, 4).count() == expected.count() > 0
+    # Groups that may hold such a row, by their statistics, are a part of all.
+    import pyarrow.parquet as pq
+    groups = [pq.ParquetFile(f).metadata.row_group(i) for f in (tmp_path / "logs").rglob("*.parquet")
+              for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    tops = [g.column(j).statistics.max for g in groups for j in range(g.num_columns)
+            if g.column(j).path_in_schema == "top_level" and g.column(j).statistics.has_min_max]
+    assert len(groups) > 2 and sum(t >= 4 for t in tops) < len(groups)
+
+
 def test_an_export_scans_once_and_shuffles_once(spark, tmp_path, monkeypatch):
     """Rows, rejects, the removal of copies and the files: one pass and one exchange of the rows."""
     inputs.core_logs(spark, SF).drop("event_time").write.parquet(f"{tmp_path}/logs")

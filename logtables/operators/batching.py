@@ -47,8 +47,11 @@ ENTRY = T.StructType([
 ])
 
 
-#: Rows to a slice when their number is not given.
-ROWS_PER_SLICE = 500_000
+#: Bytes to a slice, as the planner estimates them, when the number of slices is not given.
+SLICE_BYTES = 64 << 20
+#: There are no more slices than this, whatever the input: what is broadcast, a row of three numbers
+#: for each, stays below some 30 MB.
+MOST_SLICES = 1_000_000
 #: Group values as text that keeps every bit of a time.
 LOSSLESS = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
             "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -63,12 +66,10 @@ def byte_batches(rows: DataFrame, group: Sequence[str], order: Sequence[str], si
     the columns the batches are needed for; the rows are written once to the shared folder, where
     `spark.cleaner.referenceTracking.cleanCheckpoints` removes them after use. A first row above
     the limit leaves batch 0 empty, so a batch number is not always used. The number of slices
-    follows the number of rows unless given. `carried` has what earlier rows of a group have left:
+    follows the planner's estimate of the input unless given; no job counts rows. `carried` has what earlier rows of a group have left:
     the group's columns, `open_bytes` and `batch`, as `left_open` gives them.
     """
-    if slices is None:
-        slices = max(rows.sparkSession.sparkContext.defaultParallelism,
-                     -(-rows.count() // ROWS_PER_SLICE))
+    slices = min(slices or estimated_slices(rows), MOST_SLICES)
     columns = rows.columns
     before, carry = rows, []
     if carried is not None:
@@ -97,6 +98,16 @@ def byte_batches(rows: DataFrame, group: Sequence[str], order: Sequence[str], si
             .mapInArrow(greedy.number_slice(limit, columns), out))
 
 
+def estimated_slices(rows: DataFrame) -> int:
+    """At least one for each core; of an input whose size is unknown, one for each shuffle partition."""
+    spark = rows.sparkSession
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = spark.sparkContext.defaultParallelism
+    if size >= int(spark._jsparkSession.sessionState().conf().defaultSizeInBytes()):
+        return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, -(-size // SLICE_BYTES))
+
+
 def left_open(batched: DataFrame, group: Sequence[str], size: str,
               carried: DataFrame | None = None) -> DataFrame:
     """What numbered rows leave open: (group, open_bytes, batch), the last batch of each group and the

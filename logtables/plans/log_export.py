@@ -47,7 +47,7 @@ def outcomes(logs: DataFrame, config: LogExportConfig, insert_id: str | None = "
 def export_windows(logs: DataFrame, config: LogExportConfig, wanted: DataFrame, root: str,
                    time: str = "start_time_usec", insert_id: str | None = "requestId",
                    day: str | None = None, spread: int | None = None,
-                   hold_ms: int = CLAIM_MS) -> list[int]:
+                   hold_ms: int = CLAIM_MS, merge_copies: bool = False) -> list[int]:
     """Export the `wanted` windows (`window_start`, `window_end`) that nobody has exported or is
     exporting; returns the windows that this run has published.
 
@@ -61,7 +61,8 @@ def export_windows(logs: DataFrame, config: LogExportConfig, wanted: DataFrame,
     Only wanted windows are read, each once however often it is given; `time`, a column of epoch
     microseconds or a timestamp, decides on both the scan and the window. Copies of an insert id are
     removed within a window; rows without one all stay. `spread` is the number of tasks a window may
-    be dealt over; by default four times the window's share of all shuffle partitions.
+    be dealt over; by default four times the window's share of all shuffle partitions. With
+    `merge_copies`, an id that is sent very often does not come to one task row by row.
     """
     spark, attempt = logs.sparkSession, uuid.uuid4().hex
     journal = Journal(spark, f"{root}/runs", config.name)
@@ -79,7 +80,7 @@ def export_windows(logs: DataFrame, config: LogExportConfig, wanted: DataFrame,
             todo, "window_start", "left_semi")
         written = tables.write_attempt(
             outcomes(scanned, config, insert_id, time), config, root, attempt, insert_id,
-            spread or tables.spread_of(spark, len(claimed)), claimed)
+            spread or tables.spread_of(spark, len(claimed)), claimed, merge_copies)
         done = journal.publish(attempt, [r | written.get(r["window_start"], {}) for r in runs])
     except Exception:
         if not journal.give_up(attempt, claimed, runs):

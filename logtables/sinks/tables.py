@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logtables.functions.rows import literal
+from logtables.operators import combine
 from logtables.operators.rows import REJECTS, ROWS
 from logtables.session import list_dir
 from logtables.sources.runs import DONE, WRITTEN, read_runs
@@ -169,8 +170,8 @@ def data_path(root: str, config: LogExportConfig, attempt: str) -> str:
 
 
 def write_attempt(found: DataFrame, config: LogExportConfig, root: str, attempt: str,
-                  insert_id: str | None, spread: int, windows: Sequence[int] | None = None
-                  ) -> dict[int, dict]:
+                  insert_id: str | None, spread: int, windows: Sequence[int] | None = None,
+                  merge_copies: bool = False) -> dict[int, dict]:
     """Write good rows and rejects of one attempt in one pass, one per insert id and window (a reject
     also per message), and return what was written by window: row_count, reject_count, table_id.
 
@@ -179,6 +180,10 @@ def write_attempt(found: DataFrame, config: LogExportConfig, root: str, attempt:
     without an id are nobody's copies: all of them stay, dealt by their content. The windows in
     `windows` are counted by the write itself, if they are no more than OBSERVED; else, or if they are
     not known, the partitions written are counted.
+
+    Copies of an id meet in one task. `merge_copies` is for logs in which one id is sent over and over:
+    those that meet in a batch of the input are merged there first, by the same rule, at the price of
+    passing all columns through Python.
     """
     content = [f.name for f in found.schema.fields if not isinstance(f.dataType, T.MapType)]
     rejects = "_reason" in found.columns
@@ -186,13 +191,17 @@ def write_attempt(found: DataFrame, config: LogExportConfig, root: str, attempt:
     if insert_id is not None:
         own = F.col(f"`{insert_id}`").cast("string")
         id_ = F.coalesce(own, F.col("_request_id")) if rejects else own
+    named = ["window_start", "_id", *["outcome", "_message"] * rejects]
+    if merge_copies and insert_id is not None:
+        hashed = found.withColumns({"_id": id_, "_hash": F.xxhash64(*content)})
+        found = hashed.mapInArrow(combine.least_copies(
+            ["_id", *[c for c in named if c != "_id"]], "_hash", ["_id", "_hash"]), found.schema)
     placed = (route(found, config).withColumn("_id", id_)
               .withColumn("_bucket", F.pmod(F.when(F.col("_id").isNull(), F.xxhash64(*content))
                                             .otherwise(F.xxhash64("_id")), F.lit(spread)))
               .repartition("window_start", "_bucket"))
     if insert_id is not None:
-        copies = Window.partitionBy("window_start", "_bucket", "_id",
-                                    *["outcome", "_message"] * rejects)
+        copies = Window.partitionBy("_bucket", *named)
         placed = placed.withColumn("_copy", F.row_number().over(
             copies.orderBy(F.xxhash64(*content)))).where("_copy = 1 OR _id IS NULL").drop("_copy")
     path, spark = data_path(root, config, attempt), found.sparkSession

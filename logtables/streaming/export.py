@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from logtables.operators import combine
 from logtables.plans.log_export import outcomes
 from logtables.sinks import tables
 from logtables.sinks.journal import Journal, run_of
 from logtables.spec import LogExportConfig
-from logtables.streaming import combine
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 

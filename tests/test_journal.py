@@ -14,7 +14,7 @@ from logtables.session import create_file, list_dir, read_file
 from logtables.sinks import journal, tables, vacuum
 from logtables.sinks.journal import Journal, run_of
 from logtables.sources import runs
-from logtables.spec import FieldSet, LogExportConfig
+from logtables.spec import Exporter, FieldSet, FieldSpec, LogExportConfig
 
 SF = "/root/testdata/sf0.001"
 DAY = 86_400_000
@@ -149,6 +149,25 @@ def test_null_ids_beside_others(spark, tmp_path):
     assert sum(w["row_count"] for w in kept.values()) == even + 2 * (logs.count() - even)
 
 
+def test_a_hot_id_is_merged_ahead_of_the_exchange(spark, tmp_path):
+    """The same rows stay with and without; few of a thousand copies are shuffled."""
+    logs = inputs.core_logs(spark, SF).withColumn("request_id", F.when(
+        F.col("event_id") % 3 > 0, F.lit("hot")).when(F.col("event_id") % 2 == 0, F.col("request_id")))
+    sent = logs.crossJoin(spark.range(5)).drop("id")
+    config = LogExportConfig("web", FieldSet((fields.TIMESTAMP, Exporter("id", (
+        FieldSpec("requestId", "string", "request_id", nullable=True),)))), window_ms=DAY)
+    found = log_export.window_rows(sent, config).withColumn("outcome", F.lit("rows")).coalesce(2)
+    both = []
+    for name, merge in (("plain", False), ("merged", True)):
+        tables.write_attempt(found, config, str(tmp_path), name, "requestId", 4, None, merge)
+        both.append(sorted(map(tuple, spark.read.parquet(
+            tables.data_path(str(tmp_path), config, name)).select(
+            "window_start", "timestamp", "requestId").collect()), key=repr))
+    assert both[0] == both[1]
+    assert sum(r[2] == "hot" for r in both[0]) == len({r[0] for r in both[0] if r[2] == "hot"})
+    assert sum(r[2] is None for r in both[0]) == sent.where("request_id IS NULL").count()
+
+
 @pytest.mark.parametrize("observed", [200, 0])
 def test_the_write_counts_its_rows(spark, tmp_path, monkeypatch, observed):
     """By window and outcome, without a job after the write; beyond a number of windows from files."""

@@ -3,12 +3,11 @@ from datetime import UTC, datetime
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from logtables.operators import fields, windows
+from logtables.operators import combine, fields, windows
 from logtables.plans import inputs, log_export
 from logtables.sinks import tables
 from logtables.sources.runs import list_runs, read_runs
 from logtables.spec import Exporter, FieldSet, FieldSpec, LogExportConfig
-from logtables.streaming import combine
 from logtables.streaming import export as stream
 
 SF = "/root/testdata/sf0.001"

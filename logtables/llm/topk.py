@@ -1,10 +1,14 @@
-"""Exact top-k inner products by reading sorted lists only, without random access.
+"""Exact top-k inner products from sorted lists with lower and upper bounds.
 
 Each dimension of a block of candidates is a list sorted by value. A query reads its lists in
 rounds, heavy ones (large weights) further than light ones, and keeps for every candidate a lower and an
 upper bound of its score: what has been read, and for the rest the best or worst value still to come.
 It stops when few candidates have an upper bound that reaches the k-th best lower bound, and
 works out the scores of those that do.
+
+A block's lists are read as a whole matrix, weights not yet read set to zero, so a round costs as much
+as scoring the block, and the last scores are looked up by candidate. This is dense scoring with bounds,
+not a sequential read that saves work.
 """
 
 from __future__ import annotations
@@ -24,15 +28,17 @@ CANDIDATES, QUERIES = 8192, 1024
 #: Shares of the lists (heaviest first) read to the end by round; others are read to DEPTH.
 ROUNDS = (0.5, 0.7, 0.85)
 DEPTH = 0.125
-FOUND = "query_id bigint, vec_id bigint, score bigint"
+#: The largest component, and the largest score that is shown.
+LARGEST, LONGEST = (1 << 31) - 1, (1 << 63) - 1
+FOUND = "query_id bigint, query bigint, vec_id bigint, row bigint, score bigint"
 
 
 def quantized(vectors: DataFrame, scale: float = 64.0, key: str = "vec_id",
               vector: str = "embedding") -> DataFrame:
-    """(vec_id, vec): floor(scale * x) of all components as packed int32.
+    """(vec_id, vec): floor(scale * x) of all components as packed int32; those beyond count as the
+    nearest one that is not.
 
-    Vectors that are null or hold null or non-finite components are left out, and null keys. A key
-    that comes with several vectors keeps the smallest by its bytes.
+    Vectors that are null or hold null or non-finite components are left out, and null keys.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,17 +53,14 @@ def quantized(vectors: DataFrame, scale: float = 64.0, key: str = "vec_id",
             with np.errstate(invalid="ignore"):
                 ints = np.floor(scale * values)
             for i in np.flatnonzero(use):
-                part = ints[offsets[i]:offsets[i + 1]]
-                if len(part) and np.abs(part).max() >= 1 << 31:
-                    raise ValueError("a component is beyond 32 bits")
+                part = np.clip(ints[offsets[i]:offsets[i + 1]], -LARGEST, LARGEST)
                 out.append(part.astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [keys.filter(pa.array(use)), pa.array(out, pa.binary())], ["vec_id", "vec"])
 
     wide = vectors.where(F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>"))
-    return wide.mapInArrow(pack, "vec_id bigint, vec binary").groupBy("vec_id").agg(
-        F.min("vec").alias("vec"))
+    return wide.mapInArrow(pack, "vec_id bigint, vec binary")
 
 
 def matrix(vecs: list[bytes], width: int) -> np.ndarray:
@@ -69,6 +72,20 @@ def matrix(vecs: list[bytes], width: int) -> np.ndarray:
     return out
 
 
+def search_wide(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, own: np.ndarray, k: int
+                ) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """`search_block` where floating numbers would not be exact: Python integers, all candidates. A
+    score beyond a long is shown, and compared, as the nearest one."""
+    whole, out = vectors.astype(np.int64).astype(object), []
+    for i, query in enumerate(queries):
+        rows = np.flatnonzero(ids != own[i])
+        scores = np.array([min(max(int(s), -LONGEST - 1), LONGEST) for s in
+                           whole[rows] @ query.astype(np.int64).astype(object)], np.int64)
+        top = np.argsort(~scores, kind="stable")[:k]
+        out.append((i, rows[top], scores[top]))
+    return out
+
+
 def search_block(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, own: np.ndarray, k: int
                  ) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """For each query (row) the rows of its k best candidates, and their exact scores.
@@ -78,7 +95,7 @@ def search_block(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, own:
     n, width = vectors.shape
     most = np.abs(vectors).max(initial=0) * np.abs(queries).max(initial=0) * max(1, width)
     if most >= 2.0**53:
-        raise ValueError("scores are beyond 53 bits")
+        return search_wide(queries, ids, vectors, own, k)
     kind = np.float32 if most < 2**23 else np.float64
     x, q = vectors.astype(kind), queries.astype(kind)
     # The sorted lists: best first for positive weights, so worst first for negative ones.
@@ -141,23 +158,26 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, key: s
 
     `is_query` tells by a condition on `vec_id` which vectors are queries. Scores are integer inner
     products of quantized vectors; equal ones go by the smaller id. Vectors that are null or hold
-    null or non-finite components take no part, nor do null ids; a repeated id counts once (see
-    `quantized`); missing components of shorter vectors are zero. Fewer candidates than k: all.
-    Empty table: no rows. Only the two columns are read.
+    null or non-finite components take no part, nor do null ids. Rows that share an id stay apart:
+    each is a query and a candidate of its own, and meets the others. Missing components of shorter
+    vectors are zero; components beyond 32 bits and scores beyond 64 count as the nearest within.
+    Fewer candidates than k: all. Empty table: no rows. Only the two columns are read.
 
     Blocks of vectors and of queries have a bounded size and are packed into one row each; every
     pair of blocks is a task's work and gives at most k rows per query. Blocks go by a hash of the
     id, so equal or similar vectors spread.
     """
-    packed = kept(quantized(vectors, scale, key, vector))
+    # Written with the rows' numbers, which tell a query from other rows of its id.
+    packed = kept(quantized(vectors, scale, key, vector).withColumn(
+        "row", F.monotonically_increasing_id()))
     total = packed.agg(F.count("*"), F.count(F.when(is_query, 1)),
                        F.max(F.octet_length("vec"))).first()
     width = (total[2] or 0) // 4
     c_blocks, q_blocks = max(1, -(-total[0] // candidates)), max(1, -(-total[1] // queries))
 
     def blocks(rows: DataFrame, number: int, name: str) -> DataFrame:
-        by = F.pmod(F.xxhash64("vec_id"), F.lit(number)).cast("int").alias(name)
-        return rows.groupBy(by).agg(F.sort_array(F.collect_list(F.struct("vec_id", "vec")))
+        by = F.pmod(F.xxhash64("row"), F.lit(number)).cast("int").alias(name)
+        return rows.groupBy(by).agg(F.sort_array(F.collect_list(F.struct("vec_id", "row", "vec")))
                                     .alias("rows"))
 
     def every(number: int, name: str):
@@ -168,18 +188,23 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, key: s
 
     def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            return pd.DataFrame({c.split()[0]: [] for c in FOUND.split(", ")}, dtype="int64")
         asked, given = a["rows"].iloc[0], b["rows"].iloc[0]
-        own = np.array([r["vec_id"] for r in asked], np.int64)
-        ids = np.array([r["vec_id"] for r in given], np.int64)
-        found = search_block(matrix([r["vec"] for r in asked], width), ids,
+        of, query = (np.array([r[c] for r in asked], np.int64) for c in ("vec_id", "row"))
+        ids, row = (np.array([r[c] for r in given], np.int64) for c in ("vec_id", "row"))
+        # In this order ids ascend; a query that is here too is known by its place.
+        place = {r: i for i, r in enumerate(row.tolist())}
+        own = np.array([place.get(r, -1) for r in query.tolist()], np.int64)
+        found = search_block(matrix([r["vec"] for r in asked], width), np.arange(len(ids)),
                              matrix([r["vec"] for r in given], width), own, k)
+        counts, at = [len(rows) for _, rows, _ in found], np.concatenate([r for _, r, _ in found])
         return pd.DataFrame({
-            "query_id": np.repeat(own, [len(rows) for _, rows, _ in found]),
-            "vec_id": np.concatenate([ids[rows] for _, rows, _ in found]),
+            "query_id": np.repeat(of, counts), "query": np.repeat(query, counts),
+            "vec_id": ids[at], "row": row[at],
             "score": np.concatenate([scores for _, _, scores in found])})
 
     found = left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInPandas(search, FOUND)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(
+        F.desc("score"), "vec_id", "row"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -47,16 +47,29 @@ def test_blocks_and_edges(spark):
              (280, [0.5, 0.5], "x", 1), (300, [], "x", 1), rows[20], (20, [0.9] * 6, "x", 1)]
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, rank string, q int")
     found = topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=4, candidates=16, queries=3)
-    known = {}
+    known = []
     for vec_id, v, *_ in rows:
         if vec_id is None or v is None or any(x is None or not np.isfinite(x) for x in v):
             continue
         x = np.zeros(6)
         x[:len(v)] = np.floor(64 * np.float64(np.float32(v)))
-        packed = np.floor(64 * np.array(v, np.float32).astype(float)).astype("<i4").tobytes()
-        if vec_id not in known or packed < known[vec_id][0]:
-            known[vec_id] = (packed, x)
-    expected = brute({i: x for i, (_, x) in known.items()}, lambda v: v % 20 == 0, 4)
+        known.append((vec_id, x))
+    expected = []
+    for n, (q, x) in enumerate(known):
+        if q % 20 == 0:
+            others = sorted((-int(np.dot(x, y)), c) for m, (c, y) in enumerate(known) if m != n)
+            expected += [(q, r, c, -s) for r, (s, c) in enumerate(others[:4], 1)]
     assert sorted(map(tuple, found.collect())) == sorted(expected)
     assert found.columns == ["query_id", "rank", "vec_id", "score"]
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_large_values(spark):
+    """Scores beyond 53 bits are exact, those beyond 64 and components beyond 32 saturate."""
+    rows = [(0, [3e7, 1.0]), (1, [3e7, 2.0]), (2, [3e7, 1.0]), (3, [1e30, 1.0]), (4, [-3e7, 0.0])]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"),
+                       F.col("vec_id") == 0, k=4)
+    big = 64 * 3 * 10**7
+    assert [tuple(r) for r in found.orderBy("rank").collect()] == [
+        (0, 1, 3, big * (2**31 - 1) + 64 * 64), (0, 2, 1, big**2 + 64 * 128),
+        (0, 3, 2, big**2 + 64 * 64), (0, 4, 4, -big**2)]

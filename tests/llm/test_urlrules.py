@@ -58,6 +58,39 @@ def test_nested_rules_at_random(spark):
         (i, *judged(u, rules)) for i, u in enumerate(urls))
 
 
+def test_many_path_rules_on_one_host(spark):
+    """A hundred thousand nested paths, some given twice, and a host with most pages."""
+    rng = random.Random(8)
+
+    def path(n):
+        return "".join(f"/{rng.randrange(12)}" for _ in range(n))
+
+    rules = list({p: (rng.choice(["allow", "block"]), "x.org", p) for p in
+                  (path(rng.randint(2, 7)) for _ in range(190_000))}.values())
+    assert len(rules) > 100_000
+    rules += [("block", "org", ""), ("allow", "x.org", "/1"), ("block", "x.org", "/1"),
+              ("allow", "a.x.org", "/2/3")]
+    by_path = {}
+    for action, host, p in rules:
+        by_path[host, p] = max(action, by_path.get((host, p), ""))
+    urls = [f"http://{rng.choice(['x.org', 'x.org', 'a.x.org', 'b.a.x.org', 'y.org', 'com'])}{path(rng.randint(0, 9))}"
+            for _ in range(3000)]
+    table = spark.createDataFrame(rules, urlrules.RULES)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    found = {r.page_id: (r.rule, r.verdict) for r in urlrules.judge_urls(
+        pages, table, pages_per_sweep=200).collect()}
+
+    def best(url):
+        host, p = parts(url)
+        labels = host.split(".")
+        fits = [(len(h + p[:n]), len(h), h + p[:n], by_path[h, p[:n]])
+                for h in (".".join(labels[i:]) for i in range(len(labels)))
+                for n in range(len(p) + 1) if (h, p[:n]) in by_path]
+        return max(fits)[2:] if fits else (None, "allow")
+
+    assert found == {i: best(u) for i, u in enumerate(urls)}
+
+
 def test_no_pages_and_no_rules(spark):
     pages = spark.createDataFrame([(1, "http://org/")], "page_id bigint, url string")
     rules = urlrules.rule_table(spark, URL_RULES)

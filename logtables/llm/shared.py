@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logtables.session import shared_root
+
 
 #: Bytes of a batch that is handed to Python, whatever the number and length of its rows; one
 #: longer text is a batch of its own.
@@ -24,10 +26,10 @@ def in_small_batches(df: DataFrame) -> DataFrame:
 def root(spark: SparkSession) -> str:
     """The folder that driver and executors share: `spark.checkpoint.dir`.
 
-    Where it is unset, as in small tests, a folder below the warehouse takes its place.
+    Where it is unset, as in small tests, a folder below the warehouse takes its place; on a cluster a
+    warehouse in a local folder is refused.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (found or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
+    return shared_root(spark)
 
 
 def folder(spark: SparkSession, label: str) -> str:

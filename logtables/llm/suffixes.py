@@ -13,9 +13,13 @@ id. So what counts of a suffix are its first SPAN bytes, here called a window. F
    Chunks of one k-gram meet. Where a k-gram has very many, its windows are exchanged instead, in
    runs of their own and spread by their content.
 4. Neighbours in the order of suffixes, and in that of what is before the anchors, tell how far a
-   chunk can agree with any other; windows beyond that go. The runs of the others are merged by a
-   loser tree that carries the common prefixes along, so no two suffixes are compared from
-   the beginning again. Equal windows become neighbours; all but the smallest document's go.
+   chunk can agree with any other; windows beyond that go. For that a task decodes the runs it was
+   sent and sorts their suffixes as 64-bit words. The windows that are left form runs anew, which a
+   loser tree merges that carries the common prefixes along; the exchanged runs themselves are
+   merged so for k-grams with very many chunks. Equal windows become neighbours; all but the
+   smallest document's go.
+
+Equal chunks (2) are told by 88 bits of hash and not compared byte by byte.
 
 Everything that moves is packed by task and destination; the texts move by blocks of documents.
 """

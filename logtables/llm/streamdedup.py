@@ -66,9 +66,9 @@ def duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     stays; a null id counts as the smallest. Rows that repeat an id and a text all count, and one
     of them is kept. Empty table: no rows. Other columns are not read.
 
-    `docs` is read twice: for the digests, and for the bytes of hits. A hit, a row whose digest
-    another row holds too, is compared with the whole text of the row that the state names. Where
-    bytes differ, all texts under that digest are grouped by their bytes instead.
+    `docs` is read twice: for the digests, and for the bytes of hits, rows whose digest another row
+    holds too. Whole texts are compared under each digest; where they differ, all of them are grouped
+    by their bytes instead.
     """
     spark = docs.sparkSession
     place = folder(spark, "dedup")
@@ -82,9 +82,11 @@ def duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     consume(spark.readStream.schema(arrived.schema).parquet(f"{place}/arrivals"),
             f"{place}/state", f"{place}/checkpoint")
     members = arrived.join(seen(spark, f"{place}/state"), "digest")
-    wrong, regrouped = compare(rows, members)
-    settled = members.join(wrong, "digest", "left_anti").select(
-        "id", "keep_id", "group_size", "sha", "copies").unionByName(regrouped)
+    settled = members.select("id", "keep_id", "group_size", "sha", "copies")
+    wrong = kept(differing(rows))
+    if not wrong.isEmpty():
+        settled = members.join(wrong, "digest", "left_anti").select(
+            *settled.columns).unionByName(regrouped(rows, wrong))
     each = settled.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
                           .alias("copy"))
     real = [F.when(F.col(c) != LEAST, F.col(c)) for c in ("id", "keep_id")]
@@ -103,17 +105,21 @@ def seen(spark: SparkSession, state: str) -> DataFrame:
                        F.col("last.group_size").alias("group_size"))
 
 
-def compare(rows: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Digests under which bytes differ, and the rows of these grouped by their bytes."""
-    hits = members.where("group_size > 1").select("id", "digest", "keep_id").distinct()
-    texts = kept(rows.join(hits, ["id", "digest"]).select("id", "digest", "keep_id", "norm"))
-    first = (texts.where("id = keep_id").groupBy("digest").agg(F.max("norm").alias("first")))
-    wrong = kept(texts.join(first, "digest").where("norm != first").select("digest").distinct())
-    again = texts.join(wrong, "digest", "left_semi")
-    by_bytes = again.groupBy("digest", "norm").agg(
+def differing(rows: DataFrame) -> DataFrame:
+    """(digest): those under which bytes differ.
+
+    Texts are grouped by digest and whole text, which compares the bytes of every hit. Copies are
+    merged before they move, so each task passes a text on once, however many copies it has.
+    """
+    return rows.select("digest", "norm").distinct().groupBy("digest").agg(
+        F.count("*").alias("texts")).where("texts > 1").select("digest")
+
+
+def regrouped(rows: DataFrame, wrong: DataFrame) -> DataFrame:
+    """The rows under digests that do not tell their texts apart, grouped by their bytes."""
+    again = kept(rows.join(wrong, "digest", "left_semi").select("id", "norm"))
+    by_bytes = again.groupBy("norm").agg(
         F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-    regrouped = (again.groupBy("id", "digest", "norm").agg(F.count("*").alias("copies"))
-                 .join(by_bytes, ["digest", "norm"])
-                 .select("id", "keep_id", "group_size", sha256(F.col("norm")).alias("sha"),
-                         "copies"))
-    return wrong, regrouped
+    return (again.groupBy("id", "norm").agg(F.count("*").alias("copies"))
+            .join(by_bytes, "norm")
+            .select("id", "keep_id", "group_size", sha256(F.col("norm")).alias("sha"), "copies"))

@@ -110,6 +110,21 @@ def test_a_slow_run_publishes_what_is_still_its_own(spark, tmp_path):
         (1, "third"), (2, "other"), (3, "third"), (4, "more")]
 
 
+def test_a_slow_run_that_fails_takes_nothing_back(spark, tmp_path):
+    """Its windows were published by another one: they stay so, also in a checkpoint."""
+    log = Journal(spark, f"{tmp_path}/runs", "web")
+    log.claim([1, 2], "slow", hold_ms=-1)
+    log.claim([1], "other")
+    log.publish("other", [run(1, row_count=4)])
+    assert log.give_up("slow", [1, 2], [run(1), run(2)])
+    for _ in range(2):
+        found = runs.list_runs(runs.read_runs(spark, f"{tmp_path}/runs"))
+        assert {r.window_start: r.status for r in found.collect()} == {1: "done", 2: "failed"}
+        assert log.published(log.state(), [1, 2]) == {1}
+        log.compact(1)
+    assert log.claim([1, 2], "again") == [2]
+
+
 def test_a_failure_after_publishing_keeps_the_data(spark, tmp_path, monkeypatch):
     """The record was put, but its writer was told otherwise."""
     logs, root, publish = inputs.core_logs(spark, SF), str(tmp_path), Journal.publish

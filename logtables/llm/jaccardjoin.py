@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from logtables.llm.components import connected
 from logtables.llm.orderhash import Powers, candidates, mixed, overlaps, portions
-from logtables.llm.shared import in_small_batches, kept, release
+from logtables.llm.shared import folder, in_small_batches, kept, release
+from logtables.session import delete_dir
 
 #: Words to a token, and the least share in percent of two sets' union that they have in common.
 WORDS, PERCENT = 3, 90
@@ -130,7 +131,7 @@ def described(rows: DataFrame, width: int, percent: int) -> DataFrame:
                 end = begin + len(part)
                 yield pd.DataFrame({
                     "id": ids[begin:end], "tag": tags[begin:end],
-                    "same": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
+                    "same": [digest(s) for s in sets],
                     "size": np.array([len(s) for s in sets], np.int32),
                     "sampled": [x[0].view(np.int64) for x in lists],
                     "rest": [x[1].view(np.int64) for x in lists],
@@ -139,6 +140,25 @@ def described(rows: DataFrame, width: int, percent: int) -> DataFrame:
     return rows.select("id", "tag", "text").mapInPandas(describe, FOUND)
 
 
+def named(rows: DataFrame, width: int) -> DataFrame:
+    """(id, same, size): which set each row has."""
+
+    def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids = batch["id"].to_numpy()
+            for begin, part in portions(batch["text"].tolist()):
+                sets = token_sets(part, width)
+                yield pd.DataFrame({"id": ids[begin:begin + len(part)],
+                                    "same": [digest(s) for s in sets],
+                                    "size": np.array([len(s) for s in sets], np.int32)})
+
+    return rows.select("id", "text").mapInPandas(name, "id bigint, same binary, size int")
+
+
+def digest(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+
+
 def whole_sets(rows: DataFrame, width: int) -> DataFrame:
     """(id, tokens): the sets of (set_id, text), their hashes sorted."""
 
@@ -209,21 +229,38 @@ def open_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return fit.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct()
 
 
+def paired(met: DataFrame) -> DataFrame:
+    """Distinct (a, b) of sets and their hubs."""
+    return met.select(F.least("id", "hub.id").alias("a"),
+                      F.greatest("id", "hub.id").alias("b")).distinct()
+
+
 def components(members: DataFrame, orders: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """(id, label) of the sets that have a partner; `members` are (bucket, id, size, weight).
 
-    First each bucket's members meet its heaviest one, at a cost in proportion to their number; that
-    joins most of a group of near copies. Then every pair of a bucket in different components is
+    First each set meets the heaviest of its buckets' hubs, the heaviest sets there, then all of these
+    that it is not joined with yet; that joins most of a group of near copies at a cost in proportion
+    to its size, with a link for each set. Then every pair of a bucket in different components is
     asked, in large buckets by blocks. No pair is left out but those that a path of links joins.
     """
     labels = kept(members.select("id").distinct().select("id", F.col("id").alias("label")))
     hubs = members.groupBy("bucket").agg(F.max(F.struct(
-        "weight", (-F.col("id")).alias("first"), "id", "size")).alias("hub")).select(
-        "bucket", F.col("hub.id").alias("id_2"), F.col("hub.size").alias("size_2"))
-    first = members.join(hubs, "bucket").withColumns(
-        {"label": F.col("id"), "label_2": F.col("id_2")})
-    asked = kept(open_pairs(first, percent))
+        "weight", (-F.col("id")).alias("first"), "id", "size")).alias("hub"))
+    small, large = (f("size", "hub.size") for f in (F.least, F.greatest))
+    met = kept(members.join(hubs, "bucket").where(
+        (F.col("id") != F.col("hub.id")) & (100 * small >= percent * large)).select(
+        "id", "hub").distinct())
+    one = met.groupBy("id").agg(F.max("hub").alias("hub"))
+    asked = kept(paired(one))
     labels = connected(labels, kept(linked(asked, orders, tokens, percent)))
+    release(members.sparkSession)
+    mine, other = labels, labels.select(F.col("id").alias("of"), F.col("label").alias("label_2"))
+    apart = met.join(mine, "id").join(other, F.col("hub.id") == F.col("of")).where(
+        "label != label_2")
+    more = kept(paired(apart).join(asked, ["a", "b"], "left_anti"))
+    labels = connected(labels, kept(linked(more, orders, tokens, percent)))
+    release(members.sparkSession)
+    asked = asked.unionAll(more)
 
     own = members.join(labels, "id")
     counts = own.groupBy("bucket", "label").agg(F.count("*").alias("n"))
@@ -235,9 +272,11 @@ def components(members: DataFrame, orders: DataFrame, tokens: DataFrame, percent
         "bucket", F.col("id").alias("id_2"), F.col("size").alias("size_2"),
         F.col("label").alias("label_2"))
     more = open_pairs(own.join(rest, "bucket"), percent).join(asked, ["a", "b"], "left_anti")
-    found = linked(kept(more), orders, tokens, percent)
-    return connected(labels, kept(found.unionByName(
-        by_blocks(own, large, orders, tokens, percent))))
+    found = kept(linked(kept(more), orders, tokens, percent))
+    release(members.sparkSession)
+    blocks = kept(by_blocks(own, large, orders, tokens, percent))
+    release(members.sparkSession)
+    return connected(labels, found.unionByName(blocks))
 
 
 def by_blocks(own: DataFrame, large: DataFrame, orders: DataFrame, tokens: DataFrame, percent: int
@@ -273,13 +312,21 @@ def compare_blocks(group: pd.DataFrame, one: int, two: int, percent: int) -> pd.
     common = np.zeros(good.shape, np.int64)
     common[np.ix_(used, used)] = overlaps([sets[i] for i in used])
     good &= 100 * common >= percent * (sizes[:, None] + sizes - common)
-    ids, labels = group["id"].to_numpy(), group["label"].to_numpy()
-    good &= labels[:, None] != labels
-    a, b = np.nonzero(good)
-    # A link for each two components is enough.
-    found = pd.DataFrame({"a": ids[a], "b": ids[b], "x": np.minimum(labels[a], labels[b]),
-                          "y": np.maximum(labels[a], labels[b])})
-    return found.drop_duplicates(["x", "y"])[["a", "b"]]
+    parent = {label: label for label in group["label"].tolist()}
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    # No more links than it takes to join the components that meet here.
+    ids, labels, found = group["id"].tolist(), group["label"].tolist(), []
+    for i, j in zip(*map(np.ndarray.tolist, np.nonzero(good)), strict=True):
+        x, y = top(labels[i]), top(labels[j])
+        if x != y:
+            found.append((ids[i], ids[j]))
+            parent[x] = y
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS,
@@ -293,35 +340,42 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     null. One row per row: repeated rows, and texts that share a key, are documents of their own. An
     empty table gives no rows. Other columns are not read.
     """
+    spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
     rows = in_small_batches(docs).select(
         F.coalesce(F.col(key).cast("bigint"), F.lit(LEAST)).alias("id"),
         F.xxhash64(body).alias("tag"), body.alias("text"))
-    found = kept(described(rows, width, percent))
+    place = folder(spark, "jaccard")
     # One row stands for all with the same set; written with its number, which stays.
-    sets = kept(found.where("size > 0").groupBy("same").agg(
+    described(rows, width, percent).where("size > 0").groupBy("same").agg(
         F.min(F.struct("id", "tag")).alias("first"), F.first("size").alias("size"),
         F.first("sampled").alias("sampled"), F.first("rest").alias("rest"),
-        F.first("orders").alias("orders")).withColumn("id", F.monotonically_increasing_id()))
-    release(docs.sparkSession)
+        F.first("orders").alias("orders")).withColumn(
+        "id", F.monotonically_increasing_id()).write.parquet(f"{place}/sets")
+    release(spark)
+    sets = spark.read.parquet(f"{place}/sets")
+    narrow = kept(sets.select("same", "first", "id"))
     members = kept(candidates(kept(prefixes(sets, percent)).select(
         "id", "size", F.array("token").alias("sketches"))))
+    release(spark)
     chosen = kept(members.select("id").distinct())
-    release(docs.sparkSession)
-    names = sets.join(chosen, "id", "left_semi").select(
-        F.col("id").alias("set_id"), F.col("first.id").alias("id"), F.col("first.tag").alias("tag"))
-    tokens = kept(whole_sets(rows.join(names, ["id", "tag"]), width))
     orders = kept(sets.join(chosen, "id", "left_semi").select("id", "orders"))
-    release(docs.sparkSession)
+    delete_dir(spark, f"{place}/sets")
+    # Written, so Spark knows its size: texts are joined where they are if it is small.
+    narrow.join(chosen, "id", "left_semi").select(
+        F.col("id").alias("set_id"), F.col("first.id").alias("id"),
+        F.col("first.tag").alias("tag")).write.parquet(f"{place}/chosen")
+    tokens = kept(whole_sets(rows.join(spark.read.parquet(f"{place}/chosen"), ["id", "tag"]), width))
+    release(spark)
     labels = components(members, orders, tokens, percent)
-    classes = sets.select("same", "first", "id").join(labels, "id", "left").withColumn(
-        "label", F.coalesce("label", "id"))
+    classes = narrow.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = classes.groupBy("label").agg(F.min("first.id").alias("class_id"))
     of_set = classes.join(least, "label").select("same", "class_id")
-    narrow = found.select("id", "same", "size")
-    named = narrow.where("size > 0").join(of_set, "same").select("id", "size", "class_id")
-    alone = narrow.where("size = 0").select("id", "size", F.col("id").alias("class_id"))
-    return named.unionByName(alone).select(
+    # Read again rather than kept beside the sets: texts cost less than what would be written.
+    each = kept(named(rows, width))
+    linked_ = each.where("size > 0").join(of_set, "same").select("id", "size", "class_id")
+    alone = each.where("size = 0").select("id", "size", F.col("id").alias("class_id"))
+    return linked_.unionByName(alone).select(
         F.when(F.col("id") != LEAST, F.col("id")).alias(key),
         F.col("size").cast("bigint").alias("n_shingles"),
         F.when(F.col("class_id") != LEAST, F.col("class_id")).alias("component_id"))

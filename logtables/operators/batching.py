@@ -47,7 +47,7 @@ ENTRY = T.StructType([
 ])
 
 
-#: Bytes to a slice, as the planner estimates them, when the number of slices is not given.
+#: Bytes to a slice, by `estimated_size`, when the number of slices is not given.
 SLICE_BYTES = 64 << 20
 #: There are no more slices than this, whatever the input: what is broadcast, a row of three numbers
 #: for each, stays below some 30 MB.
@@ -66,7 +66,7 @@ def byte_batches(rows: DataFrame, group: Sequence[str], order: Sequence[str], si
     the columns the batches are needed for; the rows are written once to the shared folder, where
     `spark.cleaner.referenceTracking.cleanCheckpoints` removes them after use. A first row above
     the limit leaves batch 0 empty, so a batch number is not always used. The number of slices
-    follows the planner's estimate of the input unless given; no job counts rows. `carried` has what earlier rows of a group have left:
+    follows `estimated_size` of the input unless given; no job counts rows. `carried` has what earlier rows of a group have left:
     the group's columns, `open_bytes` and `batch`, as `left_open` gives them.
     """
     slices = min(slices or estimated_slices(rows), MOST_SLICES)
@@ -99,15 +99,35 @@ def byte_batches(rows: DataFrame, group: Sequence[str], order: Sequence[str], si
 
 
 def estimated_slices(rows: DataFrame) -> int:
-    """At least one for each core; of an input whose size is unknown, one for each shuffle partition."""
+    """At least one for each core; of an input whose size is unknown, as that of a join or an RDD, at
+    least one for each shuffle partition."""
     spark = rows.sparkSession
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size, known = estimated_size(rows._jdf.queryExecution().optimizedPlan())
     least = spark.sparkContext.defaultParallelism
-    if size >= int(spark._jsparkSession.sessionState().conf().defaultSizeInBytes()):
-        return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if not known:
+        least = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return max(least, -(-size // SLICE_BYTES))
 
 
+def estimated_size(plan) -> tuple[int, bool]:
+    """Bytes of a plan's rows by the planner's estimates, and whether these are more than a guess.
+
+    Without statistics of columns the planner takes the product of both sides for the size of a join,
+    terabytes for two tables of some megabytes. Here a join is as large as its sides together, and other
+    operators change the size as the planner says. Of an RDD it knows nothing (0 bytes here).
+    """
+    parts = [plan.children().apply(i) for i in range(plan.children().size())]
+    own = int(str(plan.stats().sizeInBytes()))
+    if not parts:
+        known = plan.getClass().getSimpleName() != "LogicalRDD"
+        return (own if known else 0), known
+    found = [estimated_size(part) for part in parts]
+    size, known = sum(n for n, _ in found), all(k for _, k in found)
+    if len(parts) == 1:
+        return size * own // max(1, int(str(parts[0].stats().sizeInBytes()))), known
+    return min(size, own), known and own <= size
+
+
 def left_open(batched: DataFrame, group: Sequence[str], size: str,
               carried: DataFrame | None = None) -> DataFrame:
     """What numbered rows leave open: (group, open_bytes, batch), the last batch of each group and the

@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from logtables.operators import batching, greedy
 
@@ -118,3 +119,33 @@ def test_null_and_compound_groups_and_empty_input(spark):
         ("", 1, 1, 0), ("", 1, 2, 1), ("a", 1, 1, 0), ("a", 2, 1, 0)]
     empty = batching.byte_batches(rows.limit(0), ["g"], ["o"], "s", limit=100, slices=3)
     assert empty.columns == ["g", "h", "o", "s", "batch"] and empty.count() == 0
+
+
+def test_a_join_asks_for_no_more_slices_than_its_sides(spark, tmp_path):
+    """The planner takes the product of both sides for a join's size: thousands of slices here."""
+    rng = random.Random(3)
+    noise = [(i, "".join(rng.choices("abcdefghijklmnop", k=400))) for i in range(2000)]
+    for side in "lr":
+        spark.createDataFrame(noise, f"{side} bigint, t{side} string").write.parquet(
+            f"{tmp_path}/{side}")
+    left, right = (spark.read.parquet(f"{tmp_path}/{side}") for side in "lr")
+    joined = left.join(right, left.l == right.r, "left").select(
+        "l", (F.octet_length("tl") + F.octet_length("tr")).cast("bigint").alias("s"))
+    product = int(str(joined._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert product // batching.SLICE_BYTES > 100
+    cores = max(spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert batching.estimated_slices(joined) == cores
+    # Of what an RDD holds nothing is known, whatever is selected from it.
+    rdd = spark.createDataFrame(spark.sparkContext.parallelize(noise), "g bigint, t string")
+    assert batching.estimated_slices(rdd.select("g")) == cores
+    assert batching.estimated_slices(joined.localCheckpoint()) == cores
+
+
+def test_a_table_has_slices_by_its_size(spark, tmp_path, monkeypatch):
+    spark.range(100_000).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    monkeypatch.setattr(batching, "SLICE_BYTES", size // 100)
+    assert batching.estimated_slices(table) in (100, 101)
+    assert batching.estimated_slices(table.unionAll(table)) in (200, 201, 202)

@@ -9,8 +9,9 @@ from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from logtables import session
 from logtables.functions import keys, schemas, times
@@ -725,22 +726,26 @@ def stream_rejects(spark, sf):
         "window_start", "request_id", "reason", "message")
 
 
-def _in_slices(spark, sf, root: str, parts: int = 4) -> DataFrame:
-    """The core logs as a stream of files in order of arrival, a file to a micro-batch."""
-    found = inputs.core_logs(spark, sf).drop("event_time")
-    first, last = found.agg(F.min("arrival_usec"), F.max("arrival_usec")).first()
-    part = F.least(F.lit(parts - 1), F.floor(
-        (F.col("arrival_usec") - first) * parts / (last - first + 1))).cast("int")
+def _part_by_part(rows: DataFrame, part: Column, parts: int, root: str,
+                  start: Callable[[DataFrame], StreamingQuery]) -> DataFrame:
+    """`rows` sent as a stream, a part to a micro-batch: every task writes a file of what it has read of
+    a part, and the stream takes these up, from where it was, before the next part is sent."""
     for i in range(parts):
-        found.where(part == i).coalesce(1).write.mode("append").parquet(f"{root}/sent")
-    return stream.read_stream(spark, f"{root}/sent", found.schema, max_files=1)
+        rows.where(part == i).write.mode("append").parquet(f"{root}/sent")
+        sent = stream.read_stream(rows.sparkSession, f"{root}/sent", rows.schema)
+        start(sent).awaitTermination()
+    return sent
 
 
-def _closed(spark, sf, label: str) -> tuple[str, DataFrame]:
+def _closed(spark, sf, label: str, parts: int = 4) -> tuple[str, DataFrame]:
+    """The core logs as a stream in order of arrival."""
     root = session.fresh_dir(spark, label)
-    sent = _in_slices(spark, sf, root)
-    closing.start_export(sent, DAILY, root, f"{root}/checkpoint", ONCE).awaitTermination()
-    return root, sent
+    found = inputs.core_logs(spark, sf).drop("event_time")
+    first, last = found.agg(F.min("arrival_usec"), F.max("arrival_usec")).first()
+    part = F.least(F.lit(parts - 1), F.floor(
+        (F.col("arrival_usec") - first) * parts / (last - first + 1))).cast("int")
+    return root, _part_by_part(found, part, parts, root, lambda sent: closing.start_export(
+        sent, DAILY, root, f"{root}/checkpoint", ONCE))
 
 
 @query
@@ -772,10 +777,8 @@ def stream_batches(spark, sf):
     root = session.fresh_dir(spark, "stream_batches")
     sized = inputs.row_sizes(spark, sf)
     first, last = sized.agg(F.min("doc_id"), F.max("doc_id")).first()
-    for i in range(4):
-        part = F.floor((F.col("doc_id") - first) * 4 / (last - first + 1)) == i
-        sized.where(part).coalesce(1).write.mode("append").parquet(f"{root}/sent")
-    sent = stream.read_stream(spark, f"{root}/sent", sized.schema, max_files=1)
-    batches.start_batches(sent, f"{root}/out", f"{root}/checkpoint", ["lang"], ["doc_id"],
-                          "row_bytes", DOCUMENT_BATCH_BYTES, ONCE).awaitTermination()
+    part = F.floor((F.col("doc_id") - first) * 4 / (last - first + 1))
+    _part_by_part(sized, part, 4, root, lambda sent: batches.start_batches(
+        sent, f"{root}/out", f"{root}/checkpoint", ["lang"], ["doc_id"], "row_bytes",
+        DOCUMENT_BATCH_BYTES, ONCE))
     return batches.read_batches(spark, f"{root}/out", sized.schema)

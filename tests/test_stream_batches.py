@@ -4,7 +4,9 @@ import random
 
 import pytest
 
+from logtables import session
 from logtables.operators import batching
+from logtables.plans import catalogue
 from logtables.streaming import batches
 from logtables.streaming.export import read_stream
 
@@ -76,3 +78,19 @@ def test_nothing(spark, tmp_path):
     write(spark.createDataFrame([("a", 1, 5)], schema), 1)
     found = batches.read_batches(spark, str(tmp_path), schema)
     assert [tuple(r) for r in found.collect()] == [("a", 1, 5, 0)]
+
+
+def test_every_task_sends_what_it_has_read(spark, tmp_path, monkeypatch):
+    """A part of the documents comes in several files and is one micro-batch; none goes through one task."""
+    documents = spark.range(400).selectExpr(
+        "id AS doc_id", "if(id % 3 = 0, null, concat('l', id % 2)) AS lang",
+        "repeat('x', cast(id * 37 % 9000 AS int)) AS text")
+    documents.repartition(5).write.parquet(f"{tmp_path}/sf/documents.parquet")
+    monkeypatch.setattr(session, "fresh_dir", lambda spark, label: f"{tmp_path}/{label}")
+    found = catalogue.QUERIES["stream_batches"](spark, f"{tmp_path}/sf")
+    given = [(r.lang, r.doc_id, len(r.text) + 1) for r in documents.collect()]
+    assert sorted(((r.lang, r.doc_id, r.row_bytes, r.batch) for r in found.collect()),
+                  key=repr) == greedy(given, catalogue.DOCUMENT_BATCH_BYTES)
+    out = tmp_path / "stream_batches"
+    assert len(list((out / "sent").glob("part-*.parquet"))) > 4
+    assert len([f for f in (out / "checkpoint" / "commits").iterdir() if f.name.isdigit()]) == 4

@@ -61,7 +61,8 @@ def export_windows(logs: DataFrame, config: LogExportConfig, wanted: DataFrame,
     Only wanted windows are read, each once however often it is given; `time`, a column of epoch
     microseconds or a timestamp, decides on both the scan and the window. Copies of an insert id are
     removed within a window; rows without one all stay. `spread` is the number of tasks a window may
-    be dealt over; by default four times the window's share of all shuffle partitions. With
+    be dealt over; by default four times the window's share of all shuffle partitions, or of the tasks
+    that a large export has by its size. With
     `merge_copies`, an id that is sent very often does not come to one task row by row.
     """
     spark, attempt = logs.sparkSession, uuid.uuid4().hex
@@ -78,9 +79,11 @@ def export_windows(logs: DataFrame, config: LogExportConfig, wanted: DataFrame,
         todo = spark.createDataFrame([(w,) for w in claimed], "window_start bigint")
         scanned = windows.assign_window(scanned, config.window_ms, time).join(
             todo, "window_start", "left_semi")
+        found = outcomes(scanned, config, insert_id, time)
         written = tables.write_attempt(
-            outcomes(scanned, config, insert_id, time), config, root, attempt, insert_id,
-            spread or tables.spread_of(spark, len(claimed)), claimed, merge_copies)
+            found, config, root, attempt, insert_id,
+            spread or tables.spread_of(spark, len(claimed), tables.tasks_of(found)), claimed,
+            merge_copies)
         done = journal.publish(attempt, [r | written.get(r["window_start"], {}) for r in runs])
     except Exception:
         if not journal.give_up(attempt, claimed, runs):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logtables.functions.rows import literal
-from logtables.operators import combine
+from logtables.operators import batching, combine
 from logtables.operators.rows import REJECTS, ROWS
 from logtables.session import list_dir
 from logtables.sources.runs import DONE, WRITTEN, read_runs
@@ -25,10 +25,22 @@ def route(rows: DataFrame, config: LogExportConfig) -> DataFrame:
     return rows.withColumn("table_id", config.table_id(F.col("window_start")))
 
 
-def spread_of(spark: SparkSession, partitions: int | None = None) -> int:
-    """Tasks to deal a partition over: by default four times its share of all shuffle partitions,
-    so that one which is several times the average still spreads."""
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Bytes of an attempt's rows to a task, by the planner's estimates. Rows of a log that are held to be
+#: sorted take about a dozen times that.
+TASK_BYTES = 16 << 20
+
+
+def tasks_of(rows: DataFrame) -> int | None:
+    """Tasks to write rows with, by their size; none for what a task for each core holds."""
+    size, _ = batching.estimated_size(rows._jdf.queryExecution().optimizedPlan())
+    tasks = -(-size // TASK_BYTES)
+    return tasks if tasks > rows.sparkSession.sparkContext.defaultParallelism else None
+
+
+def spread_of(spark: SparkSession, partitions: int | None = None, tasks: int | None = None) -> int:
+    """Tasks to deal a partition over: by default four times its share of all shuffle partitions, or
+    of `tasks` if these are more, so that one which is several times the average still spreads."""
+    tasks = max(tasks or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return max(1, -(-4 * tasks // partitions)) if partitions else tasks
 
 
@@ -176,7 +188,7 @@ def write_attempt(found: DataFrame, config: LogExportConfig, root: str, attempt:
     also per message), and return what was written by window: row_count, reject_count, table_id.
 
     One exchange, by window and a bucket of the id, serves both the removal of copies and the
-    files. Of copies, the one with the smallest hash of its columns stays, whatever the tasks. Rows
+    files; large attempts have tasks by their size (`tasks_of`). Of copies, the one with the smallest hash of its columns stays, whatever the tasks. Rows
     without an id are nobody's copies: all of them stay, dealt by their content. The windows in
     `windows` are counted by the write itself, if they are no more than OBSERVED; else, or if they are
     not known, the partitions written are counted.
@@ -186,7 +198,7 @@ def write_attempt(found: DataFrame, config: LogExportConfig, root: str, attempt:
     passing all columns through Python.
     """
     content = [f.name for f in found.schema.fields if not isinstance(f.dataType, T.MapType)]
-    rejects = "_reason" in found.columns
+    rejects, tasks = "_reason" in found.columns, tasks_of(found)
     id_ = F.lit(None).cast("string")
     if insert_id is not None:
         own = F.col(f"`{insert_id}`").cast("string")
@@ -199,7 +211,7 @@ def write_attempt(found: DataFrame, config: LogExportConfig, root: str, attempt:
     placed = (route(found, config).withColumn("_id", id_)
               .withColumn("_bucket", F.pmod(F.when(F.col("_id").isNull(), F.xxhash64(*content))
                                             .otherwise(F.xxhash64("_id")), F.lit(spread)))
-              .repartition("window_start", "_bucket"))
+              .repartition(*[tasks] * bool(tasks), "window_start", "_bucket"))
     if insert_id is not None:
         copies = Window.partitionBy("_bucket", *named)
         placed = placed.withColumn("_copy", F.row_number().over(

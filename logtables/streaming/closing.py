@@ -58,10 +58,11 @@ def write_batch(config: LogExportConfig, root: str, delay_ms: int = RUN_DELAY_MS
         try:
             reason = lateness(config.window_ms, delay_ms, left["clock"], arrival)
             latest, late = batch.agg(F.max(arrival), F.count_if(reason.isNotNull())).first()
+            found = outcomes(batch.where(reason.isNull()).drop("window_start", "window_end"), config,
+                             insert_id, time)
             written = tables.write_attempt(
-                outcomes(batch.where(reason.isNull()).drop("window_start", "window_end"), config,
-                         insert_id, time), config, root, attempt, insert_id,
-                spread or tables.spread_of(spark))
+                found, config, root, attempt, insert_id,
+                spread or tables.spread_of(spark, tasks=tables.tasks_of(found)))
             if late:
                 by = F.floor((F.col(arrival) - (F.col("window_end") + delay_ms) * 1000) / 1000)
                 (batch.where(reason.isNotNull())

@@ -56,7 +56,8 @@ def write_batch(config: LogExportConfig, root: str, insert_id: str | None = "req
         attempt = f"batch-{batch_id}"
         found = outcomes(batch, config, insert_id, time)
         counts = tables.write_attempt(found, config, root, attempt, insert_id,
-                                      spread or tables.spread_of(batch.sparkSession))
+                                      spread or tables.spread_of(batch.sparkSession,
+                                                                 tasks=tables.tasks_of(found)))
         runs = [run_of(config.name, w, config.window_ms, **n) for w, n in sorted(counts.items())]
         Journal(batch.sparkSession, f"{root}/runs", config.name).append(
             attempt, [r | {"run_id": f"{r['run_id']}_{attempt}"} for r in runs])

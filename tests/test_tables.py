@@ -303,3 +303,25 @@ def test_configurations_are_checked():
         SnapshotConfig((), "root")
     with pytest.raises(ValueError):
         LogExportConfig("", SET)
+
+
+def test_an_export_has_tasks_by_its_size(spark, tmp_path, monkeypatch):
+    """Rows that a task sorts do not grow with the input; copies still meet."""
+    logs = inputs.core_logs(spark, SF).drop("event_time")
+    logs.unionAll(logs).write.parquet(f"{tmp_path}/logs")
+    logs = spark.read.parquet(f"{tmp_path}/logs")
+    config = LogExportConfig("w", FieldSet((fields.HTTP, fields.TIMESTAMP)), window_ms=86_400_000)
+    found = log_export.outcomes(logs, config)
+    assert tables.tasks_of(found) is None
+    size, _ = tables.batching.estimated_size(found._jdf.queryExecution().optimizedPlan())
+    monkeypatch.setattr(tables, "TASK_BYTES", -(-size // 40))
+    tasks = tables.tasks_of(found)
+    assert tasks in (39, 40) and tables.spread_of(spark, 2, tasks) == 2 * tasks
+    written = tables.write_attempt(found, config, str(tmp_path), "a", "requestId",
+                                   tables.spread_of(spark, 2, tasks))
+    path = tables.data_path(str(tmp_path), config, "a")
+    rows = spark.read.parquet(path)
+    assert len({r[0] for r in rows.select(F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1))
+                .collect()}) > 8
+    assert rows.count() == rows.select("requestId").distinct().count() == logs.select(
+        "request_id").distinct().count() == sum(n["row_count"] for n in written.values())

@@ -18,11 +18,12 @@ def connected(labels: DataFrame, links: DataFrame) -> DataFrame:
     """
     one, other = (labels.select(F.col("id").alias(c), F.col("label").alias(f"label_{c}"))
                   for c in ("a", "b"))
-    edges = links.join(one, "a").join(other, "b").where("label_a != label_b").select(
-        F.explode(F.array(F.struct(F.col("label_a").alias("x"), F.col("label_b").alias("y")),
-                          F.struct(F.col("label_b").alias("x"), F.col("label_a").alias("y"))))
-        .alias("e")).select("e.x", "e.y").distinct()
-    edges = kept(edges)
+    # However many links there are between two components, they are one edge, in both directions.
+    apart = links.join(one, "a").join(other, "b").where("label_a != label_b").select(
+        F.least("label_a", "label_b").alias("p"), F.greatest("label_a", "label_b").alias("q")).distinct()
+    edges = kept(apart.select(F.explode(F.array(
+        F.struct(F.col("p").alias("x"), F.col("q").alias("y")),
+        F.struct(F.col("q").alias("x"), F.col("p").alias("y")))).alias("e")).select("e.x", "e.y"))
     names = edges.select(F.col("x").alias("at")).distinct().withColumn("name", F.col("at"))
     rounds = 0
     while True:

@@ -265,8 +265,9 @@ def components(members: DataFrame, orders: DataFrame, tokens: DataFrame, percent
     own = members.join(labels, "id")
     counts = own.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     open_ = kept(counts.groupBy("bucket").agg(
-        F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("n"),
-        F.count("*").alias("kinds")).where("kinds > 1").drop("kinds"))
+        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"),
+        F.count("*").alias("kinds")).where("kinds > 1").select(
+        "bucket", F.col("top.label").alias("main"), F.col("top.n").alias("held"), "n"))
     small, large = open_.where(F.col("n") <= SMALL), open_.where(F.col("n") > SMALL)
     rest = own.join(small.select("bucket", "main"), "bucket").where("label != main").select(
         "bucket", F.col("id").alias("id_2"), F.col("size").alias("size_2"),
@@ -281,16 +282,27 @@ def components(members: DataFrame, orders: DataFrame, tokens: DataFrame, percent
 
 def by_blocks(own: DataFrame, large: DataFrame, orders: DataFrame, tokens: DataFrame, percent: int
               ) -> DataFrame:
-    """Links (a, b) in large buckets: every member meets every block of its bucket once."""
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    dealt = own.join(large.select("bucket", blocks.alias("blocks")), "bucket").withColumn(
-        "mine", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
-    met = dealt.select("bucket", "id", "label", "mine", F.explode(
-        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+    """Links (a, b) in large buckets."""
+    return met_blocks(own, large).join(orders, "id").join(tokens, "id").groupBy(
+        "bucket", "one", "two").applyInPandas(
+        lambda key, group: compare_blocks(group, key[1], key[2], percent), "a bigint, b bigint")
+
+
+def met_blocks(own: DataFrame, large: DataFrame) -> DataFrame:
+    """(bucket, id, label, mine, one, two): the pairs of blocks that a set takes part in. Whatever is not
+    in its bucket's largest component meets every block, the largest component those of the others."""
+    of_others, of_main = (F.ceil(n / F.lit(BLOCK)).cast("int")
+                          for n in (F.col("n") - F.col("held"), F.col("held")))
+    dealt = own.join(large.select("bucket", "main", of_others.alias("others"),
+                                  of_main.alias("mains")), "bucket")
+    main, dice = F.col("label") == F.col("main"), F.xxhash64("id", "bucket")
+    # Blocks of the others come first in numbers.
+    dealt = dealt.withColumn("mine", F.when(main, F.col("others") + F.pmod(dice, "mains")).otherwise(
+        F.pmod(dice, "others")).cast("int"))
+    return dealt.select("bucket", "id", "label", "mine", F.explode(F.sequence(F.lit(0), F.when(
+        main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1)).alias("other")).select(
         "bucket", "id", "label", "mine", F.least("mine", "other").alias("one"),
         F.greatest("mine", "other").alias("two"))
-    return met.join(orders, "id").join(tokens, "id").groupBy("bucket", "one", "two").applyInPandas(
-        lambda key, group: compare_blocks(group, key[1], key[2], percent), "a bigint, b bigint")
 
 
 def compare_blocks(group: pd.DataFrame, one: int, two: int, percent: int) -> pd.DataFrame:
@@ -303,6 +315,8 @@ def compare_blocks(group: pd.DataFrame, one: int, two: int, percent: int) -> pd.
     mine = group["mine"].to_numpy()
     if one != two:
         good &= mine[:, None] != mine[None]
+    label = group["label"].to_numpy()
+    good &= label[:, None] != label[None]
     good &= 100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes)
     for i in range(len(SALTS)):
         good &= overlaps([np.unique(o[i]) for o in group["orders"]]) > 0

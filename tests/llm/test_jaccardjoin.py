@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from logtables.llm import jaccardjoin
+from logtables.llm import components, jaccardjoin
 
 from .cases import edge_rows, edges, nothing
 
@@ -95,6 +95,42 @@ def test_a_large_group_of_near_copies(spark):
     assert joined(spark, rows) == brute(rows)
 
 
+def test_a_component_does_not_meet_itself(spark, monkeypatch):
+    """Blocks of a bucket's largest component meet those of others only; all other pairs do meet."""
+    monkeypatch.setattr(jaccardjoin, "BLOCK", 5)
+    own = spark.range(100).selectExpr("1L AS bucket", "id", "if(id < 93, 0L, id) AS label")
+    large = spark.sql("SELECT 1L AS bucket, 0L AS main, 93L AS held, 100L AS n")
+    met = jaccardjoin.met_blocks(own, large).collect()
+    # Two blocks of others, nineteen of the largest component.
+    assert len(met) == 93 * 2 + 7 * 21
+    blocks = {}
+    for r in met:
+        blocks.setdefault((r.one, r.two), []).append(r)
+    assert all(min(r.mine for r in b) < 2 for b in blocks.values())
+    seen = [(x.id, y.id) for met_ in blocks.values() for x in met_ for y in met_
+            if x.id < y.id and (x.one == x.two or x.mine != y.mine)]
+    assert len(seen) == len(set(seen))
+    assert {p for p in seen if p[1] >= 93} == {(i, j) for j in range(93, 100) for i in range(j)}
+
+
+def test_many_links_between_components_are_one_edge(spark, monkeypatch):
+    plans, real = [], components.kept
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(components, "kept", seen)
+    labels = spark.range(40).selectExpr("id", "id % 4 AS label")
+    links = labels.alias("x").crossJoin(labels.alias("y")).where(
+        "x.label < 2 AND y.label < 2").selectExpr("x.id AS a", "y.id AS b")
+    found = components.connected(labels, links)
+    assert {(r.id, r.label) for r in found.collect()} == {
+        (i, 0 if i % 4 < 2 else i % 4) for i in range(40)}
+    # Made one before they are turned both ways.
+    assert plans[0].index("Generate") < plans[0].index("Aggregate")
+
+
 def test_prefixes_meet_in_every_order():
     """Whatever the order, sets that agree share a token of their prefixes."""
     rng = np.random.default_rng(5)

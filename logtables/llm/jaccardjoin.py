@@ -2,7 +2,9 @@
 
 If two sets agree to a share t, then under any total order of all tokens they share one of the first
 n - ceil(t * n) + 1 tokens of each. One order proposes pairs, the others are asked before any set is
-read: a pair goes on only if its prefixes meet in every order.
+read: a pair goes on only if its prefixes meet in every order, and if its marks differ in no more places
+than the sets may. Marks are a bit for each of some places, the parity of the tokens that fall there, so
+two sets' marks never differ more than the sets do.
 
 The proposing order puts rare tokens first. How many sets hold a token is counted over all of them, for
 a fixed part of the tokens, chosen by hash (SAMPLED): these come first, from the rarest on; all others
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logtables.llm.components import connected
-from logtables.llm.orderhash import Powers, candidates, mixed, overlaps, portions
+from logtables.llm.orderhash import Powers, candidates, mixed, portions
 from logtables.llm.shared import folder, in_small_batches, kept, release
 from logtables.session import delete_dir
 
@@ -34,7 +36,15 @@ SAMPLED = 4
 #: Orders that are asked beside the proposing one.
 SALTS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)
 #: Buckets of up to SMALL sets list their pairs; larger ones are compared by blocks of about BLOCK.
-SMALL, BLOCK = 32, 192
+SMALL, BLOCK = 32, 2048
+#: Sets of a block that are compared with all others at once.
+ROWS = 256
+#: A set has a power of two of marks, at least PLACES for each token, within these bounds.
+PLACES, FEWEST, MOST = 4, 512, 1 << 16
+#: Bytes of marks that are compared at once.
+COMPARED = 1 << 23
+#: Bits, 4 MB in all, by which rows are passed over that are not in a list.
+BITS = 1 << 25
 #: The id that stands for a null one.
 LEAST = -(1 << 63)
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -159,18 +169,65 @@ def digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
+def marked(tokens: np.ndarray) -> bytes:
+    """A set's marks: for each place, whether an odd number of tokens falls there."""
+    places = min(MOST, max(FEWEST, 1 << (PLACES * len(tokens) - 1).bit_length()))
+    held = np.bincount((tokens & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(held.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_agree(marks: list[bytes], sizes: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int
+              ) -> np.ndarray:
+    """Whether the marks of the sets a[i] and b[i] allow the share; `a` and `b` are places in `marks`.
+
+    Sets that agree differ in (100 - percent) / (100 + percent) of their sizes' sum or less. Where one
+    has more marks, they are folded to the number of the other's.
+    """
+    lengths = np.array([len(m) for m in marks], np.int64)
+    short = np.minimum(lengths[a], lengths[b])
+    most = (100 - percent) * (sizes[a] + sizes[b])
+    out = np.zeros(len(a), bool)
+    for length in np.unique(short).tolist():
+        pairs = np.flatnonzero(short == length)
+        used = np.unique(np.concatenate([a[pairs], b[pairs]]))
+        bits = np.stack([np.bitwise_xor.reduce(np.frombuffer(marks[i], np.uint64).reshape(
+            -1, length // 8), axis=0) for i in used.tolist()])
+        step = max(1, COMPARED // length)
+        for some in (pairs[i:i + step] for i in range(0, len(pairs), step)):
+            differ = bits[np.searchsorted(used, a[some])] ^ bits[np.searchsorted(used, b[some])]
+            out[some] = (100 + percent) * np.bitwise_count(differ).sum(
+                axis=1, dtype=np.int64) <= most[some]
+    return out
+
+
+def maybe_listed(rows: DataFrame, listed_: DataFrame, by: list[str]) -> DataFrame:
+    """The rows that may have their `by` in a list, and few others while it is short against BITS.
+
+    The list goes everywhere as bits that do not grow with it, so most other rows need not move."""
+    bit = F.pmod(F.xxhash64(*by), F.lit(BITS))
+    bits = listed_.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.join(F.broadcast(bits), (F.bitmap_bucket_number(bit) == F.col("part")) & (
+        byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0), "left_semi")
+
+
 def whole_sets(rows: DataFrame, width: int) -> DataFrame:
-    """(id, tokens): the sets of (set_id, text), their hashes sorted."""
+    """(id, tokens, size, marks): the sets of (set_id, text), their hashes sorted."""
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids = batch["set_id"].to_numpy()
             for begin, part in portions(batch["text"].tolist()):
+                sets = token_sets(part, width)
                 yield pd.DataFrame({"id": ids[begin:begin + len(part)],
-                                    "tokens": [s.tobytes() for s in token_sets(part, width)]})
+                                    "tokens": [s.tobytes() for s in sets],
+                                    "size": np.array([len(s) for s in sets], np.int32),
+                                    "marks": [marked(s) for s in sets]})
 
     return rows.select("set_id", "text").mapInPandas(
-        tokens, "id bigint, tokens binary").dropDuplicates(["id"])
+        tokens, "id bigint, tokens binary, size int, marks binary").dropDuplicates(["id"])
 
 
 def prefixes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -197,14 +254,28 @@ def prefixes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return first.unionByName(further)
 
 
-def linked(pairs: DataFrame, orders: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that meet in all orders and whose sets agree."""
+def passing(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that meet in all orders and whose marks allow the share; `known` are (id, orders,
+    size, marks)."""
     for name in ("a", "b"):
-        pairs = pairs.join(orders.select(F.col("id").alias(name), F.col("orders").alias(f"o{name}")),
-                           name)
-    passed = pairs
+        pairs = pairs.join(known.select(F.col("id").alias(name), *(
+            F.col(c).alias(f"{c}_{name}") for c in ("orders", "size", "marks"))), name)
     for i in range(len(SALTS)):
-        passed = passed.where(F.arrays_overlap(F.col("oa")[i], F.col("ob")[i]))
+        pairs = pairs.where(F.arrays_overlap(F.col("orders_a")[i], F.col("orders_b")[i]))
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            marks = batch["marks_a"].tolist() + batch["marks_b"].tolist()
+            sizes = np.concatenate([batch["size_a"], batch["size_b"]]).astype(np.int64)
+            first = np.arange(len(batch))
+            yield batch.loc[may_agree(marks, sizes, first, first + len(batch), percent), ["a", "b"]]
+
+    return pairs.select("a", "b", "size_a", "size_b", "marks_a", "marks_b").mapInPandas(
+        check, "a bigint, b bigint")
+
+
+def linked(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets agree."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -215,11 +286,10 @@ def linked(pairs: DataFrame, orders: DataFrame, tokens: DataFrame, percent: int)
                 good.append(100 * both >= percent * (len(one) + len(other) - both))
             yield batch.loc[good, ["a", "b"]]
 
-    both = passed.select("a", "b")
     for name in ("a", "b"):
-        both = both.join(tokens.select(F.col("id").alias(name), F.col("tokens").alias(f"t{name}")),
-                         name)
-    return both.select("a", "b", "ta", "tb").mapInPandas(check, "a bigint, b bigint")
+        pairs = pairs.join(tokens.select(F.col("id").alias(name), F.col("tokens").alias(f"t{name}")),
+                           name)
+    return pairs.select("a", "b", "ta", "tb").mapInPandas(check, "a bigint, b bigint")
 
 
 def open_pairs(rows: DataFrame, percent: int) -> DataFrame:
@@ -235,13 +305,16 @@ def paired(met: DataFrame) -> DataFrame:
                       F.greatest("id", "hub.id").alias("b")).distinct()
 
 
-def components(members: DataFrame, orders: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """(id, label) of the sets that have a partner; `members` are (bucket, id, size, weight).
+def components(members: DataFrame, known: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """(id, label) of the sets that have a partner; `members` are (bucket, id, size, weight), `known`
+    (id, orders, size, marks).
 
     First each set meets the heaviest of its buckets' hubs, the heaviest sets there, then all of these
     that it is not joined with yet; that joins most of a group of near copies at a cost in proportion
     to its size, with a link for each set. Then every pair of a bucket in different components is
-    asked, in large buckets by blocks. No pair is left out but those that a path of links joins.
+    asked by orders and marks, in large buckets by blocks. Of the pairs that pass, the sets of each set's
+    first are read, then those of the pairs that are still apart. No pair is left out but those that a
+    path of links joins.
     """
     labels = kept(members.select("id").distinct().select("id", F.col("id").alias("label")))
     hubs = members.groupBy("bucket").agg(F.max(F.struct(
@@ -252,13 +325,13 @@ def components(members: DataFrame, orders: DataFrame, tokens: DataFrame, percent
         "id", "hub").distinct())
     one = met.groupBy("id").agg(F.max("hub").alias("hub"))
     asked = kept(paired(one))
-    labels = connected(labels, kept(linked(asked, orders, tokens, percent)))
+    labels = connected(labels, kept(linked(passing(asked, known, percent), tokens, percent)))
     release(members.sparkSession)
     mine, other = labels, labels.select(F.col("id").alias("of"), F.col("label").alias("label_2"))
     apart = met.join(mine, "id").join(other, F.col("hub.id") == F.col("of")).where(
         "label != label_2")
     more = kept(paired(apart).join(asked, ["a", "b"], "left_anti"))
-    labels = connected(labels, kept(linked(more, orders, tokens, percent)))
+    labels = connected(labels, kept(linked(passing(more, known, percent), tokens, percent)))
     release(members.sparkSession)
     asked = asked.unionAll(more)
 
@@ -272,20 +345,35 @@ def components(members: DataFrame, orders: DataFrame, tokens: DataFrame, percent
     rest = own.join(small.select("bucket", "main"), "bucket").where("label != main").select(
         "bucket", F.col("id").alias("id_2"), F.col("size").alias("size_2"),
         F.col("label").alias("label_2"))
-    more = open_pairs(own.join(rest, "bucket"), percent).join(asked, ["a", "b"], "left_anti")
-    found = kept(linked(kept(more), orders, tokens, percent))
+    listed_ = open_pairs(own.join(rest, "bucket"), percent)
+    blocks = kept(by_blocks(own, large, known, percent))
+    release(members.sparkSession)
+    near = kept(passing(kept(listed_.unionByName(blocks).distinct().join(
+        asked, ["a", "b"], "left_anti")), known, percent))
     release(members.sparkSession)
-    blocks = kept(by_blocks(own, large, orders, tokens, percent))
+    first = first_partners(near)
+    labels = connected(labels, kept(linked(first, tokens, percent)))
     release(members.sparkSession)
-    return connected(labels, found.unionByName(blocks))
+    one, other = (labels.select(F.col("id").alias(c), F.col("label").alias(f"label_{c}"))
+                  for c in ("a", "b"))
+    left = near.join(one, "a").join(other, "b").where("label_a != label_b").select("a", "b")
+    return connected(labels, kept(linked(kept(left.join(first, ["a", "b"], "left_anti")), tokens,
+                                         percent)))
+
 
+def first_partners(pairs: DataFrame) -> DataFrame:
+    """Of (a, b), a pair for each set: the one with the smallest partner."""
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return kept(both.groupBy("a").agg(F.min("b").alias("b")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
-def by_blocks(own: DataFrame, large: DataFrame, orders: DataFrame, tokens: DataFrame, percent: int
-              ) -> DataFrame:
-    """Links (a, b) in large buckets."""
-    return met_blocks(own, large).join(orders, "id").join(tokens, "id").groupBy(
+
+def by_blocks(own: DataFrame, large: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b) in large buckets that may be linked; only marks move for it."""
+    return met_blocks(own, large).join(known.select("id", "size", "marks"), "id").groupBy(
         "bucket", "one", "two").applyInPandas(
-        lambda key, group: compare_blocks(group, key[1], key[2], percent), "a bigint, b bigint")
+        lambda key, group: compare_blocks(group, key[1], key[2], percent),
+        "a bigint, b bigint").distinct()
 
 
 def met_blocks(own: DataFrame, large: DataFrame) -> DataFrame:
@@ -306,41 +394,22 @@ def met_blocks(own: DataFrame, large: DataFrame) -> DataFrame:
 
 
 def compare_blocks(group: pd.DataFrame, one: int, two: int, percent: int) -> pd.DataFrame:
-    """Links between two blocks of a bucket, or within one: pairs that meet in all orders, by the number
-    of their common tokens."""
+    """Pairs between two blocks of a bucket, or within one, whose marks allow the share."""
     group = group.sort_values("id", ignore_index=True)
-    sets = [np.frombuffer(t, np.uint64) for t in group["tokens"]]
-    sizes = np.array([len(s) for s in sets])
-    good = np.triu(np.ones((len(sets), len(sets)), bool), 1)
-    mine = group["mine"].to_numpy()
-    if one != two:
-        good &= mine[:, None] != mine[None]
-    label = group["label"].to_numpy()
-    good &= label[:, None] != label[None]
-    good &= 100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes)
-    for i in range(len(SALTS)):
-        good &= overlaps([np.unique(o[i]) for o in group["orders"]]) > 0
-    used = np.flatnonzero(good.any(axis=0) | good.any(axis=1))
-    if not len(used):
-        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    common = np.zeros(good.shape, np.int64)
-    common[np.ix_(used, used)] = overlaps([sets[i] for i in used])
-    good &= 100 * common >= percent * (sizes[:, None] + sizes - common)
-    parent = {label: label for label in group["label"].tolist()}
-
-    def top(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    # No more links than it takes to join the components that meet here.
-    ids, labels, found = group["id"].tolist(), group["label"].tolist(), []
-    for i, j in zip(*map(np.ndarray.tolist, np.nonzero(good)), strict=True):
-        x, y = top(labels[i]), top(labels[j])
-        if x != y:
-            found.append((ids[i], ids[j]))
-            parent[x] = y
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    ids, sizes = group["id"].to_numpy(), group["size"].to_numpy().astype(np.int64)
+    mine, label, marks = group["mine"].to_numpy(), group["label"].to_numpy(), group["marks"].tolist()
+    found = []
+    for begin in range(0, len(ids), ROWS):
+        row, column = np.arange(begin, min(begin + ROWS, len(ids)))[:, None], np.arange(begin, len(ids))
+        good = (row < column) & (label[row] != label[column])
+        if one != two:
+            good &= mine[row] != mine[column]
+        good &= 100 * np.minimum(sizes[row], sizes[column]) >= percent * np.maximum(
+            sizes[row], sizes[column])
+        a, b = (x + begin for x in np.nonzero(good))
+        near = may_agree(marks, sizes, a, b, percent)
+        found.append(pd.DataFrame({"a": ids[a[near]], "b": ids[b[near]]}))
+    return pd.concat(found, ignore_index=True)
 
 
 def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WORDS,
@@ -379,9 +448,11 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     narrow.join(chosen, "id", "left_semi").select(
         F.col("id").alias("set_id"), F.col("first.id").alias("id"),
         F.col("first.tag").alias("tag")).write.parquet(f"{place}/chosen")
-    tokens = kept(whole_sets(rows.join(spark.read.parquet(f"{place}/chosen"), ["id", "tag"]), width))
+    texts = spark.read.parquet(f"{place}/chosen")
+    tokens = kept(whole_sets(maybe_listed(rows, texts, ["id", "tag"]).join(texts, ["id", "tag"]), width))
+    known = kept(orders.join(tokens.select("id", "size", "marks"), "id"))
     release(spark)
-    labels = components(members, orders, tokens, percent)
+    labels = components(members, known, tokens, percent)
     classes = narrow.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = classes.groupBy("label").agg(F.min("first.id").alias("class_id"))
     of_set = classes.join(least, "label").select("same", "class_id")

@@ -148,6 +148,62 @@ def test_prefixes_meet_in_every_order():
             assert all(set(x.tolist()) & set(y.tolist()) for x, y in zip(a[2], b[2]))
 
 
+def test_marks_rule_out_no_pair_that_agrees():
+    """Of any sizes and shares; what they rule out differs in more tokens than it may."""
+    rng = np.random.default_rng(6)
+    passed = {}
+    for n in (1, 2, 9, 10, 19, 20, 125, 130, 148, 400, 1100, 20_000):
+        for share in (1, 0.95, 0.91, 0.9, 0.8, 0.6, 0):
+            for percent in (90, 50):
+                one = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+                other = np.unique(np.concatenate([one[:round(n * share)], rng.integers(
+                    0, 2**63, rng.integers(0, 2) * (n - round(n * share)), dtype=np.uint64)]))
+                if not len(other):
+                    continue
+                both, sizes = len(np.intersect1d(one, other)), np.array([len(one), len(other)])
+                may = jaccardjoin.may_agree([jaccardjoin.marked(x) for x in (one, other)], sizes,
+                                            np.array([0, 1]), np.array([1, 0]), percent)
+                assert may[0] == may[1]
+                assert may[0] or 100 * both < percent * (sizes.sum() - both)
+                passed.setdefault((share, percent), []).append(bool(may[0]))
+    assert sum(passed[0.6, 90]) <= 2 and sum(passed[0, 90]) == 0
+    # No more bytes than tokens from 64 tokens on.
+    assert all(len(jaccardjoin.marked(np.arange(n, dtype=np.uint64))) <= n for n in (64, 400, 9000))
+
+
+def test_a_large_bucket_of_sets_that_stay_apart(spark, monkeypatch):
+    """Blocks move marks only, some rows for each set; sets are read for pairs that these let pass."""
+    own = spark.range(2313).selectExpr("1L AS bucket", "id", "if(id < 507, 0L, id) AS label")
+    large = spark.sql("SELECT 1L AS bucket, 0L AS main, 507L AS held, 2313L AS n")
+    assert jaccardjoin.met_blocks(own, large).count() <= 3 * 2313
+    read, real = [], jaccardjoin.linked
+
+    def seen(pairs, tokens, percent):
+        read.append(pairs.count())
+        return real(pairs, tokens, percent)
+
+    monkeypatch.setattr(jaccardjoin, "linked", seen)
+    rng = random.Random(4)
+    base = [f"v{i}" for i in range(150)]
+    rows = []
+    for i in range(200):
+        words = list(base)
+        # Nearly all have a share of 0.6 to 0.85 with each other.
+        for at in rng.sample(range(150), 2 + i % 5):
+            words[at] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    assert joined(spark, rows) == brute(rows)
+    assert sum(read) < 3 * len(rows)
+
+
+def test_rows_that_are_not_listed_do_not_move(spark):
+    rows = spark.range(20_000).selectExpr("id", "id * 7 AS tag")
+    chosen = rows.where("id % 50 = 3")
+    found = {r.id for r in jaccardjoin.maybe_listed(rows, chosen, ["id", "tag"]).collect()}
+    assert {*range(3, 20_000, 50)} <= found and len(found) < 420
+    assert jaccardjoin.maybe_listed(rows, chosen.limit(0), ["id", "tag"]).count() == 0
+
+
 def test_words_do_not_depend_on_stretches(monkeypatch):
     texts = ["a b c d" * 9, "", "x" * 5000 + " y z", "\t\n", "é   ü" * 40]
     whole = jaccardjoin.token_sets(texts)

@@ -2,34 +2,38 @@
 kept in heaps that merge.
 
 Rows are digitised to int64 and packed into blocks, anchors and candidates apart. A task multiplies
-an anchor block by a candidate block. Strassen's seven products replace eight at each level, with
-additions and subtractions only, which are exact modulo 2**64: sums on the way may wrap around, a
-result that fits does not. A tile leaves a bounded heap per anchor; heaps merge in any order and in
-as many steps as there are tiles. Positives come from a first pass. In a second one each positive's
-window is cut out of the anchor's candidates in score order.
+some anchor blocks by some candidate blocks, which it reads from the shared folder: no block is
+copied for its tiles, neither to the driver nor through an exchange. Strassen's seven products
+replace eight at each level, with additions and subtractions only, which are exact modulo 2**64:
+sums on the way may wrap around, a result that fits does not. A tile adds to a bounded heap per
+anchor what is as good as the heap's last entry; heaps merge in any order and in as many steps as
+there are tiles. Positives come from a first pass. In a second one each positive's window is cut
+out of the anchor's candidates in score order.
 """
 
 from __future__ import annotations
 
-import heapq
+from bisect import insort
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtables.llm.shared import folder, in_small_batches
+from logtables.llm.shared import folder, in_small_batches, kept, release
 
 #: Rows of a block: one tile has ANCHORS x CANDIDATES scores of eight bytes.
 ANCHORS, CANDIDATES = 1024, 4096
+#: A pass has about TASKS tasks if it has as many tiles, and more where a task's candidate blocks would
+#: have more bytes, at eight a component. Anchors have no more partitions than SPLITS.
+TASKS, TASK_BYTES, SPLITS = 64, 1 << 26, 32
 #: A side below this is multiplied directly.
 LEAF = 32
 #: Components beyond this size count as this, scores beyond a long as its limits.
 HUGE = 1 << 62
 LONGEST = (1 << 63) - 1
-BLOCK = ("block bigint, height int, width int, most double, row binary, label binary, "
+BLOCK = ("block bigint, height int, width int, bytes int, most double, row binary, label binary, "
          "vec_id binary, no_id binary, x binary")
 
 
@@ -37,7 +41,8 @@ def strassen(a: np.ndarray, b: np.ndarray, leaf: int = LEAF) -> np.ndarray:
     """The product of two int64 matrices (or of matrices of Python integers), exactly.
 
     Sides are padded with zeros to a multiple of 2 ** levels, each level halving all three of them,
-    as long as the shortest is above `leaf`.
+    as long as the shortest is above `leaf`. Where no number on the way can leave the whole numbers
+    that a float has exactly, the recursion takes floats, whose products are faster.
     """
     m, k, n = *a.shape, b.shape[1]
     if not (m and k and n):
@@ -46,9 +51,18 @@ def strassen(a: np.ndarray, b: np.ndarray, leaf: int = LEAF) -> np.ndarray:
     while min(m, k, n) >> levels > leaf:
         levels += 1
     sides = [-(-side >> levels) << levels if levels else side for side in (m, k, n)]
-    padded = [np.zeros(shape, a.dtype) for shape in ((sides[0], sides[1]), (sides[1], sides[2]))]
+    # Each level doubles the factors at most and halves k; up to four products are added up.
+    most = k * largest(a) * largest(b) << levels + 2
+    kind = a.dtype if a.dtype == object else next(
+        t for t, limit in ((np.float32, 2**24), (np.float64, 2**53), (a.dtype, most)) if most <= limit)
+    padded = [np.zeros(shape, kind) for shape in ((sides[0], sides[1]), (sides[1], sides[2]))]
     padded[0][:m, :k], padded[1][:k, :n] = a, b
-    return _strassen(*padded, levels)[:m, :n]
+    return _strassen(*padded, levels)[:m, :n].astype(a.dtype)
+
+
+def largest(a: np.ndarray) -> int:
+    """The largest absolute value, as a Python integer."""
+    return max(int(a.max()), -int(a.min()))
 
 
 def _strassen(a: np.ndarray, b: np.ndarray, levels: int) -> np.ndarray:
@@ -94,7 +108,8 @@ def digitised(vectors: DataFrame, label: Column, scale: float, id: str = "vec_id
 def blocks(rows: DataFrame, size: int) -> DataFrame:
     """Rows (row, vec_id, label, x) packed by `size`; none moves. A block is named by its first row.
 
-    Shorter vectors end in zeros. `most` is the largest Euclidean norm in the block.
+    Shorter vectors end in zeros. `most` is the largest Euclidean norm in the block, `bytes` the size
+    of an integer of `x`, the least that holds them all.
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,11 +132,14 @@ def packed(rows: pd.DataFrame) -> pd.DataFrame:
     for i, x in enumerate(rows["x"]):
         matrix[i, :len(x)] = x
     number = rows["row"].to_numpy(np.int64)
+    low, high = matrix.min(initial=0), matrix.max(initial=0)
+    kind = next(t for t in map(np.dtype, ("i1", "i2", "i4", "i8"))
+                if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
     columns = {"row": number, "label": rows["label"].to_numpy(np.int64),
                "vec_id": rows["vec_id"].astype("Int64").fillna(0).to_numpy(np.int64),
-               "no_id": rows["vec_id"].isna().to_numpy(bool), "x": matrix}
+               "no_id": rows["vec_id"].isna().to_numpy(bool), "x": matrix.astype(kind)}
     return pd.DataFrame({
-        "block": [number[0]], "height": len(rows), "width": matrix.shape[1],
+        "block": [number[0]], "height": len(rows), "width": matrix.shape[1], "bytes": kind.itemsize,
         "most": np.sqrt((matrix.astype(np.float64) ** 2).sum(axis=1)).max()}
         | {name: [value.tobytes()] for name, value in columns.items()})
 
@@ -133,7 +151,7 @@ class Block:
         row, label, vec_id = (np.frombuffer(tile[f"{side}_{c}"], np.int64)
                               for c in ("row", "label", "vec_id"))
         no_id = np.frombuffer(tile[f"{side}_no_id"], bool)
-        x = np.frombuffer(tile[f"{side}_x"], np.int64).reshape(
+        x = np.frombuffer(tile[f"{side}_x"], f"i{tile[f'{side}_bytes']}").astype(np.int64).reshape(
             tile[f"{side}_height"], tile[f"{side}_width"])
         order = np.lexsort((row, vec_id, no_id))
         self.row, self.label, self.vec_id, self.no_id, self.x = (
@@ -153,35 +171,39 @@ def scores(a: Block, b: Block) -> np.ndarray:
 
 
 def tiles(anchors: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Every anchor block beside every candidate block, a pair to a row, `a` and `b` their numbers.
+    """Every anchor block beside every candidate block, a pair to a row, in the columns of both with
+    `a_` and `b_` before their names.
 
-    Candidates move once for every ANCHORS anchors, anchors once for every CANDIDATES candidates.
-    The driver has one number for every block.
+    A task has a partition of either side, and for each of its anchor blocks all its candidate blocks
+    one after the other. Blocks are read where they lie. Without the hint Spark may broadcast a side.
     """
-    names = {"a": anchors, "b": candidates}
-    numbers = {name: np.sort([r[0] for r in side.select("block").collect()]).astype(np.int64)
-               for name, side in names.items()}
-    one, two = (numbered(names[mine], numbers[mine]).where(F.lit(bool(len(numbers[other])))).select(
-        F.col("number").alias(mine),
-        F.explode(F.sequence(F.lit(0), F.lit(max(0, len(numbers[other]) - 1)))).alias(other),
-        *[F.col(c).alias(f"{mine}_{c}") for c in names[mine].columns if c != "block"])
-        for mine, other in (("a", "b"), ("b", "a")))
-    return in_small_batches(one.join(two, ["a", "b"]))
+    one, two = (side.select(*[F.col(c).alias(f"{name}_{c}") for c in side.columns])
+                for name, side in (("a", anchors), ("b", candidates)))
+    return in_small_batches(one.crossJoin(two.hint("shuffle_replicate_nl")))
 
 
-def numbered(side: DataFrame, known: np.ndarray) -> DataFrame:
-    """Blocks with their place among the sorted names."""
+def spread(rows: DataFrame, size: int, n: int, parts: int) -> DataFrame:
+    """Rows in blocks of `size`, which are about `n`, dealt out evenly to `parts` partitions and kept."""
+    return kept(blocks(rows.coalesce(max(1, n)), size).repartition(max(1, parts)))
 
-    @F.pandas_udf("int")
-    def number(block: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(known, block.to_numpy()), dtype="int32")
 
-    return side.withColumn("number", number("block"))
+def with_positives(anchors: DataFrame, found: DataFrame) -> DataFrame:
+    """Anchor blocks with the first pass's rows, at most `positives` for each of ANCHORS rows, in
+    arrays. Neither side is broadcast, both grow with the anchors."""
+    of_block = found.groupBy(F.col("a").alias("block")).agg(F.collect_list(F.struct(
+        F.col("anchor").alias("of"), F.col("row").alias("positive"),
+        F.coalesce("vec_id", F.lit(0)).alias("positive_id"),
+        F.col("vec_id").isNull().alias("positive_no_id"),
+        F.col("score").alias("positive_score"))).alias("found"))
+    arrays = of_block.select("block", *[F.col(f"found.{c}").alias(c) for c in POSITIVES])
+    return kept(anchors.join(arrays.hint("merge"), "block").repartition(
+        anchors.rdd.getNumPartitions()))
 
 
-def heaps(tiled: DataFrame, keep: int, of_tile) -> DataFrame:
-    """HEAPS rows, at most `keep` for each key of a task. `of_tile` gives, for a tile, sorted
-    entries (~score, no_id, vec_id, row) by key; those of one anchor block merge as tiles go by."""
+def heaps(tiled: DataFrame, keep: int, of_tile, of_anchors=None) -> DataFrame:
+    """HEAPS rows, at most `keep` for each key of a task. `of_tile` gives, for the blocks of a tile,
+    what `of_anchors` gives for the anchors and the heaps so far, sorted entries (~score, no_id,
+    vec_id, row) by key; those of one anchor block merge as tiles go by."""
 
     def shown(a: int, held: dict) -> pd.DataFrame:
         rows = [(a, *key, ~entry[0], None if entry[1] else entry[2], entry[3])
@@ -190,26 +212,40 @@ def heaps(tiled: DataFrame, keep: int, of_tile) -> DataFrame:
             {"vec_id": "Int64", "positive_id": "Int64"})
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, held = None, {}
+        a, now, held, wanted = None, None, {}, {}
         for batch in batches:
             for tile in batch.to_dict("records"):
-                if tile["a"] != now:
+                if tile["a_block"] != now:
                     if held:
                         yield shown(now, held)
-                    now, held = tile["a"], {}
-                for key, heap in of_tile(tile).items():
-                    before = held.get(key)
-                    held[key] = heap if before is None else [
-                        *islice(heapq.merge(before, heap), keep)]
+                    a, now, held = Block(tile, "a"), tile["a_block"], {}
+                    wanted = of_anchors(tile) if of_anchors else {}
+                for key, heap in of_tile(a, Block(tile, "b"), wanted, held).items():
+                    if key in held:
+                        merge(held[key], heap, keep)
+                    else:
+                        held[key] = heap
         if held:
             yield shown(now, held)
 
     return tiled.mapInPandas(take, HEAPS)
 
 
+def merge(held: list[tuple], more: list[tuple], keep: int) -> None:
+    """The first `keep` of two sorted lists, in place of the one held."""
+    for entry in more:
+        if len(held) == keep:
+            if entry >= held[-1]:
+                return
+            held.pop()
+        insort(held, entry)
+
+
+#: Columns of an anchor block with the positives of its rows, an array each.
+POSITIVES = ("of", "positive", "positive_id", "positive_no_id", "positive_score")
 HEAP_NAMES = ["a", "anchor", "anchor_id", "positive", "positive_id", "positive_score", "score",
               "vec_id", "row"]
-HEAPS = ("a int, anchor bigint, anchor_id bigint, positive bigint, positive_id bigint, "
+HEAPS = ("a bigint, anchor bigint, anchor_id bigint, positive bigint, positive_id bigint, "
          "positive_score bigint, score bigint, vec_id bigint, row bigint")
 
 
@@ -224,12 +260,18 @@ def entries(block: Block, score: np.ndarray, at: np.ndarray) -> list[tuple]:
                  block.row[at].tolist(), strict=True)]
 
 
-def nearest(tile: dict, keep: int) -> dict[tuple, list[tuple]]:
-    """Each anchor's `keep` best other rows of its label in a tile."""
-    a, b = Block(tile, "a"), Block(tile, "b")
+def bar(heap: list[tuple] | None, keep: int) -> int:
+    """The score below which nothing enters a heap any more."""
+    return ~heap[-1][0] if heap and len(heap) == keep else -LONGEST - 1
+
+
+def nearest(a: Block, b: Block, wanted: dict, held: dict, keep: int) -> dict[tuple, list[tuple]]:
+    """Each anchor's `keep` best other rows of its label in a tile, if they can enter its heap."""
     products, out = scores(a, b), {}
     for i, score in enumerate(products):
-        at = np.flatnonzero((b.label == a.label[i]) & (b.row != a.row[i]))
+        key = (int(a.row[i]), int(a.vec_id[i]), 0, None, 0)
+        at = np.flatnonzero(score >= bar(held.get(key), keep))
+        at = at[(b.label[at] == a.label[i]) & (b.row[at] != a.row[i])]
         if not len(at):
             continue
         mine = ~score[at]
@@ -237,35 +279,51 @@ def nearest(tile: dict, keep: int) -> dict[tuple, list[tuple]]:
             some = mine <= np.partition(mine, keep - 1)[keep - 1]
             at, mine = at[some], mine[some]
         order = np.argsort(mine, kind="stable")[:keep]
-        out[int(a.row[i]), int(a.vec_id[i]), 0, None, 0] = entries(b, ~mine[order], at[order])
+        out[key] = entries(b, ~mine[order], at[order])
     return out
 
 
-def in_windows(tile: dict, keep: int, least: int, most: int) -> dict[tuple, list[tuple]]:
-    """For each positive of each anchor, the `keep` best rows of other labels in its window."""
-    a, b = Block(tile, "a"), Block(tile, "b")
+def windows_of(tile: dict, least: int, most: int) -> dict[int, list[tuple]]:
+    """(positive's row, id and score, least, most score) by the row of an anchor."""
+    found: dict[int, list[tuple]] = {}
+    for anchor, row, vec_id, no_id, of in zip(*(tile[f"a_{c}"].tolist() for c in POSITIVES),
+                                              strict=True):
+        # Scores from least * of / 100, rounded up, to most * of / 100, rounded down.
+        low, high = -(-least * of // 100), min(most * of // 100, LONGEST)
+        if low <= high:
+            found.setdefault(anchor, []).append(
+                ((row, None if no_id else vec_id, of), low, high))
+    return found
+
+
+def in_windows(a: Block, b: Block, wanted: dict, held: dict, keep: int) -> dict[tuple, list[tuple]]:
+    """For each positive of each anchor, the `keep` best rows of other labels in its window, if they
+    can enter its heap."""
     products, out = scores(a, b), {}
-    wanted: dict[int, list] = {}
-    for p in tile["a_positives"]:
-        wanted.setdefault(p["anchor"], []).append(p)
     for i, score in enumerate(products):
-        at = np.flatnonzero(b.label != a.label[i])
-        if not len(at) or int(a.row[i]) not in wanted:
+        mine, windows = (int(a.row[i]), int(a.vec_id[i])), []
+        for positive, low, high in wanted.get(mine[0], ()):
+            low = max(low, bar(held.get(key := mine + positive), keep))
+            if low <= high:
+                windows.append((key, low, high))
+        if not windows:
+            continue
+        at = np.flatnonzero(score >= min(low for _, low, _ in windows))
+        at = at[(score[at] <= max(high for *_, high in windows)) & (b.label[at] != a.label[i])]
+        if not len(at):
             continue
         down = ~score[at]
         order = np.argsort(down, kind="stable")
         down, at = down[order], at[order]
-        for p in wanted[int(a.row[i])]:
-            of = p["score"]
-            # Scores from least * of / 100, rounded up, to most * of / 100, rounded down.
-            low, high = -(-least * of // 100), most * of // 100
-            if low > high:
-                continue
-            begin = np.searchsorted(down, ~high, side="left")
-            end = min(np.searchsorted(down, ~low, side="right"), begin + keep)
+        begins = np.searchsorted(down, np.array([~high for *_, high in windows]), side="left")
+        ends = np.searchsorted(down, np.array([~low for _, low, _ in windows]), side="right")
+        ends = np.minimum(ends, begins + keep)
+        head, tail = begins.min(), ends.max()
+        found = entries(b, ~down[head:tail], at[head:tail])
+        for (key, _, _), begin, end in zip(windows, (begins - head).tolist(),
+                                           (ends - head).tolist(), strict=True):
             if begin < end:
-                key = (int(a.row[i]), int(a.vec_id[i]), p["row"], p["vec_id"], of)
-                out[key] = entries(b, ~down[begin:end], at[begin:end])
+                out[key] = found[begin:end]
     return out
 
 
@@ -289,21 +347,19 @@ def hard_negatives(vectors: DataFrame, anchor: Column, label: Column, positives:
     digitised(vectors, label, scale, id, vector).withColumn(
         "row", F.monotonically_increasing_id()).write.parquet(f"{place}/rows")
     rows = spark.read.parquet(f"{place}/rows")
-    count = rows.count()
     chosen = rows.where(F.coalesce(anchor, F.lit(False)))
-    sides = []
-    for name, side, size, n in (("anchors", chosen, ANCHORS, chosen.count()),
-                                ("candidates", rows, CANDIDATES, count)):
-        blocks(side.coalesce(max(1, -(-n // size))), size).write.parquet(f"{place}/{name}")
-        sides.append(spark.read.parquet(f"{place}/{name}"))
-    tiled = tiles(*sides)
-    found = first(heaps(tiled, positives, lambda t: nearest(t, positives)), ["anchor"], positives)
-    found.write.parquet(f"{place}/positives")
-    # At most `positives` for each of the ANCHORS rows of a block.
-    of_block = spark.read.parquet(f"{place}/positives").groupBy("a").agg(F.collect_list(
-        F.struct("anchor", "row", "vec_id", "score")).alias("a_positives"))
-    windows = heaps(tiled.join(of_block, "a"), negatives,
-                    lambda t: in_windows(t, negatives, least, most))
+    n, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("x")), F.lit(0))).first()
+    n_anchors, n_candidates = -(-chosen.count() // ANCHORS), -(-n // CANDIDATES)
+    per_task = max(1, min(n_anchors * n_candidates // TASKS,
+                          TASK_BYTES // (8 * max(1, width) * CANDIDATES)))
+    anchors = spread(chosen, ANCHORS, n_anchors, min(SPLITS, n_anchors))
+    candidates = spread(rows, CANDIDATES, n_candidates, -(-n_candidates // per_task))
+    first(heaps(tiles(anchors, candidates), positives, lambda *tile: nearest(*tile, positives)),
+          ["anchor"], positives).write.parquet(f"{place}/positives")
+    release(spark)
+    tiled = tiles(with_positives(anchors, spark.read.parquet(f"{place}/positives")), candidates)
+    windows = heaps(tiled, negatives, lambda *tile: in_windows(*tile, negatives),
+                    lambda tile: windows_of(tile, least, most))
     return first(windows, ["anchor", "positive"], negatives).select(
         "anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"),
         "positive_score", F.col("score").alias("negative_score"))

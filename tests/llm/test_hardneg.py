@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -116,3 +117,72 @@ def test_nothing(spark):
     assert mined(spark, []) == []
     assert mined(spark, [(1, [0.1], 1, "x", 1), (100, None, 1, "x", 1)]) == []
     assert mined(spark, [(100, [0.1], 1, "x", 1)]) == []
+
+
+def test_no_side_of_the_tiles_is_broadcast(spark, tmp_path):
+    """Blocks whose files are small have one copy all the same, however many tiles there are."""
+    rows = spark.range(400).select(
+        F.col("id").alias("row"), F.col("id").alias("vec_id"), (F.col("id") % 3).alias("label"),
+        F.array(F.col("id"), F.col("id") % 7).alias("x")).coalesce(1)
+    sides = []
+    for name, size in (("anchors", 40), ("candidates", 25)):
+        hardneg.blocks(rows, size).write.parquet(f"{tmp_path}/{name}")
+        sides.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        tiled = hardneg.tiles(*sides)
+        assert tiled.count() == 10 * 16
+        plan = tiled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [line for line in plan.splitlines() if "Broadcast" in line or "Exchange" in line]
+
+
+def test_no_pass_broadcasts_blocks(spark, monkeypatch):
+    monkeypatch.setattr(hardneg, "ANCHORS", 2)
+    monkeypatch.setattr(hardneg, "CANDIDATES", 20)
+    broadcasts = []
+    kept = type(spark.range(0)).mapInPandas
+
+    def seen(frame, *args, **options):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        broadcasts.extend(line for line in plan.splitlines() if "Broadcast" in line)
+        return kept(frame, *args, **options)
+
+    monkeypatch.setattr(type(spark.range(0)), "mapInPandas", seen)
+    rng = random.Random(2)
+    rows = [(i, [rng.random() for _ in range(4)], i % 3, "x", 1) for i in range(0, 1000, 5)]
+    assert mined(spark, rows) == brute(rows, 5, 10) and not broadcasts
+
+
+@pytest.mark.parametrize("task_bytes", [1 << 26, 3000])
+def test_heaps_of_many_tiles_in_a_task(spark, monkeypatch, task_bytes):
+    """Ties that come in later tiles with smaller ids enter full heaps."""
+    for name, value in (("ANCHORS", 3), ("CANDIDATES", 7), ("TASKS", 1), ("TASK_BYTES", task_bytes)):
+        monkeypatch.setattr(hardneg, name, value)
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([0.25, 0.5, 1.0, 3.0]) for _ in range(3)], rng.randrange(3), "x", 1)
+            for i in range(600, 0, -4)]
+    rows += [rows[0], (None, [1.0] * 3, 1, "x", 1), (None, [0.5] * 3, 2, "x", 1)]
+    expected = brute(rows, 5, 10)
+    assert len(expected) > 100 and mined(spark, rows) == expected
+
+
+@pytest.mark.parametrize("most", [100, 2**9, 2**23, 2**24, 2**26, 2**28])
+def test_strassen_is_exact_beside_the_limits_of_floats(most):
+    rng = np.random.default_rng(most)
+    a = rng.choice([-most, most - 1, most, 1], (8, 16))
+    b = rng.choice([-most, most - 1, most, 1], (16, 8))
+    found = hardneg.strassen(a, b, 2)
+    assert found.dtype == np.int64
+    assert (found == (a.astype(object) @ b.astype(object))).all()
+
+
+@pytest.mark.parametrize("x, size", [([-128, 127], 1), ([128], 2), ([-2**31], 4), ([2**62], 8), ([], 1)])
+def test_blocks_have_the_least_integers(x, size):
+    rows = pd.DataFrame({"row": [5, 6], "vec_id": [1, None], "label": [2, 2], "x": [x, x[:1]]})
+    block = hardneg.packed(rows)
+    assert len(block["x"][0]) == 2 * len(x) * size
+    read = hardneg.Block({f"a_{c}": block[c][0] for c in block}, "a")
+    assert read.x.dtype == np.int64 and read.x.tolist() == [x, x[:1] + [0] * (len(x) - 1)]
